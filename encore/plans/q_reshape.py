@@ -1 +1,229 @@
-"""placeholder"""
+"""Registered queries: melts, casts, pivots, programme and preference aggregates."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import text as T
+from ..operators import aggregate as A
+from ..operators.repair import repair_tickets, type_subscriptions
+from ..operators.reshape import cast_wide, melt, pivot_agg
+from ..sources.bind import read_bundle
+from ..spec import binding_spec, suffix
+from .common import rounded
+from .feature_sql import (att_long_cte, missed_cte, norm, num, prog_cte, subs_cte, subs_t_cte, tick_cte,
+                          tick_r_cte, with_ctes)
+from .registry import query
+
+SPEC = binding_spec()
+HIST = list(SPEC.history_seasons)
+
+
+def _subs_sql(select: str, extra: list[str] | None = None) -> str:
+    return with_ctes(SPEC, ["subscriptions", "programme"],
+                     [prog_cte(SPEC), subs_t_cte(SPEC), subs_cte(SPEC)] + (extra or []), select)
+
+
+def _num_cells() -> list[str]:
+    return [f"{v}_{suffix(s)}" for v in SPEC.subs_numeric for s in HIST]
+
+
+def _fac_cells() -> list[str]:
+    return [f"{v}_{suffix(s)}" for v in SPEC.subs_factors for s in HIST]
+
+
+@query("subscription_season_cells", covers=("R2", "R3", "F1", "C9", "P1"),
+       sql=lambda: _subs_sql("SELECT account_id, " + ", ".join(_num_cells()) + " FROM subs_f"))
+def subscription_season_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numeric subscription history: melt (several ids) then cast to variable_season cells."""
+    b = read_bundle(spark, sf_dir)
+    subs = type_subscriptions(b.subscriptions).where(F.col("season") != SPEC.target_season)
+    long = melt(subs, ["account_id", "season"], list(SPEC.subs_numeric), cast="double")
+    cells = [(f"{v}_{suffix(s)}", {"variable": v, "season": s}, "value") for v in SPEC.subs_numeric for s in HIST]
+    return cast_wide(long, "account_id", cells, keys_for_check=["account_id", "variable", "season"])
+
+
+@query("subscription_factor_cells", covers=("R5", "C1", "C8"),
+       sql=lambda: _subs_sql("SELECT account_id, " + ", ".join(f"coalesce({c}, '__NA__') AS {c}" for c in _fac_cells())
+                             + " FROM subs_f"))
+def subscription_factor_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Categorical subscription history (normalised text) cast wide; gaps as an NA level."""
+    b = read_bundle(spark, sf_dir)
+    subs = type_subscriptions(b.subscriptions).where(F.col("season") != SPEC.target_season)
+    long = melt(subs, ["account_id", "season"], list(SPEC.subs_factors), cast="string")
+    cells = [(f"{v}_{suffix(s)}", {"variable": v, "season": s}, "value") for v in SPEC.subs_factors for s in HIST]
+    wide = cast_wide(long, "account_id", cells, keys_for_check=["account_id", "variable", "season"])
+    return wide.select("account_id", *[T.na_level(c).alias(c) for c, _, _ in cells])
+
+
+def _tick_sql(select: str) -> str:
+    return with_ctes(SPEC, ["tickets"], [tick_r_cte(), tick_cte(SPEC)], select)
+
+
+@query("ticket_season_pivots", covers=("A1", "A2", "C2", "C3", "C9"),
+       sql=lambda: _tick_sql("SELECT account_id, " + ", ".join(
+           [f"add_tickets_total_{suffix(s)}" for s in SPEC.ticket_seasons]
+           + [f"add_tickets_seats_{suffix(s)}" for s in SPEC.ticket_seasons]) + " FROM tick_f"))
+def ticket_season_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tickets per account and season (count) and seats (sum); absent seasons -> 0."""
+    t = repair_tickets(read_bundle(spark, sf_dir).tickets)
+    seasons = list(SPEC.ticket_seasons)
+    n = pivot_agg(t, "account_id", "season", seasons, "count",
+                  names=[f"add_tickets_total_{suffix(s)}" for s in seasons])
+    s = pivot_agg(t, "account_id", "season", seasons, "sum", "no_seats",
+                  names=[f"add_tickets_seats_{suffix(s)}" for s in seasons])
+    return n.join(s, "account_id", "inner")
+
+
+def _tick_cells() -> list[str]:
+    return [f"add_{v}_{suffix(s)}_{t}" for v in SPEC.ticket_values for s in SPEC.ticket_seasons
+            for t in SPEC.ticket_sets]
+
+
+@query("ticket_set_cells", covers=("R2", "R4", "A3", "Q2", "P11"),
+       sql=lambda: _tick_sql("SELECT account_id, " + ", ".join(_tick_cells()) + " FROM tick_f"))
+def ticket_set_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tickets melted by (account, season, set) and cast to add_variable_season_set cells.
+
+    (account, season, set) repeats in this data, so every cell is a count."""
+    t = repair_tickets(read_bundle(spark, sf_dir).tickets)
+    long = melt(t, ["account_id", "season", "set"], list(SPEC.ticket_values), cast="double")
+    long = long.withColumn("prefix", F.lit("add"))
+    cells = [(f"add_{v}_{suffix(s)}_{st}", {"prefix": "add", "variable": v, "season": s, "set": st}, "value")
+             for v in SPEC.ticket_values for s in SPEC.ticket_seasons for st in SPEC.ticket_sets]
+    return cast_wide(long, "account_id", cells, keys_for_check=["account_id", "season", "set"])
+
+
+def _prog_sql(how: str) -> str:
+    return with_ctes(SPEC, ["programme"], [prog_cte(SPEC, how)],
+                     "SELECT season, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in SPEC.composers)
+                     + " FROM prog")
+
+
+@query("programme_composition", covers=("A4", "C9"), sql=lambda: _prog_sql("sum"))
+def programme_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Season x composer: concert counts summed over the season's sets."""
+    return A.programme_by_season(read_bundle(spark, sf_dir).programme, SPEC, "sum")
+
+
+@query("programme_composition_max", covers=("A5",), sql=lambda: _prog_sql("max"))
+def programme_composition_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unweighted variant: the largest set count per season and composer."""
+    return A.programme_by_season(read_bundle(spark, sf_dir).programme, SPEC, "max")
+
+
+def _pref_sql(weighted: bool) -> str:
+    cols = ", ".join(f"round(conc_{c}, 6) AS conc_{c}" for c in SPEC.preference_composers)
+    return with_ctes(SPEC, ["subscriptions", "programme"],
+                     [prog_cte(SPEC), subs_t_cte(SPEC),
+                      subs_cte(SPEC, weighted).replace("subs_f AS", "pref AS")],
+                     f"SELECT account_id, {cols} FROM pref")
+
+
+@query("composer_preferences", covers=("A6", "J2", "Q3", "P6"), sql=lambda: _pref_sql(True))
+def composer_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per account: sum over seasons of programme count x subscriptions (null when a season has no programme)."""
+    b = read_bundle(spark, sf_dir)
+    prog = A.programme_by_season(b.programme, SPEC)
+    return rounded(A.composer_preferences(type_subscriptions(b.subscriptions), prog, SPEC))
+
+
+@query("composer_preferences_unweighted", covers=("A7",), sql=lambda: _pref_sql(False))
+def composer_preferences_unweighted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same without the subscription weight."""
+    b = read_bundle(spark, sf_dir)
+    prog = A.programme_by_season(b.programme, SPEC)
+    return rounded(A.composer_preferences(type_subscriptions(b.subscriptions), prog, SPEC, weight_by_total=False))
+
+
+@query("missed_composer_preferences", covers=("A8", "F2", "R7", "J2"),
+       sql=lambda: with_ctes(SPEC, ["programme", "attended"], [prog_cte(SPEC), att_long_cte(SPEC), missed_cte(SPEC)],
+                             "SELECT * FROM missed_f"))
+def missed_composer_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per account: programme counts summed over the seasons it did not attend."""
+    b = read_bundle(spark, sf_dir)
+    return A.missed_preferences(b.attended, A.programme_by_season(b.programme, SPEC), SPEC)
+
+
+@query("attendance_long", covers=("R1", "R7"),
+       sql=lambda: with_ctes(SPEC, ["attended"], [att_long_cte(SPEC)], "SELECT * FROM att_long"))
+def attendance_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide attendance melted to (account_id, season, attended)."""
+    return A.attendance_long(read_bundle(spark, sf_dir).attended, SPEC)
+
+
+@query("zero_total_flags", covers=("A9", "C9"),
+       sql=lambda: with_ctes(SPEC, ["subscriptions"], [subs_t_cte(SPEC)],
+                             "SELECT account_id, season, CAST(total = 0 AS DOUBLE) AS zero_total FROM subs_t"))
+def zero_total_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """1 where an (account, season) row has zero subscriptions."""
+    return A.zero_total_flag(type_subscriptions(read_bundle(spark, sf_dir).subscriptions))
+
+
+@query("relationship_frequency", covers=("A10", "C1"),
+       sql=lambda: with_ctes(SPEC, ["accounts"], [],
+                             f"SELECT {norm('relationship')} AS relationship, count(*) AS n FROM accounts GROUP BY 1"))
+def relationship_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """table(relationship) on normalised text."""
+    a = read_bundle(spark, sf_dir).accounts.select(T.normalize("relationship").alias("relationship"))
+    return A.frequency(a, "relationship")
+
+
+ALL_SEASONS = HIST + [SPEC.target_season]
+
+
+def _wide_history_sql() -> str:
+    sc = ", ".join(f"max(CASE WHEN season = '{s}' THEN total END) AS \"{s}_total\"" for s in ALL_SEASONS)
+    tc = ", ".join(f"max(CASE WHEN season = '{s}' AND \"set\" = '{t}' THEN no_seats END) AS \"{s}_{t}_no_seats\""
+                   for s in SPEC.ticket_seasons for t in SPEC.ticket_sets)
+    return with_ctes(SPEC, ["accounts", "subscriptions", "tickets"],
+                     [f"sw AS (SELECT account_id, {sc} FROM subscriptions GROUP BY account_id)",
+                      f"tw AS (SELECT account_id, {tc} FROM (SELECT account_id, season, \"set\", "
+                      f"{num('no_seats')} AS no_seats FROM tickets) t GROUP BY account_id)"],
+                     "SELECT * FROM (SELECT account_id, relationship FROM accounts) a "
+                     "FULL OUTER JOIN sw USING (account_id) FULL OUTER JOIN tw USING (account_id)")
+
+
+def wide_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = read_bundle(spark, sf_dir)
+    s = cast_wide(b.subscriptions, "account_id",
+                  [(f"{s}_total", {"season": s}, "total") for s in ALL_SEASONS], on_duplicate="first")
+    t = b.tickets.select("account_id", "season", "set", F.col("no_seats").try_cast("double").alias("no_seats"))
+    tw = cast_wide(t, "account_id", [(f"{s}_{st}_no_seats", {"season": s, "set": st}, "no_seats")
+                                     for s in SPEC.ticket_seasons for st in SPEC.ticket_sets], on_duplicate="first")
+    a = b.accounts.select("account_id", "relationship")
+    return a.join(s, "account_id", "full").join(tw, "account_id", "full")
+
+
+@query("history_wide_full_outer", covers=("R6", "J8", "R2", "A20"), sql=_wide_history_sql)
+def history_wide_full_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All seasons cast season-first (season_variable, season_set_variable) and full-outer joined to accounts."""
+    return wide_history(spark, sf_dir)
+
+
+def _buy_sql() -> str:
+    last = SPEC.last_season
+    anyset = " OR ".join(f"\"{last}_{t}_no_seats\" IS NOT NULL" for t in SPEC.ticket_sets[:6])
+    inner = _wide_history_sql().rsplit("SELECT * FROM (SELECT account_id, relationship", 1)
+    wide = "SELECT * FROM (SELECT account_id, relationship" + inner[1]
+    return (inner[0] + f", wide AS ({wide}), buy AS (SELECT account_id, CAST(({anyset}) AS DOUBLE) AS buy FROM wide)\n"
+            "SELECT s.account_id, b.buy AS total FROM to_score s LEFT JOIN buy b ON s.account_id = b.account_id"
+            ).replace("WITH ", "WITH " + _to_score_cte() + ",\n", 1)
+
+
+def _to_score_cte() -> str:
+    from .bind_sql import ctes
+    return ctes(SPEC)["to_score"]
+
+
+@query("bought_ticket_baseline", covers=("M12", "A16", "J10"), sql=_buy_sql)
+def bought_ticket_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """1 when the account bought a ticket in any of the first six sets last season."""
+    from ..functions.rowwise import row_any
+    wide = wide_history(spark, sf_dir)
+    last = SPEC.last_season
+    buy = row_any([F.col(f"`{last}_{t}_no_seats`").isNotNull() for t in SPEC.ticket_sets[:6]]).cast("double")
+    b = wide.select("account_id", buy.alias("buy"))
+    return (read_bundle(spark, sf_dir).to_score.join(b, "account_id", "left")
+            .select("account_id", F.col("buy").alias("total")))
