@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .. import constants as K
 from ..functions import text as T
@@ -40,18 +41,23 @@ def every_nth(index_col: str, n: int = 10, offset: int = 0) -> Column:
     return F.pmod(F.col(index_col).cast("long"), F.lit(n)) == offset
 
 
-def prepare_training(labels: DataFrame, features: DataFrame, factor_cols=()) -> DataFrame:
-    """Labels left-joined with the feature table; gaps -> 0 (numeric) or the NA level."""
+def prepare_training(labels: DataFrame, features: DataFrame) -> DataFrame:
+    """Labels left-joined with the feature table; gaps -> 0 (numeric) or the NA level (text)."""
     j = labels.join(features, "account_id", "left")
-    f = set(factor_cols)
-    return j.select(*[F.col(c) if c in ("account_id",)
-                      else (T.na_level(c).alias(c) if c in f else F.coalesce(F.col(c), F.lit(0.0)).alias(c))
-                      for c in j.columns])
-
-
-def prepare_scoring(to_score: DataFrame, features: DataFrame, factor_cols=()) -> DataFrame:
+    out = []
+    for f in j.schema.fields:
+        if f.name == "account_id":
+            out.append(F.col(f.name))
+        elif isinstance(f.dataType, StringType):
+            out.append(T.na_level(f.name).alias(f.name))
+        else:
+            out.append(F.coalesce(F.col(f.name), F.lit(0).cast(f.dataType)).alias(f.name))
+    return j.select(*out)
+
+
+def prepare_scoring(to_score: DataFrame, features: DataFrame) -> DataFrame:
     """Rows to score left-joined with the feature table (``prepareDataToPredict``)."""
-    return prepare_training(to_score, features, factor_cols)
+    return prepare_training(to_score, features)
 
 
 def split(df: DataFrame, fold: int, fold_col: str = "fold") -> tuple[DataFrame, DataFrame]:

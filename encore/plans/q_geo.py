@@ -1 +1,177 @@
-"""placeholder"""
+"""Registered queries: postcode repair, directory enrichment, in-state fallback,
+venue distances, density grid and hotspots, map export."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import text as T
+from ..operators import aggregate as A
+from ..operators import geo as G
+from ..operators.features import build_features
+from ..operators.repair import profile_lengths
+from ..operators.split import prepare_training
+from ..sources.bind import read_bundle
+from ..spec import binding_spec
+from .common import rounded
+from .feature_sql import feature_ctes, geo_ctes, with_ctes, FEATURE_INPUTS
+from .registry import query
+
+SPEC = binding_spec()
+CFG = G.GeoConfig()
+
+
+def _geo_sql(select: str, extra: list[str] | None = None) -> str:
+    return with_ctes(SPEC, ["accounts", "directory"], [geo_ctes(CFG)] + (extra or []), select)
+
+
+Z1 = "(CASE WHEN length(billing_zip_code) = 4 THEN lpad(billing_zip_code, 5, '0') ELSE billing_zip_code END)"
+Z2 = f"(CASE WHEN length({Z1}) = 10 THEN split_part({Z1}, '-', 1) ELSE {Z1} END)"
+
+
+@query("postcode_repair", covers=("C4", "C12", "C13", "C14", "C16", "C17"),
+       sql=lambda: with_ctes(SPEC, ["accounts"], [],
+                             "SELECT account_id, billing_zip_code AS raw_zip, "
+                             f"CASE WHEN {Z2} = '' THEN NULL ELSE {Z2} END AS billing_zip_code, "
+                             "CASE WHEN billing_city = '' THEN NULL ELSE billing_city END AS billing_city, "
+                             f"CAST((CASE WHEN {Z2} = '' THEN NULL ELSE {Z2} END) IS NULL AND "
+                             "(CASE WHEN billing_city = '' THEN NULL ELSE billing_city END) IS NULL AS DOUBLE) AS missing, "
+                             "CASE WHEN coalesce(regexp_matches(billing_zip_code, '[A-Za-z]'), false) THEN CAST(0 AS DOUBLE) "
+                             "ELSE CAST(1 AS DOUBLE) END AS is_us, "
+                             "CASE WHEN coalesce(regexp_matches(billing_zip_code, '[A-Za-z]'), false) THEN 'foreign' "
+                             "ELSE '' END AS zip_bin FROM accounts"))
+def postcode_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Postcodes padded / trimmed, blanks to null, both-missing flag, foreign flag and bin."""
+    a = read_bundle(spark, sf_dir).accounts
+    rep = G.repair_postcodes(a)
+    flags = a.select("account_id", F.col("billing_zip_code").alias("raw_zip"),
+                     T.is_domestic("billing_zip_code").alias("is_us"),
+                     T.foreign_bin("billing_zip_code").alias("zip_bin"))
+    return flags.join(rep, "account_id")
+
+
+@query("postcode_length_profile", covers=("C21", "A10"),
+       sql=lambda: with_ctes(SPEC, ["accounts"], [],
+                             "SELECT 'raw' AS stage, CAST(length(billing_zip_code) AS INTEGER) AS len, count(*) AS n FROM accounts GROUP BY 2 "
+                             f"UNION ALL SELECT 'repaired' AS stage, CAST(length({Z2}) AS INTEGER) AS len, count(*) AS n "
+                             "FROM accounts GROUP BY 2"))
+def postcode_length_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """table(str_length(zip)) before and after padding / trimming."""
+    a = read_bundle(spark, sf_dir).accounts
+    raw = profile_lengths(a, "billing_zip_code").select(F.lit("raw").alias("stage"), "len", "n")
+    fixed = a.select(T.trim_plus4(T.pad_if_length("billing_zip_code", 4)).alias("z"))
+    rep = profile_lengths(fixed, "z").select(F.lit("repaired").alias("stage"), "len", "n")
+    return raw.unionByName(rep)
+
+
+@query("zip_frequency", covers=("A11", "A10", "F5"),
+       sql=lambda: _geo_sql("SELECT billing_zip_code AS zip, count(*) AS n FROM g2 GROUP BY 1"))
+def zip_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(zip, count) of repaired postcodes; missing postcodes form their own group."""
+    rep = G.repair_postcodes(read_bundle(spark, sf_dir).accounts)
+    return A.frequency(rep.select(F.col("billing_zip_code").alias("zip")), "zip")
+
+
+@query("directory_enrichment", covers=("D8", "J5", "C15"),
+       sql=lambda: _geo_sql("SELECT account_id, billing_zip_code, City, State, round(Lat, 6) AS Lat, "
+                            "round(Long, 6) AS Long FROM g3"))
+def directory_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts left-joined to the (padded) place directory on postcode."""
+    b = read_bundle(spark, sf_dir)
+    e = G.enrich_with_directory(G.repair_postcodes(b.accounts), b.directory, CFG)
+    return rounded(e.select("account_id", "billing_zip_code", "City", "State", "Lat", "Long"))
+
+
+@query("home_state_cities", covers=("A12", "F6"),
+       sql=lambda: _geo_sql("SELECT hc AS city FROM home"))
+def home_state_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct cities of accounts placed in the home state by their postcode."""
+    b = read_bundle(spark, sf_dir)
+    e = G.enrich_with_directory(G.repair_postcodes(b.accounts), b.directory, CFG)
+    return G.home_state_cities(e).select(F.col("_home_city").alias("city"))
+
+
+@query("home_state_fallback", covers=("J11", "F5", "F6"),
+       sql=lambda: _geo_sql("SELECT g4.account_id, g4.State, CAST(g4.State IS DISTINCT FROM g3.State AS DOUBLE) AS by_city "
+                            "FROM g4 JOIN g3 ON g4.account_id = g3.account_id"))
+def home_state_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts without postcode get the home state when their city is a known home-state city."""
+    b = read_bundle(spark, sf_dir)
+    e = G.enrich_with_directory(G.repair_postcodes(b.accounts), b.directory, CFG)
+    f = G.home_state_fallback(e, CFG)
+    return (f.select("account_id", "State").join(e.select("account_id", F.col("State").alias("s0")), "account_id")
+            .select("account_id", "State", (~F.col("State").eqNullSafe(F.col("s0"))).cast("double").alias("by_city")))
+
+
+@query("venue_distances", covers=("D7", "J12", "S11", "C19"),
+       sql=lambda: _geo_sql("SELECT account_id, round(dBerkley, 6) AS dBerkley, round(dSF, 6) AS dSF, "
+                            "round(dPeninsula, 6) AS dPeninsula FROM g5"))
+def venue_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Great-circle miles from each account to the three venues (null without coordinates)."""
+    b = read_bundle(spark, sf_dir)
+    g = G.home_state_fallback(G.enrich_with_directory(G.repair_postcodes(b.accounts), b.directory, CFG), CFG)
+    return rounded(G.venue_distances(g).select("account_id", "dBerkley", "dSF", "dPeninsula"))
+
+
+@query("density_grid", covers=("D9",),
+       sql=lambda: _geo_sql("SELECT CAST(cy AS BIGINT) AS cell_y, CAST(cx AS BIGINT) AS cell_x, accounts FROM cells"))
+def density_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts per grid cell of the map."""
+    b = read_bundle(spark, sf_dir)
+    g = G.enrich_with_directory(G.repair_postcodes(b.accounts), b.directory, CFG)
+    return G.density_grid(g, CFG)
+
+
+@query("hotspot_tags", covers=("D10", "C5", "J6"),
+       sql=lambda: _geo_sql("SELECT account_id, hotspot FROM geo_all"))
+def hotspot_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts in dense cells tagged 'Yes'; missing or blank tags default to 'No'."""
+    b = read_bundle(spark, sf_dir)
+    return G.geo_accounts(b.accounts, b.directory, CFG).select("account_id", "hotspot")
+
+
+@query("geo_accounts", covers=("D8", "D7", "J11", "C17"),
+       sql=lambda: _geo_sql("SELECT account_id, billing_zip_code, billing_city, missing, City, State, round(Lat, 6) AS Lat, "
+                            "round(Long, 6) AS Long, round(dBerkley, 6) AS dBerkley, round(dSF, 6) AS dSF, "
+                            "round(dPeninsula, 6) AS dPeninsula, hotspot FROM geo_all"))
+def geo_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole geography table per account."""
+    b = read_bundle(spark, sf_dir)
+    g = G.geo_accounts(b.accounts, b.directory, CFG)
+    return rounded(g.select("account_id", "billing_zip_code", "billing_city", "missing", "City", "State", "Lat",
+                            "Long", "dBerkley", "dSF", "dPeninsula", "hotspot"))
+
+
+def _map_sql() -> str:
+    return with_ctes(SPEC, FEATURE_INPUTS + ["train_labels"], feature_ctes(SPEC) + [
+        "train AS (SELECT l.account_id, l.total, coalesce(f.total_1999_2000, 0.0) AS total_1999_2000, "
+        "coalesce(f.total_2000_2001, 0.0) AS total_2000_2001 FROM train_labels l LEFT JOIN features f "
+        "ON l.account_id = f.account_id)"],
+        "SELECT t.account_id AS accountID, g.billing_zip_code AS billingZipCode, round(g.Lat, 6) AS Lat, "
+        "round(g.Long, 6) AS Long, g.hotspot, t.total, t.total_1999_2000, t.total_2000_2001 "
+        "FROM geo_all g RIGHT JOIN train t ON g.account_id = t.account_id")
+
+
+@query("map_points_export", covers=("J7", "J14", "S12", "P5"), sql=_map_sql)
+def map_points_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Geography right-joined to every modelling row, renamed for the map layer."""
+    b = read_bundle(spark, sf_dir)
+    g = G.geo_accounts(b.accounts, b.directory, CFG)
+    feats = build_features(b).select("account_id", "total_1999_2000", "total_2000_2001")
+    train = prepare_training(b.labels, feats)
+    j = g.join(train, "account_id", "right")
+    return rounded(j.select(train.account_id.alias("accountID"), F.col("billing_zip_code").alias("billingZipCode"),
+                            "Lat", "Long", "hotspot", "total", "total_1999_2000", "total_2000_2001"))
+
+
+@query("normalized_sources", covers=("C1", "A10"),
+       sql=lambda: "SELECT lower(regexp_replace('  ' || upper(substr(source, 1, 1)) || lower(substr(source, 2)) || ' ', "
+                   "'^\\s+|\\s+$', '', 'g')) AS source, count(*) AS n FROM documents GROUP BY 1")
+def normalized_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document sources wrapped in spaces and mixed case, normalised back and counted."""
+    from ..sources.tables import table
+    d = table(spark, sf_dir, "documents").select("source")
+    wrapped = F.concat(F.lit("  "), F.upper(F.substring("source", 1, 1)), F.lower(F.substring("source", 2, 1 << 20)),
+                       F.lit(" "))
+    return A.frequency(d.select(T.normalize(wrapped).alias("source")), "source")
