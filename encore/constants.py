@@ -79,6 +79,10 @@ SEARCH_DEPTHS = (1, 1, 2, 2, 2, 3, 3, 3, 4, 4, 4, 5, 5, 6, 6, 7, 8, 9, 10)
 SEARCH_DISTRIB = ("gaussian", "tdist", "laplace")
 SEARCH_DF = (1, 2, 3, 4, 6, 10, 15, 50, 100, 500, 1000)
 SEARCH_START_FILTER = "billing.city|section_2013_2014"
+# The search driver overwrites the drawn filter with this fixed one before fitting.
+SEARCH_FIXED_FILTER = ("199|200|2010|2011|price.level|add_no|TELEMAN|JOHANN|ROSSINI|conc_missed|add_price|"
+                       "add_tickets|add_tickets_seats|section_2013_2014|multiple.subs|billing.city|is.us|"
+                       "relationship|City|State|Lat|Long")
 # Budget rule: (trees above, depth above, tokens below) triples that are redrawn.
 SEARCH_BUDGET = ((5000, 5, 26), (6000, 3, 28), (8000, 2, 30))
 

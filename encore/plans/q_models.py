@@ -1 +1,204 @@
-"""placeholder"""
+"""Registered model and search queries (rows-only checks: fits are not SQL).
+
+They run on the whole training frame with explicit, small tree budgets
+(``TREES``); the library defaults keep the reference's settings.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .. import constants as K
+from ..models import regressors as R
+from ..models.knn import knn_vote
+from ..models.lda import fit_lda
+from ..models.regressors import Fitted
+from ..models.tdist import fit_tdist_boost
+from ..models.design import design_pipeline, non_constant, scaler, split_columns
+from ..operators import evaluate as E
+from ..operators.features import build_features, drop_matching
+from ..operators.split import assign_folds, clean_outliers, holdout_flag, prepare_scoring, prepare_training, split
+from ..search.cv import cross_validate, grid_search
+from ..search.random_search import run_search
+from ..session import ensure_checkpoint_dir, scratch_path
+from ..sources.bind import read_bundle
+from ..sources.sinks import write_submission
+from ..spec import binding_spec, suffix
+from .common import rounded
+from .registry import query
+
+SPEC = binding_spec()
+LAST = f"total_{suffix(SPEC.last_season)}"
+TREES = 20
+FOLDS = range(1, K.NUM_FOLDS + 1)
+
+
+def _frames(spark: SparkSession, sf_dir: str, filt: str) -> tuple[DataFrame, DataFrame]:
+    """(training frame with hash folds and the driver's filter applied, unfiltered history)."""
+    ensure_checkpoint_dir(spark)
+    b = read_bundle(spark, sf_dir)
+    feats = build_features(b).cache()
+    train = assign_folds(prepare_training(b.labels, feats))
+    return drop_matching(train, filt).cache(), feats
+
+
+@query("linear_holdout_scores", covers=("M1", "M2", "T4", "F3"))
+def linear_holdout_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Linear model over ten seeded 15 % hold-outs (cleaned training rows); RMSLE per seed."""
+    train, _ = _frames(spark, sf_dir, K.FILTER_LINEAR)
+    rows = []
+    for seed in K.HOLDOUT_SEEDS:
+        h = holdout_flag("account_id", seed)
+        tr, va = train.where(~h).drop("fold"), train.where(h).drop("fold")
+        m = R.fit_linear(clean_outliers(tr, LAST))
+        p = m.predict(va).join(va.select("account_id", "total"), "account_id")
+        rows.append(E.rmsle(p).withColumn("seed", F.lit(seed)))
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return rounded(out.select("seed", "rmsle", "n"))
+
+
+@query("gbt_fold_scores", covers=("M4", "M1", "E4", "E5", "F3"))
+def gbt_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boosted trees (squared loss) under 10-fold CV with cleaning; every adjustment scored side by side."""
+    train, hist = _frames(spark, sf_dir, K.FILTER_GBM)
+    fit = lambda d: R.fit_gbt(d, trees=TREES, shrinkage=0.1, bagfrac=0.5, depth=3, distrib="gaussian")
+    return rounded(cross_validate(train, fit, hist, SPEC, FOLDS, clean=True).scores)
+
+
+@query("tdist_boost_fold_scores", covers=("M4t", "E5"))
+def tdist_boost_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Student-t loss boosting (df 8) under 10-fold CV; raw, inactive and invariant scores."""
+    train, hist = _frames(spark, sf_dir, K.FILTER_GBM)
+    fit = lambda d: fit_tdist_boost(d, trees=8, shrinkage=0.2, bagfrac=0.5, depth=3, df=8.0)
+    return rounded(cross_validate(train, fit, hist, SPEC, FOLDS, clean=True,
+                                  adjustments=["raw", "inactive", "invariant"]).scores)
+
+
+def _scaled_fit(train: DataFrame):
+    num, _ = split_columns(train)
+    keep = non_constant(train, num)
+    t = train.select("account_id", "total", *keep)
+    from pyspark.ml import Pipeline
+    return Pipeline(stages=[design_pipeline(t), scaler("features", "scaled")]).fit(t), keep
+
+
+@query("knn_fold_scores", covers=("M5", "M9", "E5"))
+def knn_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """3-nearest-neighbour vote on scaled features (scaler fitted on the training fold), 10-fold CV."""
+    train, hist = _frames(spark, sf_dir, K.FILTER_KNN)
+    numeric = [c for c in split_columns(train)[0]]
+    train = train.select("account_id", "total", "fold", *numeric)
+
+    def fit(tr: DataFrame) -> Fitted:
+        design, keep = _scaled_fit(tr)
+        t = design.transform(tr.select("account_id", "total", *keep))
+
+        def predict(df: DataFrame) -> DataFrame:
+            q = design.transform(df.select("account_id", "total", *keep)).withColumnRenamed("account_id", "query_id")
+            return knn_vote(t, q, k=K.KNN_K).withColumnRenamed("query_id", "account_id")
+        return Fitted(design, predict)
+
+    return rounded(cross_validate(train, fit, hist, SPEC, FOLDS, adjustments=["raw", "inactive", "invariant"]).scores)
+
+
+@query("forest_fold_scores", covers=("M8", "E5"))
+def forest_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean prediction of 300 randomised trees, 10-fold CV."""
+    train, hist = _frames(spark, sf_dir, K.FILTER_GBM)
+    fit = lambda d: R.fit_forest(d, trees=K.FOREST_TREES, depth=5)
+    return rounded(cross_validate(train, fit, hist, SPEC, FOLDS, adjustments=["raw", "inactive", "invariant"]).scores)
+
+
+@query("rff_svr_fold_scores", covers=("M6", "M9", "E5"))
+def rff_svr_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Radial-kernel regression (cost 20, gamma 0.025) via random Fourier features, 10-fold CV."""
+    train, hist = _frames(spark, sf_dir, K.FILTER_GBM)
+    fit = lambda d: R.fit_rff_regression(d, cost=20.0, gamma=0.025)
+    return rounded(cross_validate(train, fit, hist, SPEC, FOLDS, clean=True,
+                                  adjustments=["raw", "inactive", "invariant"]).scores)
+
+
+@query("svr_grid_search", covers=("E6", "M6"))
+def svr_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cost x gamma grid (3 x 3), each combination cross-validated; combinations run concurrently."""
+    train, hist = _frames(spark, sf_dir, K.FILTER_GBM)
+    train = train.withColumn("fold", (F.pmod(F.col("fold"), F.lit(3)) + 1).cast("int"))
+    make = lambda cost, gamma: (lambda d: R.fit_rff_regression(d, cost=cost, gamma=gamma, n_components=100))
+    return rounded(grid_search(train, make, dict(K.SVR_GRID), hist, SPEC, folds=range(1, 4), parallelism=3))
+
+
+@query("rff_svc_fold_errors", covers=("M7", "E3", "P14", "C10"))
+def rff_svc_fold_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Support-vector classification of the label as a class (one-vs-rest on random Fourier features);
+    misclassification rate per fold."""
+    train, _ = _frames(spark, sf_dir, K.FILTER_GBM)
+    out = []
+    for fold in FOLDS:
+        tr, va = split(train, fold)
+        m = R.fit_rff_classifier(clean_outliers(tr, LAST), cost=100.0, gamma=0.001, n_components=100)
+        p = m.predict(va).join(va.select("account_id", "total"), "account_id")
+        out.append(E.misclassification(p).withColumn("fold", F.lit(fold)))
+    r = out[0]
+    for x in out[1:]:
+        r = r.unionByName(x)
+    return rounded(r.select("fold", "error", "n"))
+
+
+@query("lda_fold_errors", covers=("M3", "A19", "E3"))
+def lda_fold_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Linear discriminant classes per fold: misclassification rate and the contingency cells."""
+    train, _ = _frames(spark, sf_dir, K.FILTER_KNN)
+    numeric = split_columns(train)[0]
+    train = train.select("account_id", "total", "fold", *numeric)
+    out = []
+    for fold in FOLDS:
+        tr, va = split(train, fold)
+        m = fit_lda(tr.drop("fold"))
+        p = m.predict(va.drop("fold")).join(va.select("account_id", "total"), "account_id")
+        out.append(E.misclassification(p).withColumn("fold", F.lit(fold)))
+    r = out[0]
+    for x in out[1:]:
+        r = r.unionByName(x)
+    return rounded(r.select("fold", "error", "n"))
+
+
+@query("gbt_importances", covers=("M10", "T8"))
+def gbt_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Relative influence (%) of each source column in a boosted-tree fit on all rows, descending."""
+    train, _ = _frames(spark, sf_dir, K.FILTER_GBM)
+    data = clean_outliers(train, LAST).drop("fold")
+    m = R.fit_gbt(data, trees=TREES, shrinkage=0.1, bagfrac=0.5, depth=3)
+    imp = R.importances(m, data)
+    df = spark.createDataFrame(imp, "var string, rel_inf double")
+    return rounded(df.orderBy(F.col("rel_inf").desc()))
+
+
+@query("random_search_trials", covers=("E7", "E8", "E9", "E10", "T6", "S10"))
+def random_search_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two seeded search trials (tree counts scaled by 1/200, step x 50), 10-fold CV with early
+    abandon; accepted trials appended to a Parquet trial table."""
+    b = read_bundle(spark, sf_dir)
+    ensure_checkpoint_dir(spark)
+    feats = build_features(b).cache()
+    train = assign_folds(prepare_training(b.labels, feats)).cache()
+    return rounded(run_search(train, feats, SPEC, n_trials=2, seed=20141116, folds=FOLDS, tree_budget=1 / 200,
+                              step_scale=50.0, trial_table=scratch_path(spark, f"trials/{uuid.uuid4().hex}")))
+
+
+@query("gbt_submission", covers=("S7", "J4", "C18", "E11"))
+def gbt_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Refit boosted trees on all cleaned rows, score every account to score, write the submission."""
+    train, _ = _frames(spark, sf_dir, K.FILTER_GBM)
+    b = read_bundle(spark, sf_dir)
+    data = clean_outliers(train, LAST).drop("fold")
+    m = R.fit_gbt(data, trees=TREES, shrinkage=0.1, bagfrac=0.5, depth=3)
+    feats = drop_matching(build_features(b), K.FILTER_GBM)
+    p = m.predict(prepare_scoring(b.to_score, feats))
+    write_submission(p, scratch_path(spark, f"submissions/{uuid.uuid4().hex}"), "gbt_sub_")
+    from ..functions.numeric import snap
+    return rounded(p.select("account_id", snap("prediction").alias("total")))
