@@ -45,3 +45,23 @@ def gbm_filter_sql() -> str:
 def feature_table_gbm_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feature table with the boosted-tree driver's regex filter applied (columns dropped by name)."""
     return rounded(build_features(read_bundle(spark, sf_dir), filter_regex=K.FILTER_GBM))
+
+
+ACC_COLS = ["account_id", "amount_donated_2013", "amount_donated_lifetime", "no_donations_lifetime", "years_donating",
+            "is_us", "billing_city", "relationship", "account_num", "add_donated_2013",
+            "add_no_donations_lifetime_if_donated_2013", "add_avg_donation", "add_avg_donation_if_donated_2013"]
+
+
+def _acc_sql() -> str:
+    from .feature_sql import acc_cte, with_ctes
+    txt = {"account_id", "billing_city", "relationship"}
+    return with_ctes(SPEC, ["accounts"], [acc_cte(SPEC)],
+                     "SELECT " + ", ".join(c if c in txt else f"round({c}, 6) AS {c}" for c in ACC_COLS) + " FROM acc_f")
+
+
+@query("account_donation_features", covers=("C9", "C11", "C12", "C20", "D1", "D2", "P10", "C1"), sql=_acc_sql)
+def account_donation_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parsed account fields, years donating, domestic flag, dense account number, donation features."""
+    from ..operators.features import account_family
+    b = read_bundle(spark, sf_dir)
+    return rounded(account_family(b.accounts, b.spec).select(*ACC_COLS))

@@ -30,7 +30,7 @@ Z1 = "(CASE WHEN length(billing_zip_code) = 4 THEN lpad(billing_zip_code, 5, '0'
 Z2 = f"(CASE WHEN length({Z1}) = 10 THEN split_part({Z1}, '-', 1) ELSE {Z1} END)"
 
 
-@query("postcode_repair", covers=("C4", "C12", "C13", "C14", "C16", "C17"),
+@query("postcode_repair", covers=("P2", "C4", "C12", "C13", "C14", "C16", "C17"),
        sql=lambda: with_ctes(SPEC, ["accounts"], [],
                              "SELECT account_id, billing_zip_code AS raw_zip, "
                              f"CASE WHEN {Z2} = '' THEN NULL ELSE {Z2} END AS billing_zip_code, "
@@ -104,7 +104,7 @@ def home_state_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("account_id", "State", (~F.col("State").eqNullSafe(F.col("s0"))).cast("double").alias("by_city")))
 
 
-@query("venue_distances", covers=("D7", "J12", "S11", "C19"),
+@query("venue_distances", covers=("P13", "D7", "J12", "S11", "C19"),
        sql=lambda: _geo_sql("SELECT account_id, round(dBerkley, 6) AS dBerkley, round(dSF, 6) AS dSF, "
                             "round(dPeninsula, 6) AS dPeninsula FROM g5"))
 def venue_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,3 +175,13 @@ def normalized_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     wrapped = F.concat(F.lit("  "), F.upper(F.substring("source", 1, 1)), F.lower(F.substring("source", 2, 1 << 20)),
                        F.lit(" "))
     return A.frequency(d.select(T.normalize(wrapped).alias("source")), "source")
+
+
+@query("account_state_lookup", covers=("J15", "J1"),
+       sql=lambda: _geo_sql("SELECT a.account_id, a.relationship, g.State FROM accounts a LEFT JOIN geo_all g "
+                            "ON a.account_id = g.account_id"))
+def account_state_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-account state pulled onto the account table by key."""
+    b = read_bundle(spark, sf_dir)
+    g = G.geo_accounts(b.accounts, b.directory, CFG).select("account_id", "State")
+    return b.accounts.select("account_id", "relationship").join(g, "account_id", "left")

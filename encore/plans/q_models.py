@@ -202,3 +202,26 @@ def gbt_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_submission(p, scratch_path(spark, f"submissions/{uuid.uuid4().hex}"), "gbt_sub_")
     from ..functions.numeric import snap
     return rounded(p.select("account_id", snap("prediction").alias("total")))
+
+
+POLY = [f"total_{suffix(s)}" for s in SPEC.last(3)]
+
+
+def _poly_sql() -> str:
+    from .feature_sql import FEATURE_INPUTS, feature_ctes, with_ctes
+    a, b, c = (f"ln(1 + {x})" for x in POLY)
+    terms = [a, f"{a} * {a}", b, f"{a} * {b}", f"{b} * {b}", c, f"{a} * {c}", f"{b} * {c}", f"{c} * {c}"]
+    return with_ctes(SPEC, FEATURE_INPUTS + ["train_labels", "to_score"], feature_ctes(SPEC),
+                     "SELECT account_id, " + ", ".join(f"round({t}, 6) AS poly_{i}" for i, t in enumerate(terms))
+                     + " FROM features")
+
+
+@query("log_polynomial_terms", covers=("D11",), sql=_poly_sql)
+def log_polynomial_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Degree-2 polynomial expansion of log(1 + total) over the last three seasons."""
+    from pyspark.ml.functions import vector_to_array
+    from ..models.design import log_polynomial
+    feats = build_features(read_bundle(spark, sf_dir))
+    df, pe = log_polynomial(feats.select("account_id", *POLY), POLY, 2, "poly")
+    arr = pe.transform(df).select("account_id", vector_to_array("poly").alias("p"))
+    return rounded(arr.select("account_id", *[F.col("p")[i].alias(f"poly_{i}") for i in range(9)]))

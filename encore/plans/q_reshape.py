@@ -33,7 +33,7 @@ def _fac_cells() -> list[str]:
     return [f"{v}_{suffix(s)}" for v in SPEC.subs_factors for s in HIST]
 
 
-@query("subscription_season_cells", covers=("R2", "R3", "F1", "C9", "P1"),
+@query("subscription_season_cells", covers=("C22", "R2", "R3", "F1", "C9", "P1"),
        sql=lambda: _subs_sql("SELECT account_id, " + ", ".join(_num_cells()) + " FROM subs_f"))
 def subscription_season_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numeric subscription history: melt (several ids) then cast to variable_season cells."""
@@ -121,7 +121,7 @@ def _pref_sql(weighted: bool) -> str:
                      f"SELECT account_id, {cols} FROM pref")
 
 
-@query("composer_preferences", covers=("A6", "J2", "Q3", "P6"), sql=lambda: _pref_sql(True))
+@query("composer_preferences", covers=("P4", "A6", "J2", "Q3", "P6"), sql=lambda: _pref_sql(True))
 def composer_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per account: sum over seasons of programme count x subscriptions (null when a season has no programme)."""
     b = read_bundle(spark, sf_dir)

@@ -31,7 +31,7 @@ def query(name: str, covers: tuple[str, ...] = (), sql: Callable[[], str] | None
 
 
 def _load() -> None:
-    from . import q_baseline, q_features, q_geo, q_reshape, q_scoring, q_models  # noqa: F401
+    from . import q_baseline, q_features, q_geo, q_io, q_reshape, q_scoring, q_models  # noqa: F401
 
 
 def queries() -> dict[str, QueryFn]:
