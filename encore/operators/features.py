@@ -94,7 +94,7 @@ def account_family(accounts: DataFrame, spec: HistorySpec, cfg: FeatureConfig =
 
 
 def subscription_family(b: Bundle, cfg: FeatureConfig = FeatureConfig(),
-                        duplicates: bool | None = None) -> DataFrame:
+                        duplicates: bool | None = None, prog: DataFrame | None = None) -> DataFrame:
     """Season cells (numeric and categorical) and composer preferences in one aggregation."""
     spec = b.spec
     subs = type_subscriptions(b.subscriptions, spec.subs_numeric, spec.subs_factors)
@@ -104,7 +104,7 @@ def subscription_family(b: Bundle, cfg: FeatureConfig = FeatureConfig(),
     dup = bool(duplicates) and cfg.on_duplicate == "count"
     if duplicates and cfg.on_duplicate == "error":
         raise ValueError("duplicate (account, season) in subscriptions")
-    prog = A.programme_by_season(b.programme, spec)
+    prog = prog if prog is not None else A.programme_by_season(b.programme, spec)
     j = hist.join(F.broadcast(prog), "season", "left")
 
     def cell_agg(v: str, s: str):
@@ -147,8 +147,8 @@ def ticket_family(b: Bundle, cfg: FeatureConfig = FeatureConfig(), duplicates: b
     return t.groupBy("account_id").agg(*aggs)
 
 
-def missed_family(b: Bundle) -> DataFrame:
-    prog = A.programme_by_season(b.programme, b.spec)
+def missed_family(b: Bundle, prog: DataFrame | None = None) -> DataFrame:
+    prog = prog if prog is not None else A.programme_by_season(b.programme, b.spec)
     return A.missed_preferences(b.attended, prog, b.spec)
 
 
@@ -196,9 +196,10 @@ def build_features(b: Bundle, cfg: FeatureConfig = FeatureConfig(), filter_regex
     spec = b.spec
     acc = account_family(b.accounts, spec, cfg)
     geo = geo_family(b, cfg)
-    subs = subscription_family(b, cfg, subs_duplicates)
+    prog = A.programme_by_season(b.programme, spec)   # built once, broadcast to two families
+    subs = subscription_family(b, cfg, subs_duplicates, prog)
     tick = ticket_family(b, cfg, ticket_duplicates)
-    missed = missed_family(b)
+    missed = missed_family(b, prog)
     wide = (acc.join(subs, "account_id", "left")
             .join(tick, "account_id", "left")
             .join(missed, "account_id", "left")

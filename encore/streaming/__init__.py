@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference is a batch job with no stream, watermark, window or state, so the
+library defines no streaming operator. Every batch operator here is a plain
+DataFrame transformation and would run unchanged inside ``foreachBatch`` if a
+caller chose to feed it micro-batches.
+"""

@@ -35,7 +35,8 @@ def norm(v):
 
 def main() -> int:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:]
+    names = [a for a in sys.argv[2:] if not a.startswith("--")]
+    oracle_only = "--oracle-only" in sys.argv
     spark = get_session()
     con = duckdb.connect()
     for t in TABLES:
@@ -45,6 +46,8 @@ def main() -> int:
     for name, fn in qs.items():
         if names and name not in names:
             continue
+        if oracle_only and name not in sq:
+            continue
         t0 = time.time()
         try:
             df = fn(spark, sf)
