@@ -34,7 +34,7 @@ from . import aggregate as A
 from .geo import GeoConfig, geo_accounts
 from .index import with_dense_index
 from .repair import repair_tickets, type_subscriptions
-from .reshape import cast_wide, has_duplicates
+from .reshape import cast_cells
 
 GEO_NUMERIC = ("Lat", "Long", "dSF", "dPeninsula", "dBerkley", "missing")
 GEO_FACTORS = ("State", "City", "hotspot")
@@ -43,6 +43,7 @@ GEO_FACTORS = ("State", "City", "hotspot")
 @dataclass(frozen=True)
 class FeatureConfig:
     on_duplicate: str = "count"       # cast rule when a cell key repeats (see reshape.cast_wide)
+    duplicate_check: str = "checkpoint"  # how an unknown duplicate status is found (reshape.cast_cells)
     weight_preferences: bool = True    # composer preference weighted by subscriptions
     geo: GeoConfig = GeoConfig()
     index_buckets: int | None = None   # buckets of the dense account numbering
@@ -99,52 +100,37 @@ def subscription_family(b: Bundle, cfg: FeatureConfig = FeatureConfig(),
     spec = b.spec
     subs = type_subscriptions(b.subscriptions, spec.subs_numeric, spec.subs_factors)
     hist = subs.where(F.col("season") != spec.target_season)
-    if cfg.on_duplicate != "first" and duplicates is None:
-        duplicates = has_duplicates(hist, ["account_id", "season"])
-    dup = bool(duplicates) and cfg.on_duplicate == "count"
-    if duplicates and cfg.on_duplicate == "error":
-        raise ValueError("duplicate (account, season) in subscriptions")
     prog = prog if prog is not None else A.programme_by_season(b.programme, spec)
     j = hist.join(F.broadcast(prog), "season", "left")
-
-    def cell_agg(v: str, s: str):
-        c = F.col("season") == s
-        return F.count(F.when(c, F.lit(1))).cast("double") if dup else F.max(F.when(c, F.col(v)))
-
+    # categorical values are cast to text once, so a count rule keeps a numeric cell type only for numerics
+    cells = ([(f"{v}_{suffix(s)}", F.col("season") == s, v) for v in spec.subs_numeric for s in spec.history_seasons]
+             + [(f"{v}_{suffix(s)}", F.col("season") == s, v) for v in spec.subs_factors for s in spec.history_seasons])
     w = (lambda c: F.col(c) * F.col("total")) if cfg.weight_preferences else (lambda c: F.col(c))
-    aggs = ([cell_agg(v, s).alias(f"{v}_{suffix(s)}") for v in spec.subs_numeric for s in spec.history_seasons]
-            + [cell_agg(v, s).cast("string").alias(f"{v}_{suffix(s)}") for v in spec.subs_factors
-               for s in spec.history_seasons]
-            + [RW.poisoned_sum(w(c)).alias("conc_" + c) for c in spec.preference_composers])
-    return j.groupBy("account_id").agg(*aggs)
+    prefs = [RW.poisoned_sum(w(c)).alias("conc_" + c) for c in spec.preference_composers]
+    out = cast_cells(j, "account_id", cells, prefs, cfg.on_duplicate, duplicates, cfg.duplicate_check,
+                     ["account_id", "season"])
+    facs = {f"{v}_{suffix(s)}" for v in spec.subs_factors for s in spec.history_seasons}
+    return out.select(*[F.col(c).cast("string").alias(c) if c in facs else F.col(c) for c in out.columns])
 
 
 def ticket_family(b: Bundle, cfg: FeatureConfig = FeatureConfig(), duplicates: bool | None = None) -> DataFrame:
     """Per-season ticket counts and seat sums, and the (variable, season, set) cells."""
     spec = b.spec
     t = repair_tickets(b.tickets)
-    if cfg.on_duplicate != "first" and duplicates is None:
-        duplicates = has_duplicates(t, ["account_id", "season", "set"])
-    dup = bool(duplicates) and cfg.on_duplicate == "count"
-    if duplicates and cfg.on_duplicate == "error":
-        raise ValueError("duplicate (account, season, set) in tickets")
-    aggs = []
+    extra = []
     for s in spec.ticket_seasons:
         in_s = F.col("season") == s
-        aggs.append(F.count(F.when(in_s, F.lit(1))).cast("double").alias(f"add_tickets_total_{suffix(s)}"))
+        extra.append(F.count(F.when(in_s, F.lit(1))).cast("double").alias(f"add_tickets_total_{suffix(s)}"))
     for s in spec.ticket_seasons:
         in_s = F.col("season") == s
         seats = F.when(in_s, F.col("no_seats"))
         # sum without na.rm: a null seat count makes the season's sum null; absent season -> 0
-        aggs.append(F.when(F.count(seats) < F.count(F.when(in_s, F.lit(1))), F.lit(None).cast("double"))
-                    .otherwise(F.coalesce(F.sum(seats), F.lit(0.0))).alias(f"add_tickets_seats_{suffix(s)}"))
-    for v in spec.ticket_values:
-        for s in spec.ticket_seasons:
-            for st in spec.ticket_sets:
-                c = (F.col("season") == s) & (F.col("set") == st)
-                a = F.count(F.when(c, F.lit(1))).cast("double") if dup else F.max(F.when(c, F.col(v)))
-                aggs.append(a.alias(f"add_{v}_{suffix(s)}_{st}"))
-    return t.groupBy("account_id").agg(*aggs)
+        extra.append(F.when(F.count(seats) < F.count(F.when(in_s, F.lit(1))), F.lit(None).cast("double"))
+                     .otherwise(F.coalesce(F.sum(seats), F.lit(0.0))).alias(f"add_tickets_seats_{suffix(s)}"))
+    cells = [(f"add_{v}_{suffix(s)}_{st}", (F.col("season") == s) & (F.col("set") == st), v)
+             for v in spec.ticket_values for s in spec.ticket_seasons for st in spec.ticket_sets]
+    return cast_cells(t, "account_id", cells, extra, cfg.on_duplicate, duplicates, cfg.duplicate_check,
+                      ["account_id", "season", "set"])
 
 
 def missed_family(b: Bundle, prog: DataFrame | None = None) -> DataFrame:

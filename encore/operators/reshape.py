@@ -10,7 +10,9 @@ from __future__ import annotations
 
 from typing import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -37,9 +39,61 @@ def _and(cs: list[Column]) -> Column:
     return out
 
 
+def cast_cells(df: DataFrame, key: str, cells: Sequence[tuple[str, Column, str]], extra_aggs: Sequence[Column] = (),
+               on_duplicate: str = "count", duplicates: bool | None = None, check: str = "checkpoint",
+               keys_for_check: Sequence[str] | None = None) -> DataFrame:
+    """One ``groupBy(key).agg`` of conditional cells plus ``extra_aggs`` under the duplicate rule.
+
+    ``cells`` lists ``(output name, condition, value column)``. When ``duplicates``
+    is unknown and the rule needs it, ``check="checkpoint"`` (default) aggregates
+    values *and* per-cell counts in the same single shuffle, writes that per-key
+    table once to the shared checkpoint folder (observing the global largest cell
+    count while writing), and then selects counts or values from it: the long
+    input is shuffled once and the lineage below the family is cut.
+    ``check="prepass"`` runs a separate duplicate-key aggregate over the long input.
+    """
+    if on_duplicate not in ("count", "first", "error"):
+        raise ValueError(on_duplicate)
+    cells = list(cells)
+
+    def values() -> list[Column]:
+        return [F.max(F.when(cond, F.col(v))).alias(n) for n, cond, v in cells]
+
+    def counts(suffix: str = "") -> list[Column]:
+        return [F.count(F.when(cond, F.lit(1))).cast("double").alias(n + suffix) for n, cond, _ in cells]
+
+    if on_duplicate == "first":
+        return df.groupBy(key).agg(*values(), *extra_aggs)
+    if duplicates is None and check == "prepass":
+        ks = list(keys_for_check) if keys_for_check else None
+        if ks is None:
+            raise ValueError("prepass check needs keys_for_check")
+        duplicates = has_duplicates(df, ks)
+    if duplicates is not None:
+        if duplicates and on_duplicate == "error":
+            raise ValueError("duplicate cell keys")
+        return df.groupBy(key).agg(*(counts() if duplicates else values()), *extra_aggs)
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    cnt = counts("__n")
+    most = F.greatest(*[F.count(F.when(cond, F.lit(1))) for _, cond, _ in cells]) if len(cells) > 1 else \
+        F.count(F.when(cells[0][1], F.lit(1)))
+    # the global largest cell count is observed while the per-key table is written (no extra read)
+    obs = Observation(f"cells_{uuid.uuid4().hex}")
+    both = (df.groupBy(key).agg(*values(), *cnt, *extra_aggs, most.alias("__most"))
+            .observe(obs, F.max("__most").alias("most")).checkpoint(eager=True))
+    dup = (obs.get["most"] or 0) > 1
+    if dup and on_duplicate == "error":
+        raise ValueError("duplicate cell keys")
+    extra = [c for c in both.columns if c not in {key, "__most"} and not c.endswith("__n")
+             and c not in {n for n, _, _ in cells}]
+    chosen = [F.col(n + "__n").alias(n) if dup else F.col(n) for n, _, _ in cells]
+    return both.select(key, *chosen, *extra)
+
+
 def cast_wide(df: DataFrame, key: str, cells: Iterable[tuple[str, Mapping[str, str], str]],
               on_duplicate: str = "count", keys_for_check: Sequence[str] | None = None,
-              duplicates: bool | None = None) -> DataFrame:
+              duplicates: bool | None = None, check: str = "checkpoint") -> DataFrame:
     """Long -> wide without an aggregate function (``dcast`` with one value per cell).
 
     ``cells`` lists ``(output name, {column: value, ...}, value column)``.
@@ -50,25 +104,8 @@ def cast_wide(df: DataFrame, key: str, cells: Iterable[tuple[str, Mapping[str, s
     * ``"first"`` – always the (deterministic: largest) value of the cell.
     * ``"error"`` – raise on duplicates.
     """
-    cells = list(cells)
-    if on_duplicate not in ("count", "first", "error"):
-        raise ValueError(on_duplicate)
-    dup = False
-    if on_duplicate != "first":
-        if duplicates is None:
-            ks = list(keys_for_check) if keys_for_check else [key] + sorted({c for _, m, _ in cells for c in m})
-            duplicates = has_duplicates(df, ks)
-        dup = duplicates
-        if dup and on_duplicate == "error":
-            raise ValueError("duplicate cell keys")
-    aggs = []
-    for name, conds, value in cells:
-        cond = cell(conds)
-        if dup:
-            aggs.append(F.count(F.when(cond, F.lit(1))).cast("double").alias(name))
-        else:
-            aggs.append(F.max(F.when(cond, F.col(value))).alias(name))
-    return df.groupBy(key).agg(*aggs)
+    cs = [(n, cell(m), v) for n, m, v in cells]
+    return cast_cells(df, key, cs, (), on_duplicate, duplicates, check, keys_for_check)
 
 
 def pivot_agg(df: DataFrame, key: str, pivot_col: str, values: Sequence[str], agg: str,

@@ -37,7 +37,12 @@ def main() -> int:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = [a for a in sys.argv[2:] if not a.startswith("--")]
     oracle_only = "--oracle-only" in sys.argv
-    spark = get_session()
+    if "--vanilla" in sys.argv:
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+                 .getOrCreate())
+    else:
+        spark = get_session()
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
