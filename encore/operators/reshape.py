@@ -10,9 +10,7 @@ from __future__ import annotations
 
 from typing import Iterable, Mapping, Sequence
 
-import uuid
-
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -47,9 +45,9 @@ def cast_cells(df: DataFrame, key: str, cells: Sequence[tuple[str, Column, str]]
     ``cells`` lists ``(output name, condition, value column)``. When ``duplicates``
     is unknown and the rule needs it, ``check="checkpoint"`` (default) aggregates
     values *and* per-cell counts in the same single shuffle, writes that per-key
-    table once to the shared checkpoint folder (observing the global largest cell
-    count while writing), and then selects counts or values from it: the long
-    input is shuffled once and the lineage below the family is cut.
+    table once to the shared checkpoint folder, reads the global largest cell count
+    back from that small table, and then selects counts or values from it: the
+    long input is shuffled once and the lineage below the family is cut.
     ``check="prepass"`` runs a separate duplicate-key aggregate over the long input.
     """
     if on_duplicate not in ("count", "first", "error"):
@@ -78,11 +76,9 @@ def cast_cells(df: DataFrame, key: str, cells: Sequence[tuple[str, Column, str]]
     cnt = counts("__n")
     most = F.greatest(*[F.count(F.when(cond, F.lit(1))) for _, cond, _ in cells]) if len(cells) > 1 else \
         F.count(F.when(cells[0][1], F.lit(1)))
-    # the global largest cell count is observed while the per-key table is written (no extra read)
-    obs = Observation(f"cells_{uuid.uuid4().hex}")
-    both = (df.groupBy(key).agg(*values(), *cnt, *extra_aggs, most.alias("__most"))
-            .observe(obs, F.max("__most").alias("most")).checkpoint(eager=True))
-    dup = (obs.get["most"] or 0) > 1
+    both = df.groupBy(key).agg(*values(), *cnt, *extra_aggs, most.alias("__most")).checkpoint(eager=True)
+    # one narrow pass over the (per-key, much smaller) checkpointed table
+    dup = (both.agg(F.max("__most")).first()[0] or 0) > 1
     if dup and on_duplicate == "error":
         raise ValueError("duplicate cell keys")
     extra = [c for c in both.columns if c not in {key, "__most"} and not c.endswith("__n")

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import numeric as N
 from ..operators import evaluate as E
-from ..operators.features import subscription_family
+from ..operators.repair import type_subscriptions
+from ..operators.reshape import cast_wide
 from ..sources.bind import read_bundle
 from ..spec import binding_spec, suffix
 from .bind_sql import ctes
@@ -19,11 +20,17 @@ SPEC = binding_spec()
 LAST = f"total_{suffix(SPEC.last_season)}"
 
 
+def last_totals(b) -> DataFrame:
+    """(account_id, last season's total): a one-cell cast of the subscriptions under the duplicate rule."""
+    subs = type_subscriptions(b.subscriptions).where(F.col("season") != SPEC.target_season)
+    return cast_wide(subs, "account_id", [(LAST, {"season": SPEC.last_season}, "total")],
+                     keys_for_check=["account_id", "season"])
+
+
 def carry_forward(spark: SparkSession, sf_dir: str, missing_value: float) -> DataFrame:
     """Prediction = last season's subscriptions; accounts without history -> ``missing_value``."""
     b = read_bundle(spark, sf_dir)
-    wide = subscription_family(b).select("account_id", LAST)
-    j = b.labels.join(wide, "account_id", "left")
+    j = b.labels.join(last_totals(b), "account_id", "left")
     return j.select("account_id", F.col("total"),
                     F.coalesce(F.col(LAST), F.lit(missing_value)).alias("prediction"))
 
@@ -65,8 +72,7 @@ def _rmsle_sql(x: str, y: str) -> str:
 def carry_forward_rmsle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RMSLE of the carry-forward baseline with missing history -> 1 and -> 0."""
     b = read_bundle(spark, sf_dir)
-    wide = subscription_family(b).select("account_id", LAST)
-    j = b.labels.join(wide, "account_id", "left")
+    j = b.labels.join(last_totals(b), "account_id", "left")
     e1 = E.squared_log_error(F.coalesce(F.col(LAST), F.lit(1.0)), F.col("total"))
     e0 = E.squared_log_error(F.coalesce(F.col(LAST), F.lit(0.0)), F.col("total"))
     return rounded(j.agg(F.sqrt(F.avg(e1)).alias("rmsle_missing_one"),

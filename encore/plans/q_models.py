@@ -34,6 +34,21 @@ SPEC = binding_spec()
 LAST = f"total_{suffix(SPEC.last_season)}"
 TREES = 20
 FOLDS = range(1, K.NUM_FOLDS + 1)
+PAR = 4  # fold fits submitted as concurrent jobs
+
+
+def _per_fold(fn, folds=FOLDS, parallelism: int = PAR) -> list[DataFrame]:
+    """Run one fit per fold as concurrent Spark jobs."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=parallelism) as ex:
+        return list(ex.map(fn, list(folds)))
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def _frames(spark: SparkSession, sf_dir: str, filt: str) -> tuple[DataFrame, DataFrame]:
@@ -67,7 +82,7 @@ def gbt_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boosted trees (squared loss) under 10-fold CV with cleaning; every adjustment scored side by side."""
     train, hist = _frames(spark, sf_dir, K.FILTER_GBM)
     fit = lambda d: R.fit_gbt(d, trees=TREES, shrinkage=0.1, bagfrac=0.5, depth=3, distrib="gaussian")
-    return rounded(cross_validate(train, fit, hist, SPEC, FOLDS, clean=True).scores)
+    return rounded(cross_validate(train, fit, hist, SPEC, FOLDS, clean=True, parallelism=PAR).scores)
 
 
 @query("tdist_boost_fold_scores", covers=("M4t", "E5"))
@@ -75,7 +90,7 @@ def tdist_boost_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Student-t loss boosting (df 8) under 10-fold CV; raw, inactive and invariant scores."""
     train, hist = _frames(spark, sf_dir, K.FILTER_GBM)
     fit = lambda d: fit_tdist_boost(d, trees=8, shrinkage=0.2, bagfrac=0.5, depth=3, df=8.0)
-    return rounded(cross_validate(train, fit, hist, SPEC, FOLDS, clean=True,
+    return rounded(cross_validate(train, fit, hist, SPEC, FOLDS, clean=True, parallelism=PAR,
                                   adjustments=["raw", "inactive", "invariant"]).scores)
 
 
@@ -103,7 +118,8 @@ def knn_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
             return knn_vote(t, q, k=K.KNN_K).withColumnRenamed("query_id", "account_id")
         return Fitted(design, predict)
 
-    return rounded(cross_validate(train, fit, hist, SPEC, FOLDS, adjustments=["raw", "inactive", "invariant"]).scores)
+    return rounded(cross_validate(train, fit, hist, SPEC, FOLDS, parallelism=PAR,
+                                  adjustments=["raw", "inactive", "invariant"]).scores)
 
 
 @query("forest_fold_scores", covers=("M8", "E5"))
@@ -111,7 +127,8 @@ def forest_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean prediction of 300 randomised trees, 10-fold CV."""
     train, hist = _frames(spark, sf_dir, K.FILTER_GBM)
     fit = lambda d: R.fit_forest(d, trees=K.FOREST_TREES, depth=5)
-    return rounded(cross_validate(train, fit, hist, SPEC, FOLDS, adjustments=["raw", "inactive", "invariant"]).scores)
+    return rounded(cross_validate(train, fit, hist, SPEC, FOLDS, parallelism=PAR,
+                                  adjustments=["raw", "inactive", "invariant"]).scores)
 
 
 @query("rff_svr_fold_scores", covers=("M6", "M9", "E5"))
@@ -119,7 +136,7 @@ def rff_svr_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Radial-kernel regression (cost 20, gamma 0.025) via random Fourier features, 10-fold CV."""
     train, hist = _frames(spark, sf_dir, K.FILTER_GBM)
     fit = lambda d: R.fit_rff_regression(d, cost=20.0, gamma=0.025)
-    return rounded(cross_validate(train, fit, hist, SPEC, FOLDS, clean=True,
+    return rounded(cross_validate(train, fit, hist, SPEC, FOLDS, clean=True, parallelism=PAR,
                                   adjustments=["raw", "inactive", "invariant"]).scores)
 
 
@@ -137,16 +154,13 @@ def rff_svc_fold_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Support-vector classification of the label as a class (one-vs-rest on random Fourier features);
     misclassification rate per fold."""
     train, _ = _frames(spark, sf_dir, K.FILTER_GBM)
-    out = []
-    for fold in FOLDS:
+
+    def one(fold: int) -> DataFrame:
         tr, va = split(train, fold)
         m = R.fit_rff_classifier(clean_outliers(tr, LAST), cost=100.0, gamma=0.001, n_components=100)
         p = m.predict(va).join(va.select("account_id", "total"), "account_id")
-        out.append(E.misclassification(p).withColumn("fold", F.lit(fold)))
-    r = out[0]
-    for x in out[1:]:
-        r = r.unionByName(x)
-    return rounded(r.select("fold", "error", "n"))
+        return E.misclassification(p).withColumn("fold", F.lit(fold))
+    return rounded(_union(_per_fold(one)).select("fold", "error", "n"))
 
 
 @query("lda_fold_errors", covers=("M3", "A19", "E3"))
@@ -155,16 +169,13 @@ def lda_fold_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = _frames(spark, sf_dir, K.FILTER_KNN)
     numeric = split_columns(train)[0]
     train = train.select("account_id", "total", "fold", *numeric)
-    out = []
-    for fold in FOLDS:
+
+    def one(fold: int) -> DataFrame:
         tr, va = split(train, fold)
         m = fit_lda(tr.drop("fold"))
         p = m.predict(va.drop("fold")).join(va.select("account_id", "total"), "account_id")
-        out.append(E.misclassification(p).withColumn("fold", F.lit(fold)))
-    r = out[0]
-    for x in out[1:]:
-        r = r.unionByName(x)
-    return rounded(r.select("fold", "error", "n"))
+        return E.misclassification(p).withColumn("fold", F.lit(fold))
+    return rounded(_union(_per_fold(one)).select("fold", "error", "n"))
 
 
 @query("gbt_importances", covers=("M10", "T8"))

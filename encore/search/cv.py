@@ -37,21 +37,37 @@ class CVResult:
 def cross_validate(train: DataFrame, fit: FitFn, history: DataFrame, spec: HistorySpec,
                    folds: Iterable[int] = range(1, K.NUM_FOLDS + 1), clean: bool = False,
                    abandon_above: float | None = None, adjustments: Sequence[str] | None = None,
-                   label: str = "total", log_scale: bool = False) -> CVResult:
+                   label: str = "total", log_scale: bool = False, parallelism: int = 1) -> CVResult:
+    """Fit and score every fold; ``parallelism`` > 1 submits fold fits as concurrent Spark jobs.
+
+    With ``abandon_above`` the first fold runs alone and ends the run when its raw
+    RMSLE is above the threshold."""
     last = f"total_{suffix(spec.last_season)}"
-    parts = []
-    first = None
-    for i, fold in enumerate(folds):
+    folds = list(folds)
+
+    def one(fold: int) -> DataFrame:
         tr, va = split(train, fold)
         if clean:
             tr = clean_outliers(tr, last, label)
         model = fit(tr)
-        p = model.predict(va).join(va.select("account_id", label), "account_id").withColumn("fold", F.lit(fold))
-        if i == 0 and abandon_above is not None:
-            first = E.rmsle(p, "prediction", label, log_scale).first()["rmsle"]
-            if first > abandon_above:
-                return CVResult(E.fold_scores(_long(p, history, spec, ["raw"]), log_scale=log_scale), p, True, first)
+        return model.predict(va).join(va.select("account_id", label), "account_id").withColumn("fold", F.lit(fold))
+
+    parts: list[DataFrame] = []
+    first = None
+    rest = folds
+    if abandon_above is not None and folds:
+        p = one(folds[0])
+        first = E.rmsle(p, "prediction", label, log_scale).first()["rmsle"]
+        if first > abandon_above:
+            return CVResult(E.fold_scores(_long(p, history, spec, ["raw"]), label=label, log_scale=log_scale),
+                            p, True, first)
         parts.append(p)
+        rest = folds[1:]
+    if parallelism > 1 and len(rest) > 1:
+        with ThreadPoolExecutor(max_workers=parallelism) as ex:
+            parts.extend(ex.map(one, rest))
+    else:
+        parts.extend(one(f) for f in rest)
     preds = parts[0]
     for p in parts[1:]:
         preds = preds.unionByName(p)
