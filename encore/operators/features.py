@@ -43,7 +43,7 @@ GEO_FACTORS = ("State", "City", "hotspot")
 @dataclass(frozen=True)
 class FeatureConfig:
     on_duplicate: str = "count"       # cast rule when a cell key repeats (see reshape.cast_wide)
-    duplicate_check: str = "checkpoint"  # how an unknown duplicate status is found (reshape.cast_cells)
+    duplicate_check: str = "subquery"  # how an unknown duplicate status is found (reshape.cast_cells)
     weight_preferences: bool = True    # composer preference weighted by subscriptions
     geo: GeoConfig = GeoConfig()
     index_buckets: int | None = None   # buckets of the dense account numbering

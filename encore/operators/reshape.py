@@ -38,21 +38,26 @@ def _and(cs: list[Column]) -> Column:
 
 
 def cast_cells(df: DataFrame, key: str, cells: Sequence[tuple[str, Column, str]], extra_aggs: Sequence[Column] = (),
-               on_duplicate: str = "count", duplicates: bool | None = None, check: str = "checkpoint",
+               on_duplicate: str = "count", duplicates: bool | None = None, check: str = "subquery",
                keys_for_check: Sequence[str] | None = None) -> DataFrame:
     """One ``groupBy(key).agg`` of conditional cells plus ``extra_aggs`` under the duplicate rule.
 
-    ``cells`` lists ``(output name, condition, value column)``. When ``duplicates``
-    is unknown and the rule needs it, ``check="checkpoint"`` (default) aggregates
-    values *and* per-cell counts in the same single shuffle, writes that per-key
-    table once to the shared checkpoint folder, reads the global largest cell count
-    back from that small table, and then selects counts or values from it: the
-    long input is shuffled once and the lineage below the family is cut.
-    ``check="prepass"`` runs a separate duplicate-key aggregate over the long input.
+    ``cells`` lists ``(output name, condition, value column)``. How an unknown
+    duplicate status is found (``check``):
+
+    * ``"subquery"`` (default, fully lazy): the single aggregation keeps both the
+      value and the row count of every cell; the flag is a scalar subquery over a
+      key-only aggregate (``keys_for_check``) bound to one column, and each cell
+      picks count or value from it. If a query never reads the family, Catalyst
+      prunes the family and its check together.
+    * ``"prepass"``: an eager key-only aggregate decides before planning.
+    * ``"checkpoint"``: values and counts are written once to the shared
+      checkpoint folder and the flag is read back from that per-key table.
     """
     if on_duplicate not in ("count", "first", "error"):
         raise ValueError(on_duplicate)
     cells = list(cells)
+    types = dict(df.dtypes)
 
     def values() -> list[Column]:
         return [F.max(F.when(cond, F.col(v))).alias(n) for n, cond, v in cells]
@@ -60,36 +65,48 @@ def cast_cells(df: DataFrame, key: str, cells: Sequence[tuple[str, Column, str]]
     def counts(suffix: str = "") -> list[Column]:
         return [F.count(F.when(cond, F.lit(1))).cast("double").alias(n + suffix) for n, cond, _ in cells]
 
+    def as_value_type(c: Column, v: str) -> Column:
+        return c.cast("string") if types.get(v) == "string" else c
+
     if on_duplicate == "first":
         return df.groupBy(key).agg(*values(), *extra_aggs)
-    if duplicates is None and check == "prepass":
-        ks = list(keys_for_check) if keys_for_check else None
-        if ks is None:
-            raise ValueError("prepass check needs keys_for_check")
-        duplicates = has_duplicates(df, ks)
+    if duplicates is None and (check == "prepass" or on_duplicate == "error"):
+        if not keys_for_check:
+            raise ValueError("the duplicate check needs keys_for_check")
+        duplicates = has_duplicates(df, keys_for_check)
     if duplicates is not None:
         if duplicates and on_duplicate == "error":
             raise ValueError("duplicate cell keys")
-        return df.groupBy(key).agg(*(counts() if duplicates else values()), *extra_aggs)
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    cnt = counts("__n")
-    most = F.greatest(*[F.count(F.when(cond, F.lit(1))) for _, cond, _ in cells]) if len(cells) > 1 else \
-        F.count(F.when(cells[0][1], F.lit(1)))
-    both = df.groupBy(key).agg(*values(), *cnt, *extra_aggs, most.alias("__most")).checkpoint(eager=True)
-    # one narrow pass over the (per-key, much smaller) checkpointed table
-    dup = (both.agg(F.max("__most")).first()[0] or 0) > 1
-    if dup and on_duplicate == "error":
-        raise ValueError("duplicate cell keys")
-    extra = [c for c in both.columns if c not in {key, "__most"} and not c.endswith("__n")
-             and c not in {n for n, _, _ in cells}]
-    chosen = [F.col(n + "__n").alias(n) if dup else F.col(n) for n, _, _ in cells]
+        if duplicates:
+            return df.groupBy(key).agg(*[as_value_type(c, v) for c, (_, _, v) in zip(counts(), cells)], *extra_aggs)
+        return df.groupBy(key).agg(*values(), *extra_aggs)
+    names = {n for n, _, _ in cells}
+    if check == "checkpoint":
+        from ..session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        most = (F.greatest(*[F.count(F.when(cond, F.lit(1))) for _, cond, _ in cells]) if len(cells) > 1
+                else F.count(F.when(cells[0][1], F.lit(1))))
+        both = df.groupBy(key).agg(*values(), *counts("__n"), *extra_aggs, most.alias("__most")).checkpoint(eager=True)
+        dup = (both.agg(F.max("__most")).first()[0] or 0) > 1
+        extra = [c for c in both.columns if c not in names and c != key and c != "__most" and not c.endswith("__n")]
+        chosen = [as_value_type(F.col(n + "__n"), v).alias(n) if dup else F.col(n) for n, _, v in cells]
+        return both.select(key, *chosen, *extra)
+    if check != "subquery":
+        raise ValueError(check)
+    if not keys_for_check:
+        raise ValueError("the duplicate check needs keys_for_check")
+    flag = (df.groupBy(*keys_for_check).agg(F.count(F.lit(1)).alias("_c"))
+            .select(F.coalesce(F.max("_c"), F.lit(0)) > 1).scalar())
+    both = df.groupBy(key).agg(*values(), *counts("__n"), *extra_aggs).withColumn("__dup", flag)
+    extra = [c for c in both.columns if c not in names and c != key and c != "__dup" and not c.endswith("__n")]
+    chosen = [F.when(F.col("__dup"), as_value_type(F.col(n + "__n"), v)).otherwise(F.col(n)).alias(n)
+              for n, _, v in cells]
     return both.select(key, *chosen, *extra)
 
 
 def cast_wide(df: DataFrame, key: str, cells: Iterable[tuple[str, Mapping[str, str], str]],
               on_duplicate: str = "count", keys_for_check: Sequence[str] | None = None,
-              duplicates: bool | None = None, check: str = "checkpoint") -> DataFrame:
+              duplicates: bool | None = None, check: str = "subquery") -> DataFrame:
     """Long -> wide without an aggregate function (``dcast`` with one value per cell).
 
     ``cells`` lists ``(output name, {column: value, ...}, value column)``.
@@ -100,8 +117,10 @@ def cast_wide(df: DataFrame, key: str, cells: Iterable[tuple[str, Mapping[str, s
     * ``"first"`` – always the (deterministic: largest) value of the cell.
     * ``"error"`` – raise on duplicates.
     """
+    cells = list(cells)
     cs = [(n, cell(m), v) for n, m, v in cells]
-    return cast_cells(df, key, cs, (), on_duplicate, duplicates, check, keys_for_check)
+    ks = list(keys_for_check) if keys_for_check else [key] + sorted({c for _, m, _ in cells for c in m})
+    return cast_cells(df, key, cs, (), on_duplicate, duplicates, check, ks)
 
 
 def pivot_agg(df: DataFrame, key: str, pivot_col: str, values: Sequence[str], agg: str,

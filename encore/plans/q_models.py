@@ -56,8 +56,9 @@ def _frames(spark: SparkSession, sf_dir: str, filt: str) -> tuple[DataFrame, Dat
     ensure_checkpoint_dir(spark)
     b = read_bundle(spark, sf_dir)
     feats = build_features(b).cache()
-    train = assign_folds(prepare_training(b.labels, feats))
-    return drop_matching(train, filt).cache(), feats
+    train = drop_matching(assign_folds(prepare_training(b.labels, feats)), filt).cache()
+    train.count()  # materialise once, before concurrent fold fits read it
+    return train, feats
 
 
 @query("linear_holdout_scores", covers=("M1", "M2", "T4", "F3"))
@@ -197,6 +198,7 @@ def random_search_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_checkpoint_dir(spark)
     feats = build_features(b).cache()
     train = assign_folds(prepare_training(b.labels, feats)).cache()
+    train.count()
     return rounded(run_search(train, feats, SPEC, n_trials=2, seed=20141116, folds=FOLDS, tree_budget=1 / 200,
                               step_scale=50.0, trial_table=scratch_path(spark, f"trials/{uuid.uuid4().hex}")))
 
