@@ -65,17 +65,14 @@ def _frames(spark: SparkSession, sf_dir: str, filt: str) -> tuple[DataFrame, Dat
 def linear_holdout_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Linear model over ten seeded 15 % hold-outs (cleaned training rows); RMSLE per seed."""
     train, _ = _frames(spark, sf_dir, K.FILTER_LINEAR)
-    rows = []
-    for seed in K.HOLDOUT_SEEDS:
+
+    def one(seed: int) -> DataFrame:
         h = holdout_flag("account_id", seed)
         tr, va = train.where(~h).drop("fold"), train.where(h).drop("fold")
         m = R.fit_linear(clean_outliers(tr, LAST))
         p = m.predict(va).join(va.select("account_id", "total"), "account_id")
-        rows.append(E.rmsle(p).withColumn("seed", F.lit(seed)))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return rounded(out.select("seed", "rmsle", "n"))
+        return E.rmsle(p).withColumn("seed", F.lit(seed))
+    return rounded(_union(_per_fold(one, K.HOLDOUT_SEEDS)).select("seed", "rmsle", "n"))
 
 
 @query("gbt_fold_scores", covers=("M4", "M1", "E4", "E5", "F3"))
