@@ -5,11 +5,12 @@ Used only by the oracle queries; kept rule-for-rule identical to the Spark bindi
 
 from __future__ import annotations
 
-from ..spec import HistorySpec
+from ..spec import SEASON_SHIFT, HistorySpec
 
 
 def season_expr(ts: str) -> str:
-    return f"(CAST(year({ts}) AS VARCHAR) || '-' || CAST(year({ts}) + 1 AS VARCHAR))"
+    return (f"(CAST(year({ts}) + {SEASON_SHIFT} AS VARCHAR) || '-' || "
+            f"CAST(year({ts}) + {SEASON_SHIFT + 1} AS VARCHAR))")
 
 
 def ctes(spec: HistorySpec) -> dict[str, str]:

@@ -13,7 +13,7 @@ from ..operators.features import build_features
 from ..operators.repair import profile_lengths
 from ..operators.split import prepare_training
 from ..sources.bind import read_bundle
-from ..spec import binding_spec
+from ..spec import binding_spec, suffix
 from .common import rounded
 from .feature_sql import feature_ctes, geo_ctes, with_ctes, FEATURE_INPUTS
 from .registry import query
@@ -143,13 +143,16 @@ def geo_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
                             "Long", "dBerkley", "dSF", "dPeninsula", "hotspot"))
 
 
+T1, T2 = (f"total_{suffix(s)}" for s in SPEC.last(2))
+
+
 def _map_sql() -> str:
     return with_ctes(SPEC, FEATURE_INPUTS + ["train_labels"], feature_ctes(SPEC) + [
-        "train AS (SELECT l.account_id, l.total, coalesce(f.total_1999_2000, 0.0) AS total_1999_2000, "
-        "coalesce(f.total_2000_2001, 0.0) AS total_2000_2001 FROM train_labels l LEFT JOIN features f "
+        f"train AS (SELECT l.account_id, l.total, coalesce(f.{T1}, 0.0) AS {T1}, "
+        f"coalesce(f.{T2}, 0.0) AS {T2} FROM train_labels l LEFT JOIN features f "
         "ON l.account_id = f.account_id)"],
         "SELECT t.account_id AS accountID, g.billing_zip_code AS billingZipCode, round(g.Lat, 6) AS Lat, "
-        "round(g.Long, 6) AS Long, g.hotspot, t.total, t.total_1999_2000, t.total_2000_2001 "
+        f"round(g.Long, 6) AS Long, g.hotspot, t.total, t.{T1}, t.{T2} "
         "FROM geo_all g RIGHT JOIN train t ON g.account_id = t.account_id")
 
 
@@ -158,11 +161,11 @@ def map_points_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Geography right-joined to every modelling row, renamed for the map layer."""
     b = read_bundle(spark, sf_dir)
     g = G.geo_accounts(b.accounts, b.directory, CFG)
-    feats = build_features(b).select("account_id", "total_1999_2000", "total_2000_2001")
+    feats = build_features(b).select("account_id", T1, T2)
     train = prepare_training(b.labels, feats)
     j = g.join(train, "account_id", "right")
     return rounded(j.select(train.account_id.alias("accountID"), F.col("billing_zip_code").alias("billingZipCode"),
-                            "Lat", "Long", "hotspot", "total", "total_1999_2000", "total_2000_2001"))
+                            "Lat", "Long", "hotspot", "total", T1, T2))
 
 
 @query("normalized_sources", covers=("C1", "A10"),

@@ -291,7 +291,7 @@ def residual_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _drill_cols() -> list[str]:
     import re
-    return [c for c in all_feature_columns(SPEC) if re.search("total_200|account_num", c)]
+    return [c for c in all_feature_columns(SPEC) if re.search("total_201|account_num", c)]
 
 
 @query("big_error_drilldown", covers=("F7", "P8"),
@@ -304,7 +304,7 @@ def big_error_drilldown(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, va = split(t, 1)
     a = N.snap(PRED)
     big = va.where(F.abs(a - F.col("total")) >= 1).withColumn("answer", a)
-    return rounded(keep_matching(big, "total_200|account_num", keep=("account_id", "total", "answer")))
+    return rounded(keep_matching(big, "total_201|account_num", keep=("account_id", "total", "answer")))
 
 
 # ------------------------------------------------------------------ sink and re-read

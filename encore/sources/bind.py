@@ -13,10 +13,13 @@ Rules (also written out as SQL in ``encore.plans.oracle_sql``):
                 billing city = nation name wrapped in spaces, mixed case, blank
                 when ``c_custkey % 7 = 0``; relationship = market segment;
                 donation fields as text (some unparsable).
-* subscriptions orders per (customer, order year); season = 'YYYY-YYYY+1'.
+* subscriptions orders per (customer, order year); order year y is the season
+                '(y+13)-(y+14)', so history is 2008-2009 ... 2013-2014 and the target
+                2014-2015 (the reference's own season names).
 * tickets       lineitem x orders; set = line number; seats = quantity.
 * programme     lineitem x part x orders per (season, set); composer = part type;
-                only seasons from 1996 on, so a 1995 subscription has no programme.
+                only order years from 1996 on (seasons from 2009-2010), so a subscription
+                in the first history season has no programme.
 * attended      customer x ticket seasons: '1' if any order that year else '0'.
 * directory     nation x region: zipcode, City, State, Lat, Long.
 * labels        orders in the target season per customer (0 when none).
@@ -30,7 +33,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..spec import HistorySpec, binding_spec
+from ..spec import SEASON_SHIFT, HistorySpec, binding_spec
 from .tables import table
 
 
@@ -50,7 +53,7 @@ class Bundle:
 
 
 def _season(ts: Column) -> Column:
-    y = F.year(ts)
+    y = F.year(ts) + SEASON_SHIFT
     return F.concat(y.cast("string"), F.lit("-"), (y + 1).cast("string"))
 
 

@@ -51,19 +51,25 @@ class HistorySpec:
         return tuple(w for w in self.window_years if w <= len(self.history_seasons))
 
 
+# Order year y of the driver tables is labelled as the season starting in y + SEASON_SHIFT, so that
+# the six history years 1995-2000 become the seasons 2008-2009 ... 2013-2014 and 2001 the target
+# 2014-2015: the season names (and so every feature-filter regex) are those of the reference.
+SEASON_SHIFT = 13
+
+
 def binding_spec() -> HistorySpec:
-    """Spec for the driver-table binding (orders 1995-2001, target 2001)."""
-    hist = tuple(season_label(y) for y in range(1995, 2001))
+    """Spec for the driver-table binding (order years 1995-2001 -> seasons 2008-2009 ... 2014-2015)."""
+    hist = tuple(season_label(y + SEASON_SHIFT) for y in range(1995, 2001))
     comps = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
     return HistorySpec(
         history_seasons=hist,
-        target_season=season_label(2001),
+        target_season=season_label(2001 + SEASON_SHIFT),
         ticket_seasons=hist[-4:],
         ticket_sets=tuple(str(i) for i in range(1, 8)),
         composers=comps,
         preference_composers=("ECONOMY", "LARGE", "MEDIUM", "PROMO"),
         missed_composers=comps,
-        reference_year=2001,
+        reference_year=2014,
     )
 
 

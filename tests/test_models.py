@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -45,3 +46,41 @@ def test_budget_rule_and_draws():
     assert all(not budget_exceeded(t.trees, t.depth, t.n_tokens) for t in trials)
     assert all(t.filter.startswith(K.SEARCH_START_FILTER) for t in trials)
     assert draw_trials(3, seed=5) == draw_trials(3, seed=5)
+
+
+def test_gbt_is_seed_stable(spark):
+    from encore.models import regressors as R
+    from encore.operators import evaluate as E
+    from encore.operators.features import build_features, drop_matching
+    from encore.operators.split import assign_folds, clean_outliers, prepare_training, split
+    from encore.sources.bind import read_bundle
+    from .conftest import SF_SMALL
+    b = read_bundle(spark, SF_SMALL)
+    train = assign_folds(prepare_training(b.labels, build_features(b))).cache()
+    tr, va = split(train, 1)
+
+    def score():
+        m = R.fit_gbt(drop_matching(clean_outliers(tr, "total_2013_2014"), K.FILTER_GBM), trees=15, shrinkage=0.1,
+                      depth=3)
+        p = m.predict(va).join(va.select("account_id", "total"), "account_id")
+        return E.rmsle(p).first()["rmsle"]
+
+    assert score() == pytest.approx(score(), rel=1e-12)  # same model; only the summation order may differ
+
+
+def test_gbt_beats_carry_forward_on_planted_signal(spark):
+    from encore.models import regressors as R
+    from encore.operators import evaluate as E
+    rng = np.random.default_rng(11)
+    n = 3000
+    x, z = rng.uniform(0, 4, n), rng.uniform(0, 4, n)
+    y = np.floor(x)                      # label planted in x
+    last = np.floor(z)                   # "last season" unrelated to the label
+    rows = [(i, float(y[i]), float(x[i]), float(last[i])) for i in range(n)]
+    df = spark.createDataFrame(rows, "account_id long, total double, x double, total_2013_2014 double")
+    tr, va = df.where("account_id % 5 <> 0"), df.where("account_id % 5 = 0")
+    m = R.fit_gbt(tr, trees=30, shrinkage=0.3, depth=3)
+    p = m.predict(va).join(va.select("account_id", "total"), "account_id")
+    model = E.rmsle(p).first()["rmsle"]
+    base = E.rmsle(va.select("account_id", "total", F.col("total_2013_2014").alias("prediction"))).first()["rmsle"]
+    assert model < 0.5 * base
