@@ -20,6 +20,8 @@ _LOCAL_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Wide per-account rows: keep whole-stage codegen on for a few hundred fields.
     "spark.sql.codegen.maxFields": "1000",
+    # remove checkpoint files once their data is no longer referenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
