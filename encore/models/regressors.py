@@ -109,7 +109,7 @@ def fit_rff_classifier(train: DataFrame, label: str = "total", cost: float = 100
     t = t.withColumn("label_class", F.col(label).cast("string"))
     idx = StringIndexer(inputCol="label_class", outputCol="label_idx", stringOrderType="alphabetAsc").fit(t)
     ovr = OneVsRest(classifier=LinearSVC(regParam=1.0 / cost, maxIter=25), featuresCol="rff",
-                    labelCol="label_idx", predictionCol="class_idx", parallelism=8)
+                    labelCol="label_idx", predictionCol="class_idx", parallelism=2)
     m = ovr.fit(idx.transform(t))
     back = IndexToString(inputCol="class_idx", outputCol="class_label", labels=idx.labels)
 
