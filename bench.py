@@ -36,10 +36,12 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [a for a in sys.argv[1:]] or HEADLINE
-    from encore.session import get_session
+    from encore.session import apply_conf, get_session, scale_conf
     from encore.plans.registry import queries
 
     spark = get_session(master=f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus), app="encore-bench")
+    size = sum(os.path.getsize(os.path.join(sf_dir, f)) for f in os.listdir(sf_dir) if f.endswith(".parquet"))
+    apply_conf(spark, scale_conf(size, cpus))
     qs = queries()
     warm = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
     if os.path.isdir(warm):

@@ -58,3 +58,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def scale_conf(input_bytes: float, executor_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized for a run over ``input_bytes`` of input on ``executor_cores`` cores.
+
+    * shuffle partitions: enough for ~``target_partition_bytes`` per reduce task at the
+      largest shuffle (taken as the input size), never fewer than 2 x cores;
+      AQE then coalesces small partitions and splits skewed ones at run time;
+    * scan splits of ``target_partition_bytes`` so a task's input fits executor memory;
+    * broadcast only below 64 MB (estimated) and AQE re-checks real sizes.
+
+    For 100 TB on 1,000 executors x 8 cores this gives ~400k shuffle partitions,
+    capped at 200k (AQE coalesces further).
+    """
+    parts = int(max(2 * executor_cores, min(200_000, input_bytes // target_partition_bytes + 1)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    for k, v in conf.items():
+        spark.conf.set(k, v)
