@@ -39,7 +39,8 @@ def fit_lda(train: DataFrame, label: str = "total", ridge: float = 1e-6) -> Fitt
     drop = [c for c in num if c not in non_constant(train, num)]
     t0 = train.drop(*drop)
     design = design_pipeline(t0, one_hot=True).fit(t0)
-    t = design.transform(t0).select(F.col(label).cast("double").alias("_y"), vector_to_array("features").alias("x"))
+    t = (design.transform(t0).select(F.col(label).cast("double").alias("_y"), vector_to_array("features").alias("x"))
+         .persist())  # read three times below (width, class means, scatter)
     d = len(t.select("x").first()[0])
     # class sizes and means in one aggregation (C rows of d numbers reach the driver)
     rows = t.groupBy("_y").agg(F.count(F.lit(1)).alias("n"),
@@ -50,6 +51,7 @@ def fit_lda(train: DataFrame, label: str = "total", ridge: float = 1e-6) -> Fitt
     mu = train.sparkSession.createDataFrame([(float(k), v.tolist()) for k, v in means.items()], "_y double, mu array<double>")
     centered = t.join(F.broadcast(mu), "_y").select(F.zip_with("x", "mu", lambda a, b: a - b).alias("c"))
     sigma = _scatter(centered, d) / max(1, n - c) + ridge * np.eye(d)
+    t.unpersist()
     classes = sorted(means)
     w = {k: np.linalg.solve(sigma, means[k]) for k in classes}
     b = {k: -0.5 * float(means[k] @ w[k]) + float(np.log(counts[k] / n)) for k in classes}

@@ -86,10 +86,12 @@ def fit_rff_regression(train: DataFrame, label: str = "total", cost: float = 20.
     design, drop = _kernel_design(train)
     t = design.transform(train.drop(*drop))
     dim = len(t.select("scaled").first()[0])
-    t = fourier_features(t, "scaled", "rff", dim, gamma, n_components, seed)
+    # the Fourier map runs once; the iterative solver then reads the persisted rows
+    t = fourier_features(t, "scaled", "rff", dim, gamma, n_components, seed).select("rff", label).persist()
     lr = LinearRegression(featuresCol="rff", labelCol=label, loss="huber", regParam=1.0 / (cost * 10.0),
                           elasticNetParam=0.0, maxIter=100)
     m = lr.fit(t)
+    t.unpersist()
 
     def predict(df: DataFrame) -> DataFrame:
         s = design.transform(df.drop(*[c for c in drop if c in df.columns]))
@@ -106,11 +108,14 @@ def fit_rff_classifier(train: DataFrame, label: str = "total", cost: float = 100
     t = design.transform(train.drop(*drop))
     dim = len(t.select("scaled").first()[0])
     t = fourier_features(t, "scaled", "rff", dim, gamma, n_components, seed)
-    t = t.withColumn("label_class", F.col(label).cast("string"))
+    t = t.select("rff", F.col(label).cast("string").alias("label_class"))
     idx = StringIndexer(inputCol="label_class", outputCol="label_idx", stringOrderType="alphabetAsc").fit(t)
     ovr = OneVsRest(classifier=LinearSVC(regParam=1.0 / cost, maxIter=25), featuresCol="rff",
                     labelCol="label_idx", predictionCol="class_idx", parallelism=2)
-    m = ovr.fit(idx.transform(t))
+    # the Fourier map runs once; every one-vs-rest solver iteration reads the persisted rows
+    fit_rows = idx.transform(t).persist()
+    m = ovr.fit(fit_rows)
+    fit_rows.unpersist()
     back = IndexToString(inputCol="class_idx", outputCol="class_label", labels=idx.labels)
 
     def predict(df: DataFrame) -> DataFrame:
