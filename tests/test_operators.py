@@ -80,3 +80,27 @@ def test_regex_filter_no_match_and_protected(spark):
     assert drop_matching(df, "zzz").columns == df.columns
     assert drop_matching(df, "").columns == df.columns
     assert drop_matching(df, "total").columns == ["account_id", "total"]
+
+
+@pytest.mark.parametrize("rows", [
+    [(1, "a", 5.0), (1, "a", 6.0), (2, "b", 7.0)],   # a repeated key: counts everywhere
+    [(1, "a", 5.0), (1, "b", 6.0), (2, "b", 7.0)],   # unique keys: values
+])
+def test_duplicate_check_strategies_agree(spark, rows):
+    from encore.operators.reshape import cast_cells
+    df = spark.createDataFrame(rows, "k int, s string, v double")
+    cells = [(f"v_{x}", F.col("s") == x, "v") for x in ("a", "b")]
+    extra = [F.sum("v").alias("sv")]
+    outs = []
+    for check in ("subquery", "prepass", "checkpoint"):
+        r = cast_cells(df, "k", cells, extra, check=check, keys_for_check=["k", "s"])
+        outs.append(sorted(tuple(x) for x in r.select("k", "v_a", "v_b", "sv").collect()))
+    assert outs[0] == outs[1] == outs[2]
+
+
+def test_scale_conf_bounds():
+    from encore.session import scale_conf
+    small = scale_conf(40 << 20, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    big = scale_conf(100e12, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 200_000
