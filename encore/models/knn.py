@@ -31,7 +31,9 @@ def _local_topk(bq, k: int, sub: int = 2048):
                 x, y = x_all[s:s + sub], y_all[s:s + sub]
                 d2 = qn[:, None] + (x * x).sum(1)[None, :] - 2.0 * q @ x.T
                 kk = min(k, x.shape[0])
-                idx = np.argpartition(d2, kk - 1, axis=1)[:, :kk]
+                # local k nearest in the same (distance, label) order as the global window,
+                # so candidates tied at the k-th distance are kept by label, not arbitrarily
+                idx = np.lexsort((np.broadcast_to(y, d2.shape), d2), axis=-1)[:, :kk]
                 rows = np.repeat(np.arange(len(qids)), kk)
                 cols = idx.reshape(-1)
                 yield pd.DataFrame({"query_id": np.asarray(qids)[rows].astype("int64"),

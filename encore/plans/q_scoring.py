@@ -329,3 +329,37 @@ def resubmission_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
                        N.to_number("total").alias("prediction"))
     h = X.with_history(back, feats, SPEC)
     return rounded(h.select("account_id", X.light_and_hard(F.col("prediction"), SPEC).alias("total")))
+
+
+# ------------------------------------------------------------------ exact KNN (checkable form)
+
+KNN_COLS = [f"total_{suffix(s)}" for s in SPEC.last(3)]
+
+
+def _knn_sql() -> str:
+    d2 = " + ".join(f"(q.{c} - t.{c}) * (q.{c} - t.{c})" for c in KNN_COLS)
+    return _train_sql(
+        "SELECT qid AS account_id, label AS prediction FROM best WHERE b = 1",
+        [f"pairs AS (SELECT q.account_id AS qid, t.total AS label, {d2} AS d2 FROM train q JOIN train t "
+         "ON q.fold <> t.fold)",
+         "near AS (SELECT qid, label, row_number() OVER (PARTITION BY qid ORDER BY d2, label) AS rn FROM pairs)",
+         "votes AS (SELECT qid, label, count(*) AS v FROM near WHERE rn <= 3 GROUP BY qid, label)",
+         "best AS (SELECT qid, label, row_number() OVER (PARTITION BY qid ORDER BY v DESC, label) AS b FROM votes)"])
+
+
+@query("knn_cv_predictions", covers=("M5", "T1", "T2"), sql=_knn_sql)
+def knn_cv_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """3-nearest-neighbour vote for every account from the accounts of the other folds
+    (last three seasons' totals as features; ties: nearer, then lower label)."""
+    from pyspark.ml.feature import VectorAssembler
+    from ..models.knn import knn_vote
+    t = training(spark, sf_dir).select("account_id", "total", "fold", *KNN_COLS)
+    t = VectorAssembler(inputCols=KNN_COLS, outputCol="vec").transform(t).cache()
+    parts = []
+    for fold in range(1, K.NUM_FOLDS + 1):
+        tr, va = split(t, fold)
+        parts.append(knn_vote(tr, va.select(F.col("account_id").alias("query_id"), "vec"), k=K.KNN_K, vec="vec"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select(F.col("query_id").alias("account_id"), "prediction")
