@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, line_dedup, packing, quality, sentencepieces, toxicity
+from . import exact_dedup, html_text, line_dedup, packing, quality, sentencepieces, toxicity
 from .common import table
 
 
@@ -88,10 +88,17 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(docs, model).select("doc_id", _split("doc_id", 3, 1).alias("held_out"), "score", "predicted")
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extracted(pages, html_text.learned(pages))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_html_extraction": op7_html_extraction,
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality": op10_quality,

@@ -25,6 +25,8 @@ MAX_LABELLED = 16_000
 SLOTS, FACTORS, MIN_SHARE = 1 << 20, 4, 0.002
 PREFIXES = (4, 5)
 EPOCHS, BATCH, RATE, PENALTY = 8, 256, 0.2, 1e-3
+#: Standard deviations from chance at which a term's steps begin, and over which they reach full size.
+LEAN = (1.5, 3.0)
 #: One row in so many sets the bias alone.
 ASIDE = 5
 #: Words whose slots a task remembers before it starts anew.
@@ -122,6 +124,10 @@ def _weights(rows: list[np.ndarray], y: np.ndarray, seed: int) -> Machine:
     m = Machine(places, float(np.log(rate / (1 - rate))), np.zeros(len(known)), rng.normal(0, 0.01, (len(known), FACTORS)))
     if not len(known) or not 0 < y.sum() < len(y):
         return m
+    # a term's steps grow with its lean: how far its count among rows of label 1 is from what chance gives
+    among = np.bincount(np.concatenate([r for r, t in zip(rows, y) if t]), minlength=len(known))
+    chance = seen[known] * rate
+    lean = np.clip((np.abs(among - chance) / np.sqrt(chance + 0.5) - LEAN[0]) / LEAN[1], 0.0, 1.0)
     gw, gv = np.full(len(known), 1e-6), np.full((len(known), FACTORS), 1e-6)
     for _ in range(EPOCHS):
         order = rng.permutation(len(rows))
@@ -143,8 +149,8 @@ def _weights(rows: list[np.ndarray], y: np.ndarray, seed: int) -> Machine:
             for f in range(FACTORS):
                 d = np.bincount(inv, dv[:, f], len(at)) + PENALTY * len(pick) * m.v[at, f]
                 gv[at, f] += d * d
-                m.v[at, f] -= RATE * d / np.sqrt(gv[at, f])
-            m.w[at] -= RATE * dw / np.sqrt(gw[at])
+                m.v[at, f] -= RATE * lean[at] * d / np.sqrt(gv[at, f])
+            m.w[at] -= RATE * lean[at] * dw / np.sqrt(gw[at])
     return m
 
 
