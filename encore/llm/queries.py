@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_text, line_dedup, packing, quality, sentencepieces, toxicity
+from . import exact_dedup, html_text, line_dedup, packing, quality, sentencepieces, toxicity, vector_dedup
 from .common import table
 
 
@@ -94,8 +94,14 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extracted(pages, html_text.learned(pages))
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors among all embeddings."""
+    return vector_dedup.linked(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_html_extraction": op7_html_extraction,
