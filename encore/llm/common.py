@@ -8,6 +8,7 @@ of this machine is taken, and only for a ``local[...]`` master.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -30,26 +31,43 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_local[0]}"
 
 
-def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """Write ``df`` to a new shared table and read it back: computed once, lineage cut."""
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a new shared table and read it back: computed once, lineage cut. Spark deletes
+    the shuffle files of jobs that nothing refers to any more when the driver collects its garbage, so
+    that is asked for here."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    w = df.write.option("compression", "zstd")
-    (w.partitionBy(partition_by) if partition_by else w).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     _made.setdefault(spark.sparkContext.applicationId, []).append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return out
 
 
-def drop_scratch(spark: SparkSession) -> None:
-    """Delete the scratch tables written so far by this application. Call it once the
-    results that read them have been written."""
+def discard(df: DataFrame) -> None:
+    """Delete a table of :func:`stored` that no later step reads."""
+    app, path = df.sparkSession.sparkContext.applicationId, df.scratch_path
+    if path in _made.get(app, []):
+        _made[app].remove(path)
+        _delete(df.sparkSession, [path])
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for p in _made.pop(spark.sparkContext.applicationId, []):
+    for p in paths:
         path = jvm.org.apache.hadoop.fs.Path(p)
         path.getFileSystem(conf).delete(path, True)
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the scratch tables written so far by this application. Call it once the
+    results that read them have been written."""
+    _delete(spark, _made.pop(spark.sparkContext.applicationId, []))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -51,7 +51,7 @@ def by_bucket(members: DataFrame, work: Callable, out: str) -> DataFrame:
                     done.append(got)
 
         def flush() -> pa.RecordBatch:
-            b = pa.RecordBatch.from_arrays([pa.array(np.concatenate([d[n] for d in done])) for n in names], names)
+            b = pa.RecordBatch.from_arrays([pa.array(np.concatenate([d[n] for d in done]).astype(np.int64)) for n in names], names)
             done.clear()
             return b
 

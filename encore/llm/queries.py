@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_text, line_dedup, packing, quality, sentencepieces, toxicity, vector_dedup
+from . import exact_dedup, html_text, jaccard_join, line_dedup, packing, quality, sentencepieces, substring_dedup, toxicity, vector_dedup
 from .common import table
 
 
@@ -99,9 +99,24 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.linked(table(spark, sf_dir, "embeddings"))
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate texts among all documents by five-word shingles."""
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of repeated 100-byte strings removed from all documents."""
+    out = substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    lengths = F.transform("removed", lambda s: s["hi"] - s["lo"])
+    return out.select("doc_id", "n_bytes", F.aggregate(lengths, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_removed"),
+                      F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_embedding_dedup": op3_embedding_dedup,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_html_extraction": op7_html_extraction,
