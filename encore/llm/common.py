@@ -31,14 +31,15 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_local[0]}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` to a new shared table and read it back: computed once, lineage cut. Spark deletes
     the shuffle files of jobs that nothing refers to any more when the driver collects its garbage, so
-    that is asked for here."""
+    that is asked for here. With ``keep``, :func:`drop_scratch` leaves the table alone."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    if not keep:
+        _made.setdefault(spark.sparkContext.applicationId, []).append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     gc.collect()
@@ -51,7 +52,7 @@ def discard(df: DataFrame) -> None:
     app, path = df.sparkSession.sparkContext.applicationId, df.scratch_path
     if path in _made.get(app, []):
         _made[app].remove(path)
-        _delete(df.sparkSession, [path])
+    _delete(df.sparkSession, [path])
 
 
 def _delete(spark: SparkSession, paths: list[str]) -> None:
