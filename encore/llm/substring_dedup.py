@@ -80,10 +80,10 @@ def repeated(stretches: list[bytes], length: int) -> tuple[np.ndarray, np.ndarra
     # the transform, its characters' blocks and counts up to each place
     bwt = text[order - 1]
     chars, code = np.unique(bwt, return_inverse=True)
-    occ = np.zeros((len(chars), n + 1), dtype=np.int32)
-    for c in range(len(chars)):
-        np.cumsum(code == c, out=occ[c, 1:])
-    total = occ[:, n]
+    occ = np.zeros((n + 1, len(chars)), dtype=np.int32)
+    occ[np.arange(1, n + 1), code] = 1
+    np.cumsum(occ, axis=0, out=occ)
+    total = occ[n].copy()
     block = np.concatenate([[0], np.cumsum(total)[:-1]]).astype(np.int32)
 
     boundary = np.zeros(n, dtype=bool)
@@ -92,8 +92,9 @@ def repeated(stretches: list[bytes], length: int) -> tuple[np.ndarray, np.ndarra
     for _ in range(1, length):
         if not len(new):
             break
-        r = occ[:, new]
-        at = (r + block[:, None])[(r > 0) & (r < total[:, None])]
+        r = occ[new]
+        # a character before suffixes on both sides parts its own block one byte later
+        at = (r + block)[(r > 0) & (r < total)]
         at = at[~boundary[at]]
         boundary[at] = True
         new = np.unique(at)
@@ -150,7 +151,21 @@ def _anchored(length: int):
     return run
 
 
-FETCHED = "key long, lo int, hi int, doc_id long, start long, windows int, place int, bytes binary"
+#: Ranges that the anchor's offset in a window is cut into, to see which stretches can share a window at all.
+CELLS = 4
+FETCHED = "key long, lo int, hi int, doc_id long, start long, windows int, place int, bytes binary, cells array<long>"
+
+
+def cells(data: bytes, windows: int, place: int, length: int) -> list[int]:
+    """For each range of offsets that occurs, a hash of the bytes that all windows of that range share."""
+    import xxhash
+
+    out, top = [], length - GRAM
+    for c in range(CELLS):
+        lo, hi = c * (top + 1) // CELLS, (c + 1) * (top + 1) // CELLS - 1
+        if max(0, place - hi) <= min(windows - 1, place - lo):
+            out.append(xxhash.xxh64_intdigest(data[place - lo:place - hi + length], seed=c) - (1 << 63))
+    return out
 
 
 def _fetch(length: int):
@@ -163,10 +178,12 @@ def _fetch(length: int):
                 out: list[tuple] = []
                 for d, t, wanted in zip(*(part.column(c).to_pylist() for c in ("doc_id", "text", "wanted"))):
                     data = t.encode("utf-8", "surrogatepass")
-                    out += [(w["anchor"], 0, length - GRAM, d, w["start"], w["windows"], w["place"],
-                             data[w["start"]:w["start"] + w["windows"] + length - 1]) for w in wanted]
+                    for w in wanted:
+                        piece = data[w["start"]:w["start"] + w["windows"] + length - 1]
+                        out.append((w["anchor"], 0, length - GRAM, d, w["start"], w["windows"], w["place"], piece,
+                                    cells(piece, w["windows"], w["place"], length)))
                 cols = list(zip(*out)) or [()] * len(names)
-                types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+                types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, types)], names)
 
     return run
@@ -190,7 +207,7 @@ def _part(length: int):
                     shared = x["bytes"][x["place"] - lo:x["place"] - hi + length]
                     key = xxhash.xxh64_intdigest(shared + bytes([lo, hi])) - (1 << 63)
                     out.append({"key": key, "lo": lo, "hi": hi, "doc_id": x["doc_id"], "start": x["start"] + first,
-                                "windows": last - first + 1, "place": x["place"] - first, "bytes": x["bytes"][first:last + length]})
+                                "windows": last - first + 1, "place": x["place"] - first, "bytes": x["bytes"][first:last + length], "cells": []})
             yield pa.RecordBatch.from_pylist(out, schema=b.schema)
 
     return run
@@ -257,6 +274,13 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     wanted = first.join(several, "anchor").groupBy("doc_id").agg(
         F.collect_list(F.struct("anchor", "start", "windows", "place")).alias("wanted"))
     rows = stored(base.join(wanted, "doc_id").mapInArrow(_fetch(length), FETCHED), "op4-stretches")
+    # only stretches that have the bytes around their anchor in common with another can share a window
+    around = rows.select("key", "doc_id", "start", F.explode("cells").alias("cell"))
+    common = around.groupBy("key", "cell").agg(F.count("*").alias("n")).where("n > 1").select("key", "cell")
+    close = around.join(common, ["key", "cell"]).select("doc_id", "start").distinct()
+    pruned = stored(rows.join(close, ["doc_id", "start"], "left_semi").select(*[f.split()[0] for f in FETCHED.split(", ")]), "op4-close")
+    discard(rows)
+    rows = pruned
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = []
     while True:
