@@ -10,7 +10,6 @@ library never pulls a table through the driver. Sub-packages:
 * ``models``    – design matrix and ``pyspark.ml`` model families
 * ``search``    – cross-validation, grid and random search
 * ``plans``     – the registered queries and their SQL oracles
-* ``streaming`` – (the reference has no streaming; see its docstring)
 """
 
 __version__ = "0.1.0"

@@ -6,7 +6,7 @@ from typing import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (OneHotEncoder, PolynomialExpansion, SQLTransformer, StandardScaler,
-                                StringIndexer, VectorAssembler)
+                                StringIndexer, StringIndexerModel, VectorAssembler)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -85,3 +85,9 @@ def log_polynomial(df: DataFrame, cols: Sequence[str], degree: int = 2, out: str
 
 def fit_design(df: DataFrame, exclude: Sequence[str] = NON_FEATURES, one_hot: bool = True) -> PipelineModel:
     return design_pipeline(df, exclude, one_hot=one_hot).fit(df)
+
+
+def tree_bins(design: PipelineModel, least: int = 32) -> int:
+    """Bins that tree learners need: one for each level of the widest factor, unseen values included."""
+    levels = [len(labels) + 1 for st in design.stages if isinstance(st, StringIndexerModel) for labels in st.labelsArray]
+    return max([least, *levels])

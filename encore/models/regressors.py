@@ -17,7 +17,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .design import NON_FEATURES, design_pipeline, non_constant, scaler, slot_names, source_of, split_columns
+from .design import NON_FEATURES, design_pipeline, tree_bins, non_constant, scaler, slot_names, source_of, split_columns
 from .kernels import fourier_features
 
 
@@ -56,18 +56,21 @@ def fit_gbt(train: DataFrame, label: str = "total", trees: int = 100, shrinkage:
             depth: int = 3, minobsinnode: int = 5, distrib: str = "gaussian", seed: int = 551724) -> Fitted:
     """Boosted regression trees with squared (gaussian) or absolute (laplace) loss."""
     loss = {"gaussian": "squared", "laplace": "absolute"}[distrib]
+    design = design_pipeline(train, one_hot=False).fit(train)
     gbt = GBTRegressor(featuresCol="features", labelCol=label, maxIter=trees, stepSize=shrinkage,
                        subsamplingRate=bagfrac, maxDepth=gbm_depth(depth), minInstancesPerNode=minobsinnode,
-                       lossType=loss, seed=seed, maxBins=32, cacheNodeIds=True, checkpointInterval=10)
-    m = Pipeline(stages=[design_pipeline(train, one_hot=False), gbt]).fit(train)
+                       lossType=loss, seed=seed, maxBins=tree_bins(design), cacheNodeIds=True, checkpointInterval=10)
+    m = PipelineModel(stages=[*design.stages, gbt.fit(design.transform(train))])
     return Fitted(m, _score(m), {"importances_model": m.stages[-1]})
 
 
 def fit_forest(train: DataFrame, label: str = "total", trees: int = 300, depth: int = 5, seed: int = 551724) -> Fitted:
     """Mean prediction of an ensemble of randomised trees."""
+    design = design_pipeline(train, one_hot=False).fit(train)
     rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth,
-                               featureSubsetStrategy="onethird", subsamplingRate=1.0, seed=seed)
-    m = Pipeline(stages=[design_pipeline(train, one_hot=False), rf]).fit(train)
+                               featureSubsetStrategy="onethird", subsamplingRate=1.0, seed=seed,
+                               maxBins=tree_bins(design))
+    m = PipelineModel(stages=[*design.stages, rf.fit(design.transform(train))])
     return Fitted(m, _score(m), {"importances_model": m.stages[-1]})
 
 

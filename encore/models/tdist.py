@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .design import design_pipeline
+from .design import design_pipeline, tree_bins
 from .regressors import Fitted, gbm_depth
 
 
@@ -29,16 +29,18 @@ def fit_tdist_boost(train: DataFrame, label: str = "total", trees: int = 50, shr
     spark = train.sparkSession
     ensure_checkpoint_dir(spark)
     design = design_pipeline(train, one_hot=False).fit(train)
+    bins = tree_bins(design)
     base = design.transform(train).select("account_id", F.col(label).cast("double").alias("_y"), "features")
     f0 = base.approxQuantile("_y", [0.5], 0.001)[0]
     cur = base.withColumn("_f", F.lit(float(f0))).checkpoint()
     models = []
     for i in range(trees):
         g = cur.withColumn("_g", t_gradient(F.col("_y") - F.col("_f"), df))
-        bag = g.sample(withReplacement=False, fraction=bagfrac, seed=seed + i) if bagfrac < 1.0 else g
+        # the bag follows from key and tree alone, so it is the same on any partitioning
+        bag = g.where(F.pmod(F.xxhash64("account_id", F.lit(seed + i)), F.lit(1_000_000)) < int(bagfrac * 1_000_000))
         tree = DecisionTreeRegressor(featuresCol="features", labelCol="_g", predictionCol="_p",
                                      maxDepth=gbm_depth(depth), minInstancesPerNode=minobsinnode,
-                                     seed=seed + i).fit(bag)
+                                     seed=seed + i, maxBins=bins).fit(bag)
         models.append(tree)
         cur = tree.transform(cur).withColumn("_f", F.col("_f") + shrinkage * F.col("_p")).drop("_p")
         if (i + 1) % checkpoint_every == 0:

@@ -8,16 +8,30 @@ bucket offsets (one row per bucket) are added through a broadcast join.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+
+def _position(df: DataFrame, order_col: str) -> Column:
+    """A number that never falls in key order: the key itself, or of a text key the six bytes behind
+    what all keys begin with."""
+    if not isinstance(df.schema[order_col].dataType, StringType):
+        return F.col(order_col).cast("double")
+    ends = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
+    same = len(os.path.commonprefix([(ends["lo"] or "").encode(), (ends["hi"] or "").encode()]))
+    six = F.hex(F.substring(F.col(order_col).cast("binary"), same + 1, 6))
+    return F.conv(F.rpad(six, 12, "0"), 16, 10).cast("double")
 
 
 def with_dense_index(df: DataFrame, order_col: str, out_col: str, buckets: int | None = None,
                      rel_error: float = 0.001) -> DataFrame:
     spark = df.sparkSession
     n = buckets or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    x = df.withColumn("_ix_x", F.col(order_col).cast("double"))
+    x = df.withColumn("_ix_x", _position(df, order_col) if n > 1 else F.lit(0.0))
     bounds: list[float] = []
     if n > 1:
         probs = [i / n for i in range(1, n)]

@@ -11,6 +11,9 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+#: Folders that stand in for spark.checkpoint.dir on this machine, by application.
+_LOCAL_DIRS: dict[str, str] = {}
+
 _LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
@@ -43,13 +46,16 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting names a shared file system folder and is left as
-    is. Only when it is unset (local tests) is a scratch folder chosen here.
+    A cluster must name one: executors do not see each other's local folders. Only for a
+    ``local[...]`` master a temporary folder stands in where the setting is absent.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="encore-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        if spark.sparkContext.applicationId not in _LOCAL_DIRS:
+            _LOCAL_DIRS[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="encore-ckpt-")
+        d = _LOCAL_DIRS[spark.sparkContext.applicationId]
     spark.sparkContext.setCheckpointDir(d)
     return d
 
