@@ -95,6 +95,21 @@ FILTER_KNN = ("199|package|location|price.level|add_no|TELEMAN|JOHANN|ROSSINI|ad
               "add_tickets_seats|section_2013_2014|multiple.subs|billing.city|is.us|relationship|outside|"
               "City|State|Lat|Long|package|section|location")
 FILTER_LINEAR = "199|200|seats|add_"
+FILTER_SVR = ("199|200|2010|price.level|add_no|TELEMAN|JOHANN|ROSSINI|conc_missed|add_price|add_tickets|"
+              "add_tickets_seats|section_2013_2014|multiple.subs|billing.city|is.us|relationship|outside|"
+              "City|State|Lat|Long|package|section|location")
+FILTER_KERNEL_SVR = ("199|200|2010|price.level|add_no|TELEMAN|JOHANN|ROSSINI|conc_missed|add_price|add_tickets|"
+                     "add_tickets_seats|section_2013_2014|multiple.subs|billing.city|is.us|relationship|outside|"
+                     "City|State|Lat|Long|package|section|location|geo|hotspot|Berkley|Peninsula")
+FILTER_FOREST = ("199|200|2010|price.level|add_no|TELEMAN|JOHANN|ROSSINI|conc_missed|add_price|add_tickets|"
+                 "add_tickets_seats|section_2013_2014|multiple.subs|billing.city|is.us|relationship|outside|"
+                 "City|State|Lat|Long")
+FILTER_SVC = ("199|200|2010|price.level|add_no|TELEMAN|JOHANN|ROSSINI|conc_missed|add_price|add_tickets|"
+              "add_tickets_seats|section_2013_2014|multiple.subs|billing.city|is.us|relationship|outside|"
+              "City|State|Lat|Long|package|section|location|geo|hotspot")
+FILTER_READJUST = ("199|price.level|add_no|TELEMAN|JOHANN|ROSSINI|conc_missed|add_price|add_tickets|"
+                   "add_tickets_seats|section_2013_2014|multiple.subs|billing.city|is.us|relationship|outside|"
+                   "City|State|Lat|Long")
 
 # Boosted-tree driver defaults.
 GBM_DEFAULTS = dict(trees=3375, bagfrac=0.5, trainfrac=1.0, shrinkage=0.001, depth=8,

@@ -51,7 +51,7 @@ def snap_sql(x: str) -> str:
     return SNAP_SQL.format(x=x)
 
 
-@query("carry_forward_predictions", covers=("M11", "J9", "C7", "X1", "S4"),
+@query("carry_forward_predictions", covers=("M11", "C7", "X1"),
        sql=lambda: _cf_sql(f"SELECT account_id, total, {snap_sql('coalesce(last_total, 1.0)')} AS prediction FROM cf"))
 def carry_forward_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Carry-forward baseline per account (missing history -> 1), snapped."""

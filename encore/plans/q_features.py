@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..functions import numeric as N
 from ..operators.features import build_features, drop_matching, matching_columns
-from ..sources.bind import read_bundle
+from ..session import scratch_path
+from ..sources.bind import Bundle, read_bundle
+from ..sources.files import KEYED, read_csv_bundle, write_csv_bundle
 from ..spec import binding_spec
 from .common import rounded
 from .feature_sql import all_feature_columns, feature_names, feature_sql
+from .bind_sql import ctes
 from .registry import query
 
 SPEC = binding_spec()
@@ -65,3 +72,35 @@ def account_donation_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.features import account_family
     b = read_bundle(spark, sf_dir)
     return rounded(account_family(b.accounts, b.spec).select(*ACC_COLS))
+
+
+def _from_csv(spark: SparkSession, sf_dir: str, log_label: bool = False) -> Bundle:
+    """The bundle written as eight CSV extracts and read back from them."""
+    paths = write_csv_bundle(read_bundle(spark, sf_dir), scratch_path(spark, f"bundles/{uuid.uuid4().hex}"))
+    return read_csv_bundle(spark, paths, SPEC, log_label, key_type="bigint")
+
+
+@query("csv_bundle_features", covers=("S4", "S2", "D6"), sql=feature_table_sql)
+def csv_bundle_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide feature table built from the eight extracts as CSV files."""
+    return rounded(build_features(_from_csv(spark, sf_dir)))
+
+
+@query("csv_bundle_log_labels", covers=("S4", "C18"),
+       sql=lambda: f"WITH {ctes(SPEC)['train_labels']}\nSELECT account_id, round(ln(1 + total), 6) AS log_total, "
+                   "total FROM train_labels")
+def csv_bundle_log_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels read from CSV with the log-label flag, and taken back to counts."""
+    labels = _from_csv(spark, sf_dir, log_label=True).labels
+    return rounded(labels.select("account_id", F.col("total").alias("log_total"), N.unlog_label("total").alias("total")))
+
+
+@query("text_key_features", covers=("P10", "J1"),
+       sql=lambda: feature_table_sql().rsplit("SELECT account_id", 1)[0]
+       + "SELECT 'A' || lpad(CAST(account_id AS VARCHAR), 12, '0') AS account_id"
+       + feature_table_sql().rsplit("SELECT account_id", 1)[1])
+def text_key_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide feature table of accounts whose keys are text."""
+    b = read_bundle(spark, sf_dir)
+    key = F.concat(F.lit("A"), F.lpad(F.col("account_id").cast("string"), 12, "0"))
+    return rounded(build_features(replace(b, **{n: getattr(b, n).withColumn("account_id", key) for n in KEYED})))

@@ -123,7 +123,7 @@ def knn_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("forest_fold_scores", covers=("M8", "E5"))
 def forest_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean prediction of 300 randomised trees, 10-fold CV."""
-    train, hist = _frames(spark, sf_dir, K.FILTER_GBM)
+    train, hist = _frames(spark, sf_dir, K.FILTER_FOREST)
     fit = lambda d: R.fit_forest(d, trees=K.FOREST_TREES, depth=5)
     return rounded(cross_validate(train, fit, hist, SPEC, FOLDS, parallelism=PAR,
                                   adjustments=["raw", "inactive", "invariant"]).scores)
@@ -132,16 +132,16 @@ def forest_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("rff_svr_fold_scores", covers=("M6", "M9", "E5"))
 def rff_svr_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Radial-kernel regression (cost 20, gamma 0.025) via random Fourier features, 10-fold CV."""
-    train, hist = _frames(spark, sf_dir, K.FILTER_GBM)
+    train, hist = _frames(spark, sf_dir, K.FILTER_SVR)
     fit = lambda d: R.fit_rff_regression(d, cost=20.0, gamma=0.025)
-    return rounded(cross_validate(train, fit, hist, SPEC, FOLDS, clean=True, parallelism=PAR,
+    return rounded(cross_validate(train, fit, hist, SPEC, FOLDS, parallelism=PAR,
                                   adjustments=["raw", "inactive", "invariant"]).scores)
 
 
 @query("svr_grid_search", covers=("E6", "M6"))
 def svr_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cost x gamma grid (3 x 3), each combination cross-validated; combinations run concurrently."""
-    train, hist = _frames(spark, sf_dir, K.FILTER_GBM)
+    train, hist = _frames(spark, sf_dir, K.FILTER_SVR)
     train = train.withColumn("fold", (F.pmod(F.col("fold"), F.lit(3)) + 1).cast("int"))
     make = lambda cost, gamma: (lambda d: R.fit_rff_regression(d, cost=cost, gamma=gamma, n_components=100))
     return rounded(grid_search(train, make, dict(K.SVR_GRID), hist, SPEC, folds=range(1, 4), parallelism=3))
@@ -151,7 +151,7 @@ def svr_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rff_svc_fold_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Support-vector classification of the label as a class (one-vs-rest on random Fourier features);
     misclassification rate per fold."""
-    train, _ = _frames(spark, sf_dir, K.FILTER_GBM)
+    train, _ = _frames(spark, sf_dir, K.FILTER_SVC)
 
     def one(fold: int) -> DataFrame:
         tr, va = split(train, fold)
@@ -161,7 +161,7 @@ def rff_svc_fold_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_union(_per_fold(one)).select("fold", "error", "n"))
 
 
-@query("lda_fold_errors", covers=("M3", "A19", "E3"))
+@query("lda_fold_errors", covers=("M3", "E3"))
 def lda_fold_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Linear discriminant classes per fold: misclassification rate and the contingency cells."""
     train, _ = _frames(spark, sf_dir, K.FILTER_KNN)
@@ -200,7 +200,7 @@ def random_search_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
                               step_scale=50.0, trial_table=scratch_path(spark, f"trials/{uuid.uuid4().hex}")))
 
 
-@query("gbt_submission", covers=("S7", "J4", "C18", "E11"))
+@query("gbt_submission", covers=("S7", "J4"))
 def gbt_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Refit boosted trees on all cleaned rows, score every account to score, write the submission."""
     train, _ = _frames(spark, sf_dir, K.FILTER_GBM)

@@ -173,25 +173,41 @@ def relationship_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 ALL_SEASONS = HIST + [SPEC.target_season]
 
 
-def _wide_history_sql() -> str:
-    sc = ", ".join(f"max(CASE WHEN season = '{s}' THEN total END) AS \"{s}_total\"" for s in ALL_SEASONS)
-    tc = ", ".join(f"max(CASE WHEN season = '{s}' AND \"set\" = '{t}' THEN no_seats END) AS \"{s}_{t}_no_seats\""
-                   for s in SPEC.ticket_seasons for t in SPEC.ticket_sets)
-    return with_ctes(SPEC, ["accounts", "subscriptions", "tickets"],
-                     [f"sw AS (SELECT account_id, {sc} FROM subscriptions GROUP BY account_id)",
-                      f"tw AS (SELECT account_id, {tc} FROM (SELECT account_id, season, \"set\", "
-                      f"{num('no_seats')} AS no_seats FROM tickets) t GROUP BY account_id)"],
-                     "SELECT * FROM (SELECT account_id, relationship FROM accounts) a "
-                     "FULL OUTER JOIN sw USING (account_id) FULL OUTER JOIN tw USING (account_id)")
+def _wide_history_ctes() -> list[str]:
+    """Season-first casts in SQL: a repeated cell key turns every cell of that table into its row count."""
+    def most(table: str, keys: str) -> str:
+        return f"(SELECT max(n) > 1 AS d FROM (SELECT count(*) AS n FROM {table} GROUP BY {keys}) x)"
+
+    sc = ", ".join(f"CASE WHEN (SELECT d FROM sdup) THEN CAST(CAST(count(CASE WHEN season = '{s}' THEN 1 END) AS DOUBLE) "
+                   f"AS VARCHAR) ELSE max(CASE WHEN season = '{s}' THEN total END) END AS \"{s}_total\""
+                   for s in ALL_SEASONS)
+    tc = []
+    for s in SPEC.ticket_seasons:
+        for t in SPEC.ticket_sets:
+            here = f"season = '{s}' AND \"set\" = '{t}'"
+            tc += [f"CASE WHEN (SELECT d FROM tdup) THEN CAST(count(CASE WHEN {here} THEN 1 END) AS DOUBLE) "
+                   f"ELSE max(CASE WHEN {here} THEN {num(v)} END) END AS \"{s}_{t}_{v}\"" for v in SPEC.ticket_values]
+    return [f"sdup AS {most('subscriptions', 'account_id, season')}",
+            "tdup AS " + most("tickets", 'account_id, season, "set"'),
+            f"sw AS (SELECT account_id, {sc} FROM subscriptions GROUP BY account_id)",
+            f"tw AS (SELECT account_id, {', '.join(tc)} FROM tickets GROUP BY account_id)",
+            "wide AS (SELECT * FROM (SELECT account_id, relationship FROM accounts) a "
+            "FULL OUTER JOIN sw USING (account_id) FULL OUTER JOIN tw USING (account_id))"]
+
+
+def _wide_history_sql(select: str = "SELECT * FROM wide", more: list[str] | None = None) -> str:
+    return with_ctes(SPEC, ["accounts", "subscriptions", "tickets", *(more or [])], _wide_history_ctes(), select)
 
 
 def wide_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts, subscriptions and tickets, the last two cast season first; repeated cell keys make counts."""
     b = read_bundle(spark, sf_dir)
     s = cast_wide(b.subscriptions, "account_id",
-                  [(f"{s}_total", {"season": s}, "total") for s in ALL_SEASONS], on_duplicate="first")
-    t = b.tickets.select("account_id", "season", "set", F.col("no_seats").try_cast("double").alias("no_seats"))
-    tw = cast_wide(t, "account_id", [(f"{s}_{st}_no_seats", {"season": s, "set": st}, "no_seats")
-                                     for s in SPEC.ticket_seasons for st in SPEC.ticket_sets], on_duplicate="first")
+                  [(f"{s}_total", {"season": s}, "total") for s in ALL_SEASONS], keys_for_check=["account_id", "season"])
+    t = b.tickets.select("account_id", "season", "set", *[F.col(v).try_cast("double").alias(v) for v in SPEC.ticket_values])
+    tw = cast_wide(t, "account_id", [(f"{s}_{st}_{v}", {"season": s, "set": st}, v) for s in SPEC.ticket_seasons
+                                     for st in SPEC.ticket_sets for v in SPEC.ticket_values],
+                   keys_for_check=["account_id", "season", "set"])
     a = b.accounts.select("account_id", "relationship")
     return a.join(s, "account_id", "full").join(tw, "account_id", "full")
 
@@ -202,28 +218,39 @@ def history_wide_full_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide_history(spark, sf_dir)
 
 
-def _buy_sql() -> str:
-    last = SPEC.last_season
-    anyset = " OR ".join(f"\"{last}_{t}_no_seats\" IS NOT NULL" for t in SPEC.ticket_sets[:6])
-    inner = _wide_history_sql().rsplit("SELECT * FROM (SELECT account_id, relationship", 1)
-    wide = "SELECT * FROM (SELECT account_id, relationship" + inner[1]
-    return (inner[0] + f", wide AS ({wide}), buy AS (SELECT account_id, CAST(({anyset}) AS DOUBLE) AS buy FROM wide)\n"
-            "SELECT s.account_id, b.buy AS total FROM to_score s LEFT JOIN buy b ON s.account_id = b.account_id"
-            ).replace("WITH ", "WITH " + _to_score_cte() + ",\n", 1)
+@query("history_entry", covers=("J9", "C7"),
+       sql=lambda: _wide_history_sql(f"SELECT account_id, coalesce(TRY_CAST(\"{SPEC.last_season}_total\" AS DOUBLE), 1.0) "
+                                     "AS total FROM to_score JOIN wide USING (account_id)", ["to_score"]))
+def history_entry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts to score inner-joined with the wide history: last season's total, 1 where it is missing."""
+    ids = read_bundle(spark, sf_dir).to_score
+    total = F.coalesce(F.col(f"`{SPEC.last_season}_total`").try_cast("double"), F.lit(1.0))
+    return ids.join(wide_history(spark, sf_dir), "account_id").select("account_id", total.alias("total"))
 
 
-def _to_score_cte() -> str:
-    from .bind_sql import ctes
-    return ctes(SPEC)["to_score"]
+def _buy_sql() -> str:
+    sets = ", ".join(f"'{t}'" for t in SPEC.ticket_sets[:6])
+    return with_ctes(SPEC, ["accounts", "subscriptions", "tickets", "to_score"],
+                     ["ids AS (SELECT account_id FROM accounts UNION SELECT account_id FROM subscriptions "
+                      "UNION SELECT account_id FROM tickets)",
+                      "holders AS (SELECT DISTINCT account_id FROM tickets "
+                      f"WHERE season = '{SPEC.last_season}' AND \"set\" IN ({sets}))"],
+                     "SELECT s.account_id, CASE WHEN i.account_id IS NULL THEN NULL WHEN h.account_id IS NULL THEN 0.0::DOUBLE "
+                     "ELSE 1.0::DOUBLE END AS total FROM to_score s LEFT JOIN ids i ON s.account_id = i.account_id "
+                     "LEFT JOIN holders h ON s.account_id = h.account_id")
 
 
 @query("bought_ticket_baseline", covers=("M12", "A16", "J10"), sql=_buy_sql)
 def bought_ticket_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """1 when the account bought a ticket in any of the first six sets last season."""
+    """1 when the account bought a ticket in any of the first six sets last season, else 0.
+
+    A ticket counts when its row exists, whatever its seats and price level say."""
     from ..functions.rowwise import row_any
-    wide = wide_history(spark, sf_dir)
-    last = SPEC.last_season
-    buy = row_any([F.col(f"`{last}_{t}_no_seats`").isNotNull() for t in SPEC.ticket_sets[:6]]).cast("double")
-    b = wide.select("account_id", buy.alias("buy"))
-    return (read_bundle(spark, sf_dir).to_score.join(b, "account_id", "left")
-            .select("account_id", F.col("buy").alias("total")))
+    b = read_bundle(spark, sf_dir)
+    sets = SPEC.ticket_sets[:6]
+    rows = cast_wide(b.tickets, "account_id", [(f"set_{t}", {"season": SPEC.last_season, "set": t}, "season") for t in sets],
+                     on_duplicate="count", duplicates=True)
+    buy = row_any([F.coalesce(F.col(f"set_{t}").try_cast("double"), F.lit(0.0)) > 0 for t in sets]).cast("double")
+    known = b.accounts.select("account_id").join(b.subscriptions.select("account_id").distinct(), "account_id", "full")
+    wide = known.join(rows, "account_id", "full").select("account_id", buy.alias("total"))
+    return b.to_score.join(wide, "account_id", "left")
