@@ -21,7 +21,7 @@ import re
 from dataclasses import dataclass
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -117,20 +117,17 @@ def ticket_family(b: Bundle, cfg: FeatureConfig = FeatureConfig(), duplicates: b
     """Per-season ticket counts and seat sums, and the (variable, season, set) cells."""
     spec = b.spec
     t = repair_tickets(b.tickets)
-    extra = []
-    for s in spec.ticket_seasons:
-        in_s = F.col("season") == s
-        extra.append(F.count(F.when(in_s, F.lit(1))).cast("double").alias(f"add_tickets_total_{suffix(s)}"))
-    for s in spec.ticket_seasons:
-        in_s = F.col("season") == s
-        seats = F.when(in_s, F.col("no_seats"))
-        # sum without na.rm: a null seat count makes the season's sum null; absent season -> 0
-        extra.append(F.when(F.count(seats) < F.count(F.when(in_s, F.lit(1))), F.lit(None).cast("double"))
-                     .otherwise(F.coalesce(F.sum(seats), F.lit(0.0))).alias(f"add_tickets_seats_{suffix(s)}"))
+    def within(season: str, column: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("season") == season, F.col(column))), F.lit(0))
+
+    extra = [within(s, "__rows").cast("double").alias(f"add_tickets_total_{suffix(s)}") for s in spec.ticket_seasons]
+    # sum without na.rm: a null seat count makes the season's sum null; absent season -> 0
+    extra += [F.when(within(s, "__filled") == within(s, "__rows"), within(s, "__seats").cast("double"))
+              .alias(f"add_tickets_seats_{suffix(s)}") for s in spec.ticket_seasons]
     cells = [(f"add_{v}_{suffix(s)}_{st}", (F.col("season") == s) & (F.col("set") == st), v)
              for v in spec.ticket_values for s in spec.ticket_seasons for st in spec.ticket_sets]
     return cast_cells(t, "account_id", cells, extra, cfg.on_duplicate, duplicates, cfg.duplicate_check,
-                      ["account_id", "season", "set"])
+                      ["account_id", "season", "set"], by_cell=[F.sum("no_seats").alias("__seats"), F.count("no_seats").alias("__filled")])
 
 
 def missed_family(b: Bundle, prog: DataFrame | None = None) -> DataFrame:

@@ -39,16 +39,20 @@ def _and(cs: list[Column]) -> Column:
 
 def cast_cells(df: DataFrame, key: str, cells: Sequence[tuple[str, Column, str]], extra_aggs: Sequence[Column] = (),
                on_duplicate: str = "count", duplicates: bool | None = None, check: str = "subquery",
-               keys_for_check: Sequence[str] | None = None) -> DataFrame:
+               keys_for_check: Sequence[str] | None = None, by_cell: Sequence[Column] | None = None) -> DataFrame:
     """One ``groupBy(key).agg`` of conditional cells plus ``extra_aggs`` under the duplicate rule.
 
+    With ``by_cell`` the rows are first reduced to one for each ``keys_for_check`` (which then hold every
+    column that a cell's condition reads): the value columns' maxima, the row count ``__rows`` and the
+    aggregates of ``by_cell``; ``extra_aggs`` then read those. Flag and cells come from that one shuffle.
+
     ``cells`` lists ``(output name, condition, value column)``. How an unknown
     duplicate status is found (``check``):
 
     * ``"subquery"`` (default, fully lazy): the single aggregation keeps both the
-      value and the row count of every cell; the flag is a scalar subquery over a
-      key-only aggregate (``keys_for_check``) bound to one column, and each cell
-      picks count or value from it. If a query never reads the family, Catalyst
+      value and the row count of every cell; the flag is a scalar subquery bound to
+      one column (over the reduced rows, or without ``by_cell`` over a key-only
+      aggregate), and each cell picks count or value from it. If a query never reads the family, Catalyst
       prunes the family and its check together.
     * ``"prepass"``: an eager key-only aggregate decides before planning.
     * ``"checkpoint"``: values and counts are written once to the shared
@@ -58,12 +62,23 @@ def cast_cells(df: DataFrame, key: str, cells: Sequence[tuple[str, Column, str]]
         raise ValueError(on_duplicate)
     cells = list(cells)
     types = dict(df.dtypes)
+    reduced = by_cell is not None
+    if reduced:
+        if not keys_for_check:
+            raise ValueError("by_cell needs keys_for_check")
+        maxima = [F.max(v).alias(v) for v in dict.fromkeys(v for _, _, v in cells) if v not in keys_for_check]
+        df = df.groupBy(*keys_for_check).agg(F.count(F.lit(1)).alias("__rows"), *maxima, *by_cell)
+
+    def rows(cond: Column) -> Column:
+        if reduced:
+            return F.coalesce(F.sum(F.when(cond, F.col("__rows"))), F.lit(0))
+        return F.count(F.when(cond, F.lit(1)))
 
     def values() -> list[Column]:
         return [F.max(F.when(cond, F.col(v))).alias(n) for n, cond, v in cells]
 
     def counts(suffix: str = "") -> list[Column]:
-        return [F.count(F.when(cond, F.lit(1))).cast("double").alias(n + suffix) for n, cond, _ in cells]
+        return [rows(cond).cast("double").alias(n + suffix) for n, cond, _ in cells]
 
     def as_value_type(c: Column, v: str) -> Column:
         return c.cast("string") if types.get(v) == "string" else c
@@ -73,7 +88,7 @@ def cast_cells(df: DataFrame, key: str, cells: Sequence[tuple[str, Column, str]]
     if duplicates is None and (check == "prepass" or on_duplicate == "error"):
         if not keys_for_check:
             raise ValueError("the duplicate check needs keys_for_check")
-        duplicates = has_duplicates(df, keys_for_check)
+        duplicates = (not df.where(F.col("__rows") > 1).isEmpty()) if reduced else has_duplicates(df, keys_for_check)
     if duplicates is not None:
         if duplicates and on_duplicate == "error":
             raise ValueError("duplicate cell keys")
@@ -84,8 +99,7 @@ def cast_cells(df: DataFrame, key: str, cells: Sequence[tuple[str, Column, str]]
     if check == "checkpoint":
         from ..session import ensure_checkpoint_dir
         ensure_checkpoint_dir(df.sparkSession)
-        most = (F.greatest(*[F.count(F.when(cond, F.lit(1))) for _, cond, _ in cells]) if len(cells) > 1
-                else F.count(F.when(cells[0][1], F.lit(1))))
+        most = F.greatest(*[rows(cond) for _, cond, _ in cells]) if len(cells) > 1 else rows(cells[0][1])
         both = df.groupBy(key).agg(*values(), *counts("__n"), *extra_aggs, most.alias("__most")).checkpoint(eager=True)
         dup = (both.agg(F.max("__most")).first()[0] or 0) > 1
         extra = [c for c in both.columns if c not in names and c != key and c != "__most" and not c.endswith("__n")]
@@ -95,8 +109,13 @@ def cast_cells(df: DataFrame, key: str, cells: Sequence[tuple[str, Column, str]]
         raise ValueError(check)
     if not keys_for_check:
         raise ValueError("the duplicate check needs keys_for_check")
-    flag = (df.groupBy(*keys_for_check).agg(F.count(F.lit(1)).alias("_c"))
-            .select(F.coalesce(F.max("_c"), F.lit(0)) > 1).scalar())
+    if reduced:
+        # the maximum of whole rows keeps their columns, so that the shuffle below is the cells' own one
+        most = F.max(F.struct("__rows", *[F.col(f"`{c}`") for c in df.columns if c != "__rows"]))["__rows"]
+        flag = df.select(F.coalesce(most, F.lit(0)) > 1).scalar()
+    else:
+        flag = (df.groupBy(*keys_for_check).agg(F.count(F.lit(1)).alias("_c"))
+                .select(F.coalesce(F.max("_c"), F.lit(0)) > 1).scalar())
     both = df.groupBy(key).agg(*values(), *counts("__n"), *extra_aggs).withColumn("__dup", flag)
     extra = [c for c in both.columns if c not in names and c != key and c != "__dup" and not c.endswith("__n")]
     chosen = [F.when(F.col("__dup"), as_value_type(F.col(n + "__n"), v)).otherwise(F.col(n)).alias(n)
@@ -119,8 +138,9 @@ def cast_wide(df: DataFrame, key: str, cells: Iterable[tuple[str, Mapping[str, s
     """
     cells = list(cells)
     cs = [(n, cell(m), v) for n, m, v in cells]
-    ks = list(keys_for_check) if keys_for_check else [key] + sorted({c for _, m, _ in cells for c in m})
-    return cast_cells(df, key, cs, (), on_duplicate, duplicates, check, ks)
+    read = {key, *(c for _, m, _ in cells for c in m)}
+    ks = list(keys_for_check) if keys_for_check else sorted(read)
+    return cast_cells(df, key, cs, (), on_duplicate, duplicates, check, ks, () if read <= set(ks) else None)
 
 
 def pivot_agg(df: DataFrame, key: str, pivot_col: str, values: Sequence[str], agg: str,

@@ -92,7 +92,7 @@ def ticket_set_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     long = long.withColumn("prefix", F.lit("add"))
     cells = [(f"add_{v}_{suffix(s)}_{st}", {"prefix": "add", "variable": v, "season": s, "set": st}, "value")
              for v in SPEC.ticket_values for s in SPEC.ticket_seasons for st in SPEC.ticket_sets]
-    return cast_wide(long, "account_id", cells, keys_for_check=["account_id", "season", "set"])
+    return cast_wide(long, "account_id", cells)
 
 
 def _prog_sql(how: str) -> str:
