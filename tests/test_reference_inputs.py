@@ -28,3 +28,21 @@ def test_scratch_folder_without_setting(spark):
     from encore.session import ensure_checkpoint_dir
 
     assert ensure_checkpoint_dir(spark) == ensure_checkpoint_dir(spark)
+
+
+def test_csv_scan_keeps_blanks_and_nulls_apart(spark, tmp_path):
+    from encore.sources.files import _scan
+
+    (tmp_path / "t.csv").write_text('account.id,price.level,set\nA1,NA,\nA2,"",x\n')
+    rows = [tuple(r) for r in _scan(spark, str(tmp_path / "t.csv")).orderBy("account_id").collect()]
+    assert rows == [("A1", None, ""), ("A2", "", "x")]
+
+
+def test_reduced_rows_follow_the_duplicate_rule(spark):
+    from encore.operators.reshape import cast_wide
+
+    cells = [("a", {"s": "1"}, "v"), ("b", {"s": "2"}, "v")]
+    once = spark.createDataFrame([(1, "1", 5.0), (1, "2", None), (2, "1", 7.0)], "k long, s string, v double")
+    assert sorted(map(tuple, cast_wide(once, "k", cells).collect())) == [(1, 5.0, None), (2, 7.0, None)]
+    twice = once.union(spark.createDataFrame([(1, "1", None)], once.schema))
+    assert sorted(map(tuple, cast_wide(twice, "k", cells).collect())) == [(1, 2.0, 1.0), (2, 1.0, 0.0)]
