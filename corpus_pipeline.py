@@ -29,9 +29,13 @@ from encore.llm.common import discard, drop_scratch, stored, table
 VOCABULARY: str | None = None
 
 
+def _others(docs: DataFrame) -> list[str]:
+    return [c for c in docs.columns if c != "text"]
+
+
 def _with_text(docs: DataFrame, new: DataFrame) -> DataFrame:
-    """``docs`` with the texts of ``new`` (doc_id, text), in the columns of documents; empty ones go."""
-    out = docs.drop("text").join(new.select("doc_id", "text").dropDuplicates(["doc_id"]), "doc_id")
+    """The rows of ``new`` (text, and the row's other columns as ``rest``) in the columns of documents; empty ones go."""
+    out = new.select("text", "rest.*")
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.where(F.trim("text") != "").select(*[f"`{c}`" for c in docs.columns])
@@ -46,7 +50,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     drop_scratch(spark)
-    return _with_text(docs, line_dedup.without_repeated_lines(docs))
+    return _with_text(docs, line_dedup.without_repeated_lines(docs, rest=_others(docs)))
 
 
 def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,11 +61,11 @@ def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     drop_scratch(spark)
-    kept = substring_dedup.without_repeats(docs)
+    kept = substring_dedup.without_repeats(docs, rest=_others(docs))
     # a span may begin or end inside a character: what is left of it is not text
     text = F.replace(F.try_validate_utf8(F.make_valid_utf8(F.col("kept").cast("string"))), F.lit("�"), F.lit(""))
     whole = F.when(F.size("removed") == 0, F.col("kept").cast("string")).otherwise(text)
-    return _with_text(docs, kept.select("doc_id", whole.alias("text")))
+    return _with_text(docs, kept.select(whole.alias("text"), "rest"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -81,6 +81,40 @@ def texts(docs: DataFrame, key: str = "doc_id", text: str = "text", *more: str)
                        *[F.col(f"`{c}`") for c in more]).where("doc_id is not null")
 
 
+def versions(base: DataFrame, name: str) -> DataFrame | None:
+    """(doc_id, sha, version): the distinct texts of the doc_ids that ``base`` (doc_id, text) has in several rows,
+    numbered from 0 in the order of their SHA-256. None where no doc_id repeats, which costs one count of ids."""
+    again = stored(base.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), f"{name}-again")
+    if again.isEmpty():
+        discard(again)
+        return None
+    shas = base.join(again, "doc_id", "left_semi").select("doc_id", F.sha2("text", 256).alias("sha")).distinct()
+    numbered = prefix_sum(shas.withColumn("one", F.lit(1).cast("long")), ["doc_id"], ["sha"], "one", "version", f"{name}-shas")
+    return stored(numbered.select("doc_id", "sha", "version"), f"{name}-versions")
+
+
+def with_version(rows: DataFrame, numbers: DataFrame | None) -> DataFrame:
+    """``rows`` (doc_id, text, ...) with ``version``: 0 unless :func:`versions` numbered the text otherwise."""
+    if numbers is None:
+        return rows.withColumn("version", F.lit(0).cast("long"))
+    found = rows.withColumn("sha", F.sha2("text", 256)).join(numbers, ["doc_id", "sha"], "left")
+    return found.select(*rows.columns, F.coalesce("version", F.lit(0).cast("long")).alias("version"))
+
+
+def each_once(base: DataFrame, numbers: DataFrame | None) -> DataFrame:
+    """``base`` (doc_id, text) with ``version``, one row for each doc_id and text."""
+    if numbers is None:
+        return with_version(base, None)
+    ids = numbers.select("doc_id").distinct()
+    some = with_version(base.join(ids, "doc_id", "left_semi"), numbers).dropDuplicates(["doc_id", "version"])
+    return with_version(base.join(ids, "doc_id", "left_anti"), None).unionByName(some)
+
+
+def carried(docs: DataFrame, rest: list[str]) -> DataFrame:
+    """``docs`` with the columns ``rest`` also as one struct, ``rest``."""
+    return docs.withColumn("rest", F.struct(*[F.col(f"`{c}`") for c in rest])) if rest else docs
+
+
 def once(df: DataFrame, **cols: Column) -> DataFrame:
     """``df`` with further columns, each worked out once for a row. A plain projection may be merged
     into the next, and an array would then be built anew for each element of a lambda over it."""

@@ -10,74 +10,86 @@ matched stretches make up the longest repeated run, which goes.
 
 from __future__ import annotations
 
+from typing import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, texts
+from .common import carried, each_once, stored, texts, versions, with_version
 
 MIN_LINES = 3
 
 
 def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text",
                   min_lines: int = MIN_LINES) -> DataFrame:
-    """(doc_id, removed): numbers (from 0) of the lines to remove, for documents that have some.
+    """(doc_id, version, removed): numbers (from 0) of the lines to remove, for documents that have some.
 
     A line goes when it belongs to ``min_lines`` or more consecutive lines that also start
     earlier (in a document of smaller doc_id, or higher up in the same one). Lines end at \\n
     and are compared whole. Lines of white space alone are not counted: they do not
     interrupt a run and are never removed. Null and empty texts have no such lines. Rows that repeat a doc_id
-    are taken once. A very frequent line or run is counted in each task before it
+    and its text are taken once; different texts of one doc_id are documents of their own, numbered by ``version``
+    (see :func:`common.versions`). A very frequent line or run is counted in each task before it
     moves, and never gathered in one place.
     """
-    t = min_lines
+    base = texts(docs, key, text)
+    return _runs(base, versions(base, "op9"), min_lines)
+
+
+def _runs(all_rows: DataFrame, numbers: DataFrame | None, t: int) -> DataFrame:
     lines = F.split("text", "\n")
     full = F.filter(F.transform(lines, lambda x, i: F.struct(i.alias("i"), x.alias("x"))),
                     lambda s: F.trim(F.translate(s["x"], "\t\r\x0b\x0c", "    ")) != "")
-    base = texts(docs, key, text).select("doc_id", full.alias("full"))
-    hashed = base.select("doc_id", F.transform("full", lambda s: s["i"]).alias("at"),
+    base = each_once(all_rows, numbers).select("doc_id", "version", full.alias("full"))
+    hashed = base.select("doc_id", "version", F.transform("full", lambda s: s["i"]).alias("at"),
                          F.transform("full", lambda s: F.xxhash64(s["x"])).alias("h"),
                          F.transform("full", lambda s: F.xxhash64(F.lit(7), s["x"])).alias("g"))
-    hashed = stored(hashed.where(F.size("h") >= t).dropDuplicates(["doc_id"]), "op9-lines")
+    hashed = stored(hashed.where(F.size("h") >= t), "op9-lines")
 
-    starts = hashed.select("doc_id", "h", "g", F.explode(F.sequence(F.lit(0), F.size("h") - t)).alias("s"))
+    starts = hashed.select("doc_id", "version", "h", "g", F.explode(F.sequence(F.lit(0), F.size("h") - t)).alias("s"))
     window = starts.select(
-        "doc_id", "s",
+        "doc_id", "version", "s",
         F.array_min(F.transform(F.slice("h", F.col("s") + 1, t),
                                 lambda x, i: F.struct(x.alias("fp"), (-(i + F.col("s"))).alias("back")))).alias("m"),
         F.xxhash64(F.slice("h", F.col("s") + 1, t)).alias("w1"),
         F.xxhash64(F.slice("g", F.col("s") + 1, t)).alias("w2"))
-    window = stored(window.select("doc_id", "s", "m.fp", (-F.col("m.back")).alias("p"), "w1", "w2"), "op9-windows")
+    window = stored(window.select("doc_id", "version", "s", "m.fp", (-F.col("m.back")).alias("p"), "w1", "w2"), "op9-windows")
 
     # positions of a fingerprint: neighbouring windows with the same minimum are one
-    position = window.groupBy("doc_id", "p", "fp").agg(F.lit(1).alias("one"))
+    position = window.groupBy("doc_id", "version", "p", "fp").agg(F.lit(1).alias("one"))
     frequent = stored(position.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp"), "op9-frequent")
     met = stored(window.join(frequent, "fp", "left_semi"), "op9-met")
-    first = (met.groupBy("fp", "w1", "w2").agg(F.min(F.struct("doc_id", "s")).alias("first"), F.count("*").alias("n"))
+    first = (met.groupBy("fp", "w1", "w2").agg(F.min(F.struct("doc_id", "version", "s")).alias("first"), F.count("*").alias("n"))
              .where("n > 1"))
-    first = stored(first.select("fp", "w1", "w2", F.col("first.doc_id").alias("d0"), F.col("first.s").alias("s0")),
-                   "op9-first")
-    later = (met.join(first, ["fp", "w1", "w2"]).where((F.col("doc_id") != F.col("d0")) | (F.col("s") != F.col("s0")))
-             .groupBy("doc_id").agg(F.collect_set("s").alias("starts")))
+    first = stored(first.select("fp", "w1", "w2", F.col("first.doc_id").alias("d0"), F.col("first.version").alias("v0"),
+                                F.col("first.s").alias("s0")), "op9-first")
+    later = (met.join(first, ["fp", "w1", "w2"]).where("doc_id <> d0 or version <> v0 or s <> s0")
+             .groupBy("doc_id", "version").agg(F.collect_set("s").alias("starts")))
     covered = F.array_distinct(F.flatten(F.transform(
         "starts", lambda s: F.transform(F.sequence(s, s + t - 1), lambda j: F.element_at("at", j + 1)))))
-    return later.join(hashed.select("doc_id", "at"), "doc_id").select("doc_id", F.array_sort(covered).alias("removed"))
+    return (later.join(hashed.select("doc_id", "version", "at"), ["doc_id", "version"])
+            .select("doc_id", "version", F.array_sort(covered).alias("removed")))
 
 
 def without_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
-                           min_lines: int = MIN_LINES) -> DataFrame:
+                           min_lines: int = MIN_LINES, rest: Sequence[str] = ()) -> DataFrame:
     """One row per input row: doc_id, text (lines left, joined by \\n), n_lines, n_removed, n_runs.
+    With ``rest``, also a struct ``rest`` of the row's columns of these names.
 
     See :func:`repeated_runs`. ``n_lines`` counts all lines, ``n_runs`` the stretches of removed lines
     with no other line between (a line of white space counts as one). A text without removed lines stays byte for byte; an empty
     table gives no rows.
     """
-    runs = stored(repeated_runs(docs, key, text, min_lines), "op9-runs")
+    more = ["rest"] if rest else []
+    rows = texts(carried(docs, list(rest)), key, text, *more)
+    numbers = versions(rows.select("doc_id", "text"), "op9")
+    runs = stored(_runs(rows.select("doc_id", "text"), numbers, min_lines), "op9-runs")
     none = F.array().cast("array<int>")
-    d = (texts(docs, key, text).join(runs, "doc_id", "left")
-         .select("doc_id", F.split("text", "\n").alias("lines"), F.coalesce("removed", none).alias("removed")))
-    d = d.select("doc_id", "lines", "removed",
+    d = (with_version(rows, numbers).join(runs, ["doc_id", "version"], "left")
+         .select("doc_id", F.split("text", "\n").alias("lines"), F.coalesce("removed", none).alias("removed"), *more))
+    d = d.select("doc_id", "lines", "removed", *more,
                  F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "removed").alias("left"))
     return d.select(
         "doc_id", F.array_join(F.transform("left", lambda i: F.element_at("lines", i + 1)), "\n").alias("text"),
         F.size("lines").cast("long").alias("n_lines"), F.size("removed").cast("long").alias("n_removed"),
-        F.size(F.array_except("removed", F.transform("removed", lambda i: i + 1))).cast("long").alias("n_runs"))
+        F.size(F.array_except("removed", F.transform("removed", lambda i: i + 1))).cast("long").alias("n_runs"), *more)

@@ -12,14 +12,15 @@ are the repeated windows.
 
 from __future__ import annotations
 
-from typing import Iterator
+from typing import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import discard, stored, texts
+from .common import carried, discard, each_once, stored, texts, versions, with_version
 
 LENGTH, GRAM = 100, 24
 #: Stretches of one anchor that are indexed together; more are first parted by what stands around.
@@ -27,6 +28,10 @@ GROUP = 4096
 #: Bytes indexed together, bytes read at once.
 INDEX, CHUNK = 1 << 16, 1 << 22
 
+#: Different texts of one doc_id: places of version k of a text are counted from k << VERSION.
+VERSION = 40
+PLACE = (1 << VERSION) - 1
+
 SPAN = "array<struct<lo:long,hi:long>>"
 
 
@@ -135,13 +140,13 @@ def _anchored(length: int):
 
         held: list[pa.RecordBatch] = []
         for b in batches:
-            for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
+            for d, t, k in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "version"))):
                 data = t.encode("utf-8", "surrogatepass")
                 # a long text goes in pieces that share all but one byte of a window
                 for base in range(0, max(1, len(data) - length + 1), CHUNK):
                     piece = data[base:base + CHUNK + length - 1]
                     if len(piece) >= length:
-                        held.append(rows(d, piece, base))
+                        held.append(rows(d, piece, base + (k << VERSION)))
                 if sum(x.num_rows for x in held) > 50_000:
                     yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
                     held = []
@@ -179,7 +184,8 @@ def _fetch(length: int):
                 for d, t, wanted in zip(*(part.column(c).to_pylist() for c in ("doc_id", "text", "wanted"))):
                     data = t.encode("utf-8", "surrogatepass")
                     for w in wanted:
-                        piece = data[w["start"]:w["start"] + w["windows"] + length - 1]
+                        at = w["start"] & PLACE
+                        piece = data[at:at + w["windows"] + length - 1]
                         out.append((w["anchor"], 0, length - GRAM, d, w["start"], w["windows"], w["place"], piece,
                                     cells(piece, w["windows"], w["place"], length)))
                 cols = list(zip(*out)) or [()] * len(names)
@@ -246,16 +252,22 @@ def _index(length: int):
 
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, group: int = GROUP) -> DataFrame:
-    """(doc_id, spans): for documents that have any, bytes covered by a ``length``-byte string of the text in UTF-8 that also
-    starts earlier (smaller doc_id, or the same document further up), as unordered, overlapping spans [lo, hi).
+    """(doc_id, version, spans): for documents that have any, bytes covered by a ``length``-byte string of the text in UTF-8 that
+    also starts earlier (smaller doc_id, or the same document further up), as unordered, overlapping spans [lo, hi).
 
     Strings are judged on the texts as given and never cross documents. Null, empty and short texts have no
-    spans. Rows that repeat a doc_id must repeat the text and are taken once. Rows without doc_id are left
+    spans. Rows that repeat a doc_id and its text are taken once; different texts of one doc_id are documents of their
+    own, numbered by ``version`` (see :func:`common.versions`). Rows without doc_id are left
     out; an empty table gives no rows. Other columns are not read.
     """
+    base = texts(docs, key, text)
+    return _spans(base, versions(base, "op4"), length, group)
+
+
+def _spans(all_rows: DataFrame, numbers: DataFrame | None, length: int, group: int) -> DataFrame:
     if not GRAM <= length <= 255:
         raise ValueError(f"length must be between {GRAM} and 255")
-    base = texts(docs, key, text)
+    base = each_once(all_rows, numbers)
     seen = stored(base.where(F.octet_length("text") >= length).mapInArrow(
         _anchored(length), "anchor long, digest long, doc_id long, start long, windows int, place int"), "op4-anchors")
     often = seen.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
@@ -271,9 +283,9 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
 
     # distinct stretches of one anchor: indexed together
     several = first.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1").select("anchor")
-    wanted = first.join(several, "anchor").groupBy("doc_id").agg(
+    wanted = first.join(several, "anchor").groupBy("doc_id", F.shiftright("start", VERSION).alias("version")).agg(
         F.collect_list(F.struct("anchor", "start", "windows", "place")).alias("wanted"))
-    rows = stored(base.join(wanted, "doc_id").mapInArrow(_fetch(length), FETCHED), "op4-stretches")
+    rows = stored(base.join(wanted, ["doc_id", "version"]).mapInArrow(_fetch(length), FETCHED), "op4-stretches")
     # only stretches that have the bytes around their anchor in common with another can share a window
     around = rows.select("key", "doc_id", "start", F.explode("cells").alias("cell"))
     common = around.groupBy("key", "cell").agg(F.count("*").alias("n")).where("n > 1").select("key", "cell")
@@ -281,7 +293,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     pruned = stored(rows.join(close, ["doc_id", "start"], "left_semi").select(*[f.split()[0] for f in FETCHED.split(", ")]), "op4-close")
     discard(rows)
     rows = pruned
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = []
     while True:
         large = stored(rows.groupBy("key", "lo", "hi").agg(F.count("*").alias("n")).where((F.col("n") > group) & F.expr("lo < hi"))
@@ -293,14 +305,22 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
         rows = stored(rows.join(large, ["key", "lo", "hi"], "left_semi").mapInArrow(_part(length), FETCHED), "op4-stretches")
     for f in found:
         copies = copies.unionByName(f)
-    return copies.groupBy("doc_id").agg(F.collect_list(F.struct(
-        F.col("start").alias("lo"), (F.col("start") + F.col("windows") + length - 1).alias("hi"))).alias("spans"))
+    place = F.col("start").bitwiseAND(F.lit(PLACE))
+    return copies.groupBy("doc_id", F.shiftright("start", VERSION).alias("version")).agg(F.collect_list(F.struct(
+        place.alias("lo"), (place + F.col("windows") + length - 1).alias("hi"))).alias("spans"))
 
 
-def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
+def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH,
+                    rest: Sequence[str] = ()) -> DataFrame:
     """One row per input row: doc_id, n_bytes, removed (maximal spans [lo, hi) in order), kept (binary: the other bytes).
+    With ``rest``, also a struct ``rest`` of the row's columns of these names.
     See :func:`repeated_spans`; a text without repeats stays whole."""
-    spans = stored(repeated_spans(docs, key, text, length), "op4-spans")
+    rows = texts(carried(docs, list(rest)), key, text, *(["rest"] if rest else []))
+    numbers = versions(rows.select("doc_id", "text"), "op4")
+    spans = stored(_spans(rows.select("doc_id", "text"), numbers, length, GROUP), "op4-spans")
+    schema = T.StructType.fromDDL(f"doc_id long, n_bytes long, removed {SPAN}, kept binary")
+    if rest:
+        schema = schema.add(rows.schema["rest"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
@@ -321,8 +341,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
                     gone.append([{"lo": lo, "hi": hi} for lo, hi in runs])
                     kept.append(b"".join(data[lo:hi] for lo, hi in zip(edges[::2], edges[1::2])))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(size, pa.int64()), pa.array(gone, kind), pa.array(kept, pa.binary())],
-                    ["doc_id", "n_bytes", "removed", "kept"])
+                    [part.column("doc_id"), pa.array(size, pa.int64()), pa.array(gone, kind), pa.array(kept, pa.binary()),
+                     *([part.column("rest")] if rest else [])], schema.names)
 
-    return (texts(docs, key, text).join(spans, "doc_id", "left")
-            .mapInArrow(run, f"doc_id long, n_bytes long, removed {SPAN}, kept binary"))
+    return with_version(rows, numbers).join(spans, ["doc_id", "version"], "left").mapInArrow(run, schema)

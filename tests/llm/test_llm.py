@@ -128,6 +128,28 @@ def test_repeated_substrings(spark, docs, empty, group):
     assert kept[4] == A.encode() and kept[5] == b"" and not substring_dedup.without_repeats(empty).count()
 
 
+def test_rows_that_repeat_a_doc_id(spark):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(5)
+    word = lambda n: "".join(rng.choice(list("abcdefgh"), n))
+    phrase = word(60)
+    one, two, three = (f"{word(200)}{phrase}{word(200)}" for _ in range(3))
+    # a row twice; two texts of one doc_id, of which one repeats lines of doc 1 and the other a passage of it
+    lines = "\n".join(["first line", "second line", "third line"])
+    rows = [(1, one + "\n" + lines), (1, one + "\n" + lines), (2, two), (3, three + "\n" + lines), (3, "own start\n" + one[:150] + word(90).upper())]
+    docs = spark.createDataFrame([(i, t, str(k), len(t)) for k, (i, t) in enumerate(rows)], "doc_id long, text string, source string, n_chars long")
+    plain = sorted(bytes(r.kept).decode() for r in substring_dedup.without_repeats(docs).collect())
+    assert plain == sorted([*(t for _, t in rows[:4]), "own start\n" + rows[4][1][160:]])
+    kept = {r.rest.source: bytes(r.kept).decode() for r in substring_dedup.without_repeats(docs, rest=["source"]).collect()}
+    assert kept == {str(k): t for k, (_, t) in enumerate(rows[:4])} | {"4": "own start\n" + rows[4][1][160:]}
+
+    out = corpus_pipeline.drop_lines(spark, docs, "").collect()
+    assert {r.source: r.text for r in out} == {str(k): t for k, (_, t) in enumerate(rows)} | {"3": three}
+    assert all(r.n_chars == len(r.text) for r in out)
+    assert {r.source: r.text for r in corpus_pipeline.drop_substrings(spark, docs, "").collect()} == kept
+
+
 @pytest.mark.parametrize("block", [512, 2])
 def test_near_duplicates(docs, empty, block):
     got = {r.doc_id: r for r in jaccard_join.near_duplicates(docs, block=block).collect()}
