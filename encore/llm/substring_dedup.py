@@ -197,7 +197,7 @@ def _fetch(length: int):
 
 def _part(length: int):
     """Halves of stretches by the anchor's offset in the window, with a key of the bytes that all windows
-    of that half and key share."""
+    of that half and key share. A half of one offset is one window."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
@@ -294,17 +294,21 @@ def _spans(all_rows: DataFrame, numbers: DataFrame | None, length: int, group: i
     discard(rows)
     rows = pruned
     parts = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = []
     while True:
-        large = stored(rows.groupBy("key", "lo", "hi").agg(F.count("*").alias("n")).where((F.col("n") > group) & F.expr("lo < hi"))
+        large = stored(rows.groupBy("key", "lo", "hi").agg(F.count("*").alias("n")).where(F.col("n") > group)
                        .select("key", "lo", "hi"), "op4-large")
         rest = rows.join(large, ["key", "lo", "hi"], "left_anti")
-        found.append(rest.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_index(length), "doc_id long, start long, windows long"))
+        copies = copies.unionByName(
+            rest.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_index(length), "doc_id long, start long, windows long"))
         if large.isEmpty():
             break
-        rows = stored(rows.join(large, ["key", "lo", "hi"], "left_semi").mapInArrow(_part(length), FETCHED), "op4-stretches")
-    for f in found:
-        copies = copies.unionByName(f)
+        halves = stored(rows.join(large, ["key", "lo", "hi"], "left_semi").mapInArrow(_part(length), FETCHED), "op4-stretches")
+        rows = halves.where("lo < hi")
+        # one offset left: a row is one window, equal to another exactly when their bytes are; no index, however many they are
+        single = halves.where("lo = hi")
+        same = (single.groupBy("lo", "bytes").agg(F.min(F.struct("doc_id", "start")).alias("first")).select("first.*"))
+        copies = copies.unionByName(single.join(same, ["doc_id", "start"], "left_anti").select(
+            "doc_id", "start", F.col("windows").cast("long")))
     place = F.col("start").bitwiseAND(F.lit(PLACE))
     return copies.groupBy("doc_id", F.shiftright("start", VERSION).alias("version")).agg(F.collect_list(F.struct(
         place.alias("lo"), (place + F.col("windows") + length - 1).alias("hi"))).alias("spans"))

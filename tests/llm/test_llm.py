@@ -150,6 +150,36 @@ def test_rows_that_repeat_a_doc_id(spark):
     assert {r.source: r.text for r in corpus_pipeline.drop_substrings(spark, docs, "").collect()} == kept
 
 
+def test_no_large_group_is_indexed(spark, monkeypatch):
+    """A hot passage between different texts: one window of many rows never reaches the index as one key."""
+    rng = np.random.default_rng(6)
+    word = lambda n: "".join(rng.choice(list("abcdefgh"), n))
+    hot, group, index = word(130), 8, substring_dedup._index
+
+    def limited(length):
+        def run(batches):
+            def seen(b):
+                if b.num_rows and max(np.unique(b.column("key").to_numpy(), return_counts=True)[1]) > group:
+                    raise ValueError("a large group in one key")
+                return b
+
+            return index(length)(map(seen, batches))
+
+        return run
+
+    monkeypatch.setattr(substring_dedup, "_index", limited)
+    rows = [(i, f"{word(120)}{hot}{word(120)}") for i in range(40)]
+    spans = substring_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string"), group=group).collect()
+    got = {r.doc_id: {k for x in r.spans for k in range(x.lo, x.hi)} for r in spans}
+    seen, want = set(), {}
+    for i, t in rows:
+        for s in range(len(t) - 99):
+            if t[s:s + 100] in seen:
+                want.setdefault(i, set()).update(range(s, s + 100))
+            seen.add(t[s:s + 100])
+    assert got == want and len(want) == 39
+
+
 @pytest.mark.parametrize("block", [512, 2])
 def test_near_duplicates(docs, empty, block):
     got = {r.doc_id: r for r in jaccard_join.near_duplicates(docs, block=block).collect()}
