@@ -7,7 +7,8 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_text, jaccard_join, line_dedup, packing, quality, sentencepieces, substring_dedup, toxicity, vector_dedup
+from . import (exact_dedup, filter_audit, hamming_search, html_text, jaccard_join, line_dedup, packing, quality, sentencepieces,
+               substring_dedup, toxicity, vector_dedup, whitening)
 from .common import table
 
 
@@ -112,6 +113,53 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of all usable embeddings along the four largest components."""
+    out = whitening.whitened(table(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes from all documents in each order, by language."""
+    classes = filter_audit.document_classes(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return filter_audit.interactions(classes, filter_audit.Rules.names, {"good_lost": "good", "toxic_lost": "toxic"})
+
+
+OP12_SQL = r"""
+with d as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t from documents),
+w as (select *, regexp_extract_all(t, '[^ 	-]+') as ws from d),
+m as (select doc_id, part, len(ws) < 200 as a, 100 * len(list_distinct(ws)) < 50 * len(ws) as b,
+             100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) as c, regexp_matches(t, '[#$%&*|]') as d,
+             coalesce(doc_id > min(doc_id) over (partition by t), false) as e from w),
+l as (select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels group by doc_id),
+k as (select part, a, b, c, d, e, coalesce(good, false) as good, coalesce(toxic, false) as toxic, count(*) as n
+      from m left join l using (doc_id) group by all),
+x as (select unnest(['A', 'B', 'C', 'D', 'E']) as f),
+o as (select p.f || q.f || r.f || s.f || u.f as filter_order from x p, x q, x r, x s, x u
+      where q.f <> p.f and r.f not in (p.f, q.f) and s.f not in (p.f, q.f, r.f) and u.f not in (p.f, q.f, r.f, s.f)),
+g as (select k.*, filter_order, least(case when a then instr(filter_order, 'A') else 9 end, case when b then instr(filter_order, 'B') else 9 end,
+             case when c then instr(filter_order, 'C') else 9 end, case when d then instr(filter_order, 'D') else 9 end,
+             case when e then instr(filter_order, 'E') else 9 end) as gone, a::int + b::int + c::int + d::int + e::int as fails from k, o),
+h as (select *, substr(filter_order, step, 1) as f,
+             case substr(filter_order, step, 1) when 'A' then a when 'B' then b when 'C' then c when 'D' then d else e end as failing
+      from g, (select unnest(range(1, 6)) as step)),
+s as (select part, filter_order, step::int as step, any_value(f) as f,
+             sum(case when gone > step then n else 0 end)::bigint as kept, sum(case when gone = step then n else 0 end)::bigint as removed,
+             sum(case when failing and gone < step then n else 0 end)::bigint as redundant,
+             sum(case when failing and fails = 1 then n else 0 end)::bigint as unique_fails,
+             sum(case when gone = step and good then n else 0 end)::bigint as good_lost,
+             sum(case when gone = step and toxic then n else 0 end)::bigint as toxic_lost from h group by all)
+select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) over (partition by part, f))::bigint as shapley from s
+"""
+
+
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest embeddings of every one whose vec_id is divisible by 100, among all."""
+    rows = table(spark, sf_dir, "embeddings")
+    return hamming_search.nearest(rows, rows.where(F.col("vec_id") % 100 == 0), k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -123,5 +171,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality": op10_quality,
+    "op11_whitening": op11_whitening,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_nearest": op13_nearest,
 }
-ORACLES: dict[str, str] = {"op6_exact_dedup": OP6_SQL, "op9_line_dedup": OP9_SQL}
+ORACLES: dict[str, str] = {"op6_exact_dedup": OP6_SQL, "op9_line_dedup": OP9_SQL, "op12_filter_audit": OP12_SQL}
