@@ -11,8 +11,8 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from encore.llm import (exact_dedup, html_text, jaccard_join, line_dedup, links, packing, quality, sentencepieces, substring_dedup,
-                        toxicity, vector_dedup)
+from encore.llm import (exact_dedup, filter_audit, hamming_search, html_text, jaccard_join, line_dedup, links, packing, quality, sentencepieces,
+                        substring_dedup, toxicity, vector_dedup, whitening)
 
 A = " ".join(f"word{i}" for i in range(60))
 TEXTS = ["", None, "   \n\t", "short", A, A, A.replace("word30 ", "other "), "Ä" + A + "\n\n" + A, "ab" * 400, "x\ny\nz\nw\nx\ny\nz",
@@ -280,3 +280,140 @@ def test_pipeline_keeps_columns_and_runs(spark):
         assert new.columns == docs.columns and 0 < new.count() <= docs.count(), name
         docs = spark.createDataFrame(new.collect(), new.schema)
     assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).select("doc_id").distinct().count() == docs.count()
+
+
+AWKWARD = [None, [], [0.0] * 6, [float("nan")] * 6, [float("-inf")] + [1.0] * 5, [1.0, None, 2.0, 3.0, 4.0, 5.0]]
+
+
+def _awkward_vectors(spark, n=70, seed=4):
+    """(id, vector) rows of two lengths with copies, ties, repeated ids, null ids and unusable vectors; and their table."""
+    rng = np.random.default_rng(seed)
+    v = [(rng.normal(size=6) * (1 + i % 3)).tolist() for i in range(n)]
+    rows = list(enumerate(v)) + [(100 + i, v[5]) for i in range(15)] + [(200 + i, x) for i, x in enumerate(AWKWARD)]
+    rows += [(300 + i, rng.normal(size=3).tolist()) for i in range(8)] + [(0, v[1]), (5, v[5]), (None, v[2]), (400, [2.0] + [0.0] * 5), (410, [-2.0] + [0.0] * 5)]
+    return rows, spark.createDataFrame([(i, x, 1, "c") for i, x in rows], "vec_id long, embedding array<double>, label int, score string")
+
+
+def _fine(x):
+    return bool(x) and all(c is not None and np.isfinite(c) for c in x)
+
+
+def test_bit_planes_count_exactly():
+    rng = np.random.default_rng(2)
+    for low, high, rows in [(-5, 6, 1), (-300, 300, 200), (0, 1, 65), (-(1 << 62), 1 << 62, 70), (7, 8, 64)]:
+        x = rng.integers(low, high, (rows, 5), dtype=np.int64)
+        s, c = whitening.scatter(x)
+        big = x.astype(object)
+        assert (s == big.sum(axis=0)).all() and (c == big.T @ big).all()
+
+
+def test_whitened(spark):
+    rows, df = _awkward_vectors(spark)
+    got = defaultdict(list)
+    for r in whitening.whitened(df).collect():
+        got[r.vec_id].append(r)
+    for d in (6, 3):
+        xs = [(i, np.floor(256 * np.array(x)).astype(int)) for i, x in rows if _fine(x) and len(x) == d]
+        fit = np.unique([x for _, x in xs], axis=0)
+        n, s = len(fit), fit.sum(axis=0)
+        c = (n * fit - s) / n
+        e, u = np.linalg.eigh(c.T @ c / n)
+        e, u = e[::-1], u[:, ::-1]
+        k = min(4, d)
+        for i in {i for i, _ in xs}:
+            mine = [(n * x - s) for j, x in xs if j == i]
+            for comp in range(k):
+                r = [x for x in got[i] if x.component == comp + 1]
+                assert len(r) == len(mine) and {x.n for x in r} == {n} and sorted(int(x.deviation) for x in r) == sorted(int((m ** 2).sum()) for m in mine)
+                want = sorted(abs(m / n @ u[:, comp]) / np.sqrt(e[comp]) for m in mine)
+                assert np.allclose(sorted(abs(x.whitened) for x in r), want) and abs(r[0].explained - e[comp] / e.sum()) < 1e-9
+                assert r[0].identity_error < 1e-9
+    assert set(got) == {i for i, x in rows if _fine(x)}
+    assert not whitening.whitened(df.limit(0)).count()
+
+
+def test_whitened_without_variance(spark):
+    df = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(4)] + [(9, [1.0, 2.0, 1e308])], "vec_id long, embedding array<double>")
+    got = whitening.whitened(df).collect()
+    assert len(got) == 4 * 2 + 3 and all(r.whitened == 0 and r.explained == 0 and r.n == 1 and r.identity_error == 1 for r in got)
+
+
+AUDIT = [("en", "Word " * 250 + "a"), ("en", " ".join(f"w{i}" for i in range(250))), (None, ""), ("de", None), ("de", "x#y"), ("en", "Word " * 250 + "a"),
+         ("fr", "ABC " + " ".join(f"Ärger{i}\x0bz" for i in range(300))), ("fr", "|" + " ".join(f"w{i}" for i in range(201))), ("de", "x#y"), ("", "tie tie\ttie")]
+
+
+@pytest.mark.parametrize("long_text", [1 << 20, 10])
+def test_filter_audit(spark, monkeypatch, long_text):
+    import itertools
+    import re
+
+    monkeypatch.setattr(filter_audit, "LONG_TEXT", long_text)
+    rows = [(i, t, p, 1) for i, (p, t) in enumerate(AUDIT)] + [(None, "x#y", "de", 1), (4, "x#y", "de", 1), (4, "other", "en", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, weight int")
+    labels = [(0, 1, 0), (5, 1, 1), (4, 0, 1), (4, 1, None), (None, 1, 1), (7, None, 1)]
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = {(r.part, r.filter_order, r.step): tuple(r)[3:] for r in filter_audit.interactions(
+        filter_audit.document_classes(docs, lab), "ABCDE", {"good_lost": "good", "toxic_lost": "toxic"}).collect()}
+    items = []
+    for i, t, p, _ in rows:
+        t = t or ""
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        fails = {"A": len(w) < 200, "B": 100 * len(set(w)) < 50 * len(w), "C": 100 * len(re.findall("[A-Z]", t)) > 3 * len(t),
+                 "D": bool(re.search(r"[#$%&*|]", t)), "E": i is not None and any(j is not None and j < i and (u or "") == t for j, u, _, _ in rows)}
+        items.append((p or "", {f for f in fails if fails[f]}, any(j == i and q == 1 for j, q, _ in labels if j is not None),
+                      any(j == i and x == 1 for j, _, x in labels if j is not None)))
+    want, total = {}, defaultdict(int)
+    for part in {x[0] for x in items}:
+        for o in map("".join, itertools.permutations("ABCDE")):
+            left = [x for x in items if x[0] == part]
+            for s, f in enumerate(o, 1):
+                out, seen = [x for x in left if f in x[1]], [x for x in items if x[0] == part]
+                left = [x for x in left if f not in x[1]]
+                want[part, o, s] = (len(left), len(out), sum(f in x[1] for x in seen) - len(out), sum(x[1] == {f} for x in seen),
+                                    sum(x[2] for x in out), sum(x[3] for x in out))
+                total[part, f] += len(out)
+    assert got == {k: (*v, total[k[0], k[1][k[2] - 1]]) for k, v in want.items()}
+    none = filter_audit.document_classes(docs.limit(0), lab)
+    assert not filter_audit.interactions(none, "ABCDE", {"good_lost": "good"}).count()
+
+
+@pytest.mark.parametrize("block", [32768, 4])
+def test_nearest_vectors(spark, block):
+    rows, df = _awkward_vectors(spark)
+    asking = df.where("vec_id % 5 = 0")
+    got = defaultdict(list)
+    # radii that reach all neighbours make the search exact
+    for r in hamming_search.nearest(df, asking, k=10, block=block, reach=1.0, first=4).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r)
+    good = [(i, np.array(x)) for i, x in rows if i is not None and _fine(x) and any(x)]
+    for q in {i for i, _ in good if i % 5 == 0}:
+        best = {}
+        for i, x in good:
+            for j, y in good:
+                if i == q and j != q and len(x) == len(y):
+                    d = float(np.sqrt(((x - y) ** 2).sum()))
+                    best[j] = min(d, best.get(j, d))
+        want = sorted((d, j) for j, d in best.items())[:10]
+        assert [r.rank for r in got[q]] == list(range(1, len(want) + 1))
+        assert np.allclose([r.score for r in got[q]], [d for d, _ in want]) and {r.vec_id for r in got[q]} == {j for _, j in want}, q
+    assert set(got) == {i for i, _ in good if i % 5 == 0}
+    assert not hamming_search.nearest(df.limit(0), asking).count() and not hamming_search.nearest(df, asking.limit(0)).count()
+
+
+def test_nearest_recall_and_large_values(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(3000, 32))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    x = x.astype(np.float32).astype(float)
+    got = defaultdict(set)
+    for r in hamming_search.nearest(df, df.where("vec_id % 50 = 0"), sample=1000, block=256, first=64).collect():
+        got[r.query_id].add(r.vec_id)
+    found = 0
+    for q in range(0, 3000, 50):
+        d = ((x - x[q]) ** 2).sum(axis=1)
+        d[q] = np.inf
+        found += len(got[q] & set(np.argsort(d)[:10].tolist()))
+    assert found / (60 * 10) >= 0.95
+    big = spark.createDataFrame([(0, [1e300, 0.0]), (1, [-1e300, 0.0]), (2, [0.0, 1e300]), (3, [1e-310, 1e-310])], "vec_id long, embedding array<double>")
+    near = {r.vec_id: r.score for r in hamming_search.nearest(big, big.where("vec_id = 0")).collect()}
+    assert set(near) == {1, 2, 3} and np.allclose([near[1], near[2], near[3]], [2e300, 2 ** 0.5 * 1e300, 1e300])
