@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, texts
+from .common import stored, texts, versions, with_version
 from .links import by_bucket, components, counted_here, in_blocks, local_roots
 
 SHINGLE, SIMILARITY, RECALL, DEPTH, TOKENS, BLOCK = 5, 0.8, 0.999, 3, 128, 512
@@ -122,7 +122,7 @@ def similar_sets(sets: list[np.ndarray], similarity: float) -> np.ndarray:
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                     similarity: float = SIMILARITY, recall: float = RECALL, depth: int = DEPTH, block: int = BLOCK) -> DataFrame:
-    """One row per input row: doc_id, n_links, component_id, kept.
+    """One row per input row: doc_id, version, n_links, component_id, kept.
 
     Texts are linked when the sets of their shingles (``shingle`` lower-case words between white space)
     have a Jaccard similarity of ``similarity`` or more; ``n_links`` counts the other rows linked directly,
@@ -131,11 +131,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     with a chance of ``recall`` or more, a pair above it with a larger one; no pair below is linked.
 
     A text of fewer words is one shingle of them all; null, empty and blank texts have none and link with
-    nothing. Rows without doc_id are left out; rows that repeat a doc_id count one by one; an empty table
-    gives no rows. Other columns are not read.
+    nothing. Rows without doc_id are left out; rows that repeat a doc_id count one by one, and where their texts differ
+    ``version`` numbers these (see :func:`common.versions`; 0 otherwise): of a component, the rows of the smallest
+    doc_id and then version are kept. An empty table gives no rows. Other columns are not read.
     """
     n_runs = runs(similarity, depth, recall)
-    base = texts(docs, key, text)
+    plain = texts(docs, key, text)
+    base = with_version(plain, versions(plain, "op2"))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -154,15 +156,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
                 m = np.array(sig).reshape(-1, TOKENS)
                 k = leaves(m, depth, n_runs)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(digest, pa.binary()), pa.array(n, pa.int64()),
+                    [pa.array(ids, pa.int64()), part.column("version"), pa.array(digest, pa.binary()), pa.array(n, pa.int64()),
                      pa.array([x.tobytes() for x in (m & np.uint64(255)).astype(np.uint8)], pa.binary()),
                      pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1) * k.shape[1], pa.int32()), pa.array(k.ravel()))],
-                    ["doc_id", "digest", "n", "sketch", "keys"])
+                    ["doc_id", "version", "digest", "n", "sketch", "keys"])
 
-    rows = stored(base.mapInArrow(sketch, "doc_id long, digest binary, n long, sketch binary, keys array<long>"), "op2-sketches")
+    rows = stored(base.mapInArrow(sketch, "doc_id long, version long, digest binary, n long, sketch binary, keys array<long>"), "op2-sketches")
     classes = stored(rows.where("digest is not null").groupBy("digest").agg(
-        F.min("doc_id").alias("id"), F.count("*").alias("weight"), F.first("n").alias("n"), F.first("sketch").alias("sketch"),
-        F.first("keys").alias("keys")), "op2-classes")
+        F.min(F.struct("doc_id", "version")).alias("first"), F.count("*").alias("weight"), F.first("n").alias("n"), F.first("sketch").alias("sketch"),
+        F.first("keys").alias("keys")).withColumn("id", F.monotonically_increasing_id()), "op2-classes")  # unique once written
 
     # which members of which buckets have a candidate that counts there: sizes and sketches tell
     members = in_blocks(classes.select("id", "keys"), block, "op2").join(classes.select("id", "n", "sketch", "keys"), "id")
@@ -187,7 +189,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     needed = stored(by_bucket(members, candidates, "key long, i long, j long, part long, id long"), "op2-needed")
 
     # the sets themselves, for those members only
-    wanted = needed.select(F.col("id").alias("doc_id")).distinct()
+    wanted = needed.select("id").distinct().join(classes.select("id", "digest", "first.doc_id", "first.version"), "id")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = Shingles(shingle)
@@ -195,13 +197,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
             for lo in range(0, b.num_rows, 256):
                 part = b.slice(lo, 256)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([cut(t).tobytes() for t in part.column("text").to_pylist()], pa.binary())],
+                    [part.column("id"), pa.array([cut(t).tobytes() for t in part.column("text").to_pylist()], pa.binary())],
                     ["id", "shingles"])
 
-    chosen = (base.join(wanted, "doc_id", "left_semi").mapInArrow(sets, "id long, shingles binary"))
-    chosen = chosen.withColumn("digest_n", F.octet_length("shingles")).join(
-        classes.select("id", "weight", "keys", (F.col("n") * 8).cast("int").alias("digest_n")), ["id", "digest_n"])
-    chosen = chosen.groupBy("id").agg(*[F.first(c).alias(c) for c in ("shingles", "weight", "keys")])
+    chosen = base.join(wanted, ["doc_id", "version"]).select("id", "text").mapInArrow(sets, "id long, shingles binary")
+    chosen = chosen.groupBy("id").agg(F.first("shingles").alias("shingles")).join(classes.select("id", "weight", "keys"), "id")
 
     def verify(leaf: int, i: int, j: int, c: dict) -> dict | None:
         ids, part = c["id"].to_numpy(), c["part"].to_numpy()
@@ -216,10 +216,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     found = stored(by_bucket(needed.join(chosen, "id"), verify, "id long, links long, root long"), "op2-links")
     n = found.groupBy("id").agg(F.sum("links").alias("links"))
     part_of = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")), "op2")
-    result = stored(classes.select("digest", "id", "weight").join(n, "id", "left").join(part_of, "id", "left").select(
-        "digest", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
-        F.coalesce("component", "id").alias("component_id")), "op2-result")
-    return (rows.select("doc_id", "digest").join(result, "digest", "left")
-            .select("doc_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                    F.coalesce("component_id", "doc_id").alias("component_id"))
-            .withColumn("kept", F.col("doc_id") == F.col("component_id")))
+    least = part_of.join(classes.select("id", "first"), "id").groupBy("component").agg(F.min("first").alias("least"))
+    part_of = part_of.join(least, "component").select("id", "least")
+    result = stored(classes.select("digest", "id", "first", "weight").join(n, "id", "left").join(part_of, "id", "left").select(
+        "digest", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("least", "first").alias("least")), "op2-result")
+    own = F.struct("doc_id", "version")
+    return (rows.select("doc_id", "version", "digest").join(result, "digest", "left")
+            .select("doc_id", "version", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+                    F.coalesce("least.doc_id", "doc_id").alias("component_id"), (F.coalesce("least", own) == own).alias("kept")))

@@ -76,14 +76,16 @@ def linked(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", c
     ``n_links`` counts the other rows linked directly (cosine of at least ``cosine``), ``component_id`` is the
     smallest vec_id reachable by links, itself included. Vectors that are null, empty, zero or hold null or non-finite
     components, and vectors of different lengths, link with nothing. Equal vectors are compared once and counted as
-    often as they occur. Rows without key are left out; rows that repeat a key with the same vector count one by one;
+    often as they occur. Rows without key are left out; rows that repeat a key count one by one, with the same vector or another;
     an empty table gives no rows. Other columns (labels too) are not read.
     """
     v = F.col(f"`{vector}`")
     rows = vectors.select(F.col(f"`{key}`").cast("long").alias("vec_id"), v.alias("v")).where("vec_id is not null")
     good = rows.where(F.col("v").isNotNull() & (F.size("v") > 0) & ~F.exists(
         "v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("v", lambda x: x != 0))
-    same = stored(good.groupBy("v").agg(F.min("vec_id").alias("id"), F.count("*").alias("weight")), "op3-vectors")
+    # a vector's own number, unique once written; ids may come with several vectors
+    same = stored(good.groupBy("v").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("weight"))
+                  .withColumn("id", F.monotonically_increasing_id()), "op3-vectors")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -127,8 +129,10 @@ def linked(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", c
     found = stored(by_bucket(members, compare, "id long, links long, root long"), "op3-links")
     n = found.groupBy("id").agg(F.sum("links").alias("links"))
     part_of = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")), "op3")
+    ids = same.select("id", "vec_id").join(part_of, "id").groupBy("component").agg(F.min("vec_id").alias("least"))
+    part_of = part_of.join(ids, "component").select("id", "least")
     classes = stored(same.join(n, "id", "left").join(part_of, "id", "left").select(
-        "v", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id")),
+        "v", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("least", "vec_id").alias("component_id")),
         "op3-classes")
     return (rows.join(classes, "v", "left")
             .select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
