@@ -10,23 +10,29 @@ from __future__ import annotations
 import re
 import zlib
 from dataclasses import dataclass
-from typing import Iterator
+from typing import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import texts
 
 #: Most labelled rows that the fit reads (those with the smallest hashes of their ids).
 MAX_LABELLED = 16_000
-#: Slots, factors of each term, and the share of the sample's documents that a term must occur in (3 at least).
-SLOTS, FACTORS, MIN_SHARE = 1 << 20, 4, 0.002
+#: Slots, factors of each term, and labelled documents that a term must occur in to be known.
+SLOTS, FACTORS, MIN_DOCUMENTS = 1 << 20, 4, 5
 PREFIXES = (4, 5)
-EPOCHS, BATCH, RATE, PENALTY = 8, 256, 0.2, 1e-3
-#: Standard deviations from chance at which a term's steps begin, and over which they reach full size.
-LEAN = (1.5, 3.0)
+EPOCHS, BATCH = 20, 256
+#: Steps and penalties of weights and factors, and the factors' spread at the start.
+RATE, PENALTY = 0.2, 1e-3
+PAIR_RATE, PAIR_PENALTY, START = 0.1, 0.03, 0.03
+#: Standard deviations from chance at which a term counts as leaning, over which it comes to lean in full, and the further penalty
+#: of a weight (not of factors) whose term does not lean.
+LEAN, NEUTRAL = (1.5, 3.0), 0.02
 #: One row in so many sets the bias alone.
 ASIDE = 5
 #: Words whose slots a task remembers before it starts anew.
@@ -84,11 +90,9 @@ def _sums(x: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def _pairs(v: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sum over a row's pairs of terms of their factors' product, divided by the row's number of
-    terms, so that long texts are not all pairs; and the rows' sums of factors."""
+    """Sum over a row's pairs of terms of their factors' product, whole in texts of any length; and the rows' sums of factors."""
     s = _sums(v, ends)
-    n = np.maximum(1, np.diff(np.concatenate([[0], ends])))
-    return (0.5 * (s * s - _sums(v * v, ends)) / n[:, None]).sum(axis=1), s
+    return (0.5 * (s * s - _sums(v * v, ends))).sum(axis=1), s
 
 
 def fit(rows: list[np.ndarray], y: np.ndarray, seed: int = 0) -> Machine:
@@ -113,22 +117,25 @@ def fit(rows: list[np.ndarray], y: np.ndarray, seed: int = 0) -> Machine:
 
 
 def _weights(rows: list[np.ndarray], y: np.ndarray, seed: int) -> Machine:
-    """Adagrad on logistic loss. Terms of few documents get no weights."""
+    """Adagrad on logistic loss with penalties applied after each step. Terms of fewer than ``MIN_DOCUMENTS`` rows get no weights. The weight of a
+    term that occurs among rows of label 1 as chance has it is held down by a larger penalty; factors of all known terms
+    learn alike, so that terms neutral alone can weigh as a pair."""
     seen = np.bincount(np.concatenate(rows), minlength=SLOTS) if rows else np.zeros(SLOTS, int)
-    known = np.flatnonzero(seen >= max(3, MIN_SHARE * len(rows)))
+    known = np.flatnonzero(seen >= MIN_DOCUMENTS)
     places = np.full(SLOTS, -1, dtype=np.int32)
     places[known] = np.arange(len(known))
     rows = [p[p >= 0] for p in (places[r] for r in rows)]
     rng = np.random.default_rng(seed)
     rate = float(np.clip(y.mean(), 1e-3, 1 - 1e-3)) if len(y) else 0.5
-    m = Machine(places, float(np.log(rate / (1 - rate))), np.zeros(len(known)), rng.normal(0, 0.01, (len(known), FACTORS)))
+    m = Machine(places, float(np.log(rate / (1 - rate))), np.zeros(len(known)), rng.normal(0, START, (len(known), FACTORS)))
     if not len(known) or not 0 < y.sum() < len(y):
+        m.v[:] = 0.0
         return m
-    # a term's steps grow with its lean: how far its count among rows of label 1 is from what chance gives
     among = np.bincount(np.concatenate([r for r, t in zip(rows, y) if t]), minlength=len(known))
     chance = seen[known] * rate
     lean = np.clip((np.abs(among - chance) / np.sqrt(chance + 0.5) - LEAN[0]) / LEAN[1], 0.0, 1.0)
-    gw, gv = np.full(len(known), 1e-6), np.full((len(known), FACTORS), 1e-6)
+    held, size_of = PENALTY + NEUTRAL * (1 - lean), 0.1 + 0.9 * lean
+    gw, gv = np.full(len(known), 1e-6), np.full((len(known), FACTORS), 1e-4)
     for _ in range(EPOCHS):
         order = rng.permutation(len(rows))
         for lo in range(0, len(order), BATCH):
@@ -141,16 +148,21 @@ def _weights(rows: list[np.ndarray], y: np.ndarray, seed: int) -> Machine:
             z = np.clip(m.bias + _sums(m.w[flat], ends) + pair, -30, 30)
             g = 1 / (1 + np.exp(-z)) - y[pick]
             m.bias -= RATE * float(g.mean())
+            if not len(flat):
+                continue
             at, inv = np.unique(flat, return_inverse=True)
-            each = np.repeat(g, size)
-            dw = np.bincount(inv, each, len(at)) + PENALTY * len(pick) * m.w[at]
+            dw = np.bincount(inv, np.repeat(g, size), len(at))
             gw[at] += dw * dw
-            dv = np.repeat(g / np.maximum(1, size), size)[:, None] * (np.repeat(s, size, axis=0) - vx)
+            step = RATE / np.sqrt(gw[at])
+            m.w[at] = (m.w[at] - step * size_of[at] * dw) / (1 + step * held[at] * len(pick))
+            # a long text's many factors do not make its step larger
+            each = g * np.minimum(1.0, 1.0 / np.maximum(np.linalg.norm(s, axis=1), 1e-9))
+            dv = np.repeat(each, size)[:, None] * (np.repeat(s, size, axis=0) - vx)
             for f in range(FACTORS):
-                d = np.bincount(inv, dv[:, f], len(at)) + PENALTY * len(pick) * m.v[at, f]
+                d = np.bincount(inv, dv[:, f], len(at))
                 gv[at, f] += d * d
-                m.v[at, f] -= RATE * lean[at] * d / np.sqrt(gv[at, f])
-            m.w[at] -= RATE * lean[at] * dw / np.sqrt(gw[at])
+                step = PAIR_RATE / np.sqrt(gv[at, f])
+                m.v[at, f] = (m.v[at, f] - step * d) / (1 + step * PAIR_PENALTY * len(pick))
     return m
 
 
@@ -176,25 +188,34 @@ def trained(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str =
 
 
 def scored(docs: DataFrame, machine: Machine, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, score, predicted) for each row, from its whole text alone.
+    """(doc_id, score, predicted) for each row, from its whole text alone: see :func:`judged`.
 
     ``score`` lies between 0 and 1 (higher: more likely toxic), ``predicted`` is 1 from one half on.
     Null and empty texts have no terms and get the bias alone; rows that repeat a doc_id each
     give a row; rows without doc_id are left out; an empty table gives no rows. Other columns
     are not read.
     """
+    return judged(texts(docs, key, text), machine, "text", ("doc_id",))
+
+
+def judged(docs: DataFrame, machine: Machine, text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+    """(keep..., score, predicted): each row of ``docs`` with the columns ``keep``, whatever its key; no shuffle."""
     # at most SLOTS places and as many weights, whatever the input
     send = docs.sparkSession.sparkContext.broadcast((machine.places, machine.bias, machine.w, machine.v))
 
-    def run(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Machine(*send.value)
         terms = Terms(m.places)
-        for pdf in rows:
-            for lo in range(0, len(pdf), 256):
-                part = pdf.iloc[lo:lo + 256]
-                found = [terms(t) for t in part["text"]]
+        for b in batches:
+            for lo in range(0, b.num_rows, 256):
+                part = b.slice(lo, 256)
+                found = [terms(t) for t in part.column("__text").to_pylist()]
                 z = m.margin(np.concatenate(found), np.cumsum([len(x) for x in found]))
                 s = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-                yield pd.DataFrame({"doc_id": part["doc_id"], "score": s, "predicted": (s >= 0.5).astype("int32")})
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names], pa.array(s), pa.array(s >= 0.5).cast(pa.int32())],
+                                                 [*names, "score", "predicted"])
 
-    return texts(docs, key, text).mapInPandas(run, "doc_id long, score double, predicted int")
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("__text"))
+    names = list(keep)
+    schema = T.StructType([*[rows.schema[c] for c in names], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+    return rows.mapInArrow(run, schema)
