@@ -229,7 +229,12 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec
         # a bounded sample: at most ``sample`` vectors reach the driver
         rows = points.where(F.col("d") == d).orderBy("h", "id").limit(sample).select("x").toPandas()["x"]
         codes[d] = learned(np.stack([np.asarray(v, dtype=np.float64) for v in rows]), k, reach=reach)
-    send = spark.sparkContext.broadcast((codes, counts))
+    # a sample and projections for each length, as plain values: a task need not have this package installed
+    send = spark.sparkContext.broadcast(({d: vars(c) for d, c in codes.items()}, counts))
+
+    def received() -> tuple[dict[int, Codes], dict[int, int]]:
+        return {d: Codes(**c) for d, c in send.value[0].items()}, send.value[1]
+
     block = max(1, min(block, BLOCK_BYTES // (8 * max(counts, default=1))))
 
     def matrices(b: pa.RecordBatch, rows: int = 1024) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -242,7 +247,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec
                 yield at[lo:lo + rows], flat[ends[at[lo:lo + rows]][:, None] + np.arange(d)]
 
     def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, n = send.value
+        known, n = received()
         for b in batches:
             for at, x in matrices(b):
                 c = known[x.shape[1]]
@@ -260,7 +265,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec
     index = index.select("d", "sub", "grp", "part", F.lit(False).alias("asks"), "id", "h", "code", F.lit(0).alias("radius"), "v")
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, n = send.value
+        known, n = received()
         for b in batches:
             for at, x in matrices(b, 64):
                 if x.shape[1] not in known:
@@ -282,7 +287,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec
                     .withColumn("h", F.xxhash64("v")), "op13-queries")
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, n = send.value
+        known, n = received()
         for b in batches:
             size, code, radius = b.column("d").to_numpy(), b.column("code").to_numpy().view(np.uint64), b.column("radius").to_numpy()
             for d in np.unique(size):
@@ -298,7 +303,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec
                                                          ["d", "sub", "grp", "id", "h", "code", "radius", "v"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, _ = send.value
+        known, _ = received()
         held: list[pa.RecordBatch] = []
 
         def take(held: list[pa.RecordBatch], dim: int) -> dict:
@@ -354,7 +359,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec
         return stored(found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1), name)
 
     def tightened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, _ = send.value
+        known, _ = received()
         for b in batches:
             new = b.column("radius").to_numpy().copy()
             size, score = b.column("d").to_numpy(), b.column("score").to_numpy(zero_copy_only=False)

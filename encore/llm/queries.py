@@ -27,7 +27,7 @@ select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(n) as text_
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Later copies of runs of three or more lines removed from all documents; one row per document."""
+    """Later copies of runs of three lines or fifty words removed from all documents; one row per document."""
     out = line_dedup.without_repeated_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2("text", 256).alias("kept_sha256"))
 
@@ -35,12 +35,16 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP9_SQL = r"""
 with l as (select doc_id, string_split(coalesce(text, ''), chr(10)) as a from documents),
 e as (select doc_id, generate_subscripts(a, 1) - 1 as i, unnest(a) as x from l),
-c as (select doc_id, i, x, row_number() over (partition by doc_id order by i) - 1 as j
+c as (select doc_id, i, x, row_number() over (partition by doc_id order by i) - 1 as j,
+             len(regexp_split_to_array(trim(translate(x, chr(9) || chr(13) || chr(11) || chr(12), '    ')), ' +')) as words
       from e where trim(translate(x, chr(9) || chr(13) || chr(11) || chr(12), '    ')) <> ''),
-w as (select doc_id, j, x as x0, lead(x, 1) over o as x1, lead(x, 2) over o as x2 from c
+o as (select doc_id, j, x as x0, lead(x, 1) over o as x1, lead(x, 2) over o as x2, words as w0, lead(words, 1) over o as w1 from c
       window o as (partition by doc_id order by j)),
-f as (select doc_id, j, row_number() over (partition by x0, x1, x2 order by doc_id, j) as rn from w where x2 is not null),
-r as (select distinct c.doc_id, c.i from f join c on c.doc_id = f.doc_id and c.j between f.j and f.j + 2 where f.rn > 1),
+w as (select doc_id, j, 3 as k, x0, x1, x2 from o where x2 is not null
+      union all select doc_id, j, 2, x0, x1, '' from o where x1 is not null and w0 + w1 >= 50
+      union all select doc_id, j, 1, x0, '', '' from o where w0 >= 50),
+f as (select doc_id, j, k, row_number() over (partition by k, x0, x1, x2 order by doc_id, j) as rn from w),
+r as (select distinct c.doc_id, c.i from f join c on c.doc_id = f.doc_id and c.j between f.j and f.j + f.k - 1 where f.rn > 1),
 k as (select e.doc_id, count(*) as n_lines, count(r.i) as n_removed,
              coalesce(string_agg(case when r.i is null then e.x end, chr(10) order by e.i), '') as kept
       from e left join r on r.doc_id = e.doc_id and r.i = e.i group by e.doc_id),
@@ -102,7 +106,7 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate texts among all documents by five-word shingles."""
-    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_links", "component_id", "kept")
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,7 +131,8 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP12_SQL = r"""
 with d as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t from documents),
-w as (select *, regexp_extract_all(t, '[^ 	-]+') as ws from d),
+w as (select *, regexp_extract_all(t, '[^ 	-
+]+') as ws from d),
 m as (select doc_id, part, len(ws) < 200 as a, 100 * len(list_distinct(ws)) < 50 * len(ws) as b,
              100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) as c, regexp_matches(t, '[#$%&*|]') as d,
              coalesce(doc_id > min(doc_id) over (partition by t), false) as e from w),

@@ -314,15 +314,34 @@ def _spans(all_rows: DataFrame, numbers: DataFrame | None, length: int, group: i
         place.alias("lo"), (place + F.col("windows") + length - 1).alias("hi"))).alias("spans"))
 
 
+def whole_characters(pieces: Sequence[bytes]) -> str:
+    """Text of what is left between removed spans: bytes of a character that a span's edge cut in two go, all other bytes stay."""
+    out = []
+    for i, p in enumerate(pieces):
+        lo, hi = 0, len(p)
+        while i and lo < min(3, hi) and p[lo] & 0xC0 == 0x80:
+            lo += 1
+        if i < len(pieces) - 1:
+            for back in range(1, min(3, hi - lo) + 1):
+                b = p[hi - back]
+                if b >= 0xC0:  # a character's first byte: all of it must follow
+                    hi -= back if back < (2 if b < 0xE0 else 3 if b < 0xF0 else 4) else 0
+                    break
+                if b < 0x80:
+                    break
+        out.append(p[lo:hi])
+    return b"".join(out).decode("utf-8", "replace")
+
+
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH,
-                    rest: Sequence[str] = ()) -> DataFrame:
+                    rest: Sequence[str] = (), characters: bool = False) -> DataFrame:
     """One row per input row: doc_id, n_bytes, removed (maximal spans [lo, hi) in order), kept (binary: the other bytes).
-    With ``rest``, also a struct ``rest`` of the row's columns of these names.
-    See :func:`repeated_spans`; a text without repeats stays whole."""
+    With ``rest``, also a struct ``rest`` of the row's columns of these names. With ``characters``, ``kept`` is text: see
+    :func:`whole_characters`. See :func:`repeated_spans`; a text without repeats stays whole."""
     rows = texts(carried(docs, list(rest)), key, text, *(["rest"] if rest else []))
     numbers = versions(rows.select("doc_id", "text"), "op4")
     spans = stored(_spans(rows.select("doc_id", "text"), numbers, length, GROUP), "op4-spans")
-    schema = T.StructType.fromDDL(f"doc_id long, n_bytes long, removed {SPAN}, kept binary")
+    schema = T.StructType.fromDDL(f"doc_id long, n_bytes long, removed {SPAN}, kept {'string' if characters else 'binary'}")
     if rest:
         schema = schema.add(rows.schema["rest"])
 
@@ -343,9 +362,10 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
                     edges = [0, *(e for r in runs for e in r), len(data)]
                     size.append(len(data))
                     gone.append([{"lo": lo, "hi": hi} for lo, hi in runs])
-                    kept.append(b"".join(data[lo:hi] for lo, hi in zip(edges[::2], edges[1::2])))
+                    pieces = [data[lo:hi] for lo, hi in zip(edges[::2], edges[1::2])]
+                    kept.append(whole_characters(pieces) if characters else b"".join(pieces))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(size, pa.int64()), pa.array(gone, kind), pa.array(kept, pa.binary()),
+                    [part.column("doc_id"), pa.array(size, pa.int64()), pa.array(gone, kind), pa.array(kept, pa.string() if characters else pa.binary()),
                      *([part.column("rest")] if rest else [])], schema.names)
 
     return with_version(rows, numbers).join(spans, ["doc_id", "version"], "left").mapInArrow(run, schema)

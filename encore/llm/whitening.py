@@ -207,11 +207,11 @@ def whitened(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
     points = stored(rows.select("x").distinct(), "op11-points")
     fits = fit(points, components)
     errors = identity_errors(points, fits)
-    # by length: n, d sums and d x components numbers, whatever the rows
-    send = vectors.sparkSession.sparkContext.broadcast((fits, errors))
+    # by length: n, d sums and d x components numbers, whatever the rows; plain values, as a task need not have this package installed
+    send = vectors.sparkSession.sparkContext.broadcast(({d: vars(f) for d, f in fits.items()}, errors))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, err = send.value
+        known, err = {d: Whitening(**f) for d, f in send.value[0].items()}, send.value[1]
         for b in batches:
             for at, x in _matrices(b):
                 f = known[x.shape[1]]

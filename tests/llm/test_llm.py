@@ -54,20 +54,30 @@ def test_chunks_make_up_the_text(spark):
         assert "".join(r.chunks) == r.norm and all(len(c) <= 5000 for c in r.chunks)
 
 
-def test_lines(docs, empty):
+def test_lines(spark, docs, empty):
+    long = " ".join(f"w{i}" for i in range(80))
+    half = [" ".join(f"{c}{i}" for i in range(30)) for c in "pqr"]
+    more = ["own\n" + long, "other\n" + long + "\nend", long, half[0] + "\n" + half[1] + "\nx", "y\n" + half[0] + "\n\n" + half[1], half[0] + "\n" + half[2],
+            half[1] + "\n" + half[0], long + "\nshort tail", "z\n" + long + "\nshort tail"]
+    rows = [(7, 200 + i, t, "s", "k", 1) for i, t in enumerate(more)]
+    every = texts() | {200 + i: t for i, t in enumerate(more)}
+    docs = docs.unionByName(spark.createDataFrame(rows, SCHEMA))
     got = {r.doc_id: r for r in line_dedup.without_repeated_lines(docs).collect()}
     seen: set = set()
-    for i, t in texts().items():
+    for i, t in every.items():
         lines = t.split("\n")
         full = [k for k, x in enumerate(lines) if x.strip(" \t\r\x0b\x0c")]
         gone = set()
-        for j in range(len(full) - 2):
-            w = tuple(lines[k] for k in full[j:j + 3])
-            gone |= set(full[j:j + 3]) if w in seen else set()
-            seen.add(w)
+        for j in range(len(full)):
+            for size in (1, 2, 3):
+                w = tuple(lines[k] for k in full[j:j + size])
+                if len(w) == size and (size == 3 or sum(len(x.split()) for x in w) >= 50):
+                    gone |= set(full[j:j + size]) if w in seen else set()
+                    seen.add(w)
         assert got[i].text == "\n".join(x for k, x in enumerate(lines) if k not in gone), i
         assert (got[i].n_lines, got[i].n_removed) == (len(lines), len(gone))
-    assert not line_dedup.without_repeated_lines(empty).count()
+    assert got[201].n_removed == 1 and got[202].n_removed == 1 and got[204].n_removed == 2 and got[205].n_removed == got[206].n_removed == 0
+    assert got[208].n_removed == 2 and not line_dedup.without_repeated_lines(empty).count()
 
 
 @pytest.mark.parametrize("mixture", [None, {"s0": 1.0, "s1": 5.0}])
@@ -198,6 +208,33 @@ def test_near_duplicates(docs, empty, block):
     assert not jaccard_join.near_duplicates(empty).count()
 
 
+def test_one_id_with_several_texts_or_vectors(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(1, a), (1, b), (2, a.replace("a30 ", "x ")), (3, b.replace("b30 ", "y ")), (4, "own text of its own here"), (1, a)]
+    got = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    at = defaultdict(list)
+    for r in got:
+        at[r.doc_id].append((r.n_links, r.component_id, r.kept))
+    assert sorted(at[1]) == [(1, 1, True), (2, 1, True), (2, 1, True)] and at[2] == [(2, 1, False)] and at[3] == [(1, 1, False)] and at[4] == [(0, 4, True)]
+    x, y = [1.0] + [0.0] * 7, [0.0, 1.0] + [0.0] * 6
+    vec = [(1, x), (1, y), (2, [1.0, 0.1] + [0.0] * 6), (3, [0.1, 1.0] + [0.0] * 6), (4, [0.0] * 7 + [1.0])]
+    got = [tuple(r) for r in vector_dedup.linked(spark.createDataFrame(vec, "vec_id long, embedding array<double>")).collect()]
+    assert sorted(got) == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (4, 0, 4, True)]
+
+
+def test_whole_characters():
+    text = "aä\ufffd日😀b"
+    data = text.encode()
+    for lo in range(len(data) + 1):
+        for hi in range(lo, len(data) + 1):
+            kept, at = "", 0
+            for c in text:
+                n = len(c.encode())
+                kept += c if at + n <= lo or at >= hi or lo == hi else ""
+                at += n
+            assert substring_dedup.whole_characters([data[:lo], data[hi:]] if lo < hi else [data]) == kept
+
+
 def test_chosen_path_recall():
     assert jaccard_join.miss(0.8, 3) ** jaccard_join.runs(0.8, 3, 0.999) <= 0.001
 
@@ -259,6 +296,23 @@ def test_toxicity_held_out(spark):
     assert right > 0.95 and len(got) == 401 and 0 <= got[1000].score <= 1
 
 
+def test_pairs_of_neutral_terms_are_learned():
+    rng = np.random.default_rng(0)
+    for kind in ("agree", "and"):
+        rows, label = [], []
+        for _ in range(4000):
+            a, b = rng.random(2) < 0.5
+            x = set(rng.integers(100, 2100, rng.integers(5, 60)).tolist()) | ({1} if a else set()) | ({2} if b else set())
+            rows.append(np.array(sorted(x), dtype=np.int32))
+            label.append(int(a == b) if kind == "agree" else int(a and b))
+        y = np.array(label)
+        m = toxicity.fit(rows[:3000], y[:3000])
+        known = [p[p >= 0] for p in (m.places[r] for r in rows[3000:])]
+        z, t = m.margin(np.concatenate(known), np.cumsum([len(k) for k in known])), y[3000:]
+        place = np.argsort(np.argsort(z))
+        assert (place[t == 1].sum() - t.sum() * (t.sum() - 1) / 2) / (t.sum() * (1 - t).sum()) > 0.95, kind
+
+
 def test_quality_held_out(spark):
     got, right = _labelled(spark, quality, lambda i, t: t.capitalize() + "." if i % 4 == 0 else t.replace(" ", "$$ "), "quality")
     assert right > 0.95 and len(got) == 401 and 0 <= got[1000].score <= 1
