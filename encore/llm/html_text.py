@@ -3,8 +3,8 @@
 A page is a sequence of words and tags. Words score positive (less so in links and in places
 where labelled pages have boilerplate), tags negative; the weights are log odds of lying inside
 the marked article of labelled pages. One linear scan finds the contiguous run of the highest
-sum, widened to whole blocks. What is boilerplate by its element or its name never
-enters the text, wherever the run lies.
+sum, widened to whole blocks. What is boilerplate by its element never enters the text, wherever the run lies; what is so
+by its name enters only if it wraps the page's content; article elements count if they hold most of the words.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_left
+from itertools import accumulate
 from typing import Iterator
 
 import pandas as pd
@@ -40,91 +42,178 @@ NAMES = ("ad ads advert adverts advertisement advertising sponsor sponsored prom
 #: Weights where no labelled page tells otherwise.
 WORD, LINK_WORD, TAG, EDGE = 1.0, -0.5, -0.2, 4.0
 
-_PART = re.compile(
-    r"<!--.*?(?:-->|$)|<[!?][^>]*>?"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+#: One attribute: a name, and a value in quotes or up to white space or the tag's end. A quote that is not closed runs to the page's end.
+_ATTRIBUTE = re.compile(r"[\s/]*([^\s/>=]?[^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)(?:\"|$)|'([^']*)(?:'|$)|([^\s>]*)))?")
+_SPECIAL = re.compile(r"<(?=[a-zA-Z!?]|/[a-zA-Z])")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-_NAMES, _BLOCKS, _RAW, _OUT, _VOID = set(NAMES), set(BLOCKS), set(RAW), set(LEFT_OUT), set(VOID)
+_NAMES, _BLOCKS, _RAW, _OUT, _VOID, _FENCE = set(NAMES), set(BLOCKS), set(RAW), set(LEFT_OUT), set(VOID), set(FENCE)
 
 
-def boilerplate(tag: str, attrs: str, in_article: bool) -> bool:
-    if tag in _OUT or tag == "header" and not in_article:
-        return True
-    if not attrs.strip():
-        return False
-    if _HIDDEN.search(attrs):
-        return True
-    if tag in ("html", "body", "main", "p") and "comment" not in attrs and "notice" not in attrs and "ad" not in attrs:
-        return False
-    for m in _NAMED.finditer(attrs):
-        if any(w.lower() in _NAMES for w in _WORD.findall(m.group(1) or m.group(2) or m.group(3) or "")):
-            return tag != "header" or not in_article
-    return False
-
-
-def parts(page: str) -> Iterator[tuple[str, str, str, bool, bool, bool]]:
-    """(kind, value, block, in_link, in_article, left_out) in page order; kind is 'text', 'tag' or 'break'
-    (a tag that ends a block). Unclosed and crossing elements are closed as browsers mostly do."""
-    stack: list[tuple[str, bool, bool]] = []  # element, left out, article
-    out = link = article = 0
-    block = "body"
-    at, n = 0, len(page)
-
-    def close(k: int) -> None:
-        nonlocal out, link, article
-        for tag, o, a in stack[k:]:
-            out -= o
-            article -= a
-            link -= tag == "a"
-        del stack[k:]
-
+def tag_end(page: str, at: int) -> tuple[dict[str, str], bool, int]:
+    """(attributes, self-closing, end) of the tag whose name ends at ``at``, by the tokenizer rules of HTML; the end is beyond
+    the page where nothing closes the tag. Each character is read once."""
+    found: dict[str, str] = {}
+    n = len(page)
     while at < n:
-        m = _PART.search(page, at)
-        if m is None or m.start() > at:
-            yield "text", page[at:m.start() if m else n], block, link > 0, article > 0, out > 0
-        if m is None:
-            return
-        at = m.end()
-        if not m.group("tag"):
+        if page[at] == ">":
+            return found, page[at - 1] == "/", at + 1
+        m = _ATTRIBUTE.match(page, at)
+        if m.end() == at:
+            at += 1
             continue
-        tag = m.group("tag").lower()
-        if tag in _RAW and not m.group("end"):
-            if not m.group("attrs").rstrip().endswith("/"):
-                e = re.compile(f"</{tag}\\s*>", re.I).search(page, at)
-                at = e.end() if e else n
-            yield "tag", tag, block, link > 0, article > 0, out > 0
-            continue
-        was_out = out > 0
-        if m.group("end"):
-            k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if k is not None:
-                close(k)
-            if tag in _BLOCKS:
-                block = next((t for t, *_ in reversed(stack) if t in _BLOCKS), "body")
-        elif tag not in _VOID:
-            if tag in _BLOCKS:
-                ends = SAME.get(tag, ()) or ("p",)
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] in ends:
-                        close(i)
-                        break
-                    if stack[i][0] in FENCE or stack[i][1]:
-                        break
-                if tag in SAME and tag != "p":
-                    k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in (*FENCE, "p")), None)
-                    if k is not None and stack[k][0] == "p":
+        if m.group(1):
+            found.setdefault(m.group(1).lower(), next((v for v in m.groups()[1:] if v is not None), ""))
+        at = m.end()
+    return found, False, n + 1
+
+
+def hidden(attrs: dict[str, str]) -> bool:
+    return ("hidden" in attrs or attrs.get("aria-hidden", "").strip().lower().startswith("true")
+            or re.search(r"display\s*:\s*none", attrs.get("style", ""), re.I) is not None)
+
+
+def named(tag: str, attrs: dict[str, str]) -> bool:
+    """Whether an element's class, id or role names boilerplate."""
+    values = [attrs[k] for k in ("class", "id", "role") if k in attrs]
+    if tag in ("html", "body", "main", "p") and not any(w in v for v in attrs.values() for w in ("comment", "notice", "ad")):
+        return False
+    return any(w.lower() in _NAMES for v in values for w in _WORD.findall(v))
+
+
+class Page:
+    """A page as items (kind, value, block, in_link) in order and spans of elements over them; kind is 'text', 'tag' or 'break'
+    (a tag that ends a block). Unclosed and crossing elements are closed as browsers mostly do. Time grows with the page
+    alone, whatever it nests or leaves open."""
+
+    def __init__(self, page: str) -> None:
+        self.items: list[tuple[str, str, str, bool]] = []
+        #: (what, first item, item after the last) of elements that are 'out', 'named', 'article', 'header' or 'h1'
+        self.spans: list[tuple[str, int, int]] = []
+        stack: list[tuple[str, str, int]] = []  # element, what, first item
+        places: dict[str, list[int]] = {}  # of each open element's tag
+        fences: list[int] = []
+        blocks: list[int] = []
+        at, n = 0, len(page)
+
+        def close(k: int) -> None:
+            for i in range(len(stack) - 1, k - 1, -1):
+                tag, what, first = stack.pop()
+                places[tag].pop()
+                if fences and fences[-1] == i:
+                    fences.pop()
+                if blocks and blocks[-1] == i:
+                    blocks.pop()
+                if what:
+                    self.spans.append((what, first, len(self.items)))
+
+        def last(tags: tuple[str, ...]) -> int:
+            return max((places[t][-1] for t in tags if places.get(t)), default=-1)
+
+        def block() -> str:
+            return stack[blocks[-1]][0] if blocks else "body"
+
+        def link() -> bool:
+            return bool(places.get("a"))
+
+        while at < n:
+            m = _SPECIAL.search(page, at)
+            if m is None or m.start() > at:
+                self.items.append(("text", page[at:m.start() if m else n], block(), link()))
+            if m is None:
+                break
+            at = m.start()
+            t = _TAG.match(page, at)
+            if t is None:  # comment or declaration
+                if page.startswith("<!--", at):
+                    e = page.find("-->", at + 4)
+                    at = n if e < 0 else e + 3
+                else:
+                    e = page.find(">", at)
+                    at = n if e < 0 else e + 1
+                continue
+            tag, ends = t.group(1).lower(), page[at + 1] == "/"
+            attrs, empty, at = tag_end(page, t.end())
+            if at > n:
+                break  # a tag that never ends is no text
+            if tag in _RAW and not ends:
+                if not empty:
+                    e = re.compile(f"</{re.escape(tag)}\\s*>", re.I).search(page, at)
+                    at = e.end() if e else n
+                self.items.append(("tag", tag, block(), link()))
+                continue
+            if ends:
+                if places.get(tag):
+                    close(places[tag][-1])
+            elif tag not in _VOID:
+                if tag in _BLOCKS:
+                    k = last(SAME.get(tag, ("p",)))
+                    if k > (fences[-1] if fences else -1):
                         close(k)
-                block = tag
-            o = boilerplate(tag, m.group("attrs"), article > 0)
-            a = tag in ("article", "main") and not o and not out
-            if not m.group("attrs").rstrip().endswith("/"):
-                stack.append((tag, o, a))
-                out += o
-                article += a
-                link += tag == "a"
-        yield ("break" if tag in _BLOCKS else "tag"), tag, block, link > 0, article > 0, out > 0 or was_out
+                    if tag in SAME and tag != "p":
+                        k = last(("p",))
+                        if k >= 0 and k > last(tuple(FENCE)):
+                            close(k)
+                if not empty:
+                    what = ("out" if tag in _OUT or hidden(attrs) else "header" if tag == "header" else "named" if named(tag, attrs)
+                            else "article" if tag in ("article", "main") else "h1" if tag == "h1" else "")
+                    stack.append((tag, what, len(self.items)))
+                    places.setdefault(tag, []).append(len(stack) - 1)
+                    if tag in _FENCE or what in ("out", "named", "header"):
+                        fences.append(len(stack) - 1)
+                    if tag in _BLOCKS:
+                        blocks.append(len(stack) - 1)
+            self.items.append(("break" if tag in _BLOCKS else "tag", tag, tag if tag in _BLOCKS and not ends else block(), link()))
+        close(0)
+
+    def marks(self) -> tuple[list[bool], list[bool], bool]:
+        """(left out, in the article, whether the page marks its article) for each item.
+
+        Elements that are boilerplate by their kind go, and those so named unless they wrap the page's content: an article, its only
+        h1, or, where no article is marked, most words. Article elements mark the page's article if they hold at least as
+        many words as there are besides; teasers beside a longer text do not.
+        """
+        size = [len(v.split()) if k == "text" else 0 for k, v, _, _ in self.items]
+
+        def over(spans: list[tuple[int, int]]) -> list[bool]:
+            edge = [0] * (len(size) + 1)
+            for lo, hi in spans:
+                edge[lo] += 1
+                edge[hi] -= 1
+            return [v > 0 for v in accumulate(edge[:-1])]
+
+        kinds: dict[str, list[tuple[int, int]]] = {}
+        for what, lo, hi in self.spans:
+            kinds.setdefault(what, []).append((lo, hi))
+        out = over(kinds.get("out", []))
+        words = [0, *accumulate(0 if o else w for w, o in zip(size, out))]
+        first = sorted(lo for lo, hi in kinds.get("article", []))
+        titles = kinds.get("h1", [])
+
+        def wraps(lo: int, hi: int) -> bool:
+            i = bisect_left(first, lo)
+            if i < len(first) and first[i] < hi:
+                return True
+            if first:
+                return False
+            return len(titles) == 1 and lo <= titles[0][0] < hi or 5 * (words[hi] - words[lo]) >= 3 * words[-1] > 0
+
+        gone = over(kinds.get("out", []) + [x for x in kinds.get("named", []) if not wraps(*x)])
+        article = over([x for x in kinds.get("article", []) if not gone[x[0]]] if gone else [])
+        headers = [x for x in kinds.get("header", []) if not article[x[0]]] if article else []
+        above = over(headers)
+        gone = [a or b for a, b in zip(gone, above)]
+        inside = sum(w for w, a, g in zip(size, article, gone) if a and not g)
+        outside = sum(w for w, a, g in zip(size, article, gone) if not a and not g)
+        marked = any(article) and inside >= outside
+        return gone, (article if marked else [False] * len(size)), marked
+
+
+def parts(page: str) -> list[tuple[str, str, str, bool, bool, bool]]:
+    """(kind, value, block, in_link, in_article, left_out) in page order; see :class:`Page`."""
+    read = Page(page)
+    gone, article, _ = read.marks()
+    return [(*item, a, g) for item, a, g in zip(read.items, article, gone)]
 
 
 def place(block: str, in_link: bool) -> str:

@@ -471,3 +471,102 @@ def test_nearest_recall_and_large_values(spark):
     big = spark.createDataFrame([(0, [1e300, 0.0]), (1, [-1e300, 0.0]), (2, [0.0, 1e300]), (3, [1e-310, 1e-310])], "vec_id long, embedding array<double>")
     near = {r.vec_id: r.score for r in hamming_search.nearest(big, big.where("vec_id = 0")).collect()}
     assert set(near) == {1, 2, 3} and np.allclose([near[1], near[2], near[3]], [2e300, 2 ** 0.5 * 1e300, 1e300])
+
+
+def test_pipeline_stages_against_brute_force(spark):
+    """Rows that repeat a doc_id, odd characters and copies: each stage by itself on a table of its own."""
+    import corpus_pipeline as cp
+
+    rng = np.random.default_rng(12)
+    word = lambda n: "".join(rng.choice(list("abcdefghij"), n))
+    prose = lambda n: " ".join(word(6) for _ in range(n))
+    a, b, c = prose(80), prose(80), prose(80)
+    swap = lambda t, k: " ".join("other" if i == k else w for i, w in enumerate(t.split()))
+    rows = [(1, a), (5, b), (5, swap(a, 40)), (6, swap(b, 3)), (7, c), (7, c), (8, "orig \ufffd mark " + prose(20)), (9, ""), (10, None)]
+    docs = spark.createDataFrame([(i, t, "x", f"s{k}", len(t or ""), k) for k, (i, t) in enumerate(rows)],
+                                 "doc_id long, text string, lang string, source string, n_chars long, version int")
+    got = cp.drop_near(spark, docs, "")
+    assert got.columns == docs.columns
+    # 5's second text is near 1, 6 is near 5's first; of 7's equal rows one stays
+    left = sorted(r.version for r in got.collect())
+    assert [k for k in left if k not in (4, 5)] == [0, 1, 6, 7, 8] and len(left) == 6
+    passage = word(110)
+    odd = [(1, "ü" + passage + "日 \ufffd end"), (2, "x\ufffd" + passage + "日 \ufffd tail"), (3, "own " + "日" * 40), (3, "another " + "日" * 40 + "!")]
+    docs = spark.createDataFrame([(i, t, "x", f"s{k}", len(t)) for k, (i, t) in enumerate(odd)], docs.schema.fieldNames()[:5])
+    out = {r.source: r for r in cp.drop_substrings(spark, docs, "").collect()}
+    seen: set = set()
+    for k, (i, t) in enumerate(odd):
+        data, gone = t.encode(), set()
+        for s in range(len(data) - 99):
+            gone |= set(range(s, s + 100)) if data[s:s + 100] in seen else set()
+            seen.add(data[s:s + 100])
+        want, at = "", 0
+        for ch in t:
+            n = len(ch.encode())
+            want += "" if gone & set(range(at, at + n)) else ch
+            at += n
+        assert out[f"s{k}"].text == want and out[f"s{k}"].n_chars == len(want), k
+    # toxic rows go by their own text, whatever their key
+    bad = [(i, prose(30) + (" vile slur" if i % 4 == 0 else "")) for i in range(200)] + [(1, prose(30) + " vile slur"), (None, prose(30)), (None, "vile slur")]
+    docs = spark.createDataFrame([(i, t, "x", f"s{k}", len(t)) for k, (i, t) in enumerate(bad)], docs.schema.fieldNames())
+    import tempfile
+
+    folder = tempfile.mkdtemp()
+    spark.createDataFrame([(i, int(i % 4 == 0), 0) for i in range(200) if i != 1], "doc_id long, toxic int, quality int").write.parquet(folder + "/labels.parquet")
+    kept = {r.source for r in cp.drop_toxic(spark, docs, folder).collect()}
+    assert kept == {f"s{k}" for k, (_, t) in enumerate(bad) if "slur" not in t}
+
+
+def test_stages_leave_other_queries_alone(spark, docs):
+    import corpus_pipeline as cp
+
+    before = exact_dedup.exact_groups(docs)
+    plain = docs.select("doc_id", "text", "source")
+    cp.drop_lines(spark, plain, "").count()
+    cp.drop_near(spark, plain, "").count()
+    assert before.count() == len(TEXTS)
+
+
+def test_empty_tables(spark, empty):
+    import corpus_pipeline as cp
+
+    none = spark.createDataFrame([], "doc_id long, toxic int, quality int")
+    assert not toxicity.scored(empty, toxicity.trained(empty, none)).count() and not quality.scored(empty, quality.trained(empty, none)).count()
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    assert not html_text.extracted(pages, html_text.learned(pages)).count()
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in cp.STAGES[1:]:
+        docs = stage(spark, docs, "") if name != "packing" else docs
+        assert not docs.count(), name
+    assert not cp.STAGES[-1][1](spark, docs, "").count()
+
+
+STORY = "<p>" + " ".join(f"story{i}" for i in range(120)) + "</p>"
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<body><div><article class='card'><h2>Teaser one</h2></article><article class='card'>Teaser two</article></div><div class='story'>{STORY}</div></body>", "story"),
+    (f"<body><div class='content-sidebar-wrap'><div>{STORY}</div><nav>menu entries</nav></div></body>", "story"),
+    (f"<body class='has-sidebar'><div class='search-result'><h1>Title</h1>{STORY}</div></body>", "Title story"),
+    (f"<body><article>{STORY}<div class='comments'>{'<p>nice text here</p>' * 90}</div></article></body>", "story"),
+    ("<body><article><p title=don't>one two three</p><p>it's four</p></article></body>", "one two three it's four"),
+    ("<body><article><p data-x='a > b' class=x/y>one</p><a href=/u?a=1&b=2>two</a> < three</article></body>", "one two < three"),
+])
+def test_html_regions(page, want):
+    got = html_text.main_text(page, {}).split()
+    story = [f"story{i}" for i in range(120)]
+    assert got == [w for t in want.split() for w in (story if t == "story" else [t])]
+
+
+@pytest.mark.parametrize("page", ['<a "' * 250_000, "<div>" * 50_000 + "</span>" * 50_000, "<span>" * 50_000 + "<p></p>" * 50_000,
+                                  "<p><div>" + "<span>" * 50_000 + "<p></p>" * 50_000, '<a x="' * 100_000, "<!--" * 100_000, "<li>" * 50_000])
+def test_hostile_pages_take_time_in_proportion(page):
+    import time
+
+    def seconds(p):
+        t = time.process_time()
+        html_text.main_text(p, {})
+        return time.process_time() - t
+
+    least = min(seconds(page[:len(page) // 8]) for _ in range(2))
+    assert seconds(page) < 5 and seconds(page) < 24 * max(least, 0.02)  # eight times the page; sixty-four times if it were quadratic
