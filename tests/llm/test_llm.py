@@ -545,7 +545,7 @@ STORY = "<p>" + " ".join(f"story{i}" for i in range(120)) + "</p>"
 
 
 @pytest.mark.parametrize("page, want", [
-    (f"<body><div><article class='card'><h2>Teaser one</h2></article><article class='card'>Teaser two</article></div><div class='story'>{STORY}</div></body>", "story"),
+    (f"<body><div><article class='card'><h2>Teaser one</h2></article><article class='card'><h2>Teaser two</h2></article></div><div class='story'>{STORY}</div></body>", "story"),
     (f"<body><div class='content-sidebar-wrap'><div>{STORY}</div><nav>menu entries</nav></div></body>", "story"),
     (f"<body class='has-sidebar'><div class='search-result'><h1>Title</h1>{STORY}</div></body>", "Title story"),
     (f"<body><article>{STORY}<div class='comments'>{'<p>nice text here</p>' * 90}</div></article></body>", "story"),
@@ -553,7 +553,8 @@ STORY = "<p>" + " ".join(f"story{i}" for i in range(120)) + "</p>"
     ("<body><article><p data-x='a > b' class=x/y>one</p><a href=/u?a=1&b=2>two</a> < three</article></body>", "one two < three"),
 ])
 def test_html_regions(page, want):
-    got = html_text.main_text(page, {}).split()
+    labelled = f"<body><article><h1>Some title</h1>{STORY}</article><div>{'<h2>More of this</h2>' * 60}</div></body>"
+    got = html_text.main_text(page, html_text.weights(html_text.counts(labelled))).split()
     story = [f"story{i}" for i in range(120)]
     assert got == [w for t in want.split() for w in (story if t == "story" else [t])]
 
