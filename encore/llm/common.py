@@ -11,11 +11,16 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
+from typing import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-_made: dict[str, list[str]] = {}
+#: Scratch tables by application: (owner, path).
+_made: dict[str, list[tuple[str, str]]] = {}
+_owner: ContextVar[str] = ContextVar("owner", default="")
 _local: list[str] = []
 
 
@@ -34,12 +39,12 @@ def shared_dir(spark: SparkSession) -> str:
 def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` to a new shared table and read it back: computed once, lineage cut. Spark deletes
     the shuffle files of jobs that nothing refers to any more when the driver collects its garbage, so
-    that is asked for here. With ``keep``, :func:`drop_scratch` leaves the table alone."""
+    that is asked for here. With ``keep``, :func:`drop_scratch` leaves the table alone in any case."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     if not keep:
-        _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+        _made.setdefault(spark.sparkContext.applicationId, []).append((_owner.get(), path))
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     gc.collect()
@@ -50,8 +55,7 @@ def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
 def discard(df: DataFrame) -> None:
     """Delete a table of :func:`stored` that no later step reads."""
     app, path = df.sparkSession.sparkContext.applicationId, df.scratch_path
-    if path in _made.get(app, []):
-        _made[app].remove(path)
+    _made[app] = [x for x in _made.get(app, []) if x[1] != path]
     _delete(df.sparkSession, [path])
 
 
@@ -63,10 +67,23 @@ def _delete(spark: SparkSession, paths: list[str]) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
-def drop_scratch(spark: SparkSession) -> None:
-    """Delete the scratch tables written so far by this application. Call it once the
+@contextmanager
+def owned(owner: str) -> Iterator[None]:
+    """Scratch tables written inside belong to ``owner``, for :func:`drop_scratch`."""
+    before = _owner.set(owner)
+    try:
+        yield
+    finally:
+        _owner.reset(before)
+
+
+def drop_scratch(spark: SparkSession, owner: str = "") -> None:
+    """Delete the scratch tables of ``owner`` written so far by this application, and no others. Call it once the
     results that read them have been written."""
-    _delete(spark, _made.pop(spark.sparkContext.applicationId, []))
+    app = spark.sparkContext.applicationId
+    gone = [p for o, p in _made.get(app, []) if o == owner]
+    _made[app] = [x for x in _made.get(app, []) if x[0] != owner]
+    _delete(spark, gone)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -121,7 +121,8 @@ def similar_sets(sets: list[np.ndarray], similarity: float) -> np.ndarray:
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
-                    similarity: float = SIMILARITY, recall: float = RECALL, depth: int = DEPTH, block: int = BLOCK) -> DataFrame:
+                    similarity: float = SIMILARITY, recall: float = RECALL, depth: int = DEPTH, block: int = BLOCK,
+                    numbers: DataFrame | None = None) -> DataFrame:
     """One row per input row: doc_id, version, n_links, component_id, kept.
 
     Texts are linked when the sets of their shingles (``shingle`` lower-case words between white space)
@@ -133,11 +134,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     A text of fewer words is one shingle of them all; null, empty and blank texts have none and link with
     nothing. Rows without doc_id are left out; rows that repeat a doc_id count one by one, and where their texts differ
     ``version`` numbers these (see :func:`common.versions`; 0 otherwise): of a component, the rows of the smallest
-    doc_id and then version are kept. An empty table gives no rows. Other columns are not read.
+    doc_id and then version are kept (``numbers``: these versions, where known already). An empty table gives no rows. Other columns are not read.
     """
     n_runs = runs(similarity, depth, recall)
     plain = texts(docs, key, text)
-    base = with_version(plain, versions(plain, "op2"))
+    base = with_version(plain, versions(plain, "op2") if numbers is None else numbers)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
