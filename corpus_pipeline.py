@@ -5,28 +5,32 @@ which is written as Parquet and read again as the next one's docs. Each stage wo
 the one before kept, and all but the last return the columns of documents.
 
 1. toxicity: documents that the factorization machine (learned from ``labels``) predicts toxic go.
-2. line_dedup: later copies of runs of lines go; a document left without any text goes.
-3. jaccard: of each group of near duplicates the one with the smallest doc_id stays.
+2. line_dedup: later copies of runs of three lines or fifty words go; a document left without any text goes.
+3. jaccard: of each group of near duplicates the one with the smallest doc_id stays (one row of it, where a doc_id repeats).
 4. substring_dedup: bytes of repeated 100-byte strings go, characters cut in two with them; a document
    left without any text goes.
 5. packing: what is left, packed into windows of 2048 tokens mixed by source.
 
-Rows without doc_id go in the second stage (no operator can name them). ``n_chars`` follows the text. No SQL
-expresses the learned first stage, so there is no ORACLE_SQL; tests hold each stage against a brute-force version.
+Rows without doc_id go in the second stage (no operator can name them); rows that repeat a doc_id with
+different texts are judged each by its own text. ``n_chars`` follows the text. No SQL
+expresses the learned first stage, so there is no ORACLE_SQL; tests hold the stages against a brute-force version.
 """
 
 from __future__ import annotations
 
+from functools import wraps
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore.llm import jaccard_join, line_dedup, packing, substring_dedup, toxicity
-from encore.llm.common import discard, drop_scratch, stored, table
+from encore.llm.common import carried, discard, drop_scratch, owned, stored, table, texts, versions, with_version
 
 #: Vocabulary of the packing stage; None takes the installed public one.
 VOCABULARY: str | None = None
+#: Owner of the scratch tables that stages write.
+OWNER = "pipeline"
 
 
 def _others(docs: DataFrame) -> list[str]:
@@ -41,35 +45,49 @@ def _with_text(docs: DataFrame, new: DataFrame) -> DataFrame:
     return out.where(F.trim("text") != "").select(*[f"`{c}`" for c in docs.columns])
 
 
+def _stage(work: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage begins by deleting what earlier stages wrote besides their results; other queries' tables stay."""
+    @wraps(work)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop_scratch(spark, OWNER)
+        with owned(OWNER):
+            return work(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@_stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    drop_scratch(spark)
     machine = toxicity.trained(docs, table(spark, sf_dir, "labels"))
-    bad = toxicity.scored(docs, machine).where("predicted = 1").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    rows = docs.select(F.col("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return toxicity.judged(rows, machine, keep=("row",)).where("predicted = 0").select("row.*")
 
 
+@_stage
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    drop_scratch(spark)
     return _with_text(docs, line_dedup.without_repeated_lines(docs, rest=_others(docs)))
 
 
+@_stage
 def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    drop_scratch(spark)
-    gone = jaccard_join.near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    numbers = versions(texts(docs), "near")
+    gone = jaccard_join.near_duplicates(docs, numbers=numbers).where("not kept").select("doc_id", "version").distinct()
+    rows = with_version(texts(carried(docs, docs.columns), "doc_id", "text", "rest"), numbers)
+    if numbers is not None:  # of equal rows of one doc_id one stays
+        ids = numbers.select("doc_id").distinct()
+        again = rows.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id", "version"])
+        rows = rows.join(ids, "doc_id", "left_anti").unionByName(again)
+    return rows.join(gone, ["doc_id", "version"], "left_anti").select("rest.*")
 
 
+@_stage
 def drop_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    drop_scratch(spark)
-    kept = substring_dedup.without_repeats(docs, rest=_others(docs))
-    # a span may begin or end inside a character: what is left of it is not text
-    text = F.replace(F.try_validate_utf8(F.make_valid_utf8(F.col("kept").cast("string"))), F.lit("�"), F.lit(""))
-    whole = F.when(F.size("removed") == 0, F.col("kept").cast("string")).otherwise(text)
-    return _with_text(docs, kept.select(whole.alias("text"), "rest"))
+    kept = substring_dedup.without_repeats(docs, rest=_others(docs), characters=True)
+    return _with_text(docs, kept.select(F.col("kept").alias("text"), "rest"))
 
 
+@_stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    drop_scratch(spark)
     path = VOCABULARY
     if path is None:
         import public_tokenizers
