@@ -10,6 +10,14 @@ library never pulls a table through the driver. Sub-packages:
 * ``models``    – design matrix and ``pyspark.ml`` model families
 * ``search``    – cross-validation, grid and random search
 * ``plans``     – the registered queries and their SQL oracles
+
+Its functions reach the executors by value, so that these need not have it installed.
 """
 
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __version__ = "0.1.0"

@@ -116,6 +116,11 @@ GBM_DEFAULTS = dict(trees=3375, bagfrac=0.5, trainfrac=1.0, shrinkage=0.001, dep
                     distrib="tdist", minobsinnode=5, df=8, numfolds=10, clean=True)
 # Support-vector regression grid (cost x gamma).
 SVR_GRID = dict(cost=(20, 35, 50), gamma=(0.025, 0.05, 0.075))
+# Kernel regression and classification drivers (Bessel kernel).
+KERNEL_SVR = dict(sigma=0.01, cost=200.0, epsilon=0.25, order=10, degree=1)
+KERNEL_SVC = dict(sigma=0.001, cost=100.0, order=10, degree=1)
+# Insensitivity of the radial regression: its library's default.
+SVR_EPSILON = 0.1
 # KNN neighbours.
 KNN_K = 3
 # Ensemble-of-trees driver: number of trees.

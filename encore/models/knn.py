@@ -1,78 +1,99 @@
 """Exact k-nearest-neighbour vote.
 
-The query side is cut into blocks of at most ``block_rows`` rows (a fixed size
-bound, broadcast one block at a time). Each task scores its share of the
-training rows against the block with numpy and emits only its own k nearest
-per query; a per-query window keeps the global k nearest and a vote picks the
-class (ties: the lower label). No pair set is ever materialised.
+Training rows are dealt by hash into blocks of bounded size, and each query goes to every block, so a task holds one
+block and lets the queries pass by it in batches: no side goes through the driver, none is broadcast, and no pair set is made. A task
+gives each query's k nearest of its block; a grouped top-k (cut to k in each task before its shuffle) keeps the nearest of all
+blocks, and a vote picks the class (ties: the lower label).
 """
 
 from __future__ import annotations
 
+from typing import Iterator, Sequence
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CAND_SCHEMA = "query_id long, label double, d2 double"
+#: Queries compared at a time.
+STEP = 256
+
 
+def nearest_rows(q: np.ndarray, x: np.ndarray, y: np.ndarray, k: int, same: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, label, squared distance) of each query's k nearest rows in the order of (distance, label); pairs marked ``same`` are
+    no neighbours."""
+    d2 = np.zeros((len(q), len(x)))
+    for j in range(x.shape[1]):
+        d2 += (q[:, j, None] - x[None, :, j]) ** 2
+    d2[same] = np.inf
+    k = min(k, len(x))
+    edge = np.partition(d2, k - 1, axis=1)[:, k - 1]
+    out = []
+    for i in range(len(q)):
+        few = np.flatnonzero((d2[i] <= edge[i]) & np.isfinite(d2[i]))
+        best = few[np.lexsort((y[few], d2[i, few]))[:k]]
+        out.append((np.full(len(best), i), y[best], d2[i, best]))
+    return tuple(np.concatenate(c) for c in zip(*out))
 
-def _local_topk(bq, k: int, sub: int = 2048):
-    def run(it):
-        qids, q = bq.value
-        qn = (q * q).sum(1)
-        for pdf in it:
-            if len(pdf) == 0:
-                continue
-            x_all = np.vstack(pdf["vec"].to_numpy()).astype(float)
-            y_all = pdf["label"].to_numpy().astype(float)
-            for s in range(0, len(x_all), sub):
-                x, y = x_all[s:s + sub], y_all[s:s + sub]
-                d2 = qn[:, None] + (x * x).sum(1)[None, :] - 2.0 * q @ x.T
-                kk = min(k, x.shape[0])
-                # local k nearest in the same (distance, label) order as the global window,
-                # so candidates tied at the k-th distance are kept by label, not arbitrarily
-                idx = np.lexsort((np.broadcast_to(y, d2.shape), d2), axis=-1)[:, :kk]
-                rows = np.repeat(np.arange(len(qids)), kk)
-                cols = idx.reshape(-1)
-                yield pd.DataFrame({"query_id": np.asarray(qids)[rows].astype("int64"),
-                                    "label": y[cols], "d2": d2[rows, cols]})
-    return run
 
+def knn_vote(train: DataFrame, queries: DataFrame, k: int = 3, vec: str = "scaled", label: str = "total", block_rows: int = 32768,
+             apart: str | None = None, keep: Sequence[str] = (), key: str = "account_id") -> DataFrame:
+    """(query_id, keep..., prediction) for every row of ``queries`` (query_id, ``vec``) that has a neighbour.
 
-def knn_vote(train: DataFrame, queries: DataFrame, k: int = 3, vec: str = "scaled", label: str = "total",
-             block_rows: int = 5000) -> DataFrame:
-    """(query_id, prediction) for every row of ``queries`` (columns: query_id, ``vec``)."""
+    With ``apart``, a column of both sides, rows of equal value are no neighbours (the folds of a
+    cross-validation, all of which are then scored in one pass). Vectors are ``pyspark.ml`` vectors or arrays. Blocks follow from the hash of
+    ``key`` (without such a column, of vector and label), so that a repeated task deals its rows alike.
+    """
     spark = train.sparkSession
-    t = train.select(vector_to_array(F.col(vec)).alias("vec"), F.col(label).cast("double").alias("label"))
-    q = queries.select(F.col("query_id").cast("long").alias("query_id"), vector_to_array(F.col(vec)).alias("vec"))
-    # block boundaries: quantiles of the query ids (bounded list on the driver)
-    n_q = q.count()
-    n_blocks = max(1, -(-n_q // block_rows))
-    bounds = ([] if n_blocks == 1 else
-              sorted(set(q.approxQuantile("query_id", [i / n_blocks for i in range(1, n_blocks)], 0.001))))
-    edges = [None] + bounds + [None]
-    parts = []
-    for lo, hi in zip(edges[:-1], edges[1:]):
-        blk = q
-        if lo is not None:
-            blk = blk.where(F.col("query_id") > lo)
-        if hi is not None:
-            blk = blk.where(F.col("query_id") <= hi)
-        rows = blk.collect()  # at most ~block_rows rows by construction
-        if not rows:
-            continue
-        ids = [r[0] for r in rows]
-        mat = np.array([r[1] for r in rows], dtype=float)
-        bq = spark.sparkContext.broadcast((ids, mat))
-        parts.append(t.mapInPandas(_local_topk(bq, k), CAND_SCHEMA))
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    near = cand.withColumn("_r", F.row_number().over(Window.partitionBy("query_id").orderBy("d2", "label")))
-    near = near.where(F.col("_r") <= k)
+
+    def array(df: DataFrame) -> Column:
+        return F.col(vec) if df.schema[vec].dataType.typeName() == "array" else vector_to_array(F.col(vec))
+
+    blocks = max(1, -(-train.count() // block_rows))
+    none = F.lit(None).cast("long")
+    group = F.xxhash64(F.col(apart)) if apart else none
+    dealt = [F.col(key)] if key in train.columns else [array(train), F.col(label)]
+    t = train.select(F.pmod(F.xxhash64(*dealt), F.lit(blocks)).cast("int").alias("block"),
+                     F.lit(False).alias("asks"), none.alias("query_id"), group.alias("grp"), F.col(label).cast("double").alias("label"),
+                     array(train).alias("v")).where("label is not null")
+    q = queries.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(True).alias("asks"), F.col("query_id").cast("long").alias("query_id"),
+                       group.alias("grp"), F.lit(None).cast("double").alias("label"), array(queries).alias("v"))
+    parts = max(1, min(blocks, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+    def matrix(b: pa.RecordBatch) -> np.ndarray:
+        return b.column("v").flatten().to_numpy().astype(np.float64).reshape(b.num_rows, -1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held, rows = None, [], None
+        for b in batches:
+            at, asks = b.column("block").to_numpy(), b.column("asks").to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero((at[1:] != at[:-1]) | (asks[1:] != asks[:-1])) + 1
+            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), b.num_rows]):
+                if hi == lo:
+                    continue
+                if at[lo] != block:
+                    block, held, rows = at[lo], [], None
+                part = b.slice(lo, hi - lo)
+                if not asks[lo]:
+                    held.append(part)
+                    continue
+                if rows is None and held:
+                    grp = np.concatenate([h.column("grp").fill_null(0).to_numpy() for h in held])
+                    rows = (np.concatenate([matrix(h) for h in held]), np.concatenate([h.column("label").to_numpy() for h in held]), grp)
+                    held = []
+                if rows is None:
+                    continue
+                ids, mine, own = part.column("query_id").to_numpy(), matrix(part), part.column("grp").fill_null(0).to_numpy()
+                for cut in range(0, len(ids), STEP):
+                    same = own[cut:cut + STEP, None] == rows[2][None, :] if apart else np.zeros((len(ids[cut:cut + STEP]), len(rows[1])), bool)
+                    i, y, d2 = nearest_rows(mine[cut:cut + STEP], rows[0], rows[1], k, same)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[cut:cut + STEP][i]), pa.array(y), pa.array(d2)], ["query_id", "label", "d2"])
+
+    both = t.unionByName(q).repartition(parts, "block").sortWithinPartitions("block", "asks")
+    cand = both.mapInArrow(run, "query_id long, label double, d2 double")
+    near = cand.withColumn("_r", F.row_number().over(Window.partitionBy("query_id").orderBy("d2", "label"))).where(F.col("_r") <= k)
     votes = near.groupBy("query_id", "label").agg(F.count(F.lit(1)).alias("_v"))
-    best = votes.withColumn("_b", F.row_number().over(
-        Window.partitionBy("query_id").orderBy(F.col("_v").desc(), F.col("label").asc())))
-    return best.where(F.col("_b") == 1).select("query_id", F.col("label").alias("prediction"))
+    best = votes.groupBy("query_id").agg(F.max(F.struct("_v", (-F.col("label")).alias("l"))).alias("b"))
+    out = best.select("query_id", (-F.col("b.l")).alias("prediction"))
+    return queries.select("query_id", *keep).join(out, "query_id") if keep else out

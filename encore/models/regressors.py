@@ -135,7 +135,7 @@ def importances(fitted: Fitted, train: DataFrame) -> list[tuple[str, float]]:
     tree = fitted.info.get("importances_model")
     if tree is None:
         return []
-    design = fitted.model.stages[0]
+    design = PipelineModel(stages=fitted.model.stages[:-1])
     names = slot_names(design.transform(train.limit(1)), "features")
     imp = tree.featureImportances.toArray()
     agg: dict[str, float] = {}

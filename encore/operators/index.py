@@ -1,49 +1,39 @@
 """Dense 1..n row numbering in key order, without a single-partition window.
 
-``row_number() over (order by k)`` runs in one task. Here the key range is cut
-into buckets at approximate quantiles (a few hundred numbers reach the driver),
-each bucket is numbered locally by a window partitioned on the bucket, and the
-bucket offsets (one row per bucket) are added through a broadcast join.
+``row_number() over (order by k)`` runs in one task. Here the rows are range-partitioned on the key itself
+(Spark samples the keys for the bounds, whatever their type or common beginning), sorted within partitions and
+written with their place; each partition's rows are counted, and the running sums of those counts (one row for
+each partition) are added through a broadcast join.
 """
 
 from __future__ import annotations
 
-import os
-
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
+from ..session import ensure_checkpoint_dir
+
+#: ``monotonically_increasing_id`` holds the partition above these bits and the place in it below.
+_PLACE_BITS = 33
 
-def _position(df: DataFrame, order_col: str) -> Column:
-    """A number that never falls in key order: the key itself, or of a text key the six bytes behind
-    what all keys begin with."""
-    if not isinstance(df.schema[order_col].dataType, StringType):
-        return F.col(order_col).cast("double")
-    ends = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
-    same = len(os.path.commonprefix([(ends["lo"] or "").encode(), (ends["hi"] or "").encode()]))
-    six = F.hex(F.substring(F.col(order_col).cast("binary"), same + 1, 6))
-    return F.conv(F.rpad(six, 12, "0"), 16, 10).cast("double")
 
+def with_dense_index(df: DataFrame, order_col: str, out_col: str, buckets: int | None = None) -> DataFrame:
+    """``df`` with ``out_col``: 1..n (double) in the order of ``order_col``; equal keys stand side by side.
 
-def with_dense_index(df: DataFrame, order_col: str, out_col: str, buckets: int | None = None,
-                     rel_error: float = 0.001) -> DataFrame:
+    The ranges follow from the data, so any number of partitions can be used (``buckets``; the session's shuffle partitions by
+    default). The placed rows are written to the checkpoint folder: bounds drawn from a sample must not be drawn again
+    when a task is repeated.
+    """
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     n = buckets or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    x = df.withColumn("_ix_x", _position(df, order_col) if n > 1 else F.lit(0.0))
-    bounds: list[float] = []
-    if n > 1:
-        probs = [i / n for i in range(1, n)]
-        bounds = sorted(set(v for v in x.approxQuantile("_ix_x", probs, rel_error) if v is not None))
-    splits = [float("-inf")] + bounds + [float("inf")]
-    x = Bucketizer(splits=splits, inputCol="_ix_x", outputCol="_ix_b", handleInvalid="keep").transform(x)
-    counts = x.groupBy("_ix_b").agg(F.count(F.lit(1)).alias("_ix_n"))
-    # At most len(splits) rows: this window over all buckets is tiny by construction.
+    placed = (df.repartitionByRange(n, order_col).sortWithinPartitions(order_col)
+              .withColumn("_ix", F.monotonically_increasing_id()).checkpoint())
+    part, place = F.shiftright("_ix", _PLACE_BITS), F.col("_ix").bitwiseAND((1 << _PLACE_BITS) - 1)
+    counts = placed.groupBy(part.alias("_ix_b")).agg(F.count(F.lit(1)).alias("_ix_n"))
+    # one row a partition
     before = Window.orderBy("_ix_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_ix_b", F.coalesce(F.sum("_ix_n").over(before), F.lit(0)).alias("_ix_off"))
-    local = F.row_number().over(Window.partitionBy("_ix_b").orderBy(order_col))
-    out = (x.withColumn("_ix_r", local)
-           .join(F.broadcast(offsets), "_ix_b")
-           .withColumn(out_col, (F.col("_ix_off") + F.col("_ix_r")).cast("double")))
-    return out.drop("_ix_x", "_ix_b", "_ix_r", "_ix_off")
+    return (placed.withColumn("_ix_b", part).join(F.broadcast(offsets), "_ix_b")
+            .withColumn(out_col, (F.col("_ix_off") + place + 1).cast("double"))
+            .select(*[f"`{c}`" for c in df.columns], out_col))

@@ -16,12 +16,14 @@ from ..models import regressors as R
 from ..models.knn import knn_vote
 from ..models.lda import fit_lda
 from ..models.regressors import Fitted
-from ..models.tdist import fit_tdist_boost
-from ..models.design import design_pipeline, non_constant, scaler, split_columns
+from ..models.boosting import Spec, fit_boosted
+from ..models.gram import fit_linear_folds, fit_linear_holdouts, scaled
+from ..models.machines import Kernel, Machine
+from ..models.design import split_columns
 from ..operators import evaluate as E
-from ..operators.features import build_features, drop_matching
+from ..operators.features import build_features, drop_matching, matching_columns
 from ..operators.split import assign_folds, clean_outliers, holdout_flag, prepare_scoring, prepare_training, split
-from ..search.cv import cross_validate, grid_search
+from ..search.cv import boosted_folds, cross_validate, history_columns, machine_folds, side_by_side
 from ..search.random_search import run_search
 from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources.bind import read_bundle
@@ -61,63 +63,66 @@ def _frames(spark: SparkSession, sf_dir: str, filt: str) -> tuple[DataFrame, Dat
     return train, feats
 
 
+def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole training frame with hash folds, materialised once."""
+    ensure_checkpoint_dir(spark)
+    b = read_bundle(spark, sf_dir)
+    return assign_folds(prepare_training(b.labels, build_features(b))).checkpoint()
+
+
 @query("linear_holdout_scores", covers=("M1", "M2", "T4", "F3"))
 def linear_holdout_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Linear model over ten seeded 15 % hold-outs (cleaned training rows); RMSLE per seed."""
-    train, _ = _frames(spark, sf_dir, K.FILTER_LINEAR)
+    """Linear model over ten seeded 15 % hold-outs (cleaned training rows), all fitted from one pass; RMSLE per seed."""
+    train = _training(spark, sf_dir)
+    data = drop_matching(train, K.FILTER_LINEAR, protect=("account_id", "total", "fold", LAST)).drop("fold")
+    held = [holdout_flag("account_id", s) for s in K.HOLDOUT_SEEDS]
+    m = fit_linear_holdouts(data, held, F.abs(F.col("total") - F.col(LAST)) <= K.OUTLIER_MAX_JUMP)
+    groups = F.filter(F.array(*[F.when(h, i) for i, h in enumerate(held)]), lambda g: g.isNotNull())
+    rows = data.withColumn("group", F.explode(groups))
+    scored = m.predict(rows, F.col("group"), ("group", "total")).withColumn("seed", F.array(*[F.lit(s) for s in K.HOLDOUT_SEEDS])[F.col("group")])
+    return rounded(E.rmsle(scored, by=["seed"]).select("seed", "rmsle", "n"))
 
-    def one(seed: int) -> DataFrame:
-        h = holdout_flag("account_id", seed)
-        tr, va = train.where(~h).drop("fold"), train.where(h).drop("fold")
-        m = R.fit_linear(clean_outliers(tr, LAST))
-        p = m.predict(va).join(va.select("account_id", "total"), "account_id")
-        return E.rmsle(p).withColumn("seed", F.lit(seed))
-    return rounded(_union(_per_fold(one, K.HOLDOUT_SEEDS)).select("seed", "rmsle", "n"))
+
+#: Step that gives the trees of a query the driver's whole learning (3,375 trees of 0.001).
+STEP = K.GBM_DEFAULTS["trees"] * K.GBM_DEFAULTS["shrinkage"] / TREES
+
+
+def _boost_spec(loss: str) -> Spec:
+    """The driver's settings, but for ``TREES`` trees with steps as much larger (README: what all 3,375 would take)."""
+    d = K.GBM_DEFAULTS
+    return Spec(TREES, STEP, d["bagfrac"], d["depth"], d["minobsinnode"], loss, float(d["df"]), seed=K.FOLD_SEED)
+
+
+def _boost_scores(spark: SparkSession, sf_dir: str, loss: str) -> DataFrame:
+    preds, _ = boosted_folds(_training(spark, sf_dir), [_boost_spec(loss)], SPEC, K.FILTER_GBM, FOLDS, clean=True)
+    return rounded(E.fold_scores(side_by_side(preds, SPEC)))
 
 
 @query("gbt_fold_scores", covers=("M4", "M1", "E4", "E5", "F3"))
 def gbt_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Boosted trees (squared loss) under 10-fold CV with cleaning; every adjustment scored side by side."""
-    train, hist = _frames(spark, sf_dir, K.FILTER_GBM)
-    fit = lambda d: R.fit_gbt(d, trees=TREES, shrinkage=0.1, bagfrac=0.5, depth=3, distrib="gaussian")
-    return rounded(cross_validate(train, fit, hist, SPEC, FOLDS, clean=True, parallelism=PAR).scores)
+    """Boosted trees (squared loss, depth and bag of the driver) under 10-fold CV with cleaning; every adjustment scored side by side."""
+    return _boost_scores(spark, sf_dir, "gaussian")
 
 
-@query("tdist_boost_fold_scores", covers=("M4t", "E5"))
-def tdist_boost_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Student-t loss boosting (df 8) under 10-fold CV; raw, inactive and invariant scores."""
-    train, hist = _frames(spark, sf_dir, K.FILTER_GBM)
-    fit = lambda d: fit_tdist_boost(d, trees=8, shrinkage=0.2, bagfrac=0.5, depth=3, df=8.0)
-    return rounded(cross_validate(train, fit, hist, SPEC, FOLDS, clean=True, parallelism=PAR,
-                                  adjustments=["raw", "inactive", "invariant"]).scores)
+@query("laplace_boost_fold_scores", covers=("M4", "E5"))
+def laplace_boost_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boosted trees with absolute loss (leaves are medians) under 10-fold CV; every adjustment scored side by side."""
+    return _boost_scores(spark, sf_dir, "laplace")
 
 
-def _scaled_fit(train: DataFrame):
-    num, _ = split_columns(train)
-    keep = non_constant(train, num)
-    t = train.select("account_id", "total", *keep)
-    from pyspark.ml import Pipeline
-    return Pipeline(stages=[design_pipeline(t), scaler("features", "scaled")]).fit(t), keep
+@query("tdist_boost_fold_scores", covers=("M4t", "E5"))
+def tdist_boost_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Student-t loss boosting (df 8; leaves are locations of the t-distribution) under 10-fold CV; every adjustment side by side."""
+    return _boost_scores(spark, sf_dir, "tdist")
 
 
 @query("knn_fold_scores", covers=("M5", "M9", "E5"))
 def knn_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """3-nearest-neighbour vote on scaled features (scaler fitted on the training fold), 10-fold CV."""
-    train, hist = _frames(spark, sf_dir, K.FILTER_KNN)
-    numeric = [c for c in split_columns(train)[0]]
-    train = train.select("account_id", "total", "fold", *numeric)
-
-    def fit(tr: DataFrame) -> Fitted:
-        design, keep = _scaled_fit(tr)
-        t = design.transform(tr.select("account_id", "total", *keep))
-
-        def predict(df: DataFrame) -> DataFrame:
-            q = design.transform(df.select("account_id", "total", *keep)).withColumnRenamed("account_id", "query_id")
-            return knn_vote(t, q, k=K.KNN_K).withColumnRenamed("query_id", "account_id")
-        return Fitted(design, predict)
-
-    return rounded(cross_validate(train, fit, hist, SPEC, FOLDS, parallelism=PAR,
-                                  adjustments=["raw", "inactive", "invariant"]).scores)
+    """3-nearest-neighbour vote on scaled features (scaled by all training rows), every account by the accounts of the other folds."""
+    rows = _machine_rows(spark, sf_dir, K.FILTER_KNN)
+    q = rows.select(F.col("account_id").alias("query_id"), "fold", "total", *history_columns(SPEC), "scaled")
+    votes = knn_vote(rows, q, k=K.KNN_K, vec="scaled", apart="fold", keep=("fold", "total", *history_columns(SPEC)))
+    return rounded(E.fold_scores(side_by_side(votes, SPEC, ["raw", "inactive", "invariant"])))
 
 
 @query("forest_fold_scores", covers=("M8", "E5"))
@@ -138,13 +143,55 @@ def rff_svr_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   adjustments=["raw", "inactive", "invariant"]).scores)
 
 
-@query("svr_grid_search", covers=("E6", "M6"))
+def _machine_rows(spark: SparkSession, sf_dir: str, filt: str) -> DataFrame:
+    """(account_id, total, fold, history columns, scaled): the filtered features as scaled design columns."""
+    train = _training(spark, sf_dir)
+    gone = set(matching_columns(train.columns, filt))
+    columns = [c for c in train.columns if c not in gone]
+    rows, _ = scaled(train, columns=columns, keep=("account_id", "total", "fold", *history_columns(SPEC)))
+    return rows
+
+
+KEPT = ("account_id", "total", "fold", *history_columns(SPEC))
+
+
+@query("svr_grid_search", covers=("E6", "M6", "M9"))
 def svr_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cost x gamma grid (3 x 3), each combination cross-validated; combinations run concurrently."""
-    train, hist = _frames(spark, sf_dir, K.FILTER_SVR)
-    train = train.withColumn("fold", (F.pmod(F.col("fold"), F.lit(3)) + 1).cast("int"))
-    make = lambda cost, gamma: (lambda d: R.fit_rff_regression(d, cost=cost, gamma=gamma, n_components=100))
-    return rounded(grid_search(train, make, dict(K.SVR_GRID), hist, SPEC, folds=range(1, 4), parallelism=3))
+    """Epsilon-insensitive radial-kernel regression over the cost x gamma grid (3 x 3), ten folds each: ninety machines in the same passes."""
+    kernels = [Kernel("radial", g) for g in K.SVR_GRID["gamma"]]
+    grid = [(c, g) for g in range(len(kernels)) for c in K.SVR_GRID["cost"]]
+    settings = [Machine(g, "regression", float(c), K.SVR_EPSILON) for c, g in grid]
+    preds, _ = machine_folds(_machine_rows(spark, sf_dir, K.FILTER_SVR), kernels, settings, FOLDS, keep=KEPT)
+    each = preds.select("fold", "total", F.posexplode("scores").alias("i", "prediction"))
+    per = E.rmsle(each, by=["i", "fold"]).groupBy("i").agg(F.avg("rmsle").alias("mean_rmsle"))
+    name = F.array(*[F.struct(F.lit(float(c)).alias("cost"), F.lit(kernels[g].width).alias("gamma")) for c, g in grid])[F.col("i")]
+    return rounded(per.select(name["cost"].alias("cost"), name["gamma"].alias("gamma"), "mean_rmsle"))
+
+
+@query("bessel_svr_fold_scores", covers=("M6", "E5"))
+def bessel_svr_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bessel-kernel regression with the driver's settings (epsilon-insensitive loss, cleaned rows), ten folds; adjustments side by side."""
+    d = K.KERNEL_SVR
+    rows = _machine_rows(spark, sf_dir, K.FILTER_KERNEL_SVR)
+    clean = F.abs(F.col("total") - F.col(LAST)) <= K.OUTLIER_MAX_JUMP
+    preds, _ = machine_folds(rows, [Kernel("bessel", d["sigma"], d["order"], d["degree"])], [Machine(0, "regression", d["cost"], d["epsilon"])],
+                             FOLDS, learn=clean, keep=KEPT)
+    return rounded(E.fold_scores(side_by_side(preds.withColumn("prediction", F.col("scores")[0]), SPEC)))
+
+
+@query("bessel_svc_fold_errors", covers=("M7", "E3", "P14", "C10"))
+def bessel_svc_fold_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bessel-kernel classification of the label as a class with the driver's settings (one machine a class, cleaned rows): errors by fold."""
+    d = K.KERNEL_SVC
+    rows = _machine_rows(spark, sf_dir, K.FILTER_SVC)
+    classes = [r.total for r in rows.select("total").distinct().orderBy("total").collect()]  # whole numbers of subscriptions
+    clean = F.abs(F.col("total") - F.col(LAST)) <= K.OUTLIER_MAX_JUMP
+    preds, _ = machine_folds(rows, [Kernel("bessel", d["sigma"], d["order"], d["degree"])],
+                             [Machine(0, "class", d["cost"], 0.0, positive=float(c)) for c in classes], FOLDS, learn=clean, keep=("account_id", "total", "fold"))
+    # the largest score wins; of equal ones the smaller class
+    best = F.array_max(F.transform("scores", lambda s, i: F.struct(s.alias("s"), (-i).alias("i"))))["i"]
+    named = preds.withColumn("prediction", F.element_at(F.array(*[F.lit(float(c)) for c in classes]), 1 - best))
+    return rounded(E.misclassification(named, by=["fold"]).select("fold", "error", "n"))
 
 
 @query("rff_svc_fold_errors", covers=("M7", "E3", "P14", "C10"))
@@ -178,42 +225,89 @@ def lda_fold_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("gbt_importances", covers=("M10", "T8"))
 def gbt_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Relative influence (%) of each source column in a boosted-tree fit on all rows, descending."""
-    train, _ = _frames(spark, sf_dir, K.FILTER_GBM)
-    data = clean_outliers(train, LAST).drop("fold")
-    m = R.fit_gbt(data, trees=TREES, shrinkage=0.1, bagfrac=0.5, depth=3)
-    imp = R.importances(m, data)
-    df = spark.createDataFrame(imp, "var string, rel_inf double")
+    """Relative influence (%) of each feature in the driver's boosted-tree fit on all rows, descending."""
+    train = drop_matching(_training(spark, sf_dir), K.FILTER_GBM, protect=("account_id", "total", "fold", LAST))
+    m = fit_boosted(clean_outliers(train, LAST).drop("fold"), [_boost_spec(K.GBM_DEFAULTS["distrib"])])
+    df = spark.createDataFrame(m.influence(), "var string, rel_inf double")
     return rounded(df.orderBy(F.col("rel_inf").desc()))
 
 
 @query("random_search_trials", covers=("E7", "E8", "E9", "E10", "T6", "S10"))
 def random_search_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two seeded search trials (tree counts scaled by 1/200, step x 50), 10-fold CV with early
-    abandon; accepted trials appended to a Parquet trial table."""
-    b = read_bundle(spark, sf_dir)
-    ensure_checkpoint_dir(spark)
-    feats = build_features(b).cache()
-    train = assign_folds(prepare_training(b.labels, feats)).cache()
-    train.count()
-    return rounded(run_search(train, feats, SPEC, n_trials=2, seed=20141116, folds=FOLDS, tree_budget=1 / 200,
-                              step_scale=50.0, trial_table=scratch_path(spark, f"trials/{uuid.uuid4().hex}")))
+    abandon; each trial's row written to the trial table and read from it."""
+    return rounded(run_search(_training(spark, sf_dir), SPEC, scratch_path(spark, f"trials/{uuid.uuid4().hex}"), n_trials=2, seed=20141116,
+                              folds=FOLDS, tree_budget=1 / 200, step_scale=50.0))
 
 
 @query("gbt_submission", covers=("S7", "J4"))
 def gbt_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Refit boosted trees on all cleaned rows, score every account to score, write the submission."""
-    train, _ = _frames(spark, sf_dir, K.FILTER_GBM)
+    ensure_checkpoint_dir(spark)
     b = read_bundle(spark, sf_dir)
-    data = clean_outliers(train, LAST).drop("fold")
-    m = R.fit_gbt(data, trees=TREES, shrinkage=0.1, bagfrac=0.5, depth=3)
-    feats = drop_matching(build_features(b), K.FILTER_GBM)
+    feats = build_features(b).checkpoint()
+    train = drop_matching(prepare_training(b.labels, feats), K.FILTER_GBM, protect=("account_id", "total", LAST))
+    m = fit_boosted(clean_outliers(train, LAST), [_boost_spec(K.GBM_DEFAULTS["distrib"])])
     p = m.predict(prepare_scoring(b.to_score, feats))
     write_submission(p, scratch_path(spark, f"submissions/{uuid.uuid4().hex}"), "gbt_sub_")
     from ..functions.numeric import snap
     return rounded(p.select("account_id", snap("prediction").alias("total")))
 
 
+LINEAR_COLUMNS = [f"total_{suffix(s)}" for s in SPEC.last(2)] + [f"add_tickets_total_{suffix(SPEC.last_season)}"]
+
+
+def _modulo_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = read_bundle(spark, sf_dir)
+    return assign_folds(prepare_training(b.labels, build_features(b)).select("account_id", "total", *LINEAR_COLUMNS), method="modulo")
+
+
+def _train3_sql(body: str) -> str:
+    from .feature_sql import FEATURE_INPUTS, feature_ctes, with_ctes
+    x = ", ".join(f"coalesce(f.{c}, 0) AS x{i}" for i, c in enumerate(LINEAR_COLUMNS))
+    t = (f"t3 AS (SELECT l.account_id, l.total AS y, (l.account_id % 10) + 1 AS fold, {x} FROM train_labels l "
+         "LEFT JOIN features f ON l.account_id = f.account_id)")
+    return with_ctes(SPEC, FEATURE_INPUTS + ["train_labels", "to_score"], feature_ctes(SPEC) + [t], body)
+
+
+def _normal_sql() -> str:
+    """Centred normal equations of three columns by Cramer's rule, for the rows outside each fold (-1: all rows)."""
+    cov = ", ".join(f"covar_pop(x{i}, x{j}) AS c{i}{j}" for i in range(3) for j in range(i, 3))
+    m = lambda i, j: f"c{min(i, j)}{max(i, j)}"
+
+    def det(cols: list[list[str]]) -> str:
+        a, b, c = cols
+        return (f"({a[0]} * ({b[1]} * {c[2]} - {b[2]} * {c[1]}) - {b[0]} * ({a[1]} * {c[2]} - {a[2]} * {c[1]}) "
+                f"+ {c[0]} * ({a[1]} * {b[2]} - {a[2]} * {b[1]}))")
+
+    cols, v = [[m(i, j) for i in range(3)] for j in range(3)], ["v0", "v1", "v2"]
+    b = [f"{det([v if k == j else cols[k] for k in range(3)])} / {det(cols)} AS b{j}" for j in range(3)]
+    rows = " UNION ALL ".join([f"SELECT fold, '{c}' AS term, round(b{i}, 6) AS coefficient FROM s" for i, c in enumerate(LINEAR_COLUMNS)]
+                              + ["SELECT fold, 'constant', round(my - b0 * m0 - b1 * m1 - b2 * m2, 6) FROM s"])
+    return _train3_sql("SELECT fold, term, coefficient FROM (WITH g AS (SELECT f.fold, " + cov + ", "
+                       + ", ".join(f"covar_pop(x{i}, y) AS v{i}, avg(x{i}) AS m{i}" for i in range(3)) + ", avg(y) AS my FROM t3, "
+                       "(SELECT CAST(unnest([-1, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10]) AS INTEGER) AS fold) f WHERE t3.fold <> f.fold GROUP BY f.fold), "
+                       f"s AS (SELECT *, {', '.join(b)} FROM g) {rows}) z")
+
+
+@query("linear_fold_coefficients", covers=("M2", "E5", "M1"), sql=_normal_sql)
+def linear_fold_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Least squares of the label on three history columns: the coefficients of each fold's training rows (fold -1: of all rows),
+    all from one pass over the rows."""
+    m = fit_linear_folds(_modulo_training(spark, sf_dir), columns=LINEAR_COLUMNS, ridge=0.0)
+    rows = [(f, t, float(v)) for f, (c, w) in m.solutions.items() for t, v in [*zip(m.by.names, w), ("constant", c)]]
+    return rounded(spark.createDataFrame(rows, "fold int, term string, coefficient double"))
+
+
+@query("scaled_columns", covers=("M9",), sql=lambda: _train3_sql(
+    "SELECT account_id, " + ", ".join(f"round((x{i} - (SELECT avg(x{i}) FROM t3 WHERE fold <> 1)) / (SELECT stddev_samp(x{i}) FROM t3 WHERE fold <> 1), 6) AS z{i}"
+                                      for i in range(3)) + " FROM t3"))
+def scaled_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three columns scaled by the mean and standard deviation of the rows outside fold 1."""
+    z, names = scaled(_modulo_training(spark, sf_dir), columns=LINEAR_COLUMNS, keep=("account_id",), fit_on=F.col("fold") != 1)
+    return rounded(z.select("account_id", *[F.col("scaled")[names.index(c)].alias(f"z{i}") for i, c in enumerate(LINEAR_COLUMNS)]))
+
+
 POLY = [f"total_{suffix(s)}" for s in SPEC.last(3)]
 
 

@@ -9,7 +9,7 @@ into the per-adjustment fold means; only those few numbers reach the driver.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import product
 from typing import Callable, Iterable, Sequence
 
@@ -17,9 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..models.boosting import Boosted, Spec, fit_boosted
+from ..models.design import NON_FEATURES
+from ..models.machines import Kernel, Machine, Machines, fit_machines
 from ..models.regressors import Fitted
 from ..operators import adjust as X
 from ..operators import evaluate as E
+from ..operators.features import matching_columns
 from ..operators.split import clean_outliers, split
 from ..spec import HistorySpec, suffix
 
@@ -99,3 +103,51 @@ def grid_search(train: DataFrame, make_fit: Callable[..., FitFn], grid: dict[str
         rows = list(ex.map(run, combos))
     schema = ", ".join(f"{k} double" for k in keys) + ", mean_rmsle double"
     return train.sparkSession.createDataFrame(rows, schema)
+
+
+def history_columns(spec: HistorySpec) -> list[str]:
+    """Columns that the adjustment rules read."""
+    return [*[f"total_{suffix(s)}" for s in spec.history_seasons], "State", "dSF"]
+
+
+def side_by_side(preds: DataFrame, spec: HistorySpec, adjustments: Sequence[str] | None = None, label: str = "total",
+                 more: Sequence[str] = ()) -> DataFrame:
+    """(more..., fold, label, adjustment, prediction): ``preds``, which carry label and history columns, under each rule; no join."""
+    rules = X.all_adjustments(F.col("prediction"), spec)
+    names = list(adjustments) if adjustments else list(rules)
+    ids = [*more, "fold", label]
+    return preds.select(*ids, *[rules[a].alias(a) for a in names]).unpivot(ids, names, "adjustment", "prediction")
+
+
+def boosted_folds(train: DataFrame, specs: Sequence[Spec], spec: HistorySpec, filter_regex: str = "", folds: Iterable[int] = range(1, K.NUM_FOLDS + 1),
+                  clean: bool = False, label: str = "total") -> tuple[DataFrame, Boosted]:
+    """Every fold's rows scored by models that have not seen them: (account_id, fold, label, history columns, setting, prediction), where
+    ``setting`` numbers ``specs``. The models of all settings and folds are fitted in the same passes over the rows, and label and
+    history travel with the row, so nothing is joined back. ``train`` is the whole training frame; ``filter_regex`` names features to leave out."""
+    folds = list(folds)
+    rows = train.where(F.col("fold").isin(folds)) if set(folds) != set(range(1, K.NUM_FOLDS + 1)) else train
+    every = [replace(s, out=f) for s in specs for f in folds]
+    data = clean_outliers(train, f"total_{suffix(spec.last_season)}", label) if clean else train
+    gone = matching_columns(train.columns, filter_regex) if filter_regex else []
+    m = fit_boosted(data, every, label, exclude=[*NON_FEATURES, *gone])
+    at = F.array_position(F.array(*[F.lit(f) for f in folds]), F.col("fold")).cast("int") - 1
+    keep = ["account_id", "fold", label, *history_columns(spec)]
+    parts = [m.predict(rows, at + i * len(folds), keep).withColumn("setting", F.lit(i)) for i in range(len(specs))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out, m
+
+
+def machine_folds(scaled: DataFrame, kernels: Sequence[Kernel], settings: Sequence[Machine], folds: Iterable[int] = range(1, K.NUM_FOLDS + 1),
+                  label: str = "total", learn=None, keep: Sequence[str] = ("account_id", "fold", "total"), **how) -> tuple[DataFrame, Machines]:
+    """(keep..., scores): each row's scores by the machines that leave its fold out (setting by setting). The machines of all settings
+    and folds are fitted in the same passes; only rows that meet ``learn`` are learned from."""
+    folds = list(folds)
+    every = [replace(s, out=f) for f in folds for s in settings]
+    m = fit_machines(scaled if learn is None else scaled.where(learn), kernels, every, label=label, **how)
+    n = len(settings)
+    at = (F.array_position(F.array(*[F.lit(f) for f in folds]), F.col("fold")).cast("int") - 1) * n
+    of = F.when(at >= 0, F.sequence(at, at + n - 1)).otherwise(F.array().cast("array<int>"))
+    got = m.scores(scaled, "scaled", keep, of)
+    return got.withColumn("scores", F.filter("scores", lambda s: s.isNotNull())), m

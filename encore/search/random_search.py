@@ -1,9 +1,9 @@
 """Random search over feature filters and boosted-tree parameters.
 
 Draws are seeded (not clock-seeded) and a fixed number of trials replaces the
-endless loop. Each trial is a cross-validation over the cached training frame;
+endless loop. Each trial is a cross-validation whose folds are fitted together;
 the budget rule redraws too costly draws, a bad first fold abandons the trial,
-and accepted trials are appended to a Parquet trial table.
+and every trial is a row of a Parquet table from which a search resumes.
 """
 
 from __future__ import annotations
@@ -11,16 +11,16 @@ from __future__ import annotations
 import datetime as _dt
 import random
 from dataclasses import asdict, dataclass
+from typing import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from .. import constants as K
-from ..models.regressors import fit_gbt
-from ..models.tdist import fit_tdist_boost
-from ..operators.features import drop_matching
-from ..sources.sinks import append_trial, stamp
+from ..models.boosting import Spec
+from ..operators import evaluate as E
+from ..sources.sinks import stamp
 from ..spec import HistorySpec
-from .cv import cross_validate
+from .cv import boosted_folds, side_by_side
 
 
 @dataclass
@@ -64,46 +64,52 @@ def draw_trials(n: int, seed: int, filter_override: str | None = K.SEARCH_FIXED_
     return [draw_trial(rng, filter_override) for _ in range(n)]
 
 
-def run_search(train_all: DataFrame, history: DataFrame, spec: HistorySpec, n_trials: int = 2, seed: int = 1,
+SCHEMA = ("trial int, filter string, trees long, bagfrac double, shrinkage double, depth long, distrib string, df double, "
+          "n_tokens long, trees_run long, step_run double, abandoned boolean, mean_raw double, sum_raw double, "
+          "mean_inactive double, mean_invariant double, accept_raw boolean, accept_inactive boolean, "
+          "accept_invariant boolean, date string")
+
+
+def _finished(spark: SparkSession, path: str, n: int) -> bool:
+    """Whether a trial's row is in the table (a write that was cut off leaves no _SUCCESS)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/part={n}/_SUCCESS")
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def run_search(train_all: DataFrame, spec: HistorySpec, trial_table: str, n_trials: int = 2, seed: int = 1,
                folds=range(1, K.NUM_FOLDS + 1), tree_budget: float = 1.0, step_scale: float = 1.0,
                threshold: float = K.ACCEPT_THRESHOLD, abandon_above: float = K.ABANDON_THRESHOLD,
-               trial_table: str | None = None, filter_override: str | None = K.SEARCH_FIXED_FILTER) -> DataFrame:
-    """Run ``n_trials`` trials; return one row per trial with its fold means and acceptance flags.
-
-    ``tree_budget`` scales the drawn tree counts and ``step_scale`` the shrinkage
-    (fewer trees with a larger step for quick runs); both are 1 by default."""
-    rows = []
-    folds = list(folds)
-    for t in draw_trials(n_trials, seed, filter_override):
-        data = drop_matching(train_all, t.filter)
+               filter_override: str | None = K.SEARCH_FIXED_FILTER, before: Callable[[int], None] | None = None) -> DataFrame:
+    """Run ``n_trials`` seeded trials over ``train_all`` (the whole training frame with folds); the rows of ``trial_table``, one a trial.
+
+    Each trial's row is written as soon as it ends, so a search that is started again on the same table goes on
+    after the trials it holds. A trial first fits the models that leave out the first fold; if their raw score is above
+    ``abandon_above`` it ends there, else the other folds' models are fitted together. ``tree_budget`` scales the drawn tree counts and
+    ``step_scale`` the shrinkage (fewer trees with a larger step for quick runs); both are 1 by default. ``before`` is called with the
+    number of each trial about to run."""
+    spark = train_all.sparkSession
+    folds, rules = list(folds), ["raw", "inactive", "invariant"]
+    for n, t in enumerate(draw_trials(n_trials, seed, filter_override)):
+        if _finished(spark, trial_table, n):
+            continue
+        if before:
+            before(n)
         trees = max(1, int(round(t.trees * tree_budget)))
         step = min(1.0, t.shrinkage * step_scale)
-        if t.distrib == "tdist":
-            fit = lambda d, t=t: fit_tdist_boost(d, trees=trees, shrinkage=step, bagfrac=t.bagfrac, depth=t.depth, df=t.df)
-        else:
-            fit = lambda d, t=t: fit_gbt(d, trees=trees, shrinkage=step, bagfrac=t.bagfrac, depth=t.depth, distrib=t.distrib)
-        r = cross_validate(data, fit, history, spec, folds, abandon_above=abandon_above,
-                           adjustments=["raw", "inactive", "invariant"])
-        s = {x["adjustment"]: x for x in r.scores.collect()}
-        raw = s["raw"]
-        rec = asdict(t) | {
-            "trees_run": trees, "step_run": step, "abandoned": r.abandoned,
-            "mean_raw": float(raw["mean_rmsle"]), "sum_raw": float(raw["sum_rmsle"]),
-            "mean_inactive": float(s["inactive"]["mean_rmsle"]) if "inactive" in s else None,
-            "mean_invariant": float(s["invariant"]["mean_rmsle"]) if "invariant" in s else None,
-        }
-        done = not r.abandoned
-        rec["accept_raw"] = done and rec["mean_raw"] < threshold
-        rec["accept_inactive"] = done and rec["mean_inactive"] is not None and rec["mean_inactive"] < threshold
-        rec["accept_invariant"] = done and rec["mean_invariant"] is not None and rec["mean_invariant"] < threshold
-        rec["date"] = stamp(_dt.date.today())
-        rows.append(rec)
-    schema = ("filter string, trees long, bagfrac double, shrinkage double, depth long, distrib string, df double, "
-              "n_tokens long, trees_run long, step_run double, abandoned boolean, mean_raw double, sum_raw double, "
-              "mean_inactive double, mean_invariant double, accept_raw boolean, accept_inactive boolean, "
-              "accept_invariant boolean, date string")
-    out = train_all.sparkSession.createDataFrame([tuple(r[k.split()[0]] for k in schema.split(", ")) for r in rows], schema)
-    if trial_table:
-        acc = out.where("accept_raw OR accept_inactive OR accept_invariant")
-        append_trial(acc, trial_table)
-    return out
+        one = Spec(trees, step, t.bagfrac, t.depth, loss=t.distrib, df=t.df, seed=seed + n)
+
+        def scores(some: list[int]) -> DataFrame:
+            preds, _ = boosted_folds(train_all, [one], spec, t.filter, some)
+            return E.rmsle(side_by_side(preds, spec, rules), by=["adjustment", "fold"])
+
+        got = scores(folds[:1]).collect()
+        abandoned = next(r.rmsle for r in got if r.adjustment == "raw") > abandon_above
+        if not abandoned and folds[1:]:
+            got += scores(folds[1:]).collect()
+        by = {a: [r.rmsle for r in sorted(got, key=lambda r: r.fold) if r.adjustment == a] for a in rules}
+        mean = {a: sum(v) / len(v) for a, v in by.items()}
+        rec = asdict(t) | {"trial": n, "trees_run": trees, "step_run": step, "abandoned": abandoned, "sum_raw": sum(by["raw"]), "date": stamp(_dt.date.today())}
+        rec |= {f"mean_{a}": mean[a] for a in rules} | {f"accept_{a}": not abandoned and mean[a] < threshold for a in rules}
+        row = spark.createDataFrame([tuple(rec[c.split()[0]] for c in SCHEMA.split(", "))], SCHEMA)
+        row.write.mode("overwrite").parquet(f"{trial_table}/part={n}")
+    return spark.read.schema(SCHEMA).parquet(trial_table).select(*[c.split()[0] for c in SCHEMA.split(", ")])

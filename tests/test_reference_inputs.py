@@ -16,11 +16,10 @@ def test_text_keys_are_numbered_in_order(spark, prefix):
 
 def test_trees_take_factors_of_any_width(spark):
     from encore.models.regressors import fit_forest, fit_gbt
-    from encore.models.tdist import fit_tdist_boost
 
     df = spark.createDataFrame([(f"A{i}", f"c{i % 60}", float(i % 7), float(i % 5)) for i in range(300)],
                                "account_id string, city string, x double, total double")
-    for fit in (lambda d: fit_gbt(d, trees=2), lambda d: fit_forest(d, trees=2), lambda d: fit_tdist_boost(d, trees=2)):
+    for fit in (lambda d: fit_gbt(d, trees=2), lambda d: fit_forest(d, trees=2)):
         assert fit(df).predict(df).count() == 300
 
 
