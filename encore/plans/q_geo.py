@@ -3,12 +3,14 @@ venue distances, density grid and hotspots, map export."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import constants as K
 from ..functions import text as T
 from ..operators import aggregate as A
 from ..operators import geo as G
+from ..operators import polygons as P
 from ..operators.features import build_features
 from ..operators.repair import profile_lengths
 from ..operators.split import prepare_training
@@ -188,3 +190,64 @@ def account_state_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = read_bundle(spark, sf_dir)
     g = G.geo_accounts(b.accounts, b.directory, CFG).select("account_id", "State")
     return b.accounts.select("account_id", "relationship").join(g, "account_id", "left")
+
+
+def _state_rings(directory: DataFrame) -> DataFrame:
+    """Supplied polygons: for each state the box around its places with a hole in its middle, one row a ring."""
+    box = directory.groupBy("State").agg(F.min("Lat").alias("y0"), F.max("Lat").alias("y9"), F.min("Long").alias("x0"), F.max("Long").alias("x9"))
+    y0, y9, x0, x9 = F.col("y0") - 0.05, F.col("y9") + 0.05, F.col("x0") - 0.05, F.col("x9") + 0.05
+
+    def ring(a: Column, b: Column, c: Column, d: Column) -> Column:
+        return F.array(*[F.struct(y.alias("y"), x.alias("x")) for y, x in ((a, c), (a, d), (b, d), (b, c))])
+
+    hole = ring(y0 + (y9 - y0) * 0.4, y0 + (y9 - y0) * 0.6, x0 + (x9 - x0) * 0.4, x0 + (x9 - x0) * 0.6)
+    return box.select(F.col("State").alias("polygon_id"), F.explode(F.array(ring(y0, y9, x0, x9), hole)).alias("points"))
+
+
+def _polygon_sql() -> str:
+    return _geo_sql("""SELECT g.account_id, min(b.State) AS polygon, coalesce(max(CASE WHEN b.State IS NOT NULL THEN 'Yes' END), 'No') AS hotspot,
+  count(DISTINCT a.billing_city) AS layer_rows FROM geo_all g LEFT JOIN (
+  SELECT State, min(Lat) - 0.05 AS y0, max(Lat) + 0.05 AS y9, min(Long) - 0.05 AS x0, max(Long) + 0.05 AS x9 FROM
+    (SELECT State, CAST(Lat AS DOUBLE) AS Lat, CAST(Long AS DOUBLE) AS Long FROM directory) GROUP BY State) b
+  ON g.Lat >= b.y0 AND g.Lat < b.y9 AND g.Long >= b.x0 AND g.Long < b.x9
+  AND NOT (g.Lat >= b.y0 + (b.y9 - b.y0) * 0.4 AND g.Lat < b.y0 + (b.y9 - b.y0) * 0.6 AND g.Long >= b.x0 + (b.x9 - b.x0) * 0.4 AND g.Long < b.x0 + (b.x9 - b.x0) * 0.6)
+  LEFT JOIN accounts a ON a.account_id = g.account_id GROUP BY g.account_id""")
+
+
+@query("polygon_hotspots", covers=("D10", "J6", "J14"), sql=_polygon_sql)
+def polygon_hotspots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts tagged by supplied polygons with holes; the tagged points joined to the point layer by key, a missing tag as 'No'."""
+    b = read_bundle(spark, sf_dir)
+    points = G.geo_accounts(b.accounts, b.directory, CFG).select("account_id", "billing_city", "Lat", "Long")
+    rings = _state_rings(b.directory.withColumns({c: F.col(c).cast("double") for c in ("Lat", "Long")}))
+    tagged = P.polygon_tags(points, rings).select("account_id", F.col("polygon_id").alias("polygon"),
+                                                  F.when(F.col("polygon_id").isNotNull(), "Yes").alias("hotspot"))
+    joined = P.layer_join(points, tagged)
+    layer = b.accounts.select("account_id", F.col("billing_city").isNotNull().cast("long").alias("layer_rows"))
+    return (joined.join(layer, "account_id", "left").select("account_id", F.col("layer_polygon").alias("polygon"),
+                                                            T.missing_to("layer_hotspot", K.HOTSPOT_DEFAULT).alias("hotspot"), "layer_rows"))
+
+
+def _heat_sql(body: str) -> str:
+    return _geo_sql(body, [
+        "hc AS (SELECT floor(Lat / 0.25) AS y, floor(Long / 0.25) AS x, count(*) AS n FROM geo_all WHERE Lat IS NOT NULL AND Long IS NOT NULL GROUP BY ALL)",
+        "hd AS (SELECT unnest(range(-4, 5)) AS d)",
+        "hk AS (SELECT a.d AS dy, b.d AS dx, pow(1 - (a.d * a.d + b.d * b.d) * 0.0625, 2) AS w FROM hd a, hd b WHERE (a.d * a.d + b.d * b.d) * 0.0625 < 1)",
+        "h AS (SELECT y + dy AS cy, x + dx AS cx, sum(n * w) AS heat FROM hc, hk GROUP BY ALL)"])
+
+
+@query("heat_surface", covers=("D9",), sql=lambda: _heat_sql("SELECT CAST(cy AS BIGINT) AS cell_y, CAST(cx AS BIGINT) AS cell_x, round(heat, 6) AS heat FROM h"))
+def heat_surface(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The map's heat: account counts by cell spread by a quartic kernel of one degree."""
+    b = read_bundle(spark, sf_dir)
+    return rounded(P.heat_surface(G.enrich_with_directory(G.repair_postcodes(b.accounts), b.directory, CFG)))
+
+
+@query("heat_hotspots", covers=("D10", "D9"), sql=lambda: _heat_sql(
+    "SELECT g.account_id, CASE WHEN h.heat >= 0.5 * (SELECT max(heat) FROM h) THEN 'Yes' ELSE 'No' END AS hotspot FROM geo_all g "
+    "LEFT JOIN h ON floor(g.Lat / 0.25) = h.cy AND floor(g.Long / 0.25) = h.cx"))
+def heat_hotspots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts whose cell has at least half of the largest heat."""
+    b = read_bundle(spark, sf_dir)
+    g = G.enrich_with_directory(G.repair_postcodes(b.accounts), b.directory, CFG)
+    return P.heat_tags(g.select("account_id", "Lat", "Long")).select("account_id", T.missing_to("hotspot", K.HOTSPOT_DEFAULT).alias("hotspot"))
