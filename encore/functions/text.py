@@ -12,6 +12,15 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: What the bytes 0x80-0x9F stand for in Windows-1252 (five stand for nothing), and the characters that a Latin-1 scan makes of them.
+_CODE_PAGE = [(chr(b), bytes([b]).decode("cp1252")) for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)]
+
+
+def from_code_page(c: Column | str) -> Column:
+    """Windows-1252 text from text scanned as ISO-8859-1: the two differ in 27 characters alone."""
+    return F.translate(_c(c), "".join(a for a, _ in _CODE_PAGE), "".join(b for _, b in _CODE_PAGE))
+
+
 def normalize(c: Column | str) -> Column:
     """Lower-case and strip surrounding whitespace (any kind, not only spaces)."""
     return F.lower(F.regexp_replace(_c(c), r"^\s+|\s+$", ""))
@@ -39,6 +48,10 @@ def missing_to(c: Column | str, default: str) -> Column:
     return F.coalesce(blank_to_null(c), F.lit(default))
 
 
+#: :func:`na_level` as SQL text of a column name ``c``, for selects of hundreds of columns.
+NA_LEVEL_SQL = "coalesce(`{c}`, '" + K.NA_LEVEL + "')"
+
+
 def na_level(c: Column | str) -> Column:
     """Missing categorical value as its own level."""
     return F.coalesce(_c(c), F.lit(K.NA_LEVEL))

@@ -34,7 +34,7 @@ from . import aggregate as A
 from .geo import GeoConfig, geo_accounts
 from .index import with_dense_index
 from .repair import repair_tickets, type_subscriptions
-from .reshape import cast_cells
+from .reshape import cast_cells, cell
 
 GEO_NUMERIC = ("Lat", "Long", "dSF", "dPeninsula", "dBerkley", "missing")
 GEO_FACTORS = ("State", "City", "hotspot")
@@ -103,14 +103,21 @@ def subscription_family(b: Bundle, cfg: FeatureConfig = FeatureConfig(),
     prog = prog if prog is not None else A.programme_by_season(b.programme, spec)
     j = hist.join(F.broadcast(prog), "season", "left")
     # categorical values are cast to text once, so a count rule keeps a numeric cell type only for numerics
-    cells = ([(f"{v}_{suffix(s)}", F.col("season") == s, v) for v in spec.subs_numeric for s in spec.history_seasons]
-             + [(f"{v}_{suffix(s)}", F.col("season") == s, v) for v in spec.subs_factors for s in spec.history_seasons])
+    cells = [(f"{v}_{suffix(s)}", cell({"season": s}), v) for v in (*spec.subs_numeric, *spec.subs_factors) for s in spec.history_seasons]
     w = (lambda c: F.col(c) * F.col("total")) if cfg.weight_preferences else (lambda c: F.col(c))
     prefs = [RW.poisoned_sum(w(c)).alias("conc_" + c) for c in spec.preference_composers]
     out = cast_cells(j, "account_id", cells, prefs, cfg.on_duplicate, duplicates, cfg.duplicate_check,
                      ["account_id", "season"])
     facs = {f"{v}_{suffix(s)}" for v in spec.subs_factors for s in spec.history_seasons}
-    return out.select(*[F.col(c).cast("string").alias(c) if c in facs else F.col(c) for c in out.columns])
+    return out.selectExpr(*[f"CAST(`{c}` AS STRING) AS `{c}`" if c in facs else f"`{c}`" for c in out.columns])
+
+
+def totals_family(b: Bundle, cfg: FeatureConfig = FeatureConfig(), duplicates: bool | None = None) -> DataFrame:
+    """The season totals of :func:`subscription_family` alone, under the same duplicate rule."""
+    spec = b.spec
+    subs = type_subscriptions(b.subscriptions, ("total",), ()).where(F.col("season") != spec.target_season)
+    cells = [(total(spec, s), cell({"season": s}), "total") for s in spec.history_seasons]
+    return cast_cells(subs, "account_id", cells, (), cfg.on_duplicate, duplicates, cfg.duplicate_check, ["account_id", "season"])
 
 
 def ticket_family(b: Bundle, cfg: FeatureConfig = FeatureConfig(), duplicates: bool | None = None) -> DataFrame:
@@ -124,7 +131,7 @@ def ticket_family(b: Bundle, cfg: FeatureConfig = FeatureConfig(), duplicates: b
     # sum without na.rm: a null seat count makes the season's sum null; absent season -> 0
     extra += [F.when(within(s, "__filled") == within(s, "__rows"), within(s, "__seats").cast("double"))
               .alias(f"add_tickets_seats_{suffix(s)}") for s in spec.ticket_seasons]
-    cells = [(f"add_{v}_{suffix(s)}_{st}", (F.col("season") == s) & (F.col("set") == st), v)
+    cells = [(f"add_{v}_{suffix(s)}_{st}", cell({"season": s, "set": st}), v)
              for v in spec.ticket_values for s in spec.ticket_seasons for st in spec.ticket_sets]
     return cast_cells(t, "account_id", cells, extra, cfg.on_duplicate, duplicates, cfg.duplicate_check,
                       ["account_id", "season", "set"], by_cell=[F.sum("no_seats").alias("__seats"), F.count("no_seats").alias("__filled")])
@@ -190,13 +197,24 @@ def build_features(b: Bundle, cfg: FeatureConfig = FeatureConfig(), filter_regex
     factors = set(factor_columns(spec))
     # numeric gaps -> 0 first; derived columns see categorical gaps as missing (never equal);
     # only then do categorical gaps become their own level.
-    typed = wide.select(*[F.col(c) if c == "account_id" or c in factors
-                          else F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in wide.columns])
+    typed = wide.selectExpr(*[f"`{c}`" if c == "account_id" or c in factors else f"coalesce(`{c}`, 0D) AS `{c}`" for c in wide.columns])
     derived = typed.select("*", *derived_columns(spec))
-    out = derived.select(*[T.na_level(c).alias(c) if c in factors else F.col(c) for c in derived.columns])
+    out = derived.selectExpr(*[f"{T.NA_LEVEL_SQL.format(c=c)} AS `{c}`" if c in factors else f"`{c}`" for c in derived.columns])
     return drop_matching(out, filter_regex)
 
 
+def build_history(b: Bundle, cfg: FeatureConfig = FeatureConfig(), subs_duplicates: bool | None = None) -> DataFrame:
+    """The columns of :func:`build_features` that the prediction adjustments read, and the window means and variances of the totals,
+    without the other families: (account_id, totals, State, dSF, avg_n_years, var_n_years)."""
+    spec = b.spec
+    geo = geo_family(b, cfg).select("account_id", "State", "dSF")
+    wide = b.accounts.select("account_id").join(totals_family(b, cfg, subs_duplicates), "account_id", "left").join(geo, "account_id", "left")
+    typed = wide.selectExpr(*[f"`{c}`" if c == "account_id" else f"{T.NA_LEVEL_SQL.format(c=c)} AS `{c}`" if c == "State"
+                              else f"coalesce(`{c}`, 0D) AS `{c}`" for c in wide.columns])
+    windows = [(n, [total(spec, s) for s in spec.last(n)]) for n in spec.windows]
+    return typed.select("*", *[RW.row_mean(c).alias(f"avg_{n}_years") for n, c in windows], *[RW.row_var(c).alias(f"var_{n}_years") for n, c in windows])
+
+
 # --------------------------------------------------------------------------- regex selection
 
 PROTECTED = ("account_id", "total", "label", "fold")

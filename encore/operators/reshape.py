@@ -26,18 +26,17 @@ def has_duplicates(df: DataFrame, keys: Sequence[str]) -> bool:
     return df.groupBy(*keys).count().where(F.col("count") > 1).limit(1).count() > 0
 
 
-def cell(conds: Mapping[str, str]) -> Column:
-    return _and([F.col(k) == F.lit(v) for k, v in conds.items()])
+def quoted(v: str) -> str:
+    """``v`` as a SQL text literal."""
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _and(cs: list[Column]) -> Column:
-    out = cs[0]
-    for c in cs[1:]:
-        out = out & c
-    return out
+def cell(conds: Mapping[str, str]) -> str:
+    """SQL condition of a cell."""
+    return " AND ".join(f"`{k}` = {quoted(v)}" for k, v in conds.items())
 
 
-def cast_cells(df: DataFrame, key: str, cells: Sequence[tuple[str, Column, str]], extra_aggs: Sequence[Column] = (),
+def cast_cells(df: DataFrame, key: str, cells: Sequence[tuple[str, str | Column, str]], extra_aggs: Sequence[Column] = (),
                on_duplicate: str = "count", duplicates: bool | None = None, check: str = "subquery",
                keys_for_check: Sequence[str] | None = None, by_cell: Sequence[Column] | None = None) -> DataFrame:
     """One ``groupBy(key).agg`` of conditional cells plus ``extra_aggs`` under the duplicate rule.
@@ -46,7 +45,7 @@ def cast_cells(df: DataFrame, key: str, cells: Sequence[tuple[str, Column, str]]
     column that a cell's condition reads): the value columns' maxima, the row count ``__rows`` and the
     aggregates of ``by_cell``; ``extra_aggs`` then read those. Flag and cells come from that one shuffle.
 
-    ``cells`` lists ``(output name, condition, value column)``. How an unknown
+    ``cells`` lists ``(output name, condition, value column)``; conditions are SQL text or columns. How an unknown
     duplicate status is found (``check``):
 
     * ``"subquery"`` (default, fully lazy): the single aggregation keeps both the
@@ -69,19 +68,22 @@ def cast_cells(df: DataFrame, key: str, cells: Sequence[tuple[str, Column, str]]
         maxima = [F.max(v).alias(v) for v in dict.fromkeys(v for _, _, v in cells) if v not in keys_for_check]
         df = df.groupBy(*keys_for_check).agg(F.count(F.lit(1)).alias("__rows"), *maxima, *by_cell)
 
-    def rows(cond: Column) -> Column:
-        if reduced:
-            return F.coalesce(F.sum(F.when(cond, F.col("__rows"))), F.lit(0))
-        return F.count(F.when(cond, F.lit(1)))
+    # conditions as text are put into SQL text: a cast has hundreds of cells, and each would cost a dozen calls as a Column
+    def rows(cond: str | Column) -> Column:
+        if isinstance(cond, str):
+            return F.expr(f"coalesce(sum(CASE WHEN {cond} THEN `__rows` END), 0)" if reduced else f"count(CASE WHEN {cond} THEN 1 END)")
+        return F.coalesce(F.sum(F.when(cond, F.col("__rows"))), F.lit(0)) if reduced else F.count(F.when(cond, F.lit(1)))
 
     def values() -> list[Column]:
-        return [F.max(F.when(cond, F.col(v))).alias(n) for n, cond, v in cells]
+        return [F.expr(f"max(CASE WHEN {cond} THEN `{v}` END) AS `{n}`") if isinstance(cond, str) else F.max(F.when(cond, F.col(v))).alias(n)
+                for n, cond, v in cells]
 
-    def counts(suffix: str = "") -> list[Column]:
-        return [rows(cond).cast("double").alias(n + suffix) for n, cond, _ in cells]
+    def as_value_type(c: str, v: str) -> str:
+        return f"CAST({c} AS STRING)" if types.get(v) == "string" else c
 
-    def as_value_type(c: Column, v: str) -> Column:
-        return c.cast("string") if types.get(v) == "string" else c
+    def counts(suffix: str = "", typed: bool = False) -> list[Column]:
+        number = [(n, rows(cond).cast("double"), v) for n, cond, v in cells]
+        return [(c.cast("string") if typed and types.get(v) == "string" else c).alias(n + suffix) for n, c, v in number]
 
     if on_duplicate == "first":
         return df.groupBy(key).agg(*values(), *extra_aggs)
@@ -93,7 +95,7 @@ def cast_cells(df: DataFrame, key: str, cells: Sequence[tuple[str, Column, str]]
         if duplicates and on_duplicate == "error":
             raise ValueError("duplicate cell keys")
         if duplicates:
-            return df.groupBy(key).agg(*[as_value_type(c, v) for c, (_, _, v) in zip(counts(), cells)], *extra_aggs)
+            return df.groupBy(key).agg(*counts(typed=True), *extra_aggs)
         return df.groupBy(key).agg(*values(), *extra_aggs)
     names = {n for n, _, _ in cells}
     if check == "checkpoint":
@@ -103,8 +105,8 @@ def cast_cells(df: DataFrame, key: str, cells: Sequence[tuple[str, Column, str]]
         both = df.groupBy(key).agg(*values(), *counts("__n"), *extra_aggs, most.alias("__most")).checkpoint(eager=True)
         dup = (both.agg(F.max("__most")).first()[0] or 0) > 1
         extra = [c for c in both.columns if c not in names and c != key and c != "__most" and not c.endswith("__n")]
-        chosen = [as_value_type(F.col(n + "__n"), v).alias(n) if dup else F.col(n) for n, _, v in cells]
-        return both.select(key, *chosen, *extra)
+        chosen = [f"{as_value_type(f'`{n}__n`', v)} AS `{n}`" if dup else f"`{n}`" for n, _, v in cells]
+        return both.selectExpr(f"`{key}`", *chosen, *[f"`{c}`" for c in extra])
     if check != "subquery":
         raise ValueError(check)
     if not keys_for_check:
@@ -118,9 +120,8 @@ def cast_cells(df: DataFrame, key: str, cells: Sequence[tuple[str, Column, str]]
                 .select(F.coalesce(F.max("_c"), F.lit(0)) > 1).scalar())
     both = df.groupBy(key).agg(*values(), *counts("__n"), *extra_aggs).withColumn("__dup", flag)
     extra = [c for c in both.columns if c not in names and c != key and c != "__dup" and not c.endswith("__n")]
-    chosen = [F.when(F.col("__dup"), as_value_type(F.col(n + "__n"), v)).otherwise(F.col(n)).alias(n)
-              for n, _, v in cells]
-    return both.select(key, *chosen, *extra)
+    chosen = [f"CASE WHEN `__dup` THEN {as_value_type(f'`{n}__n`', v)} ELSE `{n}` END AS `{n}`" for n, _, v in cells]
+    return both.selectExpr(f"`{key}`", *chosen, *[f"`{c}`" for c in extra])
 
 
 def cast_wide(df: DataFrame, key: str, cells: Iterable[tuple[str, Mapping[str, str], str]],

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import DataType, StringType
 
 from .. import constants as K
 from ..functions import text as T
@@ -44,15 +44,14 @@ def every_nth(index_col: str, n: int = 10, offset: int = 0) -> Column:
 def prepare_training(labels: DataFrame, features: DataFrame) -> DataFrame:
     """Labels left-joined with the feature table; gaps -> 0 (numeric) or the NA level (text)."""
     j = labels.join(features, "account_id", "left")
-    out = []
-    for f in j.schema.fields:
-        if f.name == "account_id":
-            out.append(F.col(f.name))
-        elif isinstance(f.dataType, StringType):
-            out.append(T.na_level(f.name).alias(f.name))
-        else:
-            out.append(F.coalesce(F.col(f.name), F.lit(0).cast(f.dataType)).alias(f.name))
-    return j.select(*out)
+    def filled(name: str, kind: DataType) -> str:
+        if name == "account_id":
+            return f"`{name}`"
+        if isinstance(kind, StringType):
+            return f"{T.NA_LEVEL_SQL.format(c=name)} AS `{name}`"
+        return f"coalesce(`{name}`, CAST(0 AS {kind.simpleString()})) AS `{name}`"
+
+    return j.selectExpr(*[filled(f.name, f.dataType) for f in j.schema.fields])
 
 
 def prepare_scoring(to_score: DataFrame, features: DataFrame) -> DataFrame:

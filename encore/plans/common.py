@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 DIGITS = 6
@@ -11,9 +10,8 @@ DIGITS = 6
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Round every floating column (stable value hashes against the SQL oracle)."""
-    return df.select(*[F.round(F.col(f"`{f.name}`"), digits).alias(f.name)
-                       if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f"`{f.name}`")
-                       for f in df.schema.fields])
+    return df.selectExpr(*[f"round(`{f.name}`, {digits}) AS `{f.name}`" if isinstance(f.dataType, (DoubleType, FloatType)) else f"`{f.name}`"
+                           for f in df.schema.fields])
 
 
 def sql_round(cols_types: list[tuple[str, str]], digits: int = DIGITS) -> str:

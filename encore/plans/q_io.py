@@ -39,7 +39,7 @@ def labels_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
                              "LEFT JOIN features f ON s.account_id = f.account_id GROUP BY 1"))
 def class_label_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class predictions (rounded three-season mean) written without snapping, read back, tabulated."""
-    preds, _ = predictions(spark, sf_dir)
+    preds = predictions(spark, sf_dir)
     cls = preds.select("account_id", N.round_half_even("prediction").alias("prediction"))
     path = write_submission(cls, scratch_path(spark, f"submissions/{uuid.uuid4().hex}"), "class_sub_", snap=False)
     back = read_text_csv(spark, path, ["account_id", "total"]).select(N.to_number("total").alias("total"))

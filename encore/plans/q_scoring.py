@@ -16,9 +16,11 @@ from ..functions import numeric as N
 from ..operators import adjust as X
 from ..operators import evaluate as E
 from ..operators.aggregate import contingency
-from ..operators.features import build_features, keep_matching
+from ..operators.features import build_features, build_history, keep_matching
 from ..operators.split import (assign_folds, clean_outliers, every_nth, holdout_flag, prepare_training, split)
+from ..search.cv import history_columns
 from ..session import scratch_path
+from ..models.knn import knn_vote
 from ..sources.bind import read_bundle
 from ..sources.csv import read_text_csv
 from ..sources.sinks import write_submission
@@ -38,6 +40,12 @@ def training(spark: SparkSession, sf_dir: str, method: str = "modulo") -> DataFr
     return assign_folds(prepare_training(b.labels, build_features(b)), method=method)
 
 
+def history_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels with the columns that predictions and adjustments read, and the fold; no other family is built."""
+    b = read_bundle(spark, sf_dir)
+    return assign_folds(prepare_training(b.labels, build_history(b)), method="modulo")
+
+
 def _dbl_cols() -> set[str]:
     numeric, _ = feature_names(SPEC)
     return set(numeric) | {n for n, _ in derived_sql(SPEC)}
@@ -194,11 +202,11 @@ def _adjust_sql_exprs(p: str) -> dict[str, str]:
     }
 
 
-def predictions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(account_id, prediction) and the history columns that the adjustments read, for every account to score."""
     b = read_bundle(spark, sf_dir)
-    feats = build_features(b)
-    preds = b.to_score.join(feats.select("account_id", F.col(PRED).alias("prediction")), "account_id", "left")
-    return preds, feats
+    hist = build_history(b).select("account_id", F.col(PRED).alias("prediction"), *history_columns(SPEC))
+    return b.to_score.join(hist, "account_id", "left")
 
 
 @query("adjusted_predictions", covers=("X1", "X2", "X3", "X4", "X5", "X6", "J13", "J4", "Q4"),
@@ -207,8 +215,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
            + f", round({snap_sql('f.' + PRED)}, 6) AS snapped FROM to_score s LEFT JOIN features f ON s.account_id = f.account_id"))
 def adjusted_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three-season-mean predictions for every account to score, under each adjustment rule, and snapped."""
-    preds, feats = predictions(spark, sf_dir)
-    h = X.with_history(preds, feats, SPEC)
+    h = predictions(spark, sf_dir)
     p = F.col("prediction")
     cols = [e.alias(k) for k, e in X.all_adjustments(p, SPEC).items()]
     return rounded(h.select("account_id", *cols, N.snap(p).alias("snapped")))
@@ -233,7 +240,7 @@ def scores_long(t: DataFrame) -> DataFrame:
 @query("adjustment_fold_scores", covers=("E4", "E1", "E5", "X1"), sql=_scores_sql)
 def adjustment_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per adjustment: mean and sum over the ten folds of the fold RMSLE (side by side, one pass)."""
-    return rounded(E.fold_scores(scores_long(training(spark, sf_dir))))
+    return rounded(E.fold_scores(scores_long(history_training(spark, sf_dir))))
 
 
 @query("train_vs_validation_scores", covers=("E11",),
@@ -243,7 +250,7 @@ def adjustment_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
            "count(*) AS n FROM train GROUP BY 1"))
 def train_vs_validation_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score on the training folds next to the score on validation fold 1."""
-    t = training(spark, sf_dir)
+    t = history_training(spark, sf_dir)
     tr, va = split(t, 1)
     a = E.rmsle(tr.withColumn("part", F.lit("training")), PRED, by=["part"])
     b = E.rmsle(va.withColumn("part", F.lit("validation")), PRED, by=["part"])
@@ -256,7 +263,7 @@ def train_vs_validation_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
            f"round(max(abs(exp(ln(1 + {PRED})) - 1 - {PRED})), 6) AS roundtrip_error FROM train"))
 def log_scale_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Label and prediction on the log(1 + x) scale: RMSE of snapped log predictions; expm1 inverts log1p."""
-    t = training(spark, sf_dir).select(N.log_label("total").alias("total"), N.log_label(PRED).alias("p"), PRED)
+    t = history_training(spark, sf_dir).select(N.log_label("total").alias("total"), N.log_label(PRED).alias("p"), PRED)
     e = E.squared_log_error(F.col("p"), F.col("total"), log_scale=True)
     back = F.abs(N.unlog_label(N.log_label(PRED)) - F.col(PRED))
     return rounded(t.agg(F.sqrt(F.avg(e)).alias("rmse_log"), F.max(back).alias("roundtrip_error")))
@@ -269,7 +276,7 @@ CLASS_PRED = f"round_even({PRED}, 0)"
        sql=lambda: _train_sql(f"SELECT round(1 - avg(CAST({CLASS_PRED} = total AS DOUBLE)), 6) AS error, count(*) AS n FROM train"))
 def misclassification_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of accounts whose rounded prediction is not the label."""
-    t = training(spark, sf_dir).select(N.round_half_even(PRED).alias("prediction"), "total")
+    t = history_training(spark, sf_dir).select(N.round_half_even(PRED).alias("prediction"), "total")
     return rounded(E.misclassification(t))
 
 
@@ -277,7 +284,7 @@ def misclassification_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
        sql=lambda: _train_sql(f"SELECT {CLASS_PRED} AS predicted, total AS correct, count(*) AS n FROM train GROUP BY 1, 2"))
 def contingency_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted x correct counts (long form)."""
-    t = training(spark, sf_dir).select(N.round_half_even(PRED).alias("predicted"), F.col("total").alias("correct"))
+    t = history_training(spark, sf_dir).select(N.round_half_even(PRED).alias("predicted"), F.col("total").alias("correct"))
     return contingency(t, "predicted", "correct")
 
 
@@ -286,7 +293,7 @@ def contingency_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                               f"round(total - {snap_sql(PRED)}, 6) AS residual FROM train"))
 def residual_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Correct value, snapped answer and residual per account."""
-    return rounded(E.residuals(training(spark, sf_dir).withColumnRenamed(PRED, "prediction")))
+    return rounded(E.residuals(history_training(spark, sf_dir).withColumnRenamed(PRED, "prediction")))
 
 
 def _drill_cols() -> list[str]:
@@ -322,12 +329,12 @@ def _resub_sql() -> str:
 @query("resubmission_roundtrip", covers=("S5", "S7", "S2", "S9", "X7", "X8", "C9"), sql=_resub_sql)
 def resubmission_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write a snapped submission, read it back as text, re-adjust it (light then hard variant)."""
-    preds, feats = predictions(spark, sf_dir)
-    path = write_submission(preds, scratch_path(spark, f"submissions/{uuid.uuid4().hex}"), "three_season_mean_")
+    preds = predictions(spark, sf_dir)
+    path = write_submission(preds.select("account_id", "prediction"), scratch_path(spark, f"submissions/{uuid.uuid4().hex}"), "three_season_mean_")
     back = read_text_csv(spark, path, ["account_id", "total"])
     back = back.select(F.col("account_id").cast("bigint").alias("account_id"),
                        N.to_number("total").alias("prediction"))
-    h = X.with_history(back, feats, SPEC)
+    h = X.with_history(back, preds.drop("prediction"), SPEC)
     return rounded(h.select("account_id", X.light_and_hard(F.col("prediction"), SPEC).alias("total")))
 
 
@@ -351,15 +358,6 @@ def _knn_sql() -> str:
 def knn_cv_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """3-nearest-neighbour vote for every account from the accounts of the other folds
     (last three seasons' totals as features; ties: nearer, then lower label)."""
-    from pyspark.ml.feature import VectorAssembler
-    from ..models.knn import knn_vote
-    t = training(spark, sf_dir).select("account_id", "total", "fold", *KNN_COLS)
-    t = VectorAssembler(inputCols=KNN_COLS, outputCol="vec").transform(t).cache()
-    parts = []
-    for fold in range(1, K.NUM_FOLDS + 1):
-        tr, va = split(t, fold)
-        parts.append(knn_vote(tr, va.select(F.col("account_id").alias("query_id"), "vec"), k=K.KNN_K, vec="vec"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(F.col("query_id").alias("account_id"), "prediction")
+    t = history_training(spark, sf_dir).select("account_id", "total", "fold", F.array(*KNN_COLS).alias("vec"))
+    q = t.select(F.col("account_id").alias("query_id"), "fold", "vec")
+    return knn_vote(t, q, k=K.KNN_K, vec="vec", apart="fold").select(F.col("query_id").alias("account_id"), "prediction")

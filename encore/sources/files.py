@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import numeric as N
+from ..functions import text as T
 from ..spec import HistorySpec
 from .bind import Bundle
 
@@ -20,9 +21,16 @@ KEYED = ("accounts", "subscriptions", "tickets", "attended", "labels", "to_score
 _NEVER = "\u0001"
 
 
-def _scan(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as text; 'NA' is null and a blank stays blank, quoted or not. Dots in names become underscores."""
-    df = spark.read.option("header", True).option("nullValue", _NEVER).option("emptyValue", "").csv(path)
+def _scan(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """All columns as text; 'NA' is null and a blank stays blank, quoted or not. Dots in names become underscores.
+
+    Spark scans few character sets unless its session says otherwise; ``windows-1252`` is scanned as ISO-8859-1, and
+    the characters in which the two differ are replaced as expressions."""
+    page = encoding.lower() in ("windows-1252", "cp1252")
+    df = (spark.read.option("header", True).option("nullValue", _NEVER).option("emptyValue", "")
+          .option("encoding", "ISO-8859-1" if page else encoding).csv(path))
+    if page:
+        df = df.select(*[T.from_code_page(F.col(f"`{c}`")).alias(c) for c in df.columns])
 
     def value(c: str) -> Column:
         x = F.col(f"`{c}`")
@@ -32,18 +40,18 @@ def _scan(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv_bundle(spark: SparkSession, paths: Mapping[str, str], spec: HistorySpec, log_label: bool = False,
-                    key_type: str = "string") -> Bundle:
+                    key_type: str = "string", encoding: str = "UTF-8") -> Bundle:
     """``readData``: the input bundle from CSV files, one path (file or folder) for each of ``TABLES``.
 
     With ``log_label`` the label becomes log(1 + total); ``functions.numeric.unlog_label`` takes
-    predictions back. Keys are text unless ``key_type`` says otherwise.
+    predictions back. Keys are text unless ``key_type`` says otherwise; ``encoding`` is the files' character set.
     """
     missing = [n for n in TABLES if n not in paths]
     if missing:
         raise ValueError(f"no path for {', '.join(missing)}")
     out = {}
     for name in TABLES:
-        df = _scan(spark, paths[name])
+        df = _scan(spark, paths[name], encoding)
         for c in NUMBERS.get(name, ()):
             df = df.withColumn(c, F.col(c).try_cast("double"))
         if name in KEYED:
@@ -54,10 +62,10 @@ def read_csv_bundle(spark: SparkSession, paths: Mapping[str, str], spec: History
     return Bundle(**out, spec=spec)
 
 
-def write_csv_bundle(bundle: Bundle, folder: str) -> dict[str, str]:
+def write_csv_bundle(bundle: Bundle, folder: str, encoding: str = "UTF-8") -> dict[str, str]:
     """Every table of ``bundle`` as CSV below ``folder``; the paths that :func:`read_csv_bundle` takes."""
     paths = {n: f"{folder.rstrip('/')}/{n}" for n in TABLES}
     for name, path in paths.items():
         (getattr(bundle, name).write.option("header", True).option("nullValue", "NA").option("ignoreLeadingWhiteSpace", False)
-         .option("ignoreTrailingWhiteSpace", False).csv(path))
+         .option("ignoreTrailingWhiteSpace", False).option("encoding", encoding).csv(path))
     return paths

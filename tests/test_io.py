@@ -36,3 +36,13 @@ def test_submission_round_trip(spark):
     back = read_text_csv(spark, path, ["account_id", "total"])
     got = sorted((int(r[0]), float(r[1])) for r in back.collect())
     assert got == [(1, 0.0), (2, 1.5), (3, 2.2)]
+
+
+def test_code_page_of_csv_extracts(spark, tmp_path):
+    """Every byte of Windows-1252 that stands for a character."""
+    from encore.sources.files import _scan
+
+    text = bytes(b for b in range(0x80, 0x100) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)).decode("cp1252")
+    (tmp_path / "t.csv").write_bytes(f'account.id,billing.city\nA1,"San José – “{text}”"\nA2,NA\nA3,\n'.encode("cp1252"))
+    rows = {r.account_id: r.billing_city for r in _scan(spark, str(tmp_path / "t.csv"), "windows-1252").collect()}
+    assert rows == {"A1": f"San José – “{text}”", "A2": None, "A3": ""}

@@ -104,3 +104,48 @@ def test_scale_conf_bounds():
     assert small["spark.sql.shuffle.partitions"] == "16"
     big = scale_conf(100e12, 8000)
     assert int(big["spark.sql.shuffle.partitions"]) == 200_000
+
+
+def test_points_in_polygons_against_brute_force(spark):
+    """Rings with holes, notches, shared edges, points on edges and corners, null coordinates."""
+    import random
+
+    from encore.operators.polygons import layer_join, polygon_tags
+
+    rings = [("b", [(0, 0), (0, 4), (4, 4), (4, 0)]), ("b", [(1, 1), (1, 2), (2, 2), (2, 1), (1, 1)]), ("a", [(0, 4), (0, 7), (3, 5.5), (4, 7), (4, 4)]),
+             ("c", [(-3.3, -2.1), (5.2, 1.3), (-1.7, 6.4)]), ("d", [(1, 1), (1, 2)])]
+    rng = random.Random(3)
+    pts = [(i, rng.uniform(-4, 6), rng.uniform(-3, 8)) for i in range(400)]
+    pts += [(400 + k, float(y), float(x)) for k, (y, x) in enumerate((y, x) for y in range(-1, 6) for x in range(-1, 8))] + [(900, None, 1.0), (901, 1.0, None)]
+
+    def within(name, y, x):
+        odd = False
+        for n, ring in rings:
+            if n == name and len(ring) >= 3:
+                for (y1, x1), (y2, x2) in zip(ring, ring[1:] + ring[:1]):
+                    if (y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1:
+                        odd = not odd
+        return odd
+
+    df = spark.createDataFrame([(i, y, x) for i, y, x in pts], "account_id long, Lat double, Long double")
+    r = spark.createDataFrame([(n, [(float(y), float(x)) for y, x in ring]) for n, ring in rings], "polygon_id string, points array<struct<y:double,x:double>>")
+    for grid in (0.25, 1.0, 3.0):
+        tagged = polygon_tags(df, r, grid)
+        got = {t.account_id: t.polygon_id for t in tagged.collect()}
+        want = {i: next((n for n in "abcd" if y is not None and x is not None and within(n, y, x)), None) for i, y, x in pts}
+        assert got == want and len(set(want.values())) == 4
+    both = layer_join(df.select("account_id"), tagged.where("account_id < 10").select("account_id", "polygon_id")).collect()
+    assert len(both) == len(pts) and all((t.layer_polygon_id is not None) <= (t.account_id < 10) for t in both)
+
+
+def test_heat_is_the_same_at_any_number_of_rows(spark):
+    from encore.operators.polygons import heat_surface, heat_tags
+
+    pts = [(37.1, -122.1)] * 5 + [(37.3, -122.1)] * 3 + [(40.0, -100.0)] * 2
+    df = spark.createDataFrame(pts, "Lat double, Long double")
+    heat = {(r.cell_y, r.cell_x): r.heat for r in heat_surface(df, 0.25, 1.0).collect()}
+    # the cell of the five: its own, and the three of the next cell at a quarter of the radius
+    assert heat[148, -489] == pytest.approx(5 + 3 * (1 - 0.0625) ** 2)
+    more = df.withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(100))))
+    one, many = ({(r.Lat, r.hotspot) for r in heat_tags(d, 0.5).collect()} for d in (df, more))
+    assert one == many == {(37.1, "Yes"), (37.3, "Yes"), (40.0, None)}
