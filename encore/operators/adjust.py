@@ -48,12 +48,12 @@ def distance_capped(p: Column, dist: str = "dSF") -> Column:
     return F.when(p.isNull(), F.lit(None).cast("double")).otherwise(F.least(p, far, near))
 
 
-def invariant_last(p: Column, spec: HistorySpec, n_invariant: int = K.INVARIANT_SEASONS,
+def invariant_last(p: Column, spec: HistorySpec, n_invariant: int | None = None,
                    n_active: int | None = K.ACTIVE_SEASONS) -> Column:
     """Inactive rule first (if ``n_active``); then, when the last ``n_invariant``
-    seasons are all equal, last season's total replaces the prediction."""
+    seasons (those of the spec by default) are all equal, last season's total replaces the prediction."""
     q = inactive_zero(p, spec, n_active) if n_active else p
-    const = RW.row_constant(_totals(spec, n_invariant))
+    const = RW.row_constant(_totals(spec, n_invariant or spec.invariant_seasons))
     return F.when(const, F.col(f"total_{suffix(spec.last_season)}")).otherwise(q)
 
 

@@ -8,17 +8,21 @@ from __future__ import annotations
 from ..spec import SEASON_SHIFT, HistorySpec
 
 
-def season_expr(ts: str) -> str:
-    return (f"(CAST(year({ts}) + {SEASON_SHIFT} AS VARCHAR) || '-' || "
-            f"CAST(year({ts}) + {SEASON_SHIFT + 1} AS VARCHAR))")
+def season_expr(ts: str, spec: HistorySpec | None = None) -> str:
+    if spec is None or spec.period_months == 12:
+        y = f"(year({ts}) + {spec.first_start - 1995 if spec else SEASON_SHIFT})"
+    else:
+        y = f"(((year({ts}) - 1995) * 12 + month({ts}) - 1) // {spec.period_months} + {spec.first_start})"
+    return f"(CAST({y} AS VARCHAR) || '-' || CAST({y} + 1 AS VARCHAR))"
 
 
 def ctes(spec: HistorySpec) -> dict[str, str]:
-    so = season_expr("o.o_orderdate")
+    so = season_expr("o.o_orderdate", spec)
+    named = [f"p_type = '{c}'" if spec.composer_by == "p_type" else f"p_partkey % {len(spec.composers)} = {i}" for i, c in enumerate(spec.composers)]
     comps = ",\n    ".join(
-        f"CAST(sum(CASE WHEN p_type = '{c}' THEN 1 ELSE 0 END) AS VARCHAR) AS {c}" for c in spec.composers)
+        f"CAST(sum(CASE WHEN {w} THEN 1 ELSE 0 END) AS VARCHAR) AS {c}" for w, c in zip(named, spec.composers))
     att_inner = ", ".join(
-        f"max(CASE WHEN {season_expr('o_orderdate')} = '{s}' THEN 1 ELSE 0 END) AS \"{s}\""
+        f"max(CASE WHEN {season_expr('o_orderdate', spec)} = '{s}' THEN 1 ELSE 0 END) AS \"{s}\""
         for s in spec.ticket_seasons)
     att_outer = ", ".join(f"CAST(coalesce(a.\"{s}\", 0) AS VARCHAR) AS \"{s}\"" for s in spec.ticket_seasons)
     zipn = "CAST(c.c_nationkey * 400 + 1000 AS VARCHAR)"
@@ -58,7 +62,7 @@ def ctes(spec: HistorySpec) -> dict[str, str]:
         "programme": f"""programme AS (
   SELECT season, "set",
     {comps}
-  FROM (SELECT {so} AS season, CAST(l.l_linenumber AS VARCHAR) AS "set", p.p_type
+  FROM (SELECT {so} AS season, CAST(l.l_linenumber AS VARCHAR) AS "set", p.p_type, p.p_partkey
         FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
              JOIN part p ON l.l_partkey = p.p_partkey
         WHERE year(o.o_orderdate) >= 1996) x

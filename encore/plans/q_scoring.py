@@ -187,7 +187,7 @@ def feature_table_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _adjust_sql_exprs(p: str) -> dict[str, str]:
     last6 = [f"total_{suffix(s)}" for s in SPEC.last(K.ACTIVE_SEASONS)]
-    last9 = [f"total_{suffix(s)}" for s in SPEC.last(K.INVARIANT_SEASONS)]
+    last9 = [f"total_{suffix(s)}" for s in SPEC.last(SPEC.invariant_seasons)]
     inactive = f"({p} * CAST(({' + '.join(last6)}) > 0 AS DOUBLE))"
     const = f"(least({', '.join(last9)}) = greatest({', '.join(last9)}))"
     d = "coalesce(dSF, 0)"

@@ -75,10 +75,9 @@ def scale_conf(input_bytes: float, executor_cores: int, target_partition_bytes:
     * scan splits of ``target_partition_bytes`` so a task's input fits executor memory;
     * broadcast only below 64 MB (estimated) and AQE re-checks real sizes.
 
-    For 100 TB on 1,000 executors x 8 cores this gives ~400k shuffle partitions,
-    capped at 200k (AQE coalesces further).
+    For 100 TB on 1,000 executors x 8 cores this gives ~400k shuffle partitions (AQE coalesces further).
     """
-    parts = int(max(2 * executor_cores, min(200_000, input_bytes // target_partition_bytes + 1)))
+    parts = int(max(2 * executor_cores, input_bytes // target_partition_bytes + 1))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),

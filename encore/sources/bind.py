@@ -33,7 +33,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..spec import SEASON_SHIFT, HistorySpec, binding_spec
+from ..spec import HistorySpec, binding_spec
 from .tables import table
 
 
@@ -52,8 +52,12 @@ class Bundle:
     spec: HistorySpec
 
 
-def _season(ts: Column) -> Column:
-    y = F.year(ts) + SEASON_SHIFT
+def _season(ts: Column, spec: HistorySpec) -> Column:
+    """Season of an order: every ``period_months`` months from January 1995 on make one."""
+    if spec.period_months == 12:
+        y = F.year(ts) + (spec.first_start - 1995)
+    else:
+        y = F.floor(((F.year(ts) - 1995) * 12 + F.month(ts) - 1) / spec.period_months).cast("int") + spec.first_start
     return F.concat(y.cast("string"), F.lit("-"), (y + 1).cast("string"))
 
 
@@ -96,7 +100,7 @@ def bind_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bind_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bind_subscriptions(spark: SparkSession, sf_dir: str, spec: HistorySpec) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
                                               "o_totalprice", "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -104,7 +108,7 @@ def bind_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     cn = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left").select("c_custkey", "n_name")
     j = o.join(cn, o.o_custkey == cn.c_custkey, "left")
     loc = F.when(F.col("o_orderkey") % 3 != 0, F.col("n_name")).otherwise(F.lit("other"))
-    g = j.groupBy(F.col("o_custkey").alias("account_id"), _season(F.col("o_orderdate")).alias("season")).agg(
+    g = j.groupBy(F.col("o_custkey").alias("account_id"), _season(F.col("o_orderdate"), spec).alias("season")).agg(
         F.count(F.lit(1)).alias("_n"),
         F.min(F.substring("o_orderpriority", 1, 1)).alias("_pl"),
         F.floor(F.sum("o_totalprice") / 100000).cast("bigint").alias("_seats"),
@@ -122,7 +126,7 @@ def bind_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bind_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bind_tickets(spark: SparkSession, sf_dir: str, spec: HistorySpec) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
@@ -133,7 +137,7 @@ def bind_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").cast("bigint").cast("string"))
     return j.select(
         F.col("o_custkey").alias("account_id"),
-        _season(F.col("o_orderdate")).alias("season"),
+        _season(F.col("o_orderdate"), spec).alias("season"),
         F.col("l_linenumber").cast("string").alias("set"),
         price.alias("price_level"),
         seats.alias("no_seats"),
@@ -143,13 +147,15 @@ def bind_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bind_programme(spark: SparkSession, sf_dir: str, spec: HistorySpec) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    names = F.array(*[F.lit(c) for c in spec.composers])
+    by = F.col("p_type") if spec.composer_by == "p_type" else names[(F.col("p_partkey") % len(spec.composers)).cast("int")]
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     j = (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
          .where(F.year("o_orderdate") >= 1996)
          .join(p, li.l_partkey == p.p_partkey, "inner"))
-    wide = (j.groupBy(_season(F.col("o_orderdate")).alias("season"),
-                      F.col("l_linenumber").cast("string").alias("set"))
-            .pivot("p_type", list(spec.composers)).agg(F.count(F.lit(1))))
+    wide = (j.groupBy(_season(F.col("o_orderdate"), spec).alias("season"),
+                      F.col("l_linenumber").cast("string").alias("set"), by.alias("composer"))
+            .agg(F.count(F.lit(1)).alias("n")).groupBy("season", "set").pivot("composer", list(spec.composers)).agg(F.sum("n")))
     return wide.select("season", "set",
                        *[F.coalesce(F.col(c), F.lit(0)).cast("string").alias(c) for c in spec.composers])
 
@@ -157,7 +163,7 @@ def bind_programme(spark: SparkSession, sf_dir: str, spec: HistorySpec) -> DataF
 def bind_attended(spark: SparkSession, sf_dir: str, spec: HistorySpec) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey")
     o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate")
-    s = _season(F.col("o_orderdate"))
+    s = _season(F.col("o_orderdate"), spec)
     per = o.groupBy("o_custkey").agg(
         *[F.max(F.when(s == season, 1).otherwise(0)).alias(season) for season in spec.ticket_seasons])
     j = c.join(per, c.c_custkey == per.o_custkey, "left")
@@ -182,7 +188,7 @@ def bind_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bind_labels(spark: SparkSession, sf_dir: str, spec: HistorySpec) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey")
     o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate")
-    t = (o.where(_season(F.col("o_orderdate")) == spec.target_season)
+    t = (o.where(_season(F.col("o_orderdate"), spec) == spec.target_season)
          .groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n")))
     j = c.join(t, c.c_custkey == t.o_custkey, "left")
     return j.select(F.col("c_custkey").alias("account_id"),
@@ -198,8 +204,8 @@ def read_bundle(spark: SparkSession, sf_dir: str, spec: HistorySpec | None = Non
     spec = spec or binding_spec()
     return Bundle(
         accounts=bind_accounts(spark, sf_dir),
-        subscriptions=bind_subscriptions(spark, sf_dir),
-        tickets=bind_tickets(spark, sf_dir),
+        subscriptions=bind_subscriptions(spark, sf_dir, spec),
+        tickets=bind_tickets(spark, sf_dir, spec),
         programme=bind_programme(spark, sf_dir, spec),
         attended=bind_attended(spark, sf_dir, spec),
         directory=bind_directory(spark, sf_dir),

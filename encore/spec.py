@@ -37,18 +37,29 @@ class HistorySpec:
     subs_numeric: tuple[str, ...] = ("price_level", "no_seats", "total")
     subs_factors: tuple[str, ...] = ("package", "location", "section", "multiple_subs")
     ticket_values: tuple[str, ...] = ("price_level", "no_seats")
+    invariant_seasons: int = K.INVARIANT_SEASONS   # seasons that must not vary for the invariant rule
+    period_months: int = 12                        # months of the driver tables' orders that make one season (binding)
+    first_start: int = 1995 + 13                   # start year of the season that begins with January 1995 (binding)
+    composer_by: str = "p_type"                    # what names a programme's composer: p_type, or the part's number (binding)
+
+    def __post_init__(self) -> None:
+        longest = max(*self.window_years, self.invariant_seasons, len(self.ticket_seasons))
+        if longest > len(self.history_seasons):
+            raise ValueError(f"windows of {longest} seasons need as many seasons of history, not {len(self.history_seasons)}")
 
     @property
     def last_season(self) -> str:
         return self.history_seasons[-1]
 
     def last(self, n: int) -> tuple[str, ...]:
-        """The last ``n`` history seasons (fewer if the history is shorter)."""
+        """The last ``n`` history seasons."""
+        if n > len(self.history_seasons):
+            raise ValueError(f"{n} seasons asked of a history of {len(self.history_seasons)}")
         return self.history_seasons[-n:]
 
     @property
     def windows(self) -> tuple[int, ...]:
-        return tuple(w for w in self.window_years if w <= len(self.history_seasons))
+        return self.window_years
 
 
 # Order year y of the driver tables is labelled as the season starting in y + SEASON_SHIFT, so that
@@ -58,7 +69,8 @@ SEASON_SHIFT = 13
 
 
 def binding_spec() -> HistorySpec:
-    """Spec for the driver-table binding (order years 1995-2001 -> seasons 2008-2009 ... 2014-2015)."""
+    """Spec for the driver-table binding (order years 1995-2001 -> seasons 2008-2009 ... 2014-2015): six seasons of history, so
+    the windows end at six seasons and the invariant rule looks at six."""
     hist = tuple(season_label(y + SEASON_SHIFT) for y in range(1995, 2001))
     comps = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
     return HistorySpec(
@@ -70,22 +82,31 @@ def binding_spec() -> HistorySpec:
         preference_composers=("ECONOMY", "LARGE", "MEDIUM", "PROMO"),
         missed_composers=comps,
         reference_year=2014,
+        window_years=tuple(w for w in K.WINDOW_YEARS if w <= len(hist)),
+        invariant_seasons=len(hist),
     )
 
 
 def reference_spec() -> HistorySpec:
-    """Spec with the reference's own seasons and composer lists."""
+    """Spec with the reference's own 18 seasons, windows and composer lists. On the driver tables every four months of orders make a
+    season (1995 to April 2001: 1996-1997 ... 2014-2015) and parts stand for composers by their number."""
     hist = tuple(season_label(y) for y in range(1996, 2014))
-    # FIXED VALUES: composers kept for preferences and for missed concerts.
+    # FIXED VALUES: composers kept for preferences and for missed concerts, and all composers of the programme table.
     pref = ("BACH", "HANDEL", "TELEMAN", "JOHANN", "VIVALDI", "HAYDN", "ROSSINI")
     missed = ("BACH", "HANDEL", "TELEMAN", "JOHANN", "VIVALDI", "HAYDN", "ROSSINI", "CORELLI", "PERGOLESI", "MOZART")
+    composers = ("MOZART", "HANDEL", "BACH", "TELEMAN", "JOHANN", "CORELLI", "SPHOR", "VIVALDI", "MUFFAT", "BEETHOVEN", "MENDELSSOHN",
+                 "HAYDN", "ROSSINI", "PURCELL", "REBEL", "DURANTE", "HUMMEL", "LEVIN", "PERGOLESI", "FASCH", "GREGORI", "GEMINIANI",
+                 "LOCKE", "ARNE", "LAWES", "BECK", "SCHUMANN", "BEREZOVSKY", "BORTNIANSKY", "FOMIN", "STANLEY", "CROFT", "BOYCE")
     return HistorySpec(
         history_seasons=hist,
         target_season=season_label(2014),
         ticket_seasons=hist[-4:],
         ticket_sets=tuple(str(i) for i in range(0, 9)),
-        composers=missed,
+        composers=composers,
         preference_composers=pref,
         missed_composers=missed,
         reference_year=2014,
+        period_months=4,
+        first_start=1996,
+        composer_by="number",
     )

@@ -49,6 +49,38 @@ def test_rows_only_queries_run(spark, name):
     assert queries()[name](spark, SF_SMALL).count() > 0
 
 
+@pytest.mark.parametrize("name", sorted(set(queries()) - set(oracle_sql()) - FAST_ROWS_ONLY))
+def test_model_queries_run(spark, monkeypatch, name):
+    """Every query that SQL cannot express runs whole; tree counts alone are lowered."""
+    from encore.plans import q_models
+
+    monkeypatch.setattr(q_models, "TREES", 2)
+    monkeypatch.setattr(q_models.K, "FOREST_TREES", 10)
+    rows = queries()[name](spark, SF_SMALL).collect()
+    assert rows
+    for r in rows:
+        for c, v in r.asDict().items():
+            if c in ("rmsle", "mean_rmsle", "error"):
+                assert v is not None and 0 <= v < 2, (name, c)
+    if name == "gbt_importances":
+        assert sum(r.rel_inf for r in rows) == pytest.approx(100.0, abs=1e-3)
+    if name.endswith("fold_scores"):
+        assert {r.folds for r in rows} == {10}
+
+
+def test_seasons_are_never_shortened():
+    from dataclasses import replace
+
+    from encore.spec import binding_spec, reference_spec
+
+    spec = binding_spec()
+    with pytest.raises(ValueError):
+        spec.last(7)
+    with pytest.raises(ValueError):
+        replace(spec, window_years=(2, 8))
+    assert reference_spec().windows == (2, 3, 4, 5, 6, 8) and len(reference_spec().last(9)) == 9 and len(reference_spec().composers) == 33
+
+
 def test_entry_smoke(spark):
     import __spark_entry__ as e
     df = e.entry(spark)
