@@ -1,10 +1,9 @@
 """Geographic enrichment of accounts.
 
 Postcode repair -> place-directory join -> in-state fallback by city ->
-distances to the venues -> density grid -> hotspot tag. All joins against
-reference tables (directory, city list, hot cells) are broadcast only after
-their row count is checked against ``max_broadcast_rows``; above it they fall
-back to a shuffle join.
+distances to the venues -> density grid -> hotspot tag. Joins against
+reference tables (directory, city list) carry no hint: Spark broadcasts a side whose size in bytes is below
+its threshold, and joins by shuffle above it. Hot cells are bounded by the globe's grid.
 """
 
 from __future__ import annotations
@@ -23,13 +22,7 @@ from ..functions.geo import great_circle_miles
 class GeoConfig:
     grid_deg: float = 0.25           # density grid cell size (degrees)
     hot_min_accounts: int = 40       # a cell with at least this many accounts is a hotspot
-    max_broadcast_rows: int = 2_000_000
-
-
-def _maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only when the (small, reference) table is proven to be small."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    max_broadcast_cells: int = 2_000_000  # of 32 bytes at most: 64 MB
 
 
 def repair_postcodes(accounts: DataFrame) -> DataFrame:
@@ -50,7 +43,7 @@ def prepare_directory(directory: DataFrame) -> DataFrame:
 
 
 def enrich_with_directory(geo: DataFrame, directory: DataFrame, cfg: GeoConfig = GeoConfig()) -> DataFrame:
-    d = _maybe_broadcast(prepare_directory(directory), cfg.max_broadcast_rows)
+    d = prepare_directory(directory)
     return geo.join(d, geo.billing_zip_code == d.Zipcode, "left").drop("Zipcode")
 
 
@@ -102,7 +95,7 @@ def tag_hotspots(points: DataFrame, cfg: GeoConfig = GeoConfig()) -> DataFrame:
     hot = (density_grid(points, cfg).where(F.col("accounts") >= cfg.hot_min_accounts)
            .select("cell_y", "cell_x", F.lit("Yes").alias("hotspot")))
     cells_bound = int((180 / cfg.grid_deg + 1) * (360 / cfg.grid_deg + 1))
-    hot = F.broadcast(hot) if cells_bound <= cfg.max_broadcast_rows else hot
+    hot = F.broadcast(hot) if cells_bound <= cfg.max_broadcast_cells else hot
     p = points.select("*", *_cell(cfg))
     return p.join(hot, ["cell_y", "cell_x"], "left").drop("cell_y", "cell_x")
 
