@@ -223,6 +223,23 @@ def lda_fold_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_union(_per_fold(one)).select("fold", "error", "n"))
 
 
+def _lda_sql() -> str:
+    """Two columns: class means, pooled covariance and its inverse in closed form."""
+    return _train3_sql("""SELECT account_id, k AS predicted FROM (
+  WITH m AS (SELECT y AS k, count(*) AS n, avg(x0) AS m0, avg(x1) AS m1 FROM t3 GROUP BY y),
+  s AS (SELECT sum((x0 - m0) * (x0 - m0)) / (count(*) - (SELECT count(*) FROM m)) + 1e-6 AS a, sum((x0 - m0) * (x1 - m1)) / (count(*) - (SELECT count(*) FROM m)) AS b,
+    sum((x1 - m1) * (x1 - m1)) / (count(*) - (SELECT count(*) FROM m)) + 1e-6 AS c, count(*) AS n FROM t3 JOIN m ON t3.y = m.k),
+  w AS (SELECT k, (c * m0 - b * m1) / (a * c - b * b) AS w0, (a * m1 - b * m0) / (a * c - b * b) AS w1, ln(m.n / CAST(s.n AS DOUBLE)) AS p, m0, m1 FROM m, s)
+  SELECT account_id, k, row_number() OVER (PARTITION BY account_id ORDER BY round(w0 * x0 + w1 * x1 - 0.5 * (w0 * m0 + w1 * m1) + p, 9) DESC, k DESC) AS r FROM t3, w) z WHERE r = 1""")
+
+
+@query("lda_classes", covers=("M3",), sql=_lda_sql)
+def lda_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class that linear discriminant analysis of the label on two history columns gives each account."""
+    t = _modulo_training(spark, sf_dir).select("account_id", "total", *LINEAR_COLUMNS[:2])
+    return fit_lda(t).predict(t).select("account_id", F.col("prediction").alias("predicted"))
+
+
 @query("gbt_importances", covers=("M10", "T8"))
 def gbt_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Relative influence (%) of each feature in the driver's boosted-tree fit on all rows, descending."""
