@@ -330,3 +330,26 @@ def test_search_resumes_from_its_table(spark, tmp_path):
     # a bad first fold ends a trial
     bad = run_search(df, spec, trial_table=str(tmp_path / "c"), **(how | {"abandon_above": 0.0, "n_trials": 1})).collect()
     assert bad[0].abandoned and not bad[0].accept_raw
+
+
+def test_lda_of_all_folds_equals_separate_fits(spark):
+    from encore.models.lda import fit_lda_folds
+
+    rng = np.random.default_rng(4)
+    n = 600
+    x = rng.normal(size=(n, 3))
+    y, f = (rng.integers(0, 3, n) + (x[:, 0] > 0.5)).astype(float), rng.integers(1, 4, n)
+    y[f == 2] = np.minimum(y[f == 2], 2.0)
+    y[0], f[0], x[:, 2] = 9.0, 3, np.where(f == 1, x[:, 2], 7.0)  # a class of one fold alone; a column that varies in one fold alone
+    df = spark.createDataFrame([(i, float(y[i]), int(f[i]), *map(float, x[i])) for i in range(n)], "account_id long, total double, fold int, a double, b double, c double")
+    got = {r.account_id: r.prediction for r in fit_lda_folds(df.repartition(3)).predict(df, F.col("fold")).collect()}
+    for k in (1, 2, 3):
+        use = f != k
+        cols = [0, 1] if k == 1 else [0, 1, 2]
+        z, t = x[use][:, cols], y[use]
+        classes = np.unique(t)
+        m = np.stack([z[t == c].mean(axis=0) for c in classes])
+        d = z - m[np.searchsorted(classes, t)]
+        w = np.linalg.solve(d.T @ d / (len(t) - len(classes)) + 1e-6 * np.eye(len(cols)), m.T).T
+        s = x[~use][:, cols] @ w.T - 0.5 * (m * w).sum(axis=1) + np.log([(t == c).mean() for c in classes])
+        assert [got[i] for i in np.flatnonzero(~use)] == classes[s.argmax(axis=1)].tolist()
