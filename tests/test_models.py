@@ -353,3 +353,24 @@ def test_lda_of_all_folds_equals_separate_fits(spark):
         w = np.linalg.solve(d.T @ d / (len(t) - len(classes)) + 1e-6 * np.eye(len(cols)), m.T).T
         s = x[~use][:, cols] @ w.T - 0.5 * (m * w).sum(axis=1) + np.log([(t == c).mean() for c in classes])
         assert [got[i] for i in np.flatnonzero(~use)] == classes[s.argmax(axis=1)].tolist()
+
+
+def test_knn_of_copies_and_ties_equals_brute_force(spark):
+    from encore.models import knn
+
+    rng = np.random.default_rng(9)
+    x, y, g = rng.integers(0, 3, (4000, 2)).astype(float), rng.integers(0, 3, 4000).astype(float), rng.integers(0, 4, 4000)
+    x[0] = [-0.0, 0.0]
+    df = spark.createDataFrame([(i, float(y[i]), int(g[i]), x[i].tolist()) for i in range(4000)], "account_id long, total double, fold int, vec array<double>")
+    got = {r.query_id: r.prediction for r in knn_vote(df, df.select(F.col("account_id").alias("query_id"), "fold", "vec"), vec="vec", apart="fold", block_rows=40).collect()}
+    for i in range(0, 4000, 37):
+        near = sorted(zip(((x[i] - x) ** 2).sum(1)[g != g[i]], y[g != g[i]]))[:3]
+        votes = [v for _, v in near]
+        assert got[i] == min(set(votes), key=lambda v: (-votes.count(v), v))
+    # far from the origin, where products of matrices cancel: distances as sums of squares, in the same order
+    x = 1e6 + rng.normal(size=(3000, 5)) * 1e-3
+    y = rng.integers(0, 3, 3000).astype(float)
+    i, label, d2 = knn.nearest_rows(x[:50], x, y, 3)
+    for q in range(50):
+        want = sorted(zip(((x[q] - x) ** 2).sum(1), y))[:3]
+        assert np.allclose(d2[i == q], [w[0] for w in want]) and label[i == q].tolist() == [w[1] for w in want]
