@@ -3,14 +3,16 @@
 Landmarks are rows drawn by the hash of their key. The landmarks' kernel matrix is decomposed once on the driver; a row's map is its kernels
 to the landmarks times that root, so that products of maps approximate the kernel. Machines are then linear in the map and are
 solved as the losses say, by majorisation: |t| lies below a parabola that touches it where the current solution is,
-so each step is a weighted least-squares problem whose weights follow from the residuals. One pass over the rows sums the weighted
-Gram matrices of all machines (ten folds by nine grid points, or the classes of ten folds), the driver solves systems of landmark
-size, and the true loss falls with every pass until it stays.
+so each step is a weighted least-squares problem whose weights follow from the residuals. Machines that differ by the fold they leave out
+share a row's curvature: the largest of their weights, whose parabola lies above the loss of each, so that a row counts in one
+weighted Gram matrix for its setting and fold instead of one for every machine; a machine's matrix is the sum of the other folds'. One pass
+over the rows sums these matrices and the machines' own gradients (ten folds by nine grid points, or the classes of ten folds), the driver solves systems
+of landmark size, and the true loss falls with every pass until it stays.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from math import lgamma
 from typing import Iterator, Sequence
 
@@ -24,6 +26,8 @@ from ..session import ensure_checkpoint_dir
 
 #: Landmarks, passes at most, relative fall of the loss that ends them, and the residual below which weights grow no more.
 LANDMARKS, PASSES, TOLERANCE, SMOOTH = 128, 40, 1e-3, 1e-3
+#: Rows of a block at most.
+BLOCK = 4096
 
 
 def bessel_ratio(z: np.ndarray, order: int) -> np.ndarray:
@@ -37,6 +41,8 @@ def bessel_ratio(z: np.ndarray, order: int) -> np.ndarray:
     for k in range(1, 80):
         term = term * q / (k * (order + k))
         total += term
+        if not len(term) or np.abs(term).max() < 1e-20:  # the result is far above where it has not cancelled
+            break
     out[small] = total
     big = z[~small]
     if len(big):
@@ -160,13 +166,22 @@ class Machines:
         return rows.mapInArrow(run, kept + ", scores array<double>")
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(v, y, fold) of many rows as one row of bytes."""
+    for b in batches:
+        for lo in range(0, b.num_rows, BLOCK):
+            some = b.slice(lo, BLOCK)
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (some.column("v").flatten().to_numpy(), some.column("y").to_numpy(),
+                                                                                               some.column("fold").to_numpy())], ["v", "y", "fold"])
+
+
 def fit_machines(rows: DataFrame, kernels: Sequence[Kernel], machines: Sequence[Machine], vector: str = "scaled", label: str = "total",
                  key: str = "account_id", fold: str = "fold", n_landmarks: int = LANDMARKS, passes: int = PASSES,
                  tolerance: float = TOLERANCE) -> Machines:
     """Fit all ``machines`` on ``rows`` (key, label, vector, and fold where a machine leaves one out) together.
 
-    Each pass is one job; a task sums its rows' weighted Gram matrices, one of (landmarks + 1)^2 numbers for each machine, and Spark adds
-    them up by machine. A machine is done when its loss falls by less than ``tolerance`` of itself.
+    Each pass is one job over packed blocks of rows; a task sums one weighted Gram matrix of (landmarks + 1)^2 numbers for each setting and fold and
+    a gradient for each machine, and Spark adds them up. A machine is done when its loss falls by less than ``tolerance`` of itself.
     """
     spark = rows.sparkSession
     ensure_checkpoint_dir(spark)
@@ -174,56 +189,80 @@ def fit_machines(rows: DataFrame, kernels: Sequence[Kernel], machines: Sequence[
     at = landmarks(rows, key, vector, n_landmarks)
     maps = [Nystroem.fit(k, at) for k in kernels]
     has_fold = fold in rows.columns
-    cur = rows.select(_array(rows, vector).alias("v"), F.col(label).cast("double").alias("y"),
-                      (F.col(fold).cast("int") if has_fold else F.lit(-2)).alias("fold")).where("y is not null").checkpoint().persist()
+    flat = rows.select(_array(rows, vector).alias("v"), F.col(label).cast("double").alias("y"),
+                       (F.col(fold).cast("int") if has_fold else F.lit(-2)).alias("fold")).where("y is not null")
+    cur = flat.mapInArrow(_packed, "v binary, y binary, fold binary").checkpoint().persist()
     out = Machines(machines, maps, [np.zeros(maps[m.kernel].root.shape[1] + 1) for m in machines], [[] for _ in machines])
+    settings = list(dict.fromkeys(replace(m, out=-1) for m in machines))
+    of = [settings.index(replace(m, out=-1)) for m in machines]
+    outs = sorted({m.out for m in machines})  # the parts that a setting's matrix is summed in: folds that some machine leaves out, and the rest (0)
+    width = at.shape[1]
     parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), len(machines)))
     todo = list(range(len(machines)))
     for _ in range(passes):
         weights, now = out.weights, list(todo)
 
         def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held: dict[int, np.ndarray] = {}
+            held: dict[tuple[int, int, int], np.ndarray] = {}
+
+            def add(kind: int, j: int, part: int, v: np.ndarray) -> None:
+                held[kind, j, part] = held[kind, j, part] + v if (kind, j, part) in held else v
+
             for b in batches:
-                if not b.num_rows:
-                    continue
-                every, ys, folds = b.column("v").flatten().to_numpy().reshape(b.num_rows, -1), b.column("y").to_numpy(), b.column("fold").to_numpy()
-                for lo in range(0, b.num_rows, 2048):
-                    x, y, fold_ = every[lo:lo + 2048], ys[lo:lo + 2048], folds[lo:lo + 2048]
+                for v_, y_, f_ in zip(*(b.column(c).to_pylist() for c in ("v", "y", "fold"))):
+                    x, y, fold_ = np.frombuffer(v_).reshape(-1, width), np.frombuffer(y_), np.frombuffer(f_, np.int32)
+                    part = np.searchsorted(outs, fold_)
+                    part = np.where(np.isin(fold_, outs), part + 1, 0)
+                    ends = np.r_[0, np.cumsum(np.bincount(part, minlength=len(outs) + 1))]
+                    order = np.argsort(part, kind="stable")
+                    x, y, fold_ = x[order], y[order], fold_[order]
                     for i, m in enumerate(maps):
                         mine = [j for j in now if machines[j].kernel == i]
                         if not mine:
                             continue
                         phi = m(x)
-                        for j in mine:
+                        f = phi @ np.stack([weights[j] for j in mine], axis=1)
+                        pull, top = np.zeros((len(y), len(mine))), {}
+                        for k, j in enumerate(mine):
                             use = fold_ != machines[j].out
-                            p = phi[use]
-                            c, t, loss = machines[j].step(y[use], p @ weights[j])
-                            cp = p * c[:, None]
-                            new = np.concatenate([(p.T @ cp).ravel(), cp.T @ t, [loss]])
-                            held[j] = held[j] + new if j in held else new
-            for j, v in held.items():
-                yield pa.RecordBatch.from_arrays([pa.array([j], pa.int32()), pa.array([v.tobytes()], pa.binary())], ["j", "v"])
+                            c, t, loss = machines[j].step(y[use], f[use, k])
+                            pull[use, k] = c * (t - f[use, k])
+                            most = top.setdefault(of[j], np.zeros(len(y)))
+                            most[use] = np.maximum(most[use], c)
+                            add(1, j, 0, np.array([loss]))
+                        for j, g in zip(mine, (phi.T @ pull).T):
+                            add(2, j, 0, g)
+                        for s, c in top.items():
+                            q = phi * np.sqrt(c)[:, None]
+                            for k in range(len(ends) - 1):
+                                if ends[k + 1] > ends[k]:
+                                    add(0, s, k, (q[ends[k]:ends[k + 1]].T @ q[ends[k]:ends[k + 1]]).ravel())
+            for (kind, j, k), v in held.items():
+                yield pa.RecordBatch.from_arrays([pa.array([kind], pa.int32()), pa.array([j], pa.int32()), pa.array([k], pa.int32()), pa.array([v.tobytes()], pa.binary())], ["kind", "j", "part", "v"])
 
         def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held: dict[int, np.ndarray] = {}
+            held: dict[tuple[int, int, int], np.ndarray] = {}
             for b in batches:
-                for j, v in zip(b.column("j").to_pylist(), b.column("v").to_pylist()):
+                for kind, j, k, v in zip(*(b.column(c).to_pylist() for c in ("kind", "j", "part", "v"))):
                     a = np.frombuffer(v)
-                    held[j] = held[j] + a if j in held else a
-            for j, v in held.items():
-                yield pa.RecordBatch.from_arrays([pa.array([j], pa.int32()), pa.array([v.tobytes()], pa.binary())], ["j", "v"])
-
-        got = cur.mapInArrow(sums, "j int, v binary").repartition(parts, "j").mapInArrow(added, "j int, v binary").collect()
-        for r in got:
-            w, v = out.weights[r.j], np.frombuffer(r.v)
+                    held[kind, j, k] = held[kind, j, k] + a if (kind, j, k) in held else a
+            for (kind, j, k), v in held.items():
+                yield pa.RecordBatch.from_arrays([pa.array([kind], pa.int32()), pa.array([j], pa.int32()), pa.array([k], pa.int32()), pa.array([v.tobytes()], pa.binary())], ["kind", "j", "part", "v"])
+
+        shape = "kind int, j int, part int, v binary"
+        got = {(r.kind, r.j, r.part): np.frombuffer(r.v) for r in cur.mapInArrow(sums, shape).repartition(parts, "kind", "j", "part").mapInArrow(added, shape).collect()}
+        for j in now:
+            if (1, j, 0) not in got:
+                continue
+            w = out.weights[j]
             d = len(w)
-            out.losses[r.j].append(0.5 * float(w[:-1] @ w[:-1]) + float(v[-1]))
-            ridge = np.eye(d)
-            ridge[-1, -1] = 1e-9  # the constant is not penalised
-            out.weights[r.j] = np.linalg.solve(v[:d * d].reshape(d, d) + ridge, v[d * d:d * d + d])
-        seen = {r.j for r in got}
-        todo = [j for j in todo if j in seen and not (len(out.losses[j]) > 2 and out.losses[j][-2] - out.losses[j][-1] < tolerance * out.losses[j][-2])]
+            out.losses[j].append(0.5 * float(w[:-1] @ w[:-1]) + float(got[1, j, 0][0]))
+            ridge = np.ones(d)
+            ridge[-1] = 1e-9  # the constant is not penalised
+            skip = outs.index(machines[j].out) + 1
+            gram = sum(got[0, of[j], k] for k in range(len(outs) + 1) if k != skip and (0, of[j], k) in got).reshape(d, d)
+            out.weights[j] = w + np.linalg.solve(gram + np.diag(ridge), got[2, j, 0] - ridge * w)
+        todo = [j for j in now if (1, j, 0) in got and not (len(out.losses[j]) > 2 and out.losses[j][-2] - out.losses[j][-1] < tolerance * out.losses[j][-2])]
         if not todo:
             break
     cur.unpersist()
