@@ -374,3 +374,15 @@ def test_knn_of_copies_and_ties_equals_brute_force(spark):
     for q in range(50):
         want = sorted(zip(((x[q] - x) ** 2).sum(1), y))[:3]
         assert np.allclose(d2[i == q], [w[0] for w in want]) and label[i == q].tolist() == [w[1] for w in want]
+
+
+def test_boosting_packs_rows_by_feature(spark):
+    from encore.models import boosting as B
+
+    x = np.random.default_rng(2).integers(0, 9, (3, 50)).astype(np.uint8)
+    t = B.Trees().plus([{"feature": 2, "cut": 4, "left": 1, "right": 2}, {"value": 0.5}, {"feature": 0, "cut": 3, "left": 3, "right": 4}, {"value": -1.0}, {"value": 2.0}])
+    want = np.where(x[2] <= 4, 0.5, np.where(x[0] <= 3, -1.0, 2.0))
+    assert np.array_equal(t.plus([{"value": 0.25}]).score(list(x), 50), want + 0.25) and set(t.nodes(list(x), 50)) <= {1, 3, 4}
+    rows = B.Rows(2, 50, np.arange(50).tobytes(), np.ones(50).tobytes(), np.zeros(50, np.int32).tobytes(), x.tobytes(), x.tobytes() * 2, np.zeros((2, 50)).tobytes())
+    assert len(rows.of(1)) == 6 and np.array_equal(rows.of(1)[5], x[2])
+    assert not rows.active(B.Spec(out=0, bagfrac=1.0), 0).any() and rows.active(B.Spec(out=1, bagfrac=1.0), 0).all()
