@@ -149,3 +149,19 @@ def test_heat_is_the_same_at_any_number_of_rows(spark):
     more = df.withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(100))))
     one, many = ({(r.Lat, r.hotspot) for r in heat_tags(d, 0.5).collect()} for d in (df, more))
     assert one == many == {(37.1, "Yes"), (37.3, "Yes"), (40.0, None)}
+
+
+def test_cells_looked_up_in_a_map_equal_conditional_aggregates(spark):
+    from encore.operators.reshape import cast_cells, cell
+
+    rows = [(1, "a", "0", 2.0, "x"), (1, "a", "1", 3.0, None), (1, "z", "1", 9.0, "q"), (2, "b", "1", None, "y"), (2, None, "1", 5.0, "n"), (3, "b\u00011", "", 7.0, "s")]
+    for more, counted in (([], False), ([(1, "a", "0", 4.0, "w")], True)):
+        df = spark.createDataFrame(rows + more, "k long, s string, t string, v double, w string")
+        names = [(f"{v}_{s}_{t}", {"s": s, "t": t}, v) for v in ("v", "w") for s in ("a", "b") for t in ("0", "1")]
+        extra = [F.sum("__seen").alias("seen")]
+        for how in (dict(check="subquery"), dict(check="prepass"), dict(check="checkpoint"), dict(on_duplicate="first")):
+            both = [cast_cells(df, "k", cells, extra, keys_for_check=["k", "s", "t"], by_cell=[F.count("v").alias("__seen")], **how)
+                    for cells in (names, [(n, cell(m), v) for n, m, v in names])]
+            a, b = (sorted(map(tuple, d.select("k", *[n for n, _, _ in names], "seen").collect())) for d in both)
+            assert a == b and both[0].dtypes == both[1].dtypes
+    assert "max(CASE" not in both[0]._jdf.queryExecution().toString()
