@@ -386,3 +386,16 @@ def test_boosting_packs_rows_by_feature(spark):
     rows = B.Rows(2, 50, np.arange(50).tobytes(), np.ones(50).tobytes(), np.zeros(50, np.int32).tobytes(), x.tobytes(), x.tobytes() * 2, np.zeros((2, 50)).tobytes())
     assert len(rows.of(1)) == 6 and np.array_equal(rows.of(1)[5], x[2])
     assert not rows.active(B.Spec(out=0, bagfrac=1.0), 0).any() and rows.active(B.Spec(out=1, bagfrac=1.0), 0).all()
+
+
+def test_machine_rows_are_packed_whole():
+    import pyarrow as pa
+
+    from encore.models import machines as M
+
+    n, x = M.BLOCK + 3, np.random.default_rng(1).normal(size=(M.BLOCK + 3, 2))
+    b = pa.RecordBatch.from_arrays([pa.array(list(x)), pa.array(np.arange(float(n))), pa.array(np.arange(n) % 5, pa.int32())], ["v", "y", "fold"])
+    got = [r for p in M._packed(iter([b.slice(1)])) for r in p.to_pylist()]
+    assert len(got) == 2 and np.array_equal(np.concatenate([np.frombuffer(r["v"]) for r in got]).reshape(-1, 2), x[1:])
+    assert np.array_equal(np.concatenate([np.frombuffer(r["y"]) for r in got]), np.arange(1.0, n))
+    assert np.array_equal(np.concatenate([np.frombuffer(r["fold"], np.int32) for r in got]), np.arange(1, n) % 5)
