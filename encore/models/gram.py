@@ -22,16 +22,17 @@ from .levels import dictionary, level_table, with_level_numbers
 @dataclass
 class Design:
     """Columns of ``label ~ .``: numbers as they are, a factor as one column for each level but its first (null numbers count as 0, levels
-    unseen in the fit as the first)."""
+    unseen in the fit as the first). If ``whole``, the first level has a column, too."""
 
     numeric: list[str]
     factors: list[str]
     levels: DataFrame | None
     widths: list[int]
+    whole: bool = False
 
     @property
     def names(self) -> list[str]:
-        return [*self.numeric, *[f"{c}[{i}]" for c, n in zip(self.factors, self.widths) for i in range(1, n)]]
+        return [*self.numeric, *[f"{c}[{i}]" for c, n in zip(self.factors, self.widths) for i in range(0 if self.whole else 1, n)]]
 
     def rows(self, df: DataFrame, keep: dict[str, Column]) -> DataFrame:
         """(keep..., num, lev): the numbers, and the factors' level numbers."""
@@ -46,20 +47,20 @@ class Design:
         x = np.zeros((n, len(self.names)))
         x[:, :len(self.numeric)] = b.column("num").flatten().to_numpy().reshape(n, -1)
         lev = b.column("lev").flatten().to_numpy().reshape(n, -1).astype(np.int64)
-        at = len(self.numeric)
+        at, first = len(self.numeric), 0 if self.whole else 1
         for j, w in enumerate(self.widths):
-            rows = np.flatnonzero(lev[:, j] > 0)
-            x[rows, at + lev[rows, j] - 1] = 1.0
-            at += w - 1
+            rows = np.flatnonzero(lev[:, j] >= first)
+            x[rows, at + lev[rows, j] - first] = 1.0
+            at += w - first
         return x
 
     def plain(self) -> "Design":
         """Without the table, for tasks."""
-        return Design(self.numeric, self.factors, None, self.widths)
+        return Design(self.numeric, self.factors, None, self.widths, self.whole)
 
 
 def design(train: DataFrame, label: str = "total", exclude: Sequence[str] = NON_FEATURES, columns: Sequence[str] | None = None,
-           most: int = 4096) -> Design:
+           most: int = 4096, whole: bool = False) -> Design:
     """The design of ``train``; levels are numbered as a table (see ``levels``). More than ``most`` columns are refused, as a Gram matrix of that
     size goes to the driver: leave wide factors out by a filter."""
     numeric, factors = split_columns(train, [*exclude, label])
@@ -70,7 +71,7 @@ def design(train: DataFrame, label: str = "total", exclude: Sequence[str] = NON_
         levels = dictionary(level_table(train, factors, label))
         n = {r.factor: int(r.n) + 1 for r in levels.groupBy("factor").agg(F.max(F.col("numbers")[0]).alias("n")).collect()}
         widths = [n.get(c, 1) for c in factors]
-    out = Design(numeric, factors, levels, widths)
+    out = Design(numeric, factors, levels, widths, whole)
     if len(out.names) > most:
         raise ValueError(f"{len(out.names)} design columns, more than {most}")
     return out

@@ -15,11 +15,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 
+def draws(dim: int, gamma: float, n_components: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """(W, b) of a map of ``dim`` columns."""
+    rng = np.random.default_rng(seed)
+    return rng.normal(0.0, np.sqrt(2.0 * gamma), size=(dim, n_components)), rng.uniform(0.0, 2 * np.pi, size=n_components)
+
+
 def fourier_features(df: DataFrame, inp: str, out: str, dim: int, gamma: float, n_components: int = 200,
                      seed: int = 7) -> DataFrame:
-    rng = np.random.default_rng(seed)
-    w = rng.normal(0.0, np.sqrt(2.0 * gamma), size=(dim, n_components))
-    b = rng.uniform(0.0, 2 * np.pi, size=n_components)
+    w, b = draws(dim, gamma, n_components, seed)
     scale = np.sqrt(2.0 / n_components)
 
     @F.pandas_udf(ArrayType(DoubleType()))

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..models.boosting import Boosted, Spec, fit_boosted
 from ..models.design import NON_FEATURES
+from ..models.fourier import fit_class_folds, fit_huber_folds, fourier_folds
 from ..models.machines import Kernel, Machine, Machines, fit_machines
 from ..models.regressors import Fitted
 from ..operators import adjust as X
@@ -151,3 +152,40 @@ def machine_folds(scaled: DataFrame, kernels: Sequence[Kernel], settings: Sequen
     of = F.when(at >= 0, F.sequence(at, at + n - 1)).otherwise(F.array().cast("array<int>"))
     got = m.scores(scaled, "scaled", keep, of)
     return got.withColumn("scores", F.filter("scores", lambda s: s.isNotNull())), m
+
+
+def _own_fold(numbers: dict[int, list[int]]):
+    """Array of the numbers of the machines that leave out a row's fold."""
+    every = F.create_map(*[x for f, n in numbers.items() for x in (F.lit(f), F.array(*[F.lit(i) for i in n]).cast("array<int>"))])
+    return F.coalesce(F.try_element_at(every, F.col("fold").cast("int")), F.array().cast("array<int>"))
+
+
+def huber_folds(train: DataFrame, gamma: float, reg: float, n_components: int = 200, folds: Iterable[int] = range(1, K.NUM_FOLDS + 1),
+                columns: Sequence[str] | None = None, keep: Sequence[str] = ("account_id", "fold", "total")) -> DataFrame:
+    """(keep..., prediction): each row by the radial-kernel regression (random Fourier map, huber loss) fitted on the other folds; the fits of
+    all folds share their passes over the rows. ``columns`` names the features."""
+    folds = list(folds)
+    data = fourier_folds(train, folds, gamma, n_components, columns=columns)
+    m, _, _ = fit_huber_folds(data, reg)
+    data.packed.unpersist()
+    rows = data.vectors(train.where(F.col("fold").isin(folds)), keep)
+    got = m.scores(rows, "design", keep, _own_fold({f: [i] for i, f in enumerate(folds)}))
+    return got.select(*keep, F.filter("scores", lambda s: s.isNotNull())[0].alias("prediction"))
+
+
+def class_folds(train: DataFrame, gamma: float, reg: float, n_components: int, folds: Iterable[int] = range(1, K.NUM_FOLDS + 1),
+                columns: Sequence[str] | None = None, learn=None, keep: Sequence[str] = ("account_id", "fold", "total"), label: str = "total") -> DataFrame:
+    """(keep..., prediction): each row's class by the support-vector machines (random Fourier map, one class against all others) fitted on the
+    rows of the other folds that meet ``learn``; all share their passes over the rows. The largest score wins, then the class first by name."""
+    folds = list(folds)
+    data = fourier_folds(train, folds, gamma, n_components, label=label, columns=columns, learn=learn)
+    seen = (train if learn is None else train.where(learn)).where(F.col(label).isNotNull()).select("fold", F.col(label).cast("double").alias("c")).distinct().collect()
+    classes = {f: sorted({r.c for r in seen if r.fold != f}, key=str) for f in folds}  # whole numbers of subscriptions
+    m, _ = fit_class_folds(data, classes, reg)
+    data.packed.unpersist()
+    of = {f: [j for j, x in enumerate(m.machines) if x.out == f] for f in folds}
+    rows = data.vectors(train.where(F.col("fold").isin(folds)), keep)
+    got = m.scores(rows, "design", keep, _own_fold(of)).withColumn("scores", F.filter("scores", lambda s: s.isNotNull()))
+    names = F.create_map(*[x for f in folds for x in (F.lit(f), F.array(*[F.lit(c) for c in classes[f]]))])
+    best = F.array_position("scores", F.array_max("scores")).cast("int")
+    return got.select(*keep, F.element_at(F.element_at(names, F.col("fold").cast("int")), best).alias("prediction"))

@@ -399,3 +399,47 @@ def test_machine_rows_are_packed_whole():
     assert len(got) == 2 and np.array_equal(np.concatenate([np.frombuffer(r["v"]) for r in got]).reshape(-1, 2), x[1:])
     assert np.array_equal(np.concatenate([np.frombuffer(r["y"]) for r in got]), np.arange(1.0, n))
     assert np.array_equal(np.concatenate([np.frombuffer(r["fold"], np.int32) for r in got]), np.arange(1, n) % 5)
+
+
+def _fold_rows(spark, n=500, seed=4):
+    """Numbers, a constant, a number that varies in fold 1 alone, and a factor with a blank level and one that only fold 1 has."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(n):
+        fold, a, b = i % 4 + 1, float(rng.normal()), float(rng.normal(3, 2))
+        level = ["", "p", "q", "only"][int(rng.integers(0, 4 if fold == 1 else 3))]
+        y = float(np.clip(round(1 + a + 0.3 * b - (level == "p") + 0.5 * rng.standard_t(3)), 0, 4))
+        rows.append((i, fold, a, b, 2.0, float(fold == 1) * a, level, y))
+    return spark.createDataFrame(rows, "account_id long, fold int, a double, b double, same double, alone double, kind string, total double").repartition(3)
+
+
+def _jobs(spark, run, group):
+    spark.sparkContext.setJobGroup(group, group)
+    out = run()
+    spark.sparkContext.setJobGroup("after", "after")
+    return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_class_folds_reach_the_hinge_loss_in_shared_passes(spark):
+    from pyspark.ml.classification import LinearSVC
+    from encore.models.fourier import fit_class_folds, fourier_folds
+    from encore.models.kernels import fourier_features
+    from encore.models.regressors import _kernel_design
+    from encore.search.cv import class_folds
+    df = _fold_rows(spark).cache()
+    data = fourier_folds(df, [1, 2, 3, 4], 0.05, 12)
+    classes = [float(c) for c in range(5)]
+    m, losses = fit_class_folds(data, {f: classes for f in data.folds}, 0.01)
+    train = df.where("fold != 1").select("a", "b", "same", "alone", "kind", "total")
+    design, drop = _kernel_design(train)
+    t = design.transform(train.drop(*drop))
+    t = fourier_features(t, "scaled", "rff", len(t.first().scaled), 0.05, 12).cache()
+    for j in (0, 2, 4):  # machines of fold 1 come first
+        fit = LinearSVC(regParam=0.01, maxIter=25, featuresCol="rff", labelCol="y").fit(t.withColumn("y", (F.col("total") == classes[j]).cast("double")))
+        assert m.machines[j].out == 1 and losses[j] <= 1.005 * fit.summary().objectiveHistory[-1]
+    scored = class_folds(df, 0.05, 0.01, 12, [1, 2, 3, 4]).collect()
+    assert sorted(r.account_id for r in scored) == list(range(500)) and {r.prediction for r in scored} <= set(classes)
+    assert np.mean([r.prediction == r.total for r in scored]) > 0.4
+    _, few = _jobs(spark, lambda: class_folds(df, 0.05, 0.01, 12, [1, 2]).collect(), "class-2")
+    _, many = _jobs(spark, lambda: class_folds(df, 0.05, 0.01, 12, [1, 2, 3, 4]).collect(), "class-4")
+    assert many < 1.6 * few  # not one fit a fold
