@@ -443,3 +443,28 @@ def test_class_folds_reach_the_hinge_loss_in_shared_passes(spark):
     _, few = _jobs(spark, lambda: class_folds(df, 0.05, 0.01, 12, [1, 2]).collect(), "class-2")
     _, many = _jobs(spark, lambda: class_folds(df, 0.05, 0.01, 12, [1, 2, 3, 4]).collect(), "class-4")
     assert many < 1.6 * few  # not one fit a fold
+
+
+def test_huber_folds_equal_separate_fits(spark):
+    """Each fold's map is the separate fit's, and its loss that fit's or less."""
+    from pyspark.ml.regression import LinearRegression
+    from encore.models.fourier import fit_huber_folds, fourier_folds
+    from encore.models.kernels import fourier_features
+    from encore.models.regressors import _kernel_design
+    from encore.search.cv import huber_folds
+    df = _fold_rows(spark).cache()
+    got, many = _jobs(spark, lambda: {r.account_id: r for r in huber_folds(df, 0.05, 1 / 200, 8, [1, 2, 3, 4]).collect()}, "huber-4")
+    assert sorted(got) == list(range(500))
+    data = fourier_folds(df, [1, 2, 3, 4], 0.05, 8)
+    m, scales, losses = fit_huber_folds(data, 1 / 200)
+    plain = {r.account_id: r.design for r in data.vectors(df, ("account_id",)).collect()}
+    design, drop = _kernel_design(df.where("fold != 1"))
+    t = design.transform(df.drop(*drop))
+    t = fourier_features(t, "scaled", "rff", len(t.first().scaled), 0.05, 8).cache()
+    fit = LinearRegression(featuresCol="rff", labelCol="total", loss="huber", regParam=1 / 200, maxIter=1000, tol=1e-10).fit(t.where("fold != 1"))
+    assert losses[0] == pytest.approx(fit.summary.objectiveHistory[-1], rel=1e-6) and scales[0] == pytest.approx(fit.scale, rel=1e-3)
+    for r in fit.transform(t.where("fold = 1")).select("account_id", "rff", "prediction").collect():
+        assert data.maps[0].plain(np.array([plain[r.account_id]]))[0] == pytest.approx(r.rff.toArray(), abs=1e-12)
+        assert got[r.account_id].prediction == pytest.approx(r.prediction, abs=5e-3)
+    _, few = _jobs(spark, lambda: huber_folds(df, 0.05, 1 / 200, 8, [1, 2]).collect(), "huber-2")
+    assert many < 1.6 * few
