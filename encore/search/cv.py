@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..models.boosting import Boosted, Spec, fit_boosted
 from ..models.design import NON_FEATURES
+from ..models.forest import fit_forests
 from ..models.fourier import fit_class_folds, fit_huber_folds, fourier_folds
 from ..models.machines import Kernel, Machine, Machines, fit_machines
 from ..models.regressors import Fitted
@@ -189,3 +190,14 @@ def class_folds(train: DataFrame, gamma: float, reg: float, n_components: int, f
     names = F.create_map(*[x for f in folds for x in (F.lit(f), F.array(*[F.lit(c) for c in classes[f]]))])
     best = F.array_position("scores", F.array_max("scores")).cast("int")
     return got.select(*keep, F.element_at(F.element_at(names, F.col("fold").cast("int")), best).alias("prediction"))
+
+
+def forest_folds(train: DataFrame, trees: int, depth: int, filter_regex: str = "", folds: Iterable[int] = range(1, K.NUM_FOLDS + 1),
+                 keep: Sequence[str] = ("account_id", "fold", "total"), label: str = "total") -> DataFrame:
+    """(keep..., prediction): each row by the forest that has not seen its fold; the forests of all folds grow in the same passes.
+    ``filter_regex`` names features to leave out."""
+    folds = list(folds)
+    gone = matching_columns(train.columns, filter_regex) if filter_regex else []
+    m = fit_forests(train, folds, trees, depth, label=label, exclude=[*NON_FEATURES, *gone])
+    at = F.array_position(F.array(*[F.lit(f) for f in folds]), F.col("fold")).cast("int") - 1
+    return m.predict(train.where(F.col("fold").isin(folds)), at, keep)

@@ -468,3 +468,41 @@ def test_huber_folds_equal_separate_fits(spark):
         assert got[r.account_id].prediction == pytest.approx(r.prediction, abs=5e-3)
     _, few = _jobs(spark, lambda: huber_folds(df, 0.05, 1 / 200, 8, [1, 2]).collect(), "huber-2")
     assert many < 1.6 * few
+
+
+def test_forests_of_all_folds_grow_in_shared_passes(spark):
+    from encore.models.boosting import _blocks
+    from encore.models.forest import bag, fit_forests, prepared
+    from encore.models.boosting import Spec
+    from encore.search.cv import forest_folds
+    df = _fold_rows(spark).cache()
+    counts = bag(np.random.default_rng(1).integers(-2 ** 62, 2 ** 62, 20000), 7, 3)
+    assert counts.mean() == pytest.approx(1.0, abs=0.03) and counts.var() == pytest.approx(1.0, abs=0.05)
+    m = fit_forests(df, [1, 2], trees=6, depth=3)
+    _, cur = prepared(df, m.base.specs, "total", "account_id", "fold", ("account_id", "total", "fold"), 32)
+    seen = [r for b in cur.toArrow().to_batches() for r in _blocks(b, 2)]
+    for model, t in ((0, 0), (1, 4)):  # every node's mean is that of the bag's rows that reach it, and its split the best of what it looks at
+        x = np.concatenate([np.concatenate([r.x, r.z[model]]) for r in seen], axis=1)
+        y, fold, w = (np.concatenate([v(r) for r in seen]) for v in (lambda r: r.y, lambda r: r.fold, lambda r: bag(r.h, 551724, t)))
+        w = np.where(fold == model + 1, 0, w).astype(float)
+        reach = {0: w > 0}
+        for i in range(15):
+            if i not in reach:
+                continue
+            here = reach[i]
+            assert m.value[model, t, i] == pytest.approx((w[here] @ y[here]) / w[here].sum())
+            f = m.feature[model, t, i]
+            if f >= 0:
+                left = np.array([bool(int(m.mask[model, t, i]) >> int(b) & 1) for b in x[f]])
+                sse = lambda g: w[g] @ (y[g] - np.average(y[g], weights=w[g])) ** 2
+                assert sse(here & left) + sse(here & ~left) < sse(here)
+                reach[2 * i + 1], reach[2 * i + 2] = here & left, here & ~left
+                if f < 4:  # numbers: no cut of the feature is better
+                    cuts = [(here & (x[f] <= c), here & (x[f] > c)) for c in np.unique(x[f][here])[:-1]]
+                    assert sse(here & left) + sse(here & ~left) == pytest.approx(min(sse(a) + sse(b) for a, b in cuts))
+    got, many = _jobs(spark, lambda: forest_folds(df, 20, 5, "", [1, 2, 3, 4]).collect(), "forest-4")
+    assert sorted(r.account_id for r in got) == list(range(500))
+    error = np.mean([(r.prediction - r.total) ** 2 for r in got])
+    assert error < 0.7 * np.var([r.total for r in got])
+    _, few = _jobs(spark, lambda: forest_folds(df, 20, 5, "", [1, 2]).collect(), "forest-2")
+    assert many < 1.6 * few
