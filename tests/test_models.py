@@ -506,3 +506,16 @@ def test_forests_of_all_folds_grow_in_shared_passes(spark):
     assert error < 0.7 * np.var([r.total for r in got])
     _, few = _jobs(spark, lambda: forest_folds(df, 20, 5, "", [1, 2]).collect(), "forest-2")
     assert many < 1.6 * few
+
+
+def test_lda_query_gives_contingency_cells(spark):
+    from encore.plans.registry import queries
+    from .conftest import SF_SMALL
+
+    rows = queries()["lda_fold_errors"](spark, SF_SMALL).collect()
+    folds = {r.fold for r in rows}
+    assert len(rows) > len(folds) == len({(r.fold, r.error, r.n) for r in rows})
+    for f in folds:
+        cells = [r for r in rows if r.fold == f]
+        assert len({(r.predicted, r.correct) for r in cells}) == len(cells) and sum(r.cell for r in cells) == cells[0].n
+        assert cells[0].error == pytest.approx(sum(r.cell for r in cells if r.predicted != r.correct) / cells[0].n, abs=1e-6)
