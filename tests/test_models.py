@@ -519,3 +519,40 @@ def test_lda_query_gives_contingency_cells(spark):
         cells = [r for r in rows if r.fold == f]
         assert len({(r.predicted, r.correct) for r in cells}) == len(cells) and sum(r.cell for r in cells) == cells[0].n
         assert cells[0].error == pytest.approx(sum(r.cell for r in cells if r.predicted != r.correct) / cells[0].n, abs=1e-6)
+
+
+def test_importances_query_grows_all_trees_of_the_driver(spark, monkeypatch):
+    from encore.models import boosting as B
+    from encore.plans import q_models as Q
+
+    specs = []
+
+    def fit(train, s, *a, **k):
+        specs.extend(s)
+        return B.Boosted(list(s), ["a"], [], [], None, np.zeros((0, 1)), [0.0], [B.Trees()], [{"a": 1.0}])
+
+    monkeypatch.setattr(Q, "fit_boosted", fit)
+    monkeypatch.setattr(Q, "_training", lambda s, d: spark.createDataFrame([(1, 1.0, 1, 1.0, 2.0)], f"account_id long, total double, fold int, `{Q.LAST}` double, a double"))
+    assert Q.gbt_importances(spark, "").collect()[0].rel_inf == 100.0
+    d = K.GBM_DEFAULTS
+    assert [(s.trees, s.shrinkage, s.bagfrac, s.splits, s.minobsinnode, s.loss, s.df, s.out) for s in specs] == [(3375, 0.001, d["bagfrac"], d["depth"], d["minobsinnode"], "tdist", 8.0, -1)]
+
+
+@pytest.mark.parametrize("loss", ["gaussian", "laplace", "tdist"])
+def test_trees_of_one_model_grow_alike_in_one_task(spark, monkeypatch, loss):
+    from encore.models import boosting as B
+
+    x, lev, y, rows, schema = _planted()
+    df = spark.createDataFrame(rows, schema)
+    for spec in (B.Spec(5, 0.3, 1.0, 4, 5, loss, 8.0), B.Spec(6, 0.3, 0.5, 5, 5, loss, 8.0, 1)):
+        got = []
+        for alone in (B.ALONE, 0):  # in one task; a job a level
+            monkeypatch.setattr(B, "ALONE", alone)
+            m = B.fit_boosted(df.repartition(3), [spec])
+            got.append((m, [r.prediction for r in m.predict(df).orderBy("account_id").collect()]))
+            monkeypatch.undo()
+        (a, pa_), (b, pb) = got
+        assert len(a.trees[0].roots) == spec.trees and np.array_equal(a.trees[0].roots, b.trees[0].roots)
+        assert np.allclose(pa_, pb) and dict(a.influence()) == pytest.approx(dict(b.influence()))
+        if spec.bagfrac == 1.0:
+            assert np.allclose(pa_, _boost_by_hand(x, lev, y, np.arange(len(y)), spec), atol=2e-3)
