@@ -565,6 +565,12 @@ def _grown(cur: DataFrame, spec: Spec, first: float) -> list[list[dict]]:
 
 def prepared(train: DataFrame, specs: list[Spec], label: str, key: str, fold: str, exclude: Sequence[str], bins: int = BINS) -> tuple[Boosted, DataFrame]:
     """Models without trees (edges and levels alone), and the rows to learn from, binned and packed in the checkpoint folder."""
+    out = binning(train, specs, label, key, fold, exclude, bins)
+    return out, packed(train, out, label, key, fold)
+
+
+def binning(train: DataFrame, specs: list[Spec], label: str, key: str, fold: str, exclude: Sequence[str], bins: int = BINS) -> Boosted:
+    """Models without trees: edges and levels alone."""
     ensure_checkpoint_dir(train.sparkSession)
     numeric, factors = split_columns(train, [*exclude, key, label, fold])
     rows = train.where(F.col(label).isNotNull())
@@ -581,10 +587,14 @@ def prepared(train: DataFrame, specs: list[Spec], label: str, key: str, fold: st
         most = levels.groupBy("factor").agg(F.array(*[F.max(F.col("numbers")[i]) for i in range(len(specs))]).alias("n"))
         for r in most.collect():
             widths[factors.index(r.factor)] = np.array(r.n) + 1
-    out = Boosted(specs, numeric, factors, edges, levels, widths, [0.0] * len(specs), [Trees() for _ in specs], [{} for _ in specs])
-    has_fold = fold in train.columns
-    keep = {"h": F.xxhash64(F.col(key)), "y": F.col(label).cast("double"), "fold": F.col(fold).cast("int") if has_fold else F.lit(-2)}
-    return out, out.binned(rows, keep).mapInArrow(_pack(len(specs)), PACKED).checkpoint()
+    return Boosted(specs, numeric, factors, edges, levels, widths, [0.0] * len(specs), [Trees() for _ in specs], [{} for _ in specs])
+
+
+def packed(train: DataFrame, by: Boosted, label: str, key: str, fold: str) -> DataFrame:
+    """The rows to learn from, binned by ``by`` and packed in the checkpoint folder."""
+    rows = train.where(F.col(label).isNotNull())
+    keep = {"h": F.xxhash64(F.col(key)), "y": F.col(label).cast("double"), "fold": F.col(fold).cast("int") if fold in train.columns else F.lit(-2)}
+    return by.binned(rows, keep).mapInArrow(_pack(len(by.specs)), PACKED).checkpoint()
 
 
 def fit_boosted(train: DataFrame, specs: Sequence[Spec], label: str = "total", key: str = "account_id", fold: str = "fold",

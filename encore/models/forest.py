@@ -1,7 +1,9 @@
 """Random forests of several models (one for each fold left out) grown together, a level of many trees in each pass over the rows.
 
 Rows are binned and packed once (see ``boosting``): numbers at quantiles, factors by level. A tree's bag is a Poisson draw for each row that follows
-from the key's hash, the seed and the tree's number, and each node looks at its own draw of a third of the features. A job sums the histograms of the
+from the key's hash, the seed and the tree's number, and each node looks at its own draw of a third of the features. Trees of a number that belong to different models have
+the same bag and look at the same features, so that rows go down their common ways once: a node that several models reach by equal splits is summed by fold, and
+each model takes the folds that it learns from. (Levels have one number for all models meanwhile, unless a factor has more levels than bins.) A job sums the histograms of the
 open nodes of as many trees as fit ``HELD``; Spark adds them by tree, finds each node's best split, and only those splits reach the
 driver. A split sends a set of bins to the left: those up to a cut of a number, or the levels of smallest mean label in the node of a factor.
 """
@@ -9,19 +11,21 @@ driver. A split sends a set of bins to the left: those up to a cut of a number,
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 from typing import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .boosting import BINS, ROWS, Boosted, Spec, _blocks, prepared, uniform
+from .boosting import BINS, ROWS, Boosted, Rows, Spec, _blocks, binning, packed, prepared, uniform  # noqa: F401
 from .design import NON_FEATURES
 
 #: Bins of a number (more only if a factor needs them), bytes of histograms that a task holds, rows of a partition at most.
 LEAST, HELD, MOST = 32, 48 << 20, 200_000
+#: Rows counted at a time, and what a draw adds to a number that holds draws and labels.
+TOGETHER, UNIT = 65536, 2.0 ** 31
 #: Chances of at most 0, 1, 2... draws of a row in a bag.
 POISSON = np.cumsum([math.exp(-1.0) / math.factorial(i) for i in range(12)])
 
@@ -31,13 +35,85 @@ def bag(h: np.ndarray, seed: int, tree: int) -> np.ndarray:
     return np.searchsorted(POISSON, uniform(h, seed, tree), side="right").astype(np.uint8)
 
 
-def walk(columns: np.ndarray, rows: np.ndarray, feature: np.ndarray, mask: np.ndarray, levels: int) -> np.ndarray:
-    """The node of a tree (children of i: 2i + 1 and 2i + 2) that ``rows`` reach after ``levels`` splits; rows of a leaf go on to nodes that no one opens."""
-    at = np.zeros(len(rows), np.int64)
-    for _ in range(levels):
-        go = (mask[at] >> columns[feature[at], rows].astype(np.uint64)) & np.uint64(1)
-        at = 2 * at + 2 - go.astype(np.int64)
-    return at
+def one_numbering(base: Boosted) -> tuple[Boosted, list[np.ndarray]] | None:
+    """``base`` with a single number for each level of a factor, whatever the model, and for each factor the models' bins of these bins (models by
+    bins); None if a factor has more levels than bins."""
+    if not base.factors:
+        return Boosted([Spec()], base.numeric, [], base.edges, None, np.zeros((0, 1)), [0.0], base.trees[:1], [{}]), []
+    many = {r.factor: int(r["count"]) for r in base.levels.groupBy("factor").count().collect()}
+    if max(many.values(), default=0) >= BINS:
+        return None
+    place = F.row_number().over(Window.partitionBy("factor").orderBy("level")) - 1  # fewer levels than bins
+    levels = base.levels.withColumn("at", place.cast("double")).checkpoint()
+    to = [np.zeros((len(base.specs), BINS), np.int64) for _ in base.factors]
+    for r in levels.collect():
+        to[base.factors.index(r.factor)][:, int(r["at"]) + 1] = np.array(r.numbers, dtype=np.int64) + 1
+    widths = np.array([[many.get(c, 0)] for c in base.factors], dtype=np.float64)
+    return Boosted([Spec()], base.numeric, base.factors, base.edges, levels.select("factor", "level", F.array("at").alias("numbers")), widths, [0.0], base.trees[:1], [{}]), to
+
+
+@dataclass
+class Node:
+    """A place in the trees of several models that all took the same ways there: the models whose node is open (each with its place among the model's
+    open nodes), and the splits that go on: (feature, bins that go left) -> nodes on the left and on the right."""
+
+    draw: int = -1
+    open: list[tuple[int, int]] = field(default_factory=list)
+    splits: dict[tuple[int, int], list["Node | None"]] = field(default_factory=dict)
+
+    def leaves(self) -> Iterator["Node"]:
+        if self.open:
+            yield self
+        for kids in self.splits.values():
+            for k in kids:
+                if k is not None:
+                    yield from k.leaves()
+
+
+def ways(open_: dict[int, np.ndarray], feature: np.ndarray, mask: np.ndarray, level: int) -> Node:
+    """The open nodes of one tree number (by model) as common ways from the root; ``feature`` and ``mask`` are the models' nodes."""
+    root = Node()
+    for m, nodes in open_.items():
+        for at, place in enumerate(nodes.tolist()):
+            cur, i = root, 0
+            for step in range(level - 1, -1, -1):
+                side = place >> step & 1
+                kids = cur.splits.setdefault((int(feature[m, i]), int(mask[m, i])), [None, None])
+                if kids[side] is None:
+                    kids[side] = Node()
+                cur, i = kids[side], 2 * i + 1 + side
+            cur.draw = place
+            cur.open.append((m, at))
+    return root
+
+
+@dataclass
+class Columns:
+    """Rows of some packed blocks: bins of one numbering, feature by feature."""
+
+    flat: np.ndarray
+    n: int
+    h: np.ndarray
+    y: np.ndarray
+    fold: np.ndarray
+
+    @staticmethod
+    def of(blocks: list[Rows], z: int) -> "Columns":
+        x = np.concatenate([np.concatenate([r.x, r.z[z]]) for r in blocks], axis=1)
+        return Columns(x.ravel(), x.shape[1], *(np.concatenate([getattr(r, k) for r in blocks]) for k in ("h", "y", "fold")))
+
+
+def some_blocks(batches: Iterator[pa.RecordBatch], models: int) -> Iterator[list[Rows]]:
+    """Blocks of ``TOGETHER`` rows or a little more."""
+    held, n = [], 0
+    for b in batches:
+        for r in _blocks(b, models):
+            held, n = [*held, r], n + r.n
+            if n >= TOGETHER:
+                yield held
+                held, n = [], 0
+    if held:
+        yield held
 
 
 @dataclass
@@ -84,40 +160,100 @@ class Forest:
         return rows.mapInArrow(run, kept + ", prediction double")
 
 
-def _splits(cur: DataFrame, outs: Sequence[int], seed: int, level: int, open_: dict[tuple[int, int], np.ndarray], trees: dict[tuple[int, int], tuple],
+def _splits(cur: DataFrame, outs: Sequence[int], seed: int, open_: dict[tuple[int, int], np.ndarray], roots: dict[int, list[Node]],
             looks: dict[int, np.ndarray], numbers: int, bins: int, parts: int) -> list:
     """Best split of each open node: (model, tree, node, n, s, gain, feature, mask, left n, left s). ``open_`` gives each tree's open nodes as places in
-    the level, ``looks`` the features that each node of the level looks at."""
-    models, first = len(outs), 2 ** level - 1
+    the level, ``roots`` the ways there (one root, or one for each model where bins differ by model), ``looks`` the features that each node of the level looks at."""
+    views = len(next(iter(roots.values())))
+    folds = sorted(set(outs))
+    # a node that several models share is summed by fold: part 0 for folds that no model leaves out
+    learns = np.array([[True, *(f != out for f in folds)] for out in outs])
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple, np.ndarray] = {}
-        for b in batches:
-            for rows in _blocks(b, models):
-                bags = {t: bag(rows.h, seed, t) for t in {t for _, t in open_}}
-                for m in range(models):
-                    mine = [t for i, t in open_ if i == m]
-                    if not mine:
+        held: dict[int, np.ndarray] = {}  # (n, s) by feature, part and bin
+        both: dict[int, np.ndarray] = {}  # n and s in one number, see UNIT
+        every = [(t, v, root, list(root.leaves())) for t, each in roots.items() for v, root in enumerate(each)]
+        load = 0.0
+
+        def parted() -> None:
+            for key, a in both.items():
+                n = np.rint(a / UNIT)
+                new = np.stack([n, (a - n * UNIT) / 2])
+                held[key] = held[key] + new if key in held else new
+            both.clear()
+
+        for blocks in some_blocks(batches, views):
+            cols = [Columns.of(blocks, v) for v in range(views)]
+            c = cols[0]
+            part = np.where(np.isin(c.fold, folds), np.searchsorted(folds, c.fold) + 1, 0)
+            base = part * bins
+            # whole or half labels: sums of draws (below 2^22) and of labels (below 2^29) are exact in one double
+            high = max(2 * float(np.abs(c.y).max()), 128.0)
+            exact = bool((2 * c.y == np.rint(2 * c.y)).all()) and high * 16 * c.n < UNIT / 4
+            if exact and (load + high * 16 * c.n) >= UNIT / 4:
+                parted()
+                load = 0.0
+            load += high * 16 * c.n
+            bags: dict[int, tuple] = {}
+            for t, v, root, _ in every:
+                if t not in bags:
+                    w = bag(c.h, seed, t)
+                    rows = np.flatnonzero(w)
+                    w = w.astype(np.float64)
+                    bags = {t: (rows, w * (UNIT + 2 * c.y)) if exact else (rows, w, w * c.y)}
+                rows, *weights = bags[t]
+                flat, size = cols[v].flat, c.n
+
+                def add(node: Node, idx: np.ndarray) -> None:
+                    look = looks[t][node.draw]
+                    if len(node.open) > 1:
+                        pieces, more = len(folds) + 1, base[idx]
+                    else:
+                        pieces, more = 1, None
+                        idx = idx[learns[node.open[0][0]][part[idx]]]
+                    if not len(idx):
+                        return
+                    u, new = [v[idx] for v in weights], np.empty((len(weights), len(look), pieces * bins))
+                    for j, f in enumerate(look):
+                        cell = flat[f * size:(f + 1) * size][idx]
+                        cell = cell if more is None else cell + more
+                        for i, v in enumerate(u):
+                            new[i, j] = np.bincount(cell, v, pieces * bins)
+                    new = new.reshape(len(weights), -1)
+                    where, new = (both, new[0]) if exact else (held, new)
+                    key = id(node)
+                    if key in where:
+                        where[key] += new
+                    else:
+                        where[key] = new
+
+                def down(node: Node, idx: np.ndarray) -> None:
+                    if node.open:
+                        add(node, idx)
+                    for (f, m), (left, right) in node.splits.items():
+                        go = (np.uint64(m) >> np.arange(64, dtype=np.uint64) & np.uint64(1)).astype(bool)[flat[f * size:(f + 1) * size][idx]]
+                        if left is not None:
+                            down(left, idx[go])
+                        if right is not None:
+                            down(right, idx[~go])
+
+                down(root, rows)
+        parted()
+        for t in roots:
+            out: dict[int, np.ndarray] = {}
+            for _, _, _, leaves in (e for e in every if e[0] == t):
+                for node in leaves:
+                    k = looks[t].shape[1]
+                    a = held.pop(id(node), None)
+                    if a is None:
                         continue
-                    columns, use = np.concatenate([rows.x, rows.z[m]]), rows.fold != outs[m]
-                    flat = columns.ravel()
-                    for t in mine:
-                        idx = np.flatnonzero(use & (bags[t] > 0))
-                        nodes, place = open_[m, t], np.full(2 ** level, -1)
-                        place[nodes] = np.arange(len(nodes))
-                        at = place[walk(columns, idx, *trees[m, t], level) - first]
-                        idx, at = idx[at >= 0], at[at >= 0]
-                        look = looks[t][nodes]
-                        k = look.shape[1]
-                        cell = ((at[:, None] * k + np.arange(k)) * bins + flat.take(look[at] * rows.n + idx[:, None])).ravel()
-                        w = bags[t][idx].astype(np.float64)
-                        size = len(nodes) * k * bins
-                        if (m, t) not in held:
-                            held[m, t] = np.zeros((2, size))
-                        held[m, t][0] += np.bincount(cell, np.repeat(w, k), size)
-                        held[m, t][1] += np.bincount(cell, np.repeat(w * rows.y[idx], k), size)
-        for (m, t), v in held.items():
-            yield pa.RecordBatch.from_arrays([pa.array([m], pa.int32()), pa.array([t], pa.int32()), pa.array([v.tobytes()], pa.binary())], ["m", "t", "v"])
+                    a = a.reshape(2, k, -1, bins)
+                    for m, at in node.open:
+                        if m not in out:
+                            out[m] = np.zeros((2, len(open_[m, t]), k, bins))
+                        out[m][:, at] = a[:, :, learns[m]].sum(axis=2) if len(node.open) > 1 else a[:, :, 0]
+            for m, a in out.items():
+                yield pa.RecordBatch.from_arrays([pa.array([m], pa.int32()), pa.array([t], pa.int32()), pa.array([a.tobytes()], pa.binary())], ["m", "t", "v"])
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple, np.ndarray] = {}
@@ -157,8 +293,11 @@ def fit_forests(train: DataFrame, outs: Sequence[int], trees: int = 300, depth:
     as many draws as rows (on average), a third of the features for each node, least squares."""
     spark = train.sparkSession
     specs = [replace(Spec(), out=f) for f in outs]
-    base, cur = prepared(train, specs, label, key, fold, exclude, LEAST)
-    bins = LEAST if base.widths.size == 0 or base.widths.max() < LEAST else BINS
+    base = binning(train, specs, label, key, fold, exclude, LEAST)
+    one = one_numbering(base)
+    by, to = one or (base, [])
+    cur = packed(train, by, label, key, fold)
+    bins = LEAST if by.widths.size == 0 or by.widths.max() < LEAST else BINS
     rows = cur.agg(F.sum("n")).first()[0] or 0
     cores = spark.sparkContext.defaultParallelism
     cur = cur.coalesce(max(1, min(rows // ROWS, cores), rows // MOST)).persist()
@@ -171,14 +310,19 @@ def fit_forests(train: DataFrame, outs: Sequence[int], trees: int = 300, depth:
     for level in range(depth):
         first = 2 ** level - 1
         looks = {t: np.sort(np.argsort(np.random.default_rng([seed, t, level]).random((2 ** level, width)), axis=1)[:, :k], axis=1) for t in {t for _, t in open_}}
-        found, some, nodes = [], {}, 0
-        for at, now in [*open_.items(), (None, None)]:  # as many trees as a task may hold; a tree of all models shares its bag
-            if some and (at is None or (nodes + len(now)) * k * bins * 16 > HELD):
-                seen = {(m, t): (feature[m, t, :first], mask[m, t, :first]) if level else (feature[m, t, :1], mask[m, t, :1]) for m, t in some}
-                found += _splits(cur, outs, seed, level, some, seen, {t: looks[t] for _, t in some}, numbers, bins, parts)
-                some, nodes = {}, 0
-            if at is not None:
-                some[at], nodes = now, nodes + len(now)
+        found, some, ready, load = [], {}, {}, 0
+        for t in [*sorted({t for _, t in open_}), None]:  # as many trees as a task may hold; all models' trees of a number share their bags and common ways
+            now = {m: open_[m, t] for m in range(models) if (m, t) in open_}
+            views = [now] if one else [{m: v} for m, v in now.items()]
+            each = [ways(v, feature[:, t], mask[:, t], level) for v in views] if now else []
+            size = sum(len(n.open) + (len(outs) + 1 if len(n.open) > 1 else 1) for root in each for n in root.leaves()) * k * bins * 16
+            if some and (t is None or load + size > HELD):
+                found += _splits(cur, outs, seed, some, ready, {i: looks[i] for i in ready}, numbers, bins, parts)
+                some, ready, load = {}, {}, 0
+            if now:
+                if not one:  # a root for each model, in their order
+                    each = [next((r for v, r in zip(views, each) if m in v), Node()) for m in range(models)]
+                some, ready[t], load = some | {(m, t): v for m, v in now.items()}, each, load + size
         after: dict[tuple[int, int], list[int]] = {}
         for m, t, node, n, s, gain, f, left, nl, sl in sorted(map(tuple, found), key=lambda r: (r[1], r[0], r[2])):
             i = first + node
@@ -190,4 +334,8 @@ def fit_forests(train: DataFrame, outs: Sequence[int], trees: int = 300, depth:
             after.setdefault((m, t), []).extend(2 * node + j for j, many in ((0, nl), (1, n - nl)) if many > 1.5)
         open_ = {at: np.array(v) for at, v in after.items() if v}
     cur.unpersist()
+    for i, of in enumerate(to):  # bins of the common numbering as each model's
+        for m, t, node in zip(*np.nonzero(feature == numbers + i)):
+            left = np.flatnonzero((mask[m, t, node] >> np.arange(64, dtype=np.uint64)) & np.uint64(1))
+            mask[m, t, node] = np.bitwise_or.reduce(np.uint64(1) << of[m, left].astype(np.uint64))
     return Forest(base, feature, mask, value, depth)

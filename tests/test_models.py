@@ -556,3 +556,46 @@ def test_trees_of_one_model_grow_alike_in_one_task(spark, monkeypatch, loss):
         assert np.allclose(pa_, pb) and dict(a.influence()) == pytest.approx(dict(b.influence()))
         if spec.bagfrac == 1.0:
             assert np.allclose(pa_, _boost_by_hand(x, lev, y, np.arange(len(y)), spec), atol=2e-3)
+
+
+def test_forest_ways_are_walked_once():
+    from encore.models.forest import ways
+
+    feature, mask = np.full((3, 7), -1), np.zeros((3, 7), np.uint64)
+    feature[:, 0], mask[:, 0], feature[:, 1], mask[:, 1] = [4, 4, 5], 7, 2, [1, 3, 1]
+    root = ways({0: np.array([0, 1]), 1: np.array([1, 2]), 2: np.array([3])}, feature, mask, 2)
+    assert set(root.splits) == {(4, 7), (5, 7)} and set(root.splits[4, 7][0].splits) == {(2, 1), (2, 3)}  # the first split of models 0 and 1 is one
+    assert sorted((n.draw, n.open) for n in root.leaves()) == [(0, [(0, 0)]), (1, [(0, 1)]), (1, [(1, 0)]), (2, [(1, 1)]), (3, [(2, 0)])]
+    feature[1, 0], mask[:, 1] = 4, 1
+    assert sorted(n.open for n in ways({m: np.array([1]) for m in (0, 1)}, feature, mask, 2).leaves()) == [[(0, 0), (1, 0)]]
+
+
+@pytest.mark.parametrize("levels,labels", [(9, "whole"), (9, "any"), (90, "whole")])  # one numbering, sums apart, a numbering for each model
+def test_forest_nodes_hold_the_rows_that_reach_them(spark, levels, labels):
+    from encore.models.boosting import _blocks
+    from encore.models.forest import bag, fit_forests, prepared
+
+    rng = np.random.default_rng(12)
+    n = 1500
+    a, lev, f = rng.integers(0, 8, n), rng.integers(0, levels, n), rng.integers(1, 4, n)
+    lev[0], f[0] = levels, 2  # a level of one fold alone
+    y = (a > 3) + (lev % 3) + rng.integers(0, 2, n) * 0.5 + (rng.normal(size=n) if labels == "any" else 0.0)
+    df = spark.createDataFrame([(i, float(y[i]), int(f[i]), float(a[i]), f"l{lev[i]}") for i in range(n)], "account_id long, total double, fold int, a double, c string").repartition(3)
+    m = fit_forests(df, [1, 2, -1], trees=5, depth=4)
+    _, cur = prepared(df, m.base.specs, "total", "account_id", "fold", ("account_id", "total", "fold"), 32)
+    seen = [r for b in cur.toArrow().to_batches() for r in _blocks(b, 3)]
+    y, fold, h = (np.concatenate([getattr(r, k) for r in seen]) for k in ("y", "fold", "h"))
+    splits = 0
+    for model, out in enumerate((1, 2, -1)):
+        x = np.concatenate([np.concatenate([r.x, r.z[model]]) for r in seen], axis=1)
+        for t in range(5):
+            w = np.where(fold == out, 0, bag(h, 551724, t)).astype(float)
+            reach = {0: w > 0}
+            for i in range(15):
+                if i in reach and m.feature[model, t, i] >= 0:
+                    go = ((m.mask[model, t, i] >> x[m.feature[model, t, i]].astype(np.uint64)) & np.uint64(1)).astype(bool)
+                    reach[2 * i + 1], reach[2 * i + 2] = reach[i] & go, reach[i] & ~go
+                    splits += 1
+            for i, here in reach.items():
+                assert m.value[model, t, i] == pytest.approx((w[here] @ y[here]) / w[here].sum())
+    assert splits > 60
