@@ -599,3 +599,33 @@ def test_forest_nodes_hold_the_rows_that_reach_them(spark, levels, labels):
             for i, here in reach.items():
                 assert m.value[model, t, i] == pytest.approx((w[here] @ y[here]) / w[here].sum())
     assert splits > 60
+
+
+def test_knn_leaves_out_far_tiles_and_blocks(spark):
+    from encore.models import knn
+
+    rng = np.random.default_rng(21)
+    x = np.concatenate([rng.normal(size=(2048, 6)) + 1000.0 * c for c in range(5)])
+    x[:, 1:] += rng.normal(size=(len(x), 5)) * 0.1
+    y, g = rng.integers(0, 3, len(x)).astype(float), rng.integers(0, 3, len(x))
+    perm = rng.permutation(len(x))
+    tiles = knn.Tiles(x[perm], y[perm], g[perm])
+    for t, (lo, hi) in enumerate(zip([p.start for p in tiles.parts], [p.stop for p in tiles.parts])):
+        if np.linalg.norm(tiles.x[lo:hi].mean(axis=0) - x[:2048].mean(axis=0)) > 500:
+            tiles.right[t] = np.full_like(tiles.right[t], np.nan)  # never read by queries of the first cluster
+    got, labels = tiles.nearest(x[:300], 3, g[:300])
+    for i in range(300):
+        want = sorted(zip(((x[i] - x) ** 2).sum(1)[g != g[i]], y[g != g[i]]))[:3]
+        assert np.allclose(got[i], [w[0] for w in want]) and labels[i].tolist() == [w[1] for w in want]
+    # in blocks: cuts through the clusters, a far query, a leaf of equal vectors that is several blocks
+    x = np.concatenate([x[::8], np.tile(x[:1], (400, 1))])
+    y, g = rng.integers(0, 400, len(x)).astype(float), rng.integers(0, 4, len(x))
+    df = spark.createDataFrame([(i, float(y[i]), int(g[i]), x[i].tolist()) for i in range(len(x))], "account_id long, total double, fold int, vec array<double>")
+    q = df.select(F.col("account_id").alias("query_id"), "fold", "vec").union(spark.createDataFrame([(-1, 9, [1e5] * 6)], "a long, b int, c array<double>"))
+    votes = {r.query_id: r.prediction for r in knn_vote(df, q, vec="vec", apart="fold", block_rows=100).collect()}
+    assert len(votes) == len(x) + 1
+    for i in [-1, *range(0, len(x), 19)]:
+        at, own = (np.full(6, 1e5), 9) if i < 0 else (x[i], g[i])
+        near = sorted(zip(((at - x) ** 2).sum(1)[g != own], y[g != own]))[:3]
+        got = [v for _, v in near]
+        assert votes[i] == min(set(got), key=lambda v: (-got.count(v), v))
