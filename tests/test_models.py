@@ -629,3 +629,26 @@ def test_knn_leaves_out_far_tiles_and_blocks(spark):
         near = sorted(zip(((at - x) ** 2).sum(1)[g != own], y[g != own]))[:3]
         got = [v for _, v in near]
         assert votes[i] == min(set(got), key=lambda v: (-got.count(v), v))
+
+
+def test_huber_steps_begin_at_a_part_and_end_on_all_rows(spark, monkeypatch):
+    from encore.models import fourier as Fu
+
+    p = np.random.default_rng(2).normal(size=(301, 7)) * 1e3
+    want = np.cos(p)
+    assert np.abs(Fu.cosine(p) - want).max() < 1e-12
+    df = _fold_rows(spark).cache()
+    df = df.repartition(4).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(3)))).withColumn("account_id", F.col("account_id") * 4 + F.col("i")).drop("i")
+    monkeypatch.setattr("encore.models.machines.BLOCK", 50)
+    seen, summed = [], Fu.summed
+    monkeypatch.setattr(Fu, "summed", lambda rows, sums: seen.append(rows) or summed(rows, sums))
+    out = []
+    for warm in (10 ** 9, 100):  # never; at a third of the blocks
+        monkeypatch.setattr(Fu, "WARM", warm)
+        monkeypatch.setattr(Fu, "PART", 3)
+        data = Fu.fourier_folds(df, [1, 2], 0.05, 6)
+        del seen[:]
+        losses = Fu.fit_huber_folds(data, 0.01)[2]
+        out.append((losses, sum(r is data.packed for r in seen), len(seen)))
+    (a, many, _), (b, few, every) = out
+    assert a == pytest.approx(b, rel=1e-8) and few < many and few >= 2 and every > few
